@@ -55,17 +55,21 @@ def strip_headers_footers(
     share: float = 0.45,
     min_pages: int = 3,
     block_pages: int = BLOCK_PAGES,
+    partitioned: bool = False,
 ) -> DataFrame:
     """Drop blank lines and every line equal to a repeated edge line.
 
     A document has at most (top_k + bottom_k) / share such lines, so they fit
     in one small array per document; pages are never taken apart into rows.
-    The pages come out partitioned by (doc_id, block).
+    The pages come out partitioned by (doc_id, block); ``partitioned`` says
+    that they are so already, as a bucketed page table is.
     """
     ready = prepare(pages, block_pages)
     found = repeated_edges(ready, top_k, bottom_k, share, min_pages, block_pages)
     per_doc = found.groupBy("doc_id", "n_pages").agg(F.collect_list("line").alias("_edges"))
-    marked = attach(ready.repartition("doc_id", "block"), per_doc, "left", block_pages)
+    if not partitioned:
+        ready = ready.repartition("doc_id", "block")
+    marked = attach(ready, per_doc, "left", block_pages)
     edges = F.coalesce("_edges", empty_strings())
 
     def kept(l: Column) -> Column:

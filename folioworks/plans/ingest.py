@@ -13,14 +13,14 @@ from folioworks.operators.language import LanguageProfiles, tag_language
 from folioworks.session import materialize
 
 
-def clean_pages(pages: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFrame:
+def clean_pages(pages: DataFrame, cfg: EngineConfig = EngineConfig(), partitioned: bool = False) -> DataFrame:
     """Headers and footers, boilerplate, paragraphs, list marks, page labels.
 
     ``slice`` is the page before label removal, ``text`` after it. Page texts
     cross one exchange; every later step reuses its (doc_id, block) layout.
     """
     bare = cleaning.strip_headers_footers(
-        pages, cfg.edge_top, cfg.edge_bottom, cfg.edge_share, cfg.min_pages, cfg.block_pages
+        pages, cfg.edge_top, cfg.edge_bottom, cfg.edge_share, cfg.min_pages, cfg.block_pages, partitioned
     )
     body = cleaning.drop_boilerplate(
         bare, cfg.boiler_min_len, cfg.boiler_share, cfg.min_pages, cfg.block_pages, partitioned=True

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioworks.functions import grid as G
 from folioworks.operators.assembly import page_files, to_docmeta
+from folioworks.operators.blocks import BLOCK_PAGES, prepare
 
 
 def write_documents(bundles: DataFrame, path: str) -> None:
@@ -15,10 +16,12 @@ def write_documents(bundles: DataFrame, path: str) -> None:
 
 
 def write_text(bundles: DataFrame, path: str) -> None:
-    """Texts, one folder per document (for small exports; else write_documents)."""
+    """Texts, one folder per document part (for small exports; else write_documents).
+
+    Spark's text sink ends each file with one line break more than the text.
+    """
     texts = bundles.select("doc_id", "part_no", F.col("text").alias("value"))
-    ordered = texts.repartition("doc_id", "part_no").sortWithinPartitions("doc_id", "part_no")
-    ordered.write.mode("overwrite").partitionBy("doc_id", "part_no").option("lineSep", "").text(path)
+    texts.repartition("doc_id", "part_no").write.mode("overwrite").partitionBy("doc_id", "part_no").text(path)
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
@@ -52,11 +55,12 @@ def write_tables(named: DataFrame, path: str) -> None:
     render_tables(named).write.mode("overwrite").parquet(path)
 
 
-def save_page_table(pages: DataFrame, table: str, buckets: int) -> None:
-    """A page table bucketed by (doc_id, block), so that later runs need not
-    shuffle page texts at all."""
+def save_page_table(pages: DataFrame, table: str, buckets: int, block_pages: int = BLOCK_PAGES) -> None:
+    """A page table bucketed by (doc_id, block). Cleaning it with
+    ``partitioned=True`` joins on the buckets and shuffles no page text."""
     (
-        pages.write.mode("overwrite")
+        prepare(pages, block_pages)
+        .write.mode("overwrite")
         .bucketBy(buckets, "doc_id", "block")
         .sortBy("doc_id", "block")
         .saveAsTable(table)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from folioworks.config import EngineConfig
 from folioworks.operators.blocks import BLOCK_PAGES
 from folioworks.operators.identity import content_id
 from folioworks.plans.ingest import ingest
+from folioworks.session import shared_dir
 
 SALTS = 32
 
@@ -91,3 +94,25 @@ def drain(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     )
     query.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
+
+
+def drain_new(stream: DataFrame) -> DataFrame:
+    """``drain`` into a new folder below the session's shared folder."""
+    base = f"{shared_dir(stream.sparkSession)}/stream-{uuid.uuid4().hex}"
+    return drain(stream, f"{base}/out", f"{base}/state")
+
+
+END_OF_STREAM = "9999-01-01 00:00:00"
+
+
+def with_end_marker(pages: DataFrame) -> DataFrame:
+    """Add one far-future row, so that a drain closes all open sessions.
+
+    The marker's own session stays open and is never put out.
+    """
+    spark = pages.sparkSession
+    folder = f"{shared_dir(spark)}/marker-{uuid.uuid4().hex}"
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in pages.schema.fields if f.name != "arrived"]
+    marker = spark.range(1).select(*empty, F.lit(END_OF_STREAM).cast("timestamp").alias("arrived"))
+    marker.select(*pages.columns).write.parquet(folder)
+    return pages.unionByName(spark.readStream.schema(pages.schema).parquet(folder))
