@@ -31,7 +31,7 @@ class EngineConfig:
     max_join_len: int = 120
     bare_numbers: bool = True
     page_sep: str = ""
-    block_pages: int = 1024
+    block_pages: int = 256
 
     def __post_init__(self):
         for name, allowed in (

@@ -113,7 +113,7 @@ def _spread(rows: Column) -> Column:
                 units,
                 lambda u, j: F.struct(F.get(at, j).alias("col"), u["text"].alias("text"), u["down"].alias("down")),
             )
-            return F.array_sort(F.concat(placed, held))
+            return F.sort_array(F.concat(placed, held))
 
         return let(
             let(free, landed),

@@ -6,88 +6,77 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioworks.functions.text import token_count
-from folioworks.operators.blocks import BLOCK_PAGES, prepare, spread
+from folioworks.operators.blocks import BLOCK_PAGES, gather, spread
 
 
-def _block_starts(sizes: DataFrame) -> DataFrame:
-    """Where each block starts, from one narrow row per (doc_id, block)."""
+def _offsets(sizes: Column) -> Column:
+    """Running sum before each entry."""
+    start = F.struct(F.array().cast("array<bigint>").alias("out"), F.lit(0).cast("bigint").alias("at"))
+    return F.aggregate(
+        sizes,
+        start,
+        lambda acc, n: F.struct(
+            F.concat(acc["out"], F.array(acc["at"])).alias("out"), (acc["at"] + n).alias("at")
+        ),
+        lambda acc: acc["out"],
+    )
+
+
+def _earlier_parts(parts: DataFrame, chars: Column) -> DataFrame:
+    """Where each part of a long document starts, from one narrow row per part."""
     before = Window.partitionBy("doc_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select("doc_id", "block", F.coalesce(F.sum("_chars").over(before), F.lit(0)).alias("_start"))
+    narrow = parts.select("doc_id", "block", chars.alias("_chars"))
+    return narrow.select("doc_id", "block", F.coalesce(F.sum("_chars").over(before), F.lit(0)).alias("_start"))
 
 
 def page_offsets(pages: DataFrame, sep: str = "", block_pages: int = BLOCK_PAGES) -> DataFrame:
-    """Add ``page_offset``: where the page starts in the joined text.
+    """``page_offset``: where each page starts in the joined text.
 
-    Running sums stay within a block; the sizes of earlier blocks come from a
-    sum over one row per block.
-    """
-    ready = prepare(pages, block_pages)
-    size = F.length("text") + len(sep)
-    before = Window.partitionBy("doc_id", "block").orderBy("page_no").rowsBetween(Window.unboundedPreceding, -1)
-    local = F.coalesce(F.sum(size).over(before), F.lit(0))
-    long_docs = ready.filter(F.col("n_pages") > block_pages)
-    sizes = long_docs.groupBy("doc_id", "block").agg(F.sum(size).alias("_chars"))
-    started = ready.withColumn("page_offset", local).join(_block_starts(sizes), ["doc_id", "block"], "left")
-    return started.withColumn(
-        "page_offset", (F.col("page_offset") + F.coalesce("_start", F.lit(0))).cast("bigint")
-    ).drop("_start")
-
-
-def _text_edges(text: Column) -> tuple[Column, Column]:
-    word = r"[A-Za-z0-9_]"
-    return text.rlike(rf"\A{word}"), text.rlike(rf"{word}\z")
-
-
-def concat_pages(pages: DataFrame, sep: str = "", block_pages: int = BLOCK_PAGES) -> DataFrame:
-    """Documents as text: one row per document, or per part of a long one.
-
-    A part holds the pages of one block, so a document of up to
-    ``block_pages`` pages is one row with ``part_no`` 0 and the whole text.
-    ``page_offsets`` and ``token_count`` count over the whole document in
-    every part. ``pages`` may have ``slice``, kept as ``page_slices``.
+    Running sums stay within a part; the sizes of earlier parts are summed over
+    one row per part. Only lengths are shuffled, not texts.
     """
-    ready = prepare(pages, block_pages)
-    kept = F.col("slice") if "slice" in ready.columns else F.col("text")
-    routed = [c for c in ("routed",) if c in ready.columns]
-    page = F.struct("page_no", F.col("text").alias("text"), kept.alias("slice"))
-    parts = ready.groupBy("doc_id", "block", "n_pages", *routed).agg(
-        F.array_sort(F.collect_list(page)).alias("_pages")  # one block: bounded
+    sized = pages.withColumn("text", F.length(F.coalesce("text", F.lit(""))).cast("string"))
+    parts = gather(sized, block_pages).withColumn(
+        "_sizes", F.transform("pages", lambda p: p["text"].cast("bigint") + len(sep))
+    )
+    chars = F.aggregate("_sizes", F.lit(0).cast("bigint"), lambda a, b: a + b)
+    starts = _earlier_parts(parts.filter(F.col("n_pages") > block_pages), chars)
+    placed = parts.withColumn("_offsets", _offsets(F.col("_sizes"))).join(starts, ["doc_id", "block"], "left")
+    rows = placed.select(
+        "doc_id", "n_pages", "_start", F.inline_outer(F.arrays_zip(F.col("pages.page_no").alias("page_no"), F.col("_offsets").alias("at")))
     )
-    # The next block goes on without a separator between parts only if sep is
-    # appended here, so parts always join by plain concatenation.
+    return rows.select(
+        "doc_id", "page_no", "n_pages", (F.col("at") + F.coalesce("_start", F.lit(0))).cast("bigint").alias("page_offset")
+    )
+
+
+def concat_parts(parts: DataFrame, sep: str = "", block_pages: int = BLOCK_PAGES) -> DataFrame:
+    """Clean parts as text: one row per document, or per part of a long one.
+
+    A document of up to ``block_pages`` pages is one row with ``part_no`` 0 and
+    the whole text. ``page_offsets`` and ``token_count`` count over the whole
+    document in every part; parts join by plain concatenation.
+    """
     last_block = F.floor((F.col("n_pages") - 1) / block_pages)
     tail = F.when(F.col("block") < last_block, F.lit(sep)).otherwise(F.lit(""))
-    parts = parts.select(
+    texts = parts.select(
         "doc_id",
-        *routed,
         "n_pages",
         "block",
         (last_block + 1).cast("int").alias("n_parts"),
-        F.concat(F.array_join(F.col("_pages.text"), sep), tail).alias("text"),
-        F.col("_pages.slice").alias("page_slices"),
-        F.transform("_pages", lambda p: F.length(p["text"]) + len(sep)).alias("_sizes"),
+        F.concat(F.array_join(F.col("pages.text"), sep), tail).alias("text"),
+        F.col("pages.slice").alias("page_slices"),
+        _offsets(F.transform("pages", lambda p: F.length(p["text"]) + len(sep))).alias("_offsets"),
     ).withColumn("_tokens", token_count(F.col("text")))
-    totals = _long_document_totals(parts.filter(F.col("n_parts") > 1))
-    joined = parts.join(totals, ["doc_id", "block"], "left")
-    start = F.coalesce("_start", F.lit(0)).cast("bigint")
-    zero = F.struct(F.array().cast("array<bigint>").alias("out"), start.alias("at"))
-    offsets = F.aggregate(
-        "_sizes",
-        zero,
-        lambda acc, n: F.struct(
-            F.concat(acc["out"], F.array(acc["at"])).alias("out"), (acc["at"] + n).alias("at")
-        ),
-        lambda acc: acc["out"],
-    )
-    return joined.select(
+    totals = _long_document_totals(texts.filter(F.col("n_pages") > block_pages))
+    return texts.join(totals, ["doc_id", "block"], "left").select(
         "doc_id",
-        *routed,
         "n_pages",
         F.col("block").alias("part_no"),
         "n_parts",
         "text",
         "page_slices",
-        offsets.alias("page_offsets"),
+        F.transform("_offsets", lambda o: o + F.coalesce("_start", F.lit(0))).alias("page_offsets"),
         F.coalesce("_doc_tokens", "_tokens").cast("bigint").alias("token_count"),
     )
 
@@ -98,16 +87,15 @@ def _long_document_totals(parts: DataFrame) -> DataFrame:
     A word run over the seam of two parts is one token, not two. Works on one
     narrow row per part.
     """
-    first, last = _text_edges(F.col("text"))
+    word, filled = "[A-Za-z0-9_]", F.col("text") != ""
     narrow = parts.select(
         "doc_id", "block", F.length("text").alias("_chars"), "_tokens",
-        F.when(F.col("text") != "", first).alias("_opens"),
-        F.when(F.col("text") != "", last).alias("_closes"),
+        F.when(filled, F.col("text").rlike(rf"\A{word}")).alias("_opens"),
+        F.when(filled, F.col("text").rlike(rf"{word}\z")).alias("_closes"),
     )
-    order = Window.partitionBy("doc_id").orderBy("block")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    seam = F.when(F.col("_opens") & F.last("_closes", ignorenulls=True).over(before), 1).otherwise(0)
     whole = Window.partitionBy("doc_id")
+    before = whole.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    seam = F.when(F.col("_opens") & F.last("_closes", ignorenulls=True).over(before), 1).otherwise(0)
     return (
         narrow.withColumns(
             {"_start": F.coalesce(F.sum("_chars").over(before), F.lit(0)), "_own": F.col("_tokens") - seam}
@@ -155,7 +143,7 @@ def bundle(
     else:
         facts = facts.withColumn("language", F.lit("unknown"))
     per_part = spread(facts, block_pages).withColumnRenamed("block", "part_no").drop("n_pages")
-    joined = parts.drop("routed").join(per_part, ["doc_id", "part_no"], "left")
+    joined = parts.join(per_part, ["doc_id", "part_no"], "left")
     if tables is not None:
         joined = joined.join(tables.select("doc_id", "part_no", "tables"), ["doc_id", "part_no"], "left")
     else:

@@ -2,11 +2,11 @@
 
 A page table has ``doc_id, page_no`` (0-based) and, where known, ``n_pages``.
 One document may hold any share of all pages, so nothing here groups pages by
-``doc_id`` alone. Pages fall into blocks of ``block_pages`` pages; the rows that
-shuffle together share ``(doc_id, block)``. Per-document facts are small, are
-aggregated with map-side combine, and come back to the pages on that same key,
-one copy per block. Usual documents have one block, so for them this is a plain
-equi-join on the document.
+``doc_id`` alone. Pages fall into blocks of ``block_pages`` pages, and pages
+that meet in one row share ``(doc_id, block)``: that is a *part*. Usual
+documents are one part. What long documents need to know across their parts is
+a small fact per document: it is aggregated with map-side combine and comes
+back to the parts on that same key, one copy per part.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_PAGES = 1024
+BLOCK_PAGES = 256
 
 
 def block_of(page_no: Column, n_pages: Column, block_pages: int = BLOCK_PAGES) -> Column:
@@ -24,17 +24,9 @@ def block_of(page_no: Column, n_pages: Column, block_pages: int = BLOCK_PAGES) -
 
 
 def with_block(pages: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:
-    if "block" in pages.columns:
-        return pages
     return pages.withColumn("block", block_of(F.col("page_no"), F.col("n_pages"), block_pages))
 
 
-def spread(facts: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:
-    """One copy of a document's facts (with ``n_pages``) per block of it."""
-    last = F.greatest(F.lit(0), F.floor((F.col("n_pages") - 1) / block_pages)).cast("int")
-    return facts.withColumn("block", F.explode(F.sequence(F.lit(0), last)))
-
-
 def with_page_counts(pages: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:
     """Add ``n_pages``. Free where the page table already stores it."""
     if "n_pages" in pages.columns:
@@ -51,9 +43,36 @@ def with_page_counts(pages: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFr
 
 def prepare(pages: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:
     """Pages with ``n_pages`` and ``block``."""
+    if "block" in pages.columns:
+        return pages
     return with_block(with_page_counts(pages, block_pages), block_pages)
 
 
-def attach(pages: DataFrame, facts: DataFrame, how: str = "left", block_pages: int = BLOCK_PAGES) -> DataFrame:
-    """Bring per-document facts (with ``n_pages``) to prepared pages."""
-    return pages.join(spread(facts, block_pages).drop("n_pages"), ["doc_id", "block"], how)
+def gather(pages: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:
+    """Parts: ``doc_id, block, n_pages, pages array<struct<page_no, text>>``.
+
+    The one exchange page texts go through. A page table bucketed by
+    (doc_id, block) does without it. A part has at most ``block_pages`` pages.
+    """
+    page = F.struct("page_no", F.coalesce("text", F.lit("")).alias("text"))
+    return (
+        prepare(pages, block_pages)
+        .groupBy("doc_id", "block")
+        .agg(F.max("n_pages").alias("n_pages"), F.sort_array(F.collect_list(page)).alias("pages"))
+    )
+
+
+def only_long(pages: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:
+    """Pages of documents with more than one part."""
+    return prepare(pages, block_pages).filter(F.col("n_pages") > block_pages)
+
+
+def spread(facts: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:
+    """One copy of a document's facts (with ``n_pages``) per block of it."""
+    last = F.greatest(F.lit(0), F.floor((F.col("n_pages") - 1) / block_pages)).cast("int")
+    return facts.withColumn("block", F.explode(F.sequence(F.lit(0), last)))
+
+
+def attach(rows: DataFrame, facts: DataFrame, how: str = "left", block_pages: int = BLOCK_PAGES) -> DataFrame:
+    """Bring per-document facts (with ``n_pages``) to parts or prepared pages."""
+    return rows.join(spread(facts, block_pages).drop("n_pages"), ["doc_id", "block"], how)

@@ -1,27 +1,25 @@
-"""Repeated lines of a document: headers, footers and boilerplate."""
+"""Repeated lines of a document: headers, footers and boilerplate.
+
+Documents of one part are decided inside their row. For longer ones the counts
+run over all parts first, by grouped aggregates with map-side combine.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioworks.functions.text import empty_strings, let, lines, py_strip, squeeze
-from folioworks.operators.blocks import BLOCK_PAGES, attach, prepare
-
-
-def _edge_candidates(text: Column, top_k: int, bottom_k: int) -> Column:
-    """First raw and last filled lines of a page, stripped, blanks dropped."""
-
-    def marked(ls: Column, top: int) -> Column:
-        return F.transform(ls, lambda l: F.struct(l.alias("line"), F.lit(top).alias("top")))
-
-    def edges(ls: Column) -> Column:
-        filled = F.filter(ls, lambda l: l != "")
-        first = F.filter(F.slice(ls, 1, top_k), lambda l: l != "")
-        last = let(filled, lambda f: F.slice(f, F.greatest(F.size(f) - bottom_k + 1, F.lit(1)), bottom_k))
-        return F.concat(marked(first, 1), marked(last, 0))
-
-    return let(F.transform(lines(text), py_strip), edges)
+from folioworks.config import EngineConfig
+from folioworks.functions import repeats
+from folioworks.functions.text import (
+    empty_strings,
+    let,
+    lines,
+    normalize_marks,
+    remove_page_labels,
+    weld,
+)
+from folioworks.operators.blocks import BLOCK_PAGES, attach, gather, only_long, prepare
 
 
 def repeated_edges(
@@ -37,79 +35,168 @@ def repeated_edges(
     Occurrences are counted, tops and bottoms apart. The counts fold together
     before the shuffle, so one header on a million pages travels as a few rows.
     """
-    edges = (
+
+    def marked(ls: Column, top: int) -> Column:
+        return F.transform(ls, lambda l: F.struct(l.alias("line"), F.lit(top).alias("top")))
+
+    edges = let(
+        repeats.stripped_lines(F.col("text")),
+        lambda ls: F.concat(marked(repeats.top_lines(ls, top_k), 1), marked(repeats.bottom_lines(ls, bottom_k), 0)),
+    )
+    # explode_outer, since explode would have the optimizer evaluate the array
+    # a second time to filter empty ones out
+    rows = (
         prepare(pages, block_pages)
         .filter(F.col("n_pages") >= min_pages)
-        .select("doc_id", "n_pages", F.explode(_edge_candidates(F.col("text"), top_k, bottom_k)).alias("e"))
+        .select("doc_id", "n_pages", F.explode_outer(edges).alias("e"))
+        .filter(F.col("e").isNotNull())
     )
-    counts = edges.groupBy("doc_id", "n_pages", F.col("e.line").alias("line")).agg(
+    counts = rows.groupBy("doc_id", "n_pages", F.col("e.line").alias("line")).agg(
         F.sum("e.top").alias("top_count"), F.sum(1 - F.col("e.top")).alias("bottom_count")
     )
     return counts.filter(F.greatest("top_count", "bottom_count") / F.col("n_pages") >= share)
 
 
-def strip_headers_footers(
+def boilerplate_lines(
     pages: DataFrame,
-    top_k: int = 2,
-    bottom_k: int = 2,
-    share: float = 0.45,
+    min_len: int = 6,
+    share: float = 0.5,
     min_pages: int = 3,
     block_pages: int = BLOCK_PAGES,
-    partitioned: bool = False,
 ) -> DataFrame:
-    """Drop blank lines and every line equal to a repeated edge line.
+    """Lines on a large share of the pages of their document, counted once per page."""
+    keys = F.array_distinct(repeats.long_lines(lines(F.col("text")), min_len))
+    rows = (
+        prepare(pages, block_pages)
+        .filter(F.col("n_pages") >= min_pages)
+        .select("doc_id", "n_pages", "page_no", F.explode_outer(keys).alias("line"))
+        .filter(F.col("line").isNotNull())
+    )
+    counts = rows.groupBy("doc_id", "n_pages", "line").agg(
+        F.count(F.lit(1)).alias("page_count"), F.min("page_no").alias("first_page")
+    )
+    return counts.filter(F.col("page_count") / F.col("n_pages") >= share)
+
+
+def _per_document(found: DataFrame, name: str) -> DataFrame:
+    """Lines found as one array per document.
 
-    A document has at most (top_k + bottom_k) / share such lines, so they fit
-    in one small array per document; pages are never taken apart into rows.
-    The pages come out partitioned by (doc_id, block); ``partitioned`` says
-    that they are so already, as a bucketed page table is.
+    Bounded: at most (top_k + bottom_k) / share edge lines, and boilerplate of
+    no more text than 1 / share pages.
     """
-    ready = prepare(pages, block_pages)
-    found = repeated_edges(ready, top_k, bottom_k, share, min_pages, block_pages)
-    per_doc = found.groupBy("doc_id", "n_pages").agg(F.collect_list("line").alias("_edges"))
-    if not partitioned:
-        ready = ready.repartition("doc_id", "block")
-    marked = attach(ready, per_doc, "left", block_pages)
-    edges = F.coalesce("_edges", empty_strings())
+    return found.groupBy("doc_id", "n_pages").agg(F.collect_list("line").alias(name))
 
-    def kept(l: Column) -> Column:
-        return let(py_strip(l), lambda s: (s != "") & ~F.array_contains(edges, s))
 
-    body = F.array_join(F.filter(lines(F.col("text")), kept), "\n")
-    return marked.withColumn("text", F.when(F.col("n_pages") >= min_pages, body).otherwise(F.col("text"))).drop("_edges")
+def _lines_of_pages() -> Column:
+    return F.transform("pages", lambda p: F.struct(p["page_no"].alias("page_no"), lines(p["text"]).alias("ls")))
 
 
-def _line_keys(text: Column, min_len: int) -> Column:
-    return F.transform(F.filter(lines(text), lambda l: F.length(py_strip(l)) >= min_len), squeeze)
+def _drop_edges(pages: Column, cfg: EngineConfig) -> Column:
+    """Pages of lines without edge lines; ``_edges`` holds those of long documents."""
+    n = F.col("n_pages")
+    here = repeats.repeated_edges(pages["ls"], n, cfg.edge_top, cfg.edge_bottom, cfg.edge_share)
+    edges = F.when(n > cfg.block_pages, F.coalesce("_edges", empty_strings())).otherwise(here)
+    return let(
+        edges,
+        lambda e: F.transform(
+            pages,
+            lambda p: F.struct(p["page_no"].alias("page_no"), repeats.without_edges(p["ls"], e).alias("ls")),
+        ),
+    )
 
 
-def boilerplate_lines(
-    pages: DataFrame,
-    min_len: int = 6,
-    share: float = 0.5,
-    min_pages: int = 3,
-    block_pages: int = BLOCK_PAGES,
-) -> DataFrame:
-    """Lines on a large share of the pages of their document.
+def _drop_boiler(pages: Column, cfg: EngineConfig) -> Column:
+    """Pages of long lines without boilerplate; ``_boiler`` is that of long documents."""
 
-    Counted per block first. Where pages already lie by (doc_id, block) that
-    count is local, and a document of one block is decided right there: only
-    lines of longer documents, and lines found, are shuffled again.
+    def kept(keyed: Column) -> Column:
+        n = F.col("n_pages")
+        here = repeats.repeated_lines(keyed["ls"], n, cfg.boiler_share)
+        boiler = F.when(n > cfg.block_pages, F.coalesce("_boiler", empty_strings())).otherwise(here)
+        return let(
+            boiler,
+            lambda b: F.transform(
+                keyed, lambda p: F.struct(p["page_no"].alias("page_no"), repeats.without(p["ls"], b).alias("ls"))
+            ),
+        )
+
+    keys = F.transform(
+        pages,
+        lambda p: F.struct(p["page_no"].alias("page_no"), repeats.long_lines(p["ls"], cfg.boiler_min_len).alias("ls")),
+    )
+    return let(keys, kept)
+
+
+def _joined(pages: Column) -> Column:
+    return F.transform(
+        pages, lambda p: F.struct(p["page_no"].alias("page_no"), F.array_join(p["ls"], "\n").alias("text"))
+    )
+
+
+def _where_enough_pages(changed: Column, cfg: EngineConfig) -> Column:
+    return F.when(F.col("n_pages") >= cfg.min_pages, changed).otherwise(F.col("pages"))
+
+
+def _with_edges(parts: DataFrame, long_pages: DataFrame, cfg: EngineConfig) -> DataFrame:
+    found = repeated_edges(long_pages, cfg.edge_top, cfg.edge_bottom, cfg.edge_share, cfg.min_pages, cfg.block_pages)
+    return attach(parts, _per_document(found, "_edges"), "left", cfg.block_pages)
+
+
+def strip_parts(parts: DataFrame, long_pages: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFrame:
+    """Header and footer removal on parts."""
+    bare = let(_lines_of_pages(), lambda pages: _joined(_drop_edges(pages, cfg)))
+    return _with_edges(parts, long_pages, cfg).withColumn("pages", _where_enough_pages(bare, cfg)).drop("_edges")
+
+
+def clean_parts(parts: DataFrame, long_pages: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFrame:
+    """The whole chain on parts: headers and footers, boilerplate, paragraphs,
+    list marks, page labels.
+
+    Pages become ``struct<page_no, slice, text>``: ``slice`` is the page before
+    label removal, ``text`` after it. ``long_pages`` are the pages of documents
+    with more than one part; only they are counted over parts.
     """
-    ready = prepare(pages, block_pages).filter(F.col("n_pages") >= min_pages)
-    keys = ready.select(
-        "doc_id", "block", "n_pages", "page_no",
-        F.explode(F.array_distinct(_line_keys(F.col("text"), min_len))).alias("line"),
+    bare_long = inline_pages(strip_parts(gather(long_pages, cfg.block_pages), long_pages, cfg))
+    boiler = _per_document(
+        boilerplate_lines(bare_long, cfg.boiler_min_len, cfg.boiler_share, cfg.min_pages, cfg.block_pages), "_boiler"
     )
-    in_block = keys.groupBy("doc_id", "block", "n_pages", "line").agg(
-        F.count(F.lit(1)).alias("_pages"), F.min("page_no").alias("_first")
+    marked = attach(_with_edges(parts, long_pages, cfg), boiler, "left", cfg.block_pages)
+    body = let(
+        _lines_of_pages(), lambda pages: _joined(let(_drop_edges(pages, cfg), lambda p: _drop_boiler(p, cfg)))
     )
-    one_block = F.col("n_pages") <= block_pages
-    likely = in_block.filter(~one_block | (F.col("_pages") / F.col("n_pages") >= share))
-    counts = likely.groupBy("doc_id", "n_pages", "line").agg(
-        F.sum("_pages").alias("page_count"), F.min("_first").alias("first_page")
+
+    def finished(p: Column) -> Column:
+        return let(
+            normalize_marks(weld(p["text"], cfg.max_join_len)),
+            lambda s: F.struct(
+                p["page_no"].alias("page_no"), s.alias("slice"), remove_page_labels(s, cfg.bare_numbers).alias("text")
+            ),
+        )
+
+    return marked.select(
+        *[c for c in parts.columns if c != "pages"], F.transform(_where_enough_pages(body, cfg), finished).alias("pages")
     )
-    return counts.filter(F.col("page_count") / F.col("n_pages") >= share)
+
+
+def inline_pages(parts: DataFrame) -> DataFrame:
+    """Parts back to page rows. A part is never empty, so the outer form gives
+    the same rows, and the optimizer does not evaluate the array a second time
+    to filter empty ones out."""
+    return parts.select("doc_id", "block", "n_pages", F.inline_outer("pages"))
+
+
+def strip_headers_footers(
+    pages: DataFrame,
+    top_k: int = 2,
+    bottom_k: int = 2,
+    share: float = 0.45,
+    min_pages: int = 3,
+    block_pages: int = BLOCK_PAGES,
+) -> DataFrame:
+    """Drop blank lines and every line equal to a repeated edge line."""
+    cfg = EngineConfig(
+        edge_top=top_k, edge_bottom=bottom_k, edge_share=share, min_pages=min_pages, block_pages=block_pages
+    )
+    return inline_pages(strip_parts(gather(pages, block_pages), only_long(pages, block_pages), cfg))
 
 
 def drop_boilerplate(
@@ -118,28 +205,15 @@ def drop_boilerplate(
     share: float = 0.5,
     min_pages: int = 3,
     block_pages: int = BLOCK_PAGES,
-    partitioned: bool = False,
 ) -> DataFrame:
-    """Keep normalised lines that are long enough and not boilerplate.
+    """Keep normalised lines that are long enough and not boilerplate."""
+    cfg = EngineConfig(boiler_min_len=min_len, boiler_share=share, min_pages=min_pages, block_pages=block_pages)
+    found = boilerplate_lines(only_long(pages, block_pages), min_len, share, min_pages, block_pages)
+    marked = attach(gather(pages, block_pages), _per_document(found, "_boiler"), "left", block_pages)
+    body = let(_lines_of_pages(), lambda pages: _joined(_drop_boiler(pages, cfg)))
+    return inline_pages(marked.withColumn("pages", _where_enough_pages(body, cfg)))
 
-    The lines dropped from one document together are no longer than
-    1 / share pages of it, so they travel as one array per document.
-    ``partitioned`` says that pages already lie by (doc_id, block).
-    """
-    ready = prepare(pages, block_pages)
-    if not partitioned:
-        ready = ready.repartition("doc_id", "block")
-    found = boilerplate_lines(ready, min_len, share, min_pages, block_pages)
-    # first_page >= 0 always holds. It keeps page_no in this branch, so that it
-    # needs the same columns as the branch below and both read one exchange.
-    per_doc = (
-        found.filter(F.col("first_page") >= 0)
-        .groupBy("doc_id", "n_pages")
-        .agg(F.collect_list("line").alias("_boiler"))
-    )
-    marked = attach(ready, per_doc, "left", block_pages)
-    boiler = F.coalesce("_boiler", empty_strings())
-    body = F.array_join(
-        F.filter(_line_keys(F.col("text"), min_len), lambda l: ~F.array_contains(boiler, l)), "\n"
-    )
-    return marked.withColumn("text", F.when(F.col("n_pages") >= min_pages, body).otherwise(F.col("text"))).drop("_boiler")
+
+def clean_pages(pages: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFrame:
+    """The whole chain, page rows to page rows with ``slice`` and ``text``."""
+    return inline_pages(clean_parts(gather(pages, cfg.block_pages), only_long(pages, cfg.block_pages), cfg))

@@ -54,8 +54,10 @@ def fit_language_profiles(df: DataFrame, text: str = "text", lang: str = "lang",
     if len(head) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     k = range(len(head))
+    # outer: the plain explode has the optimizer extract all n-grams twice
     counts = (
-        df.select(F.col(lang).alias("lang"), F.explode(_grams(text, n)).alias("gram"))
+        df.select(F.col(lang).alias("lang"), F.explode_outer(_grams(text, n)).alias("gram"))
+        .filter(F.col("gram").isNotNull())
         .groupBy("lang", "gram")
         .agg(F.count(F.lit(1)).alias("cnt"))
     )

@@ -24,7 +24,11 @@ def paginate(docs: DataFrame, lines_per_page: int, text: str = "text") -> DataFr
     )
     others = [c for c in docs.columns if c != text]
     cut = docs.select(*others, pages.alias("_pages"))
-    return cut.select(*others, F.size("_pages").alias("n_pages"), F.posexplode("_pages").alias("page_no", "text"))
+    # outer, since a plain explode has the optimizer evaluate the array once more
+    # to filter empty ones out; there is always a page here
+    return cut.select(
+        *others, F.size("_pages").alias("n_pages"), F.posexplode_outer("_pages").alias("page_no", "text")
+    )
 
 
 def limit_pages(pages: DataFrame, n: int | None) -> DataFrame:

@@ -33,7 +33,7 @@ def probe(pages: DataFrame, max_pages: int = 12, text_chars: int = fixed.TEXT_PA
             F.count_if(F.col("chars") > text_chars).cast("int").alias("text_pages"),
             F.count(F.lit(1)).alias("_sampled"),
             # at most max_pages entries per document
-            F.array_sort(F.collect_list(info)).alias("pages"),
+            F.sort_array(F.collect_list(info)).alias("pages"),
         )
         .select(
             "doc_id",
@@ -100,6 +100,18 @@ def select_source(
     )
 
 
+def select_source_parts(
+    routes: DataFrame, native_parts: DataFrame, ocr_parts: DataFrame, block_pages: int = BLOCK_PAGES
+) -> DataFrame:
+    """The same choice on parts: texts that are already in place do not move again."""
+
+    def side(parts: DataFrame, wanted: Column) -> DataFrame:
+        docs = routes.filter(wanted).select("doc_id", F.col("num_pages").alias("n_pages"))
+        return attach(parts, docs, "left_semi", block_pages)
+
+    return side(native_parts, ~F.col("use_ocr")).unionByName(side(ocr_parts, F.col("use_ocr")))
+
+
 def with_fallback(primary: DataFrame, fallback: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:
     """All pages of a document from the fallback if any primary page failed.
 

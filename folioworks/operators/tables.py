@@ -16,12 +16,17 @@ def _page_keys(pages: DataFrame) -> list[str]:
     return [c for c in ("doc_id", "page_no", "n_pages") if c in pages.columns]
 
 
+def _unnest(df: DataFrame, keys: list[str], array: Column, at: str, name: str) -> DataFrame:
+    """posexplode that evaluates its array once: the plain form has the
+    optimizer filter empty arrays out first, at the cost of a second evaluation."""
+    return df.select(*keys, F.posexplode_outer(array).alias(at, name)).filter(F.col(at).isNotNull())
+
+
 def md_tables(pages: DataFrame) -> DataFrame:
     """Pipe tables of markdown pages, numbered from 1 in page order."""
-    return pages.select(
-        *_page_keys(pages),
-        F.posexplode(M.pipe_tables(F.coalesce("text", F.lit("")))).alias("_at", "md"),
-    ).select(*_page_keys(pages), F.lit("markdown").alias("engine"), (F.col("_at") + 1).alias("table_idx"), "md")
+    keys = _page_keys(pages)
+    found = _unnest(pages, keys, M.pipe_tables(F.coalesce("text", F.lit(""))), "_at", "md")
+    return found.select(*keys, F.lit("markdown").alias("engine"), (F.col("_at") + 1).alias("table_idx"), "md")
 
 
 def md_grids(tables: DataFrame) -> DataFrame:
@@ -31,7 +36,7 @@ def md_grids(tables: DataFrame) -> DataFrame:
 def html_grids(pages: DataFrame, html: str = "html") -> DataFrame:
     """<table> elements of HTML pages, numbered from 1 in page order."""
     keys = _page_keys(pages)
-    found = pages.select(*keys, F.posexplode(M.html_tables(F.col(html))).alias("_at", "_html"))
+    found = _unnest(pages, keys, M.html_tables(F.col(html)), "_at", "_html")
     return found.select(
         *keys,
         F.lit("docling").alias("engine"),
@@ -45,10 +50,9 @@ def to_cells(tables: DataFrame, grid: str = "grid") -> DataFrame:
     """Long form, one row per cell. Header names are row -1."""
     keys = [c for c in tables.columns if c not in (grid, "md", "n_pages", "original_header")]
     rows = F.concat(F.array(F.col(grid)["header"]), F.col(grid)["rows"])
-    by_row = tables.select(*keys, F.posexplode(rows).alias("_row", "_values"))
-    return by_row.select(
-        *keys, (F.col("_row") - 1).alias("row_idx"), F.posexplode("_values").alias("col_idx", "value")
-    )
+    by_row = _unnest(tables, keys, rows, "_row", "_values")
+    cells = _unnest(by_row, [*keys, "_row"], F.col("_values"), "col_idx", "value")
+    return cells.select(*keys, (F.col("_row") - 1).alias("row_idx"), "col_idx", "value")
 
 
 def clean_tables(tables: DataFrame, min_rows: int = 2, min_cols: int = 2) -> DataFrame:
@@ -171,7 +175,7 @@ def table_meta(
     )
     blocked = named if "block" in named.columns else with_block(named, block_pages)
     items = blocked.groupBy("doc_id", "block").agg(
-        F.array_sort(F.collect_list(F.struct(*_item_order(named), item.alias("item")))).alias("_items")
+        F.sort_array(F.collect_list(F.struct(*_item_order(named), item.alias("item")))).alias("_items")
     )
     docs = spread(chosen.join(best, "doc_id", "left"), block_pages)
     return docs.join(items, ["doc_id", "block"], "left").select(

@@ -12,7 +12,8 @@ from folioworks.functions import grid as G
 from folioworks.functions import text as X
 from folioworks.operators import assembly, cleaning, identity, language, paging, routing, tables
 from folioworks.plans import inputs
-from folioworks.plans.ingest import clean_pages, ingest, routes_of
+from folioworks.operators.cleaning import clean_pages
+from folioworks.plans.ingest import ingest, routes_of
 from folioworks.sources import files, sinks
 from folioworks.streaming import stream
 
@@ -147,7 +148,9 @@ def error_split(spark, sf_dir):
 @query
 def line_split(spark, sf_dir):
     docs = inputs.documents(spark, sf_dir, "text")
-    return docs.select("doc_id", F.posexplode(X.lines(F.col("text"))).alias("line_no", "line"))
+    return docs.select("doc_id", F.posexplode_outer(X.lines(F.col("text"))).alias("line_no", "line")).filter(
+        F.col("line_no").isNotNull()
+    )
 
 
 @query

@@ -1,4 +1,4 @@
-"""The page cleaning chain and the end-to-end run."""
+"""The end-to-end run."""
 
 from __future__ import annotations
 
@@ -6,30 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioworks.config import EngineConfig
-from folioworks.functions.text import normalize_marks, remove_page_labels, weld
-from folioworks.operators import assembly, cleaning, routing, tables as T
-from folioworks.operators.blocks import prepare
+from folioworks.operators import assembly, routing
+from folioworks.operators import tables as T
+from folioworks.operators.blocks import gather, only_long, prepare
+from folioworks.operators.cleaning import clean_parts
 from folioworks.operators.language import LanguageProfiles, tag_language
 from folioworks.session import materialize
 
 
-def clean_pages(pages: DataFrame, cfg: EngineConfig = EngineConfig(), partitioned: bool = False) -> DataFrame:
-    """Headers and footers, boilerplate, paragraphs, list marks, page labels.
-
-    ``slice`` is the page before label removal, ``text`` after it. Page texts
-    cross one exchange; every later step reuses its (doc_id, block) layout.
-    """
-    bare = cleaning.strip_headers_footers(
-        pages, cfg.edge_top, cfg.edge_bottom, cfg.edge_share, cfg.min_pages, cfg.block_pages, partitioned
-    )
-    body = cleaning.drop_boilerplate(
-        bare, cfg.boiler_min_len, cfg.boiler_share, cfg.min_pages, cfg.block_pages, partitioned=True
-    )
-    return body.withColumn("slice", normalize_marks(weld(F.col("text"), cfg.max_join_len))).withColumn(
-        "text", remove_page_labels(F.col("slice"), cfg.bare_numbers)
-    )
-
-
 def routes_of(pages: DataFrame, cfg: EngineConfig = EngineConfig(), has_ocr: bool = True) -> DataFrame:
     """One row per document: probe figures, router choice and final route."""
     probed = routing.probe(pages, cfg.max_pages_probe)
@@ -70,13 +54,14 @@ def ingest(
     tables of layout engines, ``profiles`` a fitted language model.
     """
     routes = routes_of(pages, cfg, ocr_pages is not None)
-    if ocr_pages is None:
-        source = prepare(pages, cfg.block_pages).select(
-            "doc_id", "page_no", "n_pages", "block", F.coalesce("text", F.lit("")).alias("text")
-        )
-    else:
-        source = routing.select_source(routes, pages, ocr_pages, cfg.block_pages).drop("routed")
-    parts = assembly.concat_pages(clean_pages(source, cfg), cfg.page_sep, cfg.block_pages)
+    b = cfg.block_pages
+    native = prepare(pages, b)
+    parts, long_pages = gather(native, b), only_long(native, b)
+    if ocr_pages is not None:
+        scanned = prepare(ocr_pages, b)
+        parts = routing.select_source_parts(routes, parts, gather(scanned, b), b)
+        long_pages = routing.select_source(routes, long_pages, only_long(scanned, b), b)
+    parts = assembly.concat_parts(clean_parts(parts, long_pages, cfg), cfg.page_sep, b)
     languages = None
     if profiles is not None and cfg.language == "auto":
         # read twice from here on: for the tags and for the bundle

@@ -110,7 +110,7 @@ def _by_page(parts: DataFrame, row: Column) -> DataFrame:
     """Rows of each page in key order; a page has at most 250."""
     return (
         parts.groupBy("doc_id", "page_no")
-        .agg(F.array_sort(F.collect_list(F.struct("p_partkey", row.alias("row")))).alias("_rows"))
+        .agg(F.sort_array(F.collect_list(F.struct("p_partkey", row.alias("row")))).alias("_rows"))
         .select("doc_id", "page_no", F.col("_rows.row").alias("rows"))
     )
 

@@ -12,6 +12,8 @@ SETTINGS = {
     # AQE may swap a sort-merge join for a hash join once every build
     # partition is known to be below this size.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Building large column expressions is slow with call-site capture on.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

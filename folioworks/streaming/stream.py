@@ -56,7 +56,7 @@ def assemble_pages(pages: DataFrame, gap: str = "10 minutes", delay: str = "1 ho
     return (
         pages.withWatermark("arrived", delay)
         .groupBy("doc_id", block.alias("part_no"), F.session_window("arrived", gap).alias("_window"))
-        .agg(F.array_sort(F.collect_list(F.struct("page_no", "text"))).alias("_pages"))
+        .agg(F.sort_array(F.collect_list(F.struct("page_no", "text"))).alias("_pages"))
         .select(
             "doc_id",
             "part_no",
