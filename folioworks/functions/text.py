@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from folioworks import fixed_values as fixed
 
 WS = r"[\p{IsWhite_Space}\x1c-\x1f]"
+_ODD_BREAK = r"[\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 _CONTINUES = r"[\p{IsLowercase}" + fixed.CONTINUATION_SIGNS + "]"
 _SENTENCE_END = "[" + fixed.SENTENCE_END + r"]\z"
 
@@ -42,19 +43,23 @@ def py_rstrip(c: Column) -> Column:
 
 def squeeze(c: Column) -> Column:
     """Whitespace runs become one space; ends are stripped."""
-    return F.regexp_replace(py_strip(c), WS + "+", " ")
+    # single spaces, which are most of the runs, are left where they are
+    return F.regexp_replace(py_strip(c), rf"[\p{{IsWhite_Space}}\x1c-\x1f&&[^ ]]{WS}*+| {WS}++", " ")
 
 
 def unify_breaks(c: Column) -> Column:
-    """All line breaks as one newline, without a break at the end."""
-    ended = F.regexp_replace(c, f"(?:{fixed.LINE_BREAK})\\z", "")
-    return F.regexp_replace(ended, fixed.LINE_BREAK, "\n")
+    """All line breaks as one newline, without a break at the end.
+
+    Most texts hold no break but newlines; one scan tells, and spares them the
+    slower replacement.
+    """
+    plain = F.when(c.rlike(_ODD_BREAK), F.regexp_replace(c, fixed.LINE_BREAK, "\n")).otherwise(c)
+    return let(plain, lambda t: F.when(t.endswith("\n"), F.left(t, F.length(t) - 1)).otherwise(t))
 
 
 def lines(c: Column) -> Column:
     """Lines of a text; an empty text has none, a final break opens none."""
-    ended = F.regexp_replace(c, f"(?:{fixed.LINE_BREAK})\\z", "")
-    return F.when(c == "", empty_strings()).otherwise(F.split(ended, fixed.LINE_BREAK, -1))
+    return F.when(c == "", empty_strings()).otherwise(F.split(unify_breaks(c), "\n", -1))
 
 
 def weld(c: Column, max_join_len: int = 120) -> Column:
@@ -110,12 +115,20 @@ def normalize_marks(c: Column) -> Column:
     return normalize_unchecked(normalize_checked(normalize_bullets(c)))
 
 
+# How a line opens that one of the page labels could match.
+_LABEL_HEAD = r"(?imdu)^(?:p[aáà]g|sayfa|seite|第|\s*\d)"
+
+
 def strip_page_labels(c: Column, bare_numbers: bool = True) -> Column:
-    """Take page labels out. The last rule also takes lines of one bare number."""
+    """Take page labels out. The last rule also takes lines of one bare number.
+
+    Pages without any line that opens like a label are passed on after one scan.
+    """
     patterns = fixed.PAGE_LABELS if bare_numbers else fixed.PAGE_LABELS[:-1]
+    out = c
     for pattern in patterns:
-        c = F.regexp_replace(c, "(?imdu)" + _java(pattern), "")
-    return c
+        out = F.regexp_replace(out, "(?imdu)" + _java(pattern), "")
+    return F.when(c.rlike(_java(_LABEL_HEAD)), out).otherwise(c)
 
 
 def collapse_blank(c: Column) -> Column:
