@@ -475,8 +475,7 @@ def stream_pages(spark, sf_dir):
         "text",
         F.timestamp_seconds(F.col("turn")).alias("arrived"),
     )
-    whole = stream.assemble_pages(stream.with_end_marker(pages))
-    return stream.drain_new(whole).select(
+    return stream.drain_sessions(pages, stream.assemble_pages).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "part_no", "n_pages",
         F.array_join("page_texts", "\n").alias("text"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,14 +106,20 @@ def drain_new(stream: DataFrame) -> DataFrame:
 END_OF_STREAM = "9999-01-01 00:00:00"
 
 
-def with_end_marker(pages: DataFrame) -> DataFrame:
-    """Add one far-future row, so that a drain closes all open sessions.
+def drain_sessions(pages: DataFrame, assemble: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Drain ``assemble(pages)`` and close the sessions still open at the end.
 
-    The marker's own session stays open and is never put out.
+    Once all pages are in, one row of the far future arrives on a second input
+    and moves the watermark past every session; its own session stays open and
+    is never put out.
     """
     spark = pages.sparkSession
-    folder = f"{shared_dir(spark)}/marker-{uuid.uuid4().hex}"
+    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in pages.schema.fields if f.name != "arrived"]
     marker = spark.range(1).select(*empty, F.lit(END_OF_STREAM).cast("timestamp").alias("arrived"))
-    marker.select(*pages.columns).write.parquet(folder)
-    return pages.unionByName(spark.readStream.schema(pages.schema).parquet(folder))
+    marker.limit(0).write.parquet(f"{base}/marker")
+    ends = spark.readStream.schema(pages.schema).parquet(f"{base}/marker")
+    sessions = assemble(pages.unionByName(ends))
+    drain(sessions, f"{base}/out", f"{base}/state")
+    marker.write.mode("append").parquet(f"{base}/marker")
+    return drain(sessions, f"{base}/out", f"{base}/state")
