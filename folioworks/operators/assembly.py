@@ -35,10 +35,8 @@ def page_offsets(pages: DataFrame, sep: str = "", block_pages: int = BLOCK_PAGES
     Running sums stay within a part; the sizes of earlier parts are summed over
     one row per part. Only lengths are shuffled, not texts.
     """
-    sized = pages.withColumn("text", F.length(F.coalesce("text", F.lit(""))).cast("string"))
-    parts = gather(sized, block_pages).withColumn(
-        "_sizes", F.transform("pages", lambda p: p["text"].cast("bigint") + len(sep))
-    )
+    sized = pages.withColumn("size", F.length(F.coalesce("text", F.lit(""))) + len(sep)).drop("text")
+    parts = gather(sized, block_pages, "size").withColumn("_sizes", F.col("pages.size"))
     chars = F.aggregate("_sizes", F.lit(0).cast("bigint"), lambda a, b: a + b)
     starts = _earlier_parts(parts.filter(F.col("n_pages") > block_pages), chars)
     placed = parts.withColumn("_offsets", _offsets(F.col("_sizes"))).join(starts, ["doc_id", "block"], "left")
@@ -167,8 +165,11 @@ def bundle(
     )
 
 
-def summary(bundles: DataFrame, out: str = "") -> DataFrame:
-    """One row per document; the first part speaks for a long one."""
+def summary(bundles: DataFrame, out: str = "", *more: Column) -> DataFrame:
+    """One row per document; the first part speaks for a long one.
+
+    ``more`` are further columns to take from the bundles.
+    """
     base = f"{out.rstrip('/')}/" if out else ""
     return bundles.filter(F.col("part_no") == 0).select(
         "doc_id",
@@ -176,6 +177,7 @@ def summary(bundles: DataFrame, out: str = "") -> DataFrame:
         "routed",
         "language",
         F.col("meta.token_count").alias("token_count"),
+        *more,
     )
 
 

@@ -48,13 +48,15 @@ def prepare(pages: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:
     return with_block(with_page_counts(pages, block_pages), block_pages)
 
 
-def gather(pages: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:
+def gather(pages: DataFrame, block_pages: int = BLOCK_PAGES, value: str = "text") -> DataFrame:
     """Parts: ``doc_id, block, n_pages, pages array<struct<page_no, text>>``.
 
     The one exchange page texts go through. A page table bucketed by
     (doc_id, block) does without it. A part has at most ``block_pages`` pages.
+    Another column than the text may be gathered as ``value``.
     """
-    page = F.struct("page_no", F.coalesce("text", F.lit("")).alias("text"))
+    filled = F.coalesce("text", F.lit("")) if value == "text" else F.col(value)
+    page = F.struct("page_no", filled.alias(value))
     return (
         prepare(pages, block_pages)
         .groupBy("doc_id", "block")

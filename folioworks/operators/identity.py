@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def content_id(content: Column | str) -> Column:
-    """First 16 hex digits of the SHA-256 of the content."""
-    return F.substring(F.sha2(F.col(content) if isinstance(content, str) else content, 256), 1, 16)
+    """First 16 hex digits of the SHA-256 of the content; null is as empty."""
+    data = (F.col(content) if isinstance(content, str) else content).cast("binary")
+    return F.substring(F.sha2(F.coalesce(data, F.lit("").cast("binary")), 256), 1, 16)
 
 
 def with_doc_id(df: DataFrame, content: str, name: str = "doc_id") -> DataFrame:

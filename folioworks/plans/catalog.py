@@ -14,6 +14,7 @@ from folioworks.operators import assembly, cleaning, identity, language, paging,
 from folioworks.plans import inputs
 from folioworks.operators.cleaning import clean_pages
 from folioworks.plans.ingest import ingest, routes_of
+from folioworks.session import materialize
 from folioworks.sources import files, sinks
 from folioworks.streaming import stream
 
@@ -433,13 +434,13 @@ def ingest_documents(spark, sf_dir):
     docs = identity.dedup_exact(
         raw.withColumnRenamed("doc_id", "number").withColumn("doc_id", identity.content_id("text")), "number"
     )
-    pages = inputs.decorate(paging.paginate(docs, inputs.LINES_PER_PAGE))
+    # the page table is read by several branches, by column: write it once
+    pages = materialize(inputs.decorate(paging.paginate(docs, inputs.LINES_PER_PAGE)).drop("source", "lang"))
     native = pages.select("doc_id", "page_no", "n_pages", inputs.scanned(F.col("number"), F.col("text")).alias("text"))
     ocr = pages.select("doc_id", "page_no", "n_pages", "text")
     bundles = ingest(native, EngineConfig(tables="off"), ocr_pages=ocr, profiles=profiles)
-    return assembly.summary(bundles, "out").join(
-        bundles.select("doc_id", F.col("meta.probe.num_pages").alias("num_pages"), F.sha2("text", 256).alias("text_hash")),
-        "doc_id",
+    return assembly.summary(
+        bundles, "out", F.col("meta.probe.num_pages").alias("num_pages"), F.sha2("text", 256).alias("text_hash")
     )
 
 

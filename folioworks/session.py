@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,20 +35,23 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local master gets a temporary folder when the setting is missing.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    if not folder:
-        folder = context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="folioworks-")
-    if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and cut its lineage there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as a parquet table in the shared folder and read it back.
+
+    Cuts the lineage there. Unlike a checkpoint, the table can be read by
+    column and Spark knows its size.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
