@@ -13,6 +13,9 @@ WHITESPACE = (
 # Line breaks Python's str.splitlines() accepts, as a Java regex.
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
+# The line breaks other than the newline.
+ODD_BREAKS = ["\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029"]
+
 # Page labels, applied in this order; case-insensitive, multi-line.
 PAGE_LABELS = [
     r"^page\s+\d+(\s*/\s*\d+| of \d+)?$",

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folioworks.functions.text import let, lines, py_strip, squeeze
+from folioworks.functions.text import let, lines, squeeze_line, strip_line
 
 
 def enough(n: Column, share: float) -> Column:
@@ -41,7 +41,7 @@ def bottom_lines(stripped: Column, k: int) -> Column:
 
 
 def stripped_lines(text: Column) -> Column:
-    return F.transform(lines(text), py_strip)
+    return F.transform(lines(text), strip_line)
 
 
 def repeated_edges(pages: Column, n: Column, top_k: int, bottom_k: int, share: float) -> Column:
@@ -52,19 +52,19 @@ def repeated_edges(pages: Column, n: Column, top_k: int, bottom_k: int, share: f
         bottoms = F.flatten(F.transform(stripped, lambda ls: bottom_lines(ls, bottom_k)))
         return F.array_union(frequent(tops, n, share), frequent(bottoms, n, share))
 
-    return let(F.transform(pages, lambda ls: F.transform(ls, py_strip)), found)
+    return let(F.transform(pages, lambda ls: F.transform(ls, strip_line)), found)
 
 
 def without_edges(ls: Column, edges: Column) -> Column:
     """Lines that are neither blank nor one of the edge lines."""
     return F.filter(
-        ls, lambda l: let(py_strip(l), lambda s: (s != "") & ~F.array_contains(edges, s))
+        ls, lambda l: let(strip_line(l), lambda s: (s != "") & ~F.array_contains(edges, s))
     )
 
 
 def long_lines(ls: Column, min_len: int) -> Column:
     """Lines of enough characters, with their whitespace normalised."""
-    return F.transform(F.filter(ls, lambda l: F.length(py_strip(l)) >= min_len), squeeze)
+    return F.transform(F.filter(ls, lambda l: F.length(strip_line(l)) >= min_len), squeeze_line)
 
 
 def repeated_lines(pages: Column, n: Column, share: float) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,8 +12,8 @@ from pyspark.sql import functions as F
 from folioworks import fixed_values as fixed
 
 WS = r"[\p{IsWhite_Space}\x1c-\x1f]"
-_ODD_BREAK = r"[\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 _CONTINUES = r"[\p{IsLowercase}" + fixed.CONTINUATION_SIGNS + "]"
+_MARK = "\x1e"
 _SENTENCE_END = "[" + fixed.SENTENCE_END + r"]\z"
 
 
@@ -41,19 +43,38 @@ def py_rstrip(c: Column) -> Column:
     return F.rtrim(c, F.lit(fixed.WHITESPACE))
 
 
+def _has_any(c: Column, signs) -> Column:
+    """Substring searches: far cheaper than a regex over the text."""
+    return reduce(or_, [F.contains(c, F.lit(ch)) for ch in signs])
+
+
+def strip_line(l: Column) -> Column:
+    """py_strip for lambda variables: a line with visible ASCII at both ends
+    is passed on after two comparisons."""
+    last = F.right(l, F.lit(1))
+    tight = l.between("!", "~") & last.between("!", "~")
+    return F.when(tight, l).otherwise(py_strip(l))
+
+
 def squeeze(c: Column) -> Column:
     """Whitespace runs become one space; ends are stripped."""
     # single spaces, which are most of the runs, are left where they are
     return F.regexp_replace(py_strip(c), rf"[\p{{IsWhite_Space}}\x1c-\x1f&&[^ ]]{WS}*+| {WS}++", " ")
 
 
+def squeeze_line(l: Column) -> Column:
+    """squeeze for lambda variables: the regex only sees lines that need it."""
+    rare = F.contains(l, F.lit("  ")) | _has_any(l, [ch for ch in fixed.WHITESPACE if ch < "\x7f" and ch != " "])
+    wide = (F.octet_length(l) != F.length(l)) & _has_any(l, [ch for ch in fixed.WHITESPACE if ch > "\x7f"])
+    return F.when(rare | wide, squeeze(l)).otherwise(strip_line(l))
+
+
 def unify_breaks(c: Column) -> Column:
     """All line breaks as one newline, without a break at the end.
 
-    Most texts hold no break but newlines; one scan tells, and spares them the
-    slower replacement.
+    Most texts hold no break but newlines and are spared the replacement.
     """
-    plain = F.when(c.rlike(_ODD_BREAK), F.regexp_replace(c, fixed.LINE_BREAK, "\n")).otherwise(c)
+    plain = F.when(_has_any(c, fixed.ODD_BREAKS), F.regexp_replace(c, fixed.LINE_BREAK, "\n")).otherwise(c)
     return let(plain, lambda t: F.when(t.endswith("\n"), F.left(t, F.length(t) - 1)).otherwise(t))
 
 
@@ -91,7 +112,9 @@ def weld(c: Column, max_join_len: int = 120) -> Column:
             F.split(run, "\n", -1), start, step, lambda acc: F.concat(acc["done"], acc["cur"])
         )
 
-    runs = F.split(unify_breaks(c), rf"\n(?!{_CONTINUES})", -1)
+    # unified text has no record separators, so they can mark where runs end
+    marked = F.regexp_replace(unify_breaks(c), rf"\n(?!{_CONTINUES})", _MARK)
+    runs = F.split(marked, _MARK, -1)
     return F.array_join(
         F.transform(runs, lambda run: F.when(F.contains(run, F.lit("\n")), fold(run)).otherwise(run)),
         "\n",
@@ -112,23 +135,39 @@ def normalize_unchecked(c: Column) -> Column:
 
 
 def normalize_marks(c: Column) -> Column:
-    return normalize_unchecked(normalize_checked(normalize_bullets(c)))
+    boxes = let(
+        normalize_bullets(c),
+        lambda t: F.when(F.contains(t, F.lit("[")), normalize_unchecked(normalize_checked(t))).otherwise(t),
+    )
+    return boxes
 
 
-# How a line opens that one of the page labels could match.
-_LABEL_HEAD = r"(?imdu)^(?:p[aáà]g|sayfa|seite|第|\s*\d)"
+# Lines made of nothing but what labels are made of. A label covers whole
+# lines, and only such lines, so it always lies within one run of them.
+_LABEL_RUN = r"(?md)^[\s\d/第頁pageáàinsyftdoPAGEÁÀINSYFTDOſıİ]+$"
+
+
+def _without_labels(c: Column, patterns: list[str]) -> Column:
+    for pattern in patterns:
+        c = F.regexp_replace(c, "(?imdu)" + _java(pattern), "")
+    return c
 
 
 def strip_page_labels(c: Column, bare_numbers: bool = True) -> Column:
     """Take page labels out. The last rule also takes lines of one bare number.
 
-    Pages without any line that opens like a label are passed on after one scan.
+    One scan sets the runs of lines apart that labels can lie in; the labels'
+    own expressions see these runs alone, not the whole page.
     """
     patterns = fixed.PAGE_LABELS if bare_numbers else fixed.PAGE_LABELS[:-1]
-    out = c
-    for pattern in patterns:
-        out = F.regexp_replace(out, "(?imdu)" + _java(pattern), "")
-    return F.when(c.rlike(_java(_LABEL_HEAD)), out).otherwise(c)
+
+    def in_runs(t: Column) -> Column:
+        pieces = F.split(F.regexp_replace(t, _java(_LABEL_RUN), f"{_MARK}$0{_MARK}"), _MARK, -1)
+        return F.array_join(
+            F.transform(pieces, lambda p, i: F.when(i % 2 == 1, _without_labels(p, patterns)).otherwise(p)), ""
+        )
+
+    return let(c, lambda t: F.when(F.contains(t, F.lit(_MARK)), _without_labels(t, patterns)).otherwise(in_runs(t)))
 
 
 def collapse_blank(c: Column) -> Column:
@@ -136,7 +175,10 @@ def collapse_blank(c: Column) -> Column:
 
 
 def remove_page_labels(c: Column, bare_numbers: bool = True) -> Column:
-    return collapse_blank(strip_page_labels(c, bare_numbers))
+    return let(
+        strip_page_labels(c, bare_numbers),
+        lambda t: F.when(F.contains(t, F.lit("\n\n\n")), collapse_blank(t)).otherwise(t),
+    )
 
 
 def token_count(c: Column) -> Column:

@@ -8,7 +8,7 @@ from folioworks.functions import text as X
 PIECES = [
     "page 3", "Page 3 of 9", "12", "3 / 4", "第 5 頁", "Seite 2/3", "PÁGINA 4 de 5", "SAYFA 1", "٣", "", "Bar.",
     "- x", "•", "• y", "[x] done", "[ ]", "[ ] ", "---", "-5", "word-", "-", "cont", ",c", "  lead", "trail  ",
-    "—dash", "😀", "é", "ª", "Word one", "lower words that go on for a while", "pàge 7", " 8", "\tx", "a\xa0b",
+    "—dash", "😀", "é", "ª", "Word one", "lower words that go on for a while", "pàge 7", "ſayfa 3", "pagİna 4", "pagına 5", "ſeite 6", "page", "3 of 4", "/", "\x1e", "sand", "第", "頁", " 8", "\tx", "a\xa0b",
 ]
 BREAKS = ["\n", "\n", "\n", "\n", "\r\n", "\x0c", "\x1d", "\x85", " ", "\r", "\n\n\n"]
 
@@ -45,6 +45,15 @@ def test_squeeze(spark):
     check(spark, X.squeeze, lambda t: " ".join(t.split()), 4)
 
 
+def test_lines_of_lambdas(spark):
+    from folioworks.functions.repeats import long_lines
+
+    def expected(t):
+        return [" ".join(l.split()) for l in t.splitlines() if len(l.strip()) >= 3]
+
+    check(spark, lambda c: long_lines(X.lines(c), 3), expected, 5)
+
+
 def test_weld(spark):
     check(spark, X.weld, plain.weld, 7)
 
