@@ -22,11 +22,46 @@ def _offsets(sizes: Column) -> Column:
     )
 
 
-def _earlier_parts(parts: DataFrame, chars: Column) -> DataFrame:
-    """Where each part of a long document starts, from one narrow row per part."""
-    before = Window.partitionBy("doc_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    narrow = parts.select("doc_id", "block", chars.alias("_chars"))
-    return narrow.select("doc_id", "block", F.coalesce(F.sum("_chars").over(before), F.lit(0)).alias("_start"))
+SPAN_PARTS = 4096
+
+
+def _with_earlier_parts(parts: DataFrame, span: int = SPAN_PARTS) -> DataFrame:
+    """What each part of a long document needs to know of the parts before it.
+
+    From narrow rows ``doc_id, block, _chars, _closes`` (null for an empty
+    part): ``_start``, where the part starts, and ``_before``, the last
+    ``_closes`` ahead of it. Parts fall into spans, so that a window holds at
+    most ``span`` parts, or one row per span.
+    """
+    spanned = parts.withColumn("_span", F.floor(F.col("block") / span))
+
+    def earlier(*keys: str, order: str):
+        return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+    in_doc = earlier("doc_id", order="_span")
+    spans = (
+        spanned.groupBy("doc_id", "_span")
+        .agg(
+            F.sum("_chars").alias("_chars"),
+            F.max_by("_closes", F.when(F.col("_closes").isNotNull(), F.col("block"))).alias("_closes"),
+        )
+        .select(
+            "doc_id",
+            "_span",
+            F.coalesce(F.sum("_chars").over(in_doc), F.lit(0)).alias("_base"),
+            F.last("_closes", ignorenulls=True).over(in_doc).alias("_carried"),
+        )
+    )
+    in_span = earlier("doc_id", "_span", order="block")
+    placed = spanned.withColumns(
+        {
+            "_start": F.coalesce(F.sum("_chars").over(in_span), F.lit(0)),
+            "_before": F.last("_closes", ignorenulls=True).over(in_span),
+        }
+    )
+    return placed.join(spans, ["doc_id", "_span"]).withColumns(
+        {"_start": F.col("_start") + F.col("_base"), "_before": F.coalesce("_before", "_carried")}
+    ).drop("_base", "_carried")
 
 
 def page_offsets(pages: DataFrame, sep: str = "", block_pages: int = BLOCK_PAGES) -> DataFrame:
@@ -38,7 +73,10 @@ def page_offsets(pages: DataFrame, sep: str = "", block_pages: int = BLOCK_PAGES
     sized = pages.withColumn("size", F.length(F.coalesce("text", F.lit(""))) + len(sep)).drop("text")
     parts = gather(sized, block_pages, "size").withColumn("_sizes", F.col("pages.size"))
     chars = F.aggregate("_sizes", F.lit(0).cast("bigint"), lambda a, b: a + b)
-    starts = _earlier_parts(parts.filter(F.col("n_pages") > block_pages), chars)
+    long_parts = parts.filter(F.col("n_pages") > block_pages)
+    starts = _with_earlier_parts(
+        long_parts.select("doc_id", "block", chars.alias("_chars"), F.lit(None).cast("boolean").alias("_closes"))
+    ).select("doc_id", "block", "_start")
     placed = parts.withColumn("_offsets", _offsets(F.col("_sizes"))).join(starts, ["doc_id", "block"], "left")
     rows = placed.select(
         "doc_id", "n_pages", "_start", F.inline_outer(F.arrays_zip(F.col("pages.page_no").alias("page_no"), F.col("_offsets").alias("at")))
@@ -79,7 +117,7 @@ def concat_parts(parts: DataFrame, sep: str = "", block_pages: int = BLOCK_PAGES
     )
 
 
-def _long_document_totals(parts: DataFrame) -> DataFrame:
+def _long_document_totals(parts: DataFrame, span: int = SPAN_PARTS) -> DataFrame:
     """Start of each part and token count of the document, for long ones.
 
     A word run over the seam of two parts is one token, not two. Works on one
@@ -91,16 +129,11 @@ def _long_document_totals(parts: DataFrame) -> DataFrame:
         F.when(filled, F.col("text").rlike(rf"\A{word}")).alias("_opens"),
         F.when(filled, F.col("text").rlike(rf"{word}\z")).alias("_closes"),
     )
-    whole = Window.partitionBy("doc_id")
-    before = whole.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    seam = F.when(F.col("_opens") & F.last("_closes", ignorenulls=True).over(before), 1).otherwise(0)
-    return (
-        narrow.withColumns(
-            {"_start": F.coalesce(F.sum("_chars").over(before), F.lit(0)), "_own": F.col("_tokens") - seam}
-        )
-        .withColumn("_doc_tokens", F.sum("_own").over(whole))
-        .select("doc_id", "block", "_start", "_doc_tokens")
-    )
+    placed = _with_earlier_parts(narrow, span)
+    own = F.col("_tokens") - F.when(F.col("_opens") & F.col("_before"), 1).otherwise(0)
+    totals = placed.groupBy("doc_id").agg(F.sum(own).alias("_doc_tokens"), F.max("_span").alias("_last"))
+    per_span = totals.select("doc_id", "_doc_tokens", F.explode(F.sequence(F.lit(0).cast("bigint"), "_last")).alias("_span"))
+    return placed.join(per_span, ["doc_id", "_span"]).select("doc_id", "block", "_start", "_doc_tokens")
 
 
 def empty_table_meta() -> Column:

@@ -87,7 +87,10 @@ def test_order_of_rows_does_not_matter(spark, partitions):
     assert one(got) == {d: plain.clean(p)[1] for d, p in docs.items()}
 
 
-def test_one_document_holds_most_pages(spark):
+@pytest.mark.parametrize("span", [4096, 3])
+def test_one_document_holds_most_pages(spark, span, monkeypatch):
+    for fn in (assembly._with_earlier_parts, assembly._long_document_totals):
+        monkeypatch.setattr(fn, "__defaults__", (span,))
     docs = random_docs(30, 11)
     rng = random.Random(2)
     docs["hot"] = ["\n".join(["ACME Corp", f"body number {rng.randrange(40)}", "tail-", "end", "footer text"]) for _ in range(700)]

@@ -52,6 +52,32 @@ def test_samples_end_to_end(spark, samples):
     assert scan["meta"]["route_reason"] == "router_ocr"
 
 
+def test_parts_of_long_documents_add_up(spark):
+    from test_cleaning import page_df, random_docs
+
+    docs = random_docs(40, 31, most=11)
+    native = page_df(spark, docs)
+    md = "| Head | Two |\n|---|---|\n| a | b |\n| c | d |\n"
+    ocr = page_df(spark, {d: [f"{md}{t}" if i % 2 else t for i, t in enumerate(p)] for d, p in docs.items()})
+
+    def run(block_pages):
+        cfg = EngineConfig(language="off", block_pages=block_pages)
+        whole = {}
+        for r in ingest(native, cfg, ocr).orderBy("doc_id", "part_no").collect():
+            w = whole.setdefault(r["doc_id"], {"text": "", "slices": [], "offsets": [], "items": [], "facts": set()})
+            w["text"] += r["text"]
+            w["slices"] += r["page_slices"]
+            w["offsets"] += r["page_offsets"]
+            w["items"] += [i["path_md"] for i in r["meta"]["tables"]["items"]]
+            t = r["meta"]["tables"]
+            w["facts"].add((r["routed"], r["meta"]["token_count"], t["engine"], t["count"], t["best_csv"], t["best_score"], r["meta"]["probe"]["num_pages"]))
+        return whole
+
+    once, split = run(256), run(2)
+    assert split == once
+    assert any(w["items"] for w in once.values()) and all(len(w["facts"]) == 1 for w in split.values())
+
+
 def test_engine_flags(spark, samples):
     native, ocr, tables = samples
     rows = {r["doc_id"]: r for r in ingest(native, EngineConfig(language="off", ocr_engine="off", tables="off"), ocr, tables).collect()}
