@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,27 +18,38 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> list[tuple[int, str, int]]:
-    """At most ``rows`` labelled texts as (doc_id, text, label), to the driver.
+def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
+    """At most ``rows`` labelled texts: doc_id, text, label.
 
-    Taken are the ids of lowest hash among the labelled rows that are not held out;
-    each class gets half of the places as far as it fills them. ``rows`` bounds what
-    the driver gets and what is broadcast.
+    Taken are the ids of lowest hash among the labelled rows that are not held out; each
+    class gets half of the places. ``rows`` bounds what is broadcast and what one task fits.
     """
     usable = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     order = F.xxhash64("doc_id")
-    chosen = None
-    for value in (0, 1):
-        part = (
-            usable.filter(F.col(label) == value)
-            .select("doc_id", F.lit(value).alias("_label"), order.alias("_order"))
-            .orderBy("_order", "doc_id")
-            .limit(rows // 2)
-        )
-        chosen = part if chosen is None else chosen.union(part)
+    parts = [
+        usable.filter(F.col(label) == value)
+        .select("doc_id", F.lit(value).alias("label"), order.alias("_order"))
+        .orderBy("_order", "doc_id")
+        .limit(rows // 2)
+        for value in (0, 1)
+    ]
+    chosen = parts[0].union(parts[1]).dropDuplicates(["doc_id"]).select("doc_id", "label")
     texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
-    found = texts.join(F.broadcast(chosen.dropDuplicates(["doc_id"])), "doc_id").orderBy("_order", "doc_id", "text")
-    return [(r.doc_id, r.text, r._label) for r in found.limit(rows).collect()]
+    return texts.join(F.broadcast(chosen), "doc_id").limit(rows)
+
+
+def fit_in_task(found: DataFrame, learn: Callable[[list[str], np.ndarray], object]) -> object:
+    """``learn(texts, labels)`` on a bounded sample, inside one task; only the model reaches the driver.
+
+    The texts come in the order of their ids, so the model doesn't depend on partitions.
+    """
+
+    def run(batches):
+        rows = sorted((r["doc_id"], r["text"], r["label"]) for batch in batches for r in batch.to_pylist())
+        model = learn([text for _, text, _ in rows], np.array([label for _, _, label in rows], dtype=np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    return pickle.loads(found.repartition(1).mapInArrow(run, "model binary").first().model)
 
 
 def without_copies(texts: list[str]) -> np.ndarray:
@@ -43,8 +58,6 @@ def without_copies(texts: list[str]) -> np.ndarray:
     A near copy shares one of four minima over hashes of its three-word runs. A group
     of copies would otherwise count as many independent texts.
     """
-    import pyarrow as pa
-
     seen: set[tuple[int, int]] = set()
     kept = []
     for first, part in slices(pa.array(texts, pa.string())):

@@ -220,6 +220,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     )
 
 
+def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each group of near copies, that of the least doc_id, with all its columns.
+
+    Rows of equal doc_id and text are one document: one of them stays. Rows without
+    ``doc_id`` all stay.
+    """
+    found = near_duplicates(docs, words, percent)
+    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    named = F.col("doc_id").isNotNull()
+    stay = docs.filter(named).join(gone, "doc_id", "left_anti").select(docs.columns)
+    return stay.dropDuplicates(["doc_id"]).union(docs.filter(~named))
+
+
 def op9_near_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = near_duplicates(docs, words=2, percent=80)

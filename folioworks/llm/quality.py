@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioworks.llm.columns import keep_rows, with_results
-from folioworks.llm.labelled import held_out, sample
+from folioworks.llm.labelled import fit_in_task, held_out, sample
 from folioworks.llm.words import Tokens, distinct, mix, ngrams, runs, slices, sorted_keys
 
 #: Labelled texts that reach the driver for the fit, at most.
@@ -195,12 +195,14 @@ def grow(rows: np.ndarray, labels: np.ndarray) -> Trees:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, prior: float = 0.9) -> Trees:
     """Trees for ``labels.quality``, from at most ``rows`` labelled texts that are not held out."""
-    found = sample(docs, labels, "quality", rows)
-    marks = np.array([label for _, _, label in found], dtype=float)
-    if len(set(marks)) < 2:
-        return constant(prior)
-    parts = [statistics(texts) for _, texts in slices(pa.array([text for _, text, _ in found]))]
-    return grow(np.concatenate(parts), marks)
+
+    def learned(texts: list[str], marks: np.ndarray) -> Trees:
+        if len(set(marks.tolist())) < 2:
+            return constant(prior)
+        parts = [statistics(part) for _, part in slices(pa.array(texts))]
+        return grow(np.concatenate(parts), marks.astype(float))
+
+    return fit_in_task(sample(docs, labels, "quality", rows), learned)
 
 
 def scorer(trees: Trees):

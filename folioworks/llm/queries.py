@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from folioworks.llm.byte_bpe import op7_byte_bpe
+from folioworks.llm.decontaminate import op1_decontamination
 from folioworks.llm.near_dedup import op9_near_dedup
 from folioworks.llm.quality import op5_quality
 from folioworks.llm.toxicity import op2_toxicity
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
     "op5_quality": op5_quality,
+    "op7_byte_bpe": op7_byte_bpe,
     "op9_near_dedup": op9_near_dedup,
 }
 

@@ -29,13 +29,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioworks.llm.columns import keep_rows, with_results
-from folioworks.llm.labelled import held_out, sample, without_copies
+from folioworks.llm.labelled import fit_in_task, held_out, sample, without_copies
 from folioworks.llm.words import SPACE, mix, slices
 
 #: Labelled texts that reach the driver for the fit, at most.
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 3000
 DECAY, GAPS = 0.5, 3
 LANDMARKS, ROUNDS, COST = 320, 3, 30.0
+#: Examples of each toxic word with a strange symbol put in.
+BENT = 4
 SYMBOLS = 64
 START = SYMBOLS - 1
 #: The margin of a text without words.
@@ -117,27 +119,32 @@ class Words:
             weights.append(np.full(len(p), weight))
         return np.concatenate(places), np.concatenate(triples), np.concatenate(weights)
 
-    def bent(self, which: np.ndarray, rng: np.random.Generator) -> Words:
-        """The words ``which`` of four symbols or more, each with one strange symbol put in."""
-        which = which[(self.end - self.start)[which] > 4]
-        parts = []
-        for w in which:
-            word = self.stream[self.start[w] : self.end[w]]
-            parts.append(np.insert(word, rng.integers(2, len(word)), rng.integers(1, 37)).astype(np.uint8))
-        made = Words([])
+    def picked(self, which: np.ndarray, more: list[np.ndarray] = ()) -> Words:
+        """The words ``which``, and others given as symbols, by themselves."""
+        parts = [self.stream[a:b] for a, b in zip(self.start[which].tolist(), self.end[which].tolist(), strict=True)]
+        parts += more
         size = np.array([len(p) for p in parts], dtype=np.int64)
+        made = Words([])
         made.stream = np.concatenate([*parts, np.full(1, START, dtype=np.uint8)])
         made.start, made.end = np.cumsum(size) - size, np.cumsum(size)
         made.doc, made.count = np.arange(len(parts)), len(parts)
         return made
 
+    def bent(self, which: np.ndarray, rng: np.random.Generator) -> list[np.ndarray]:
+        """Of the words ``which`` with four symbols or more, the symbols with one strange one put in."""
+        which = which[(self.end - self.start)[which] > 4]
+        words = [self.stream[a:b] for a, b in zip(self.start[which].tolist(), self.end[which].tolist(), strict=True)]
+        return [np.insert(w, rng.integers(2, len(w)), rng.integers(1, 37)).astype(np.uint8) for w in words]
+
     def norms(self, which: np.ndarray) -> np.ndarray:
         size = (self.end - self.start)[which].astype(float)
         total = sum(np.maximum(size - (a + b), 0) * weight * weight for a, b, weight in SHAPES)
         return np.sqrt(np.maximum(total, 1e-9))
 
-    def project(self, which: np.ndarray, table: np.ndarray) -> np.ndarray:
+    def project(self, which: np.ndarray, table: np.ndarray, step: int = 50_000) -> np.ndarray:
         """Dot product of each word's unit vector with ``table``."""
+        if len(which) > step:
+            return np.concatenate([self.project(which[i : i + step], table) for i in range(0, len(which), step)])
         begin, stop = self.start[which], self.end[which]
         size = stop - begin
         of = np.repeat(np.arange(len(which)), size)
@@ -175,20 +182,49 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.margins(texts) + self.offset, -30, 30)))
 
 
-def _landmarks(vectors: np.ndarray, count: int) -> np.ndarray:
-    """Rows that pivoted Cholesky steps on the kernel matrix pick, at most ``count``."""
-    left = (vectors**2).sum(1)
-    basis, picked = np.zeros((len(vectors), count)), []
-    for k in range(min(count, len(vectors))):
-        i = int(left.argmax())
-        if left[i] < 1e-3:
-            break
-        picked.append(i)
-        column = (vectors @ vectors[i] - basis[:, :k] @ basis[i, :k]) / np.sqrt(left[i])
-        basis[:, k] = column
-        left = np.maximum(left - column**2, 0)
-        left[i] = 0
-    return np.array(picked, dtype=np.int64)
+class Kernel:
+    """Kernel columns of a few thousand words, from their subsequences."""
+
+    def __init__(self, words: Words):
+        self.count = len(words.start)
+        self.of, self.triple, self.weight = words.features(np.arange(self.count))
+        self.weight = self.weight / words.norms(np.arange(self.count))[self.of]
+        order = np.argsort(self.of, kind="stable")
+        self.of, self.triple, self.weight = self.of[order], self.triple[order], self.weight[order]
+        self.first = np.searchsorted(self.of, np.arange(self.count + 1))
+
+    def vector(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        mine = slice(self.first[i], self.first[i + 1])
+        return self.triple[mine], self.weight[mine]
+
+    def column(self, i: int, table: np.ndarray) -> np.ndarray:
+        """Kernel of word ``i`` with all words; ``table`` is zero before and after."""
+        triple, weight = self.vector(i)
+        np.add.at(table, triple, weight)
+        out = np.bincount(self.of, weights=table[self.triple] * self.weight, minlength=self.count)
+        table[triple] = 0
+        return out
+
+    def landmarks(self, candidates: np.ndarray, scale: np.ndarray, count: int) -> tuple[list[int], list[np.ndarray]]:
+        """At most ``count`` of ``candidates`` by pivoted Cholesky steps on their scaled kernel, with their columns."""
+        table = np.zeros(SYMBOLS**3)
+        left = np.full(len(candidates), -1.0)
+        own = np.bincount(self.of, minlength=self.count) > 0
+        left[own[candidates]] = 1.0
+        left *= scale**2
+        basis, picked, columns = np.zeros((len(candidates), count)), [], []
+        for k in range(min(count, len(candidates))):
+            i = int(left.argmax())
+            if left[i] < 1e-3:
+                break
+            column = self.column(candidates[i], table)
+            scaled = column[candidates] * scale * scale[i]
+            picked.append(int(candidates[i]))
+            columns.append(column)
+            basis[:, k] = (scaled - basis[:, :k] @ basis[i, :k]) / np.sqrt(left[i])
+            left = left - basis[:, k] ** 2
+            left[i] = -1
+        return picked, columns
 
 
 def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
@@ -207,15 +243,6 @@ def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray,
     return w[:-1], float(w[-1])
 
 
-def _dense(words: Words, which: np.ndarray, columns: np.ndarray) -> np.ndarray:
-    """Unit feature vectors of the words ``which`` over the triples ``columns`` (sorted)."""
-    place, triple, weight = words.features(which)
-    at = np.minimum(np.searchsorted(columns, triple), len(columns) - 1)
-    known = columns[at] == triple
-    flat = np.bincount(place[known] * len(columns) + at[known], weights=weight[known], minlength=len(which) * len(columns))
-    return flat.reshape(len(which), len(columns)) / words.norms(which)[:, None]
-
-
 def _evidence(words: Words, place: np.ndarray, back: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """A first rank of the distinct words: how far a run of four of their symbols, or all of
     them, is commoner among toxic texts than among the others."""
@@ -276,27 +303,27 @@ def learn(texts: list[str], labels: np.ndarray) -> Machine:
         rest = np.unique(np.concatenate([hardest, others]))
         if not len(witness) or not len(rest):
             break
-        bent = words.bent(place[witness], rng)
+        bent = [b for _ in range(BENT) for b in words.bent(place[witness], rng)]
+        long = (words.end - words.start)[place[witness]] > 4
+        chosen = words.picked(place[np.concatenate([rest, witness])], bent)
+        positive = np.arange(len(rest), len(rest) + len(witness) + len(bent))
         # A word counts by the square root of the toxic texts that have it.
-        common = np.concatenate([np.sqrt(np.maximum(spread[witness], 1)), np.ones(len(bent.start))])
-        y = np.concatenate([np.ones(len(witness) + len(bent.start)), -np.ones(len(rest))])
-        columns = np.unique(words.features(place[witness])[1])
-        vectors = np.concatenate([
-            _dense(words, place[witness], columns), _dense(bent, np.arange(len(bent.start)), columns), _dense(words, place[rest], columns)
-        ])
-        half = LANDMARKS * 3 // 4
-        marks = np.concatenate([
-            _landmarks(vectors[: len(y) - len(rest)] * np.sqrt(common)[:, None], half),
-            len(y) - len(rest) + _landmarks(vectors[len(y) - len(rest) :], LANDMARKS - half),
-        ])
-        between = vectors @ vectors[marks].T
+        common = np.sqrt(np.maximum(spread[witness], 1))
+        common = np.concatenate([common, np.tile(common[long], BENT) / BENT])
+        y = np.where(np.arange(len(chosen.start)) < len(rest), -1.0, 1.0)
+        kernel = Kernel(chosen)
+        marks, columns = kernel.landmarks(positive, np.sqrt(common), LANDMARKS * 3 // 4)
+        more, others = kernel.landmarks(np.arange(len(rest)), np.ones(len(rest)), LANDMARKS - LANDMARKS * 3 // 4)
+        marks, between = marks + more, np.column_stack(columns + others)
         root, axes = np.linalg.eigh(between[marks])
         good = root > 1e-6
         to_space = axes[:, good] / np.sqrt(root[good])
-        weights = np.concatenate([common / common.sum(), np.full(len(rest), 1 / len(rest))]) * len(y) / 2
+        weights = np.concatenate([np.full(len(rest), 1 / len(rest)), common / common.sum()]) * len(y) / 2
         w, bias = _svm(between @ to_space, y, weights)
         table = np.zeros(SYMBOLS**3)
-        table[columns] = (to_space @ w) @ vectors[marks]
+        for mark, share in zip(marks, to_space @ w, strict=True):
+            triple, weight = kernel.vector(mark)
+            np.add.at(table, triple, share * weight)
         value = words.project(place, table) + bias
     table = table.astype(np.float32)
     margins = Machine(table, bias, 1, 0).margins(texts)
@@ -318,11 +345,11 @@ def learn(texts: list[str], labels: np.ndarray) -> Machine:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, prior: float = 0.05) -> Machine:
     """A machine for ``labels.toxic``, from at most ``rows`` labelled texts that are not held out."""
-    found = sample(docs, labels, "toxic", rows)
-    marks = np.array([label for _, _, label in found], dtype=np.int64)
-    if len(set(marks.tolist())) < 2:
-        return Machine(np.zeros(0), 0, 0, 0, prior)
-    return learn([text for _, text, _ in found], marks)
+
+    def learned(texts: list[str], marks: np.ndarray) -> Machine:
+        return learn(texts, marks) if len(set(marks.tolist())) == 2 else Machine(np.zeros(0), 0, 0, 0, prior)
+
+    return fit_in_task(sample(docs, labels, "toxic", rows), learned)
 
 
 def scorer(machine: Machine):
