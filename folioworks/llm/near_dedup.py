@@ -230,7 +230,9 @@ def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
     named = F.col("doc_id").isNotNull()
     stay = docs.filter(named).join(gone, "doc_id", "left_anti").select(docs.columns)
-    return stay.dropDuplicates(["doc_id"]).union(docs.filter(~named))
+    text = F.xxhash64("text")
+    stay = stay.withColumn("_text_hash_", text).dropDuplicates(["doc_id", "_text_hash_"]).select(docs.columns)
+    return stay.union(docs.filter(~named))
 
 
 def op9_near_dedup(spark, sf_dir: str) -> DataFrame:
