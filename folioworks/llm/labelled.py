@@ -49,7 +49,8 @@ def fit_in_task(found: DataFrame, learn: Callable[[list[str], np.ndarray], objec
         model = learn([text for _, text, _ in rows], np.array([label for _, _, label in rows], dtype=np.int64))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
-    return pickle.loads(found.repartition(1).mapInArrow(run, "model binary").first().model)
+    made = found.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(made.model) if made else learn([], np.zeros(0, dtype=np.int64))
 
 
 def without_copies(texts: list[str]) -> np.ndarray:

@@ -5,10 +5,13 @@
    slots and increasing ranks; an element stops as soon as its next rank can't lower any
    slot, which after the first few ranks is nearly always.
 2. Texts with equal sets form a class; from here on only class representatives count.
-3. Representatives that share a band are compared with the least of them first, then
-   with another member while a band still spans several components; what remains is
-   compared pair by pair, but only across components. Groups of near copies are thus
-   linked through a few of their members and never expanded into all pairs.
+3. In every band that spans several components, all members are compared with one of them,
+   first the least, then another in each round; after ``STAR_ROUNDS``, or a
+   round without links, what remains is compared
+   pair by pair, but only across components. Groups of near copies are thus linked through
+   a few of their members and never expanded into all pairs. Before sets are fetched, two
+   bits of each slot must agree as far as ``percent`` less 13 allows, some five standard
+   deviations of the estimate.
 4. Pairs are confirmed on their full sets: 100 * intersection >= ``percent`` * union.
 5. Components of the links, found by ``components``, give the groups.
 
@@ -39,7 +42,12 @@ SLOTS = BANDS * ROWS
 #: Sets of this size or more can have similar sets that differ from them.
 LEAST_SET = 4
 #: Rounds that compare the members of a band with one of them each.
-STAR_ROUNDS = 2
+STAR_ROUNDS = 5
+#: Slots whose lowest two bits share a 64-bit integer.
+PACKED = 32
+WORDS = -(-SLOTS // PACKED)
+#: The estimate from the packed bits may fall this far below the similarity asked for.
+LEEWAY = 0.13
 #: Elements whose permutations are kept as a table once most have stopped.
 TABLE_ELEMENTS = 20_000
 
@@ -99,12 +107,31 @@ def band_keys(slots: np.ndarray) -> np.ndarray:
     return key
 
 
+def packed_bits(slots: np.ndarray) -> np.ndarray:
+    """Two bits of each slot, PACKED slots to an integer."""
+    bits = np.zeros((len(slots), WORDS * PACKED), dtype=np.uint64)
+    bits[:, :SLOTS] = slots & np.uint64(3)
+    places = np.arange(PACKED, dtype=np.uint64) * np.uint64(2)
+    return (bits.reshape(len(slots), WORDS, PACKED) << places).sum(axis=2, dtype=np.uint64)
+
+
+def looks_similar(one: str, other: str, percent: int):
+    """Whether packed bits agree as often as a pair of the similarity does, within LEEWAY."""
+    odd = 0x5555555555555555
+    differing = F.lit(0)
+    for w in range(WORDS):
+        x = F.col(one)[w].bitwiseXOR(F.col(other)[w])
+        either = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(odd))
+        differing = differing + F.bit_count(either)
+    return differing <= int((1 - percent / 100 + LEEWAY) * 0.75 * SLOTS)
+
+
 def _sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     tokens = Tokens(texts)
     return distinct(*ngrams(tokens.hashes(), tokens.doc, tokens.first, words))
 
 
-SKETCH = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>"
+SKETCH = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, bits array<bigint>"
 
 
 def sketch(docs: DataFrame, words: int) -> DataFrame:
@@ -125,14 +152,16 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
                 number = np.zeros(len(texts), dtype=np.int64)
                 number[banded] = np.arange(len(banded))
                 mine = (n >= LEAST_SET)[doc]
-                keys = band_keys(signatures(elements[mine], number[doc[mine]], len(banded)))
-                offsets = np.zeros(len(texts) + 1, dtype=np.int32)
-                np.cumsum((n >= LEAST_SET) * BANDS, out=offsets[1:])
+                slots = signatures(elements[mine], number[doc[mine]], len(banded))
+                upto = np.concatenate([[0], np.cumsum(n >= LEAST_SET)]).astype(np.int32)
+                lists = [
+                    pa.ListArray.from_arrays(pa.array(upto * values.shape[1]), pa.array(values.ravel().view(np.int64)))
+                    for values in (band_keys(slots), packed_bits(slots))
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(texts)), pa.array(n), *map(pa.array, sums),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel().view(np.int64)))],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
-                )
+                    [batch.column(0).slice(first, len(texts)), pa.array(n), *map(pa.array, sums), *lists],
+                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "bits"],
+                )
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, SKETCH)
 
@@ -165,6 +194,19 @@ def confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     return both.filter(similar).select("a", "b")
 
 
+def _may_link(percent: int):
+    """Whether a pair (an, abits, bn, bbits) can be similar enough."""
+    return (100 * F.least("an", "bn") >= percent * F.greatest("an", "bn")) & looks_similar("abits", "bbits", percent)
+
+
+def _merge(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``groups`` (rep, n, bits, c) with the components that ``links`` connect made one."""
+    named = groups.select("rep", "c")
+    ends = links.join(named.toDF("a", "ac"), "a").join(named.toDF("b", "bc"), "b").select(F.col("ac").alias("a"), F.col("bc").alias("b"))
+    joined = components(ends.distinct()).toDF("c", "merged")
+    return groups.join(joined, "c", "left").select("rep", "n", "bits", F.coalesce("merged", "c").alias("c"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
     sketched = materialize(sketch(docs, words))
@@ -172,47 +214,46 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     filled = sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", *name)
     classes = materialize(filled.groupBy(*name).agg(F.min("doc_id").alias("rep")))
     heads = classes.filter(F.col("n_shingles") >= LEAST_SET).select(F.col("rep").alias("doc_id"), *name)
-    banded = sketched.join(heads, ["doc_id", *name], "left_semi").select(
-        F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("bands").alias("band")
-    )
+    banded = sketched.join(heads, ["doc_id", *name], "left_semi").select(F.col("doc_id").alias("rep"), F.explode("bands").alias("band"))
     by_band = Window.partitionBy("band")
     shared = banded.distinct().withColumns({"least": F.min("rep").over(by_band), "most": F.max("rep").over(by_band)})
-    shared = materialize(shared.filter("least <> most").select("band", "rep", "n", "least"))
+    shared = materialize(shared.filter("least <> most").select("band", "rep"))
 
-    fits = lambda a, b: (100 * F.least(a, b) >= percent * F.greatest(a, b))
-    members = shared.select("rep").distinct()
-    found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(members.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
-    # A doc_id with several texts would compare each of them; the class's own one is picked by its set.
+    members = shared.select(F.col("rep").alias("doc_id")).distinct()
+    found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(members, "doc_id", "left_semi")
+    # Rows that share a doc_id may hold several sets; the class's own is told by its size and sums.
+    heads = heads.join(members, "doc_id", "left_semi")
     full = materialize(sets(found, words).dropDuplicates(["doc_id"]))
-
-    sizes = shared.select("band", F.col("rep").alias("least"), F.col("n").alias("least_n"))
-    pairs = shared.filter("rep <> least").join(sizes, ["band", "least"]).filter(fits(F.col("n"), F.col("least_n")))
-    tried = materialize(pairs.select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct())
-    links = materialize(confirm(tried, full, percent))
-    groups = components(links)
+    start = sketched.join(heads, ["doc_id", *name], "left_semi").dropDuplicates(["doc_id"])
+    groups = materialize(start.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bits", F.col("doc_id").alias("c")))
+    pairwise = False
     for turn in range(STAR_ROUNDS + 1):
-        named = shared.select("band", "rep", "n").join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("c", F.coalesce("component", "rep"))
-        several = named.withColumns({"lo": F.min("c").over(by_band), "hi": F.max("c").over(by_band)}).filter("lo <> hi").select("band", "rep", "n", "c")
-        several = materialize(several)
-        if turn < STAR_ROUNDS:
-            order = F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "n", "c")
-            picked = several.withColumn("p", F.min(order).over(by_band)).select("band", F.col("p.rep").alias("a"), F.col("p.n").alias("an"), F.col("p.c").alias("ac"), F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"))
+        pairwise = pairwise or turn == STAR_ROUNDS
+        named = shared.join(groups.select("rep", "c"), "rep").withColumns({"lo": F.min("c").over(by_band), "hi": F.max("c").over(by_band)})
+        several = materialize(named.filter("lo <> hi").select("band", "rep", "c"))
+        if several.isEmpty():
+            break
+        if not pairwise:
+            order = F.col("rep") if turn == 0 else F.xxhash64("rep", "band", F.lit(turn))
+            lead = F.min(F.struct(order.alias("order"), "rep", "c")).over(by_band)
+            pairs = several.withColumn("lead", lead).select(F.col("lead.rep").alias("a"), F.col("rep").alias("b"), F.col("lead.c").alias("ac"), F.col("c").alias("bc"))
+            pairs = pairs.filter("ac <> bc").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            facts = groups.select("rep", "n", "bits")
+            pairs = pairs.join(facts.toDF("a", "an", "abits"), "a").join(facts.toDF("b", "bn", "bbits"), "b").filter(_may_link(percent))
         else:
-            one, other = several.toDF("band", "a", "an", "ac"), several.toDF("band", "b", "bn", "bc")
-            picked = one.join(other, "band").filter("a < b")
-        fresh = picked.filter((F.col("ac") != F.col("bc")) & fits(F.col("an"), F.col("bn")))
-        fresh = fresh.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        fresh = materialize(fresh.join(tried, ["a", "b"], "left_anti"))
-        if not fresh.head(1):
-            if turn < STAR_ROUNDS:
-                continue
+            known = several.join(groups.select("rep", "n", "bits"), "rep").select("band", "rep", "c", "n", "bits")
+            one, other = known.toDF("band", "a", "ac", "an", "abits"), known.toDF("band", "b", "bc", "bn", "bbits")
+            across = (one["band"] == other["band"]) & (F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & _may_link(percent)
+            pairs = one.join(other, across)
+        links = materialize(confirm(pairs.select("a", "b").distinct(), full, percent))
+        linked = not links.isEmpty()
+        if linked:
+            groups = materialize(_merge(groups, links))
+        if pairwise:
             break
-        tried = tried.union(fresh)
-        more = materialize(confirm(fresh, full, percent))
-        if more.head(1):
-            links = links.union(more)
-            groups = components(links)
-    named = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(*name, F.coalesce("component", "rep").alias("component_id"))
+        pairwise = not linked
+    groups = groups.select(F.col("rep"), F.col("c").alias("component"))
+    named = classes.join(groups, "rep", "left").select(*name, F.coalesce("component", "rep").alias("component_id"))
     return (
         sketched.select("doc_id", *name)
         .join(named, name, "left")

@@ -91,7 +91,7 @@ def statistics(texts: list[bytes]) -> np.ndarray:
 
     columns = [
         np.log1p(words), np.log1p(lines), words / np.maximum(lines, 1), share(_UPPER) / letters, share(_DIGIT) / size,
-        share(_MARK) / size, share(_ODD) / size, share(_HIGH) / size, share(_BLANK) / size,
+        share(_MARK) / size, share(_ODD) / size, share(_HIGH) / size, (share(_BLANK) - 1) / size,
         mean, np.sqrt(np.maximum(per_word(length * length) - mean * mean, 0)), np.log1p(longest), per_word(length <= 3),
         per_word(_UPPER[heads]), per_word(alpha[tokens.end] == alpha[tokens.start]),
         per_word(_SENTENCE[tails]), per_word(_ODD[tails]), np.bincount(of, minlength=n) / some,
