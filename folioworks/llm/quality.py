@@ -134,6 +134,7 @@ def grow(rows: np.ndarray, labels: np.ndarray) -> Trees:
     n, width = rows.shape
     limits = [np.unique(np.quantile(rows[:, f], np.linspace(0, 1, BINS + 1)[1:-1])) for f in range(width)]
     binned = np.column_stack([np.searchsorted(limits[f], rows[:, f], side="left") for f in range(width)])
+    least = min(LEAST_WEIGHT, 0.01 * n)
     share = labels.mean()
     weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
     margin = np.zeros(n)
@@ -163,7 +164,7 @@ def grow(rows: np.ndarray, labels: np.ndarray) -> Trees:
                         continue
                     gr, hr = g[:, None] - gl, h[:, None] - hl
                     gain = gl**2 / (hl + SHRINK) + gr**2 / (hr + SHRINK) - (g**2 / (h + SHRINK))[:, None]
-                    gain[(hl < LEAST_WEIGHT) | (hr < LEAST_WEIGHT)] = -1
+                    gain[(hl < least) | (hr < least)] = -1
                     where = gain.argmax(1)
                     for i in range(k):
                         if gain[i, where[i]] > best[i]:
