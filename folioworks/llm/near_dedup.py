@@ -6,7 +6,8 @@
    slot, which after the first few ranks is nearly always.
 2. Texts with equal sets form a class; from here on only class representatives count.
 3. In every band that spans several components, all members are compared with one of them,
-   first the least, then another in each round; after ``STAR_ROUNDS``, or a
+   first the least, then in each round the first of another random order, so that bands of one
+   group agree on a few members to compare with; after ``STAR_ROUNDS``, or a
    round without links, what remains is compared
    pair by pair, but only across components. Groups of near copies are thus linked through
    a few of their members and never expanded into all pairs. Before sets are fetched, two
@@ -234,7 +235,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         if several.isEmpty():
             break
         if not pairwise:
-            order = F.col("rep") if turn == 0 else F.xxhash64("rep", "band", F.lit(turn))
+            order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
             lead = F.min(F.struct(order.alias("order"), "rep", "c")).over(by_band)
             pairs = several.withColumn("lead", lead).select(F.col("lead.rep").alias("a"), F.col("rep").alias("b"), F.col("lead.c").alias("ac"), F.col("c").alias("bc"))
             pairs = pairs.filter("ac <> bc").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
