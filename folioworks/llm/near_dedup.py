@@ -21,10 +21,9 @@ probability 2e-6. Sets of fewer than four elements can only be linked when equal
 they take part in classes but not in bands.
 
 Defined results: null and empty texts, and texts of white space, have an empty set and
-are linked with nothing. Rows without ``doc_id`` have a null component
-and are kept. Rows that share a
-``doc_id`` are kept apart by their sets. Repeated rows fall in one class. An empty table
-gives an empty result; other columns are not read.
+are linked with nothing. Rows without ``doc_id`` have a null component and are kept. Rows
+that share a ``doc_id`` are kept apart by their sets. Repeated rows fall in one class. An
+empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -132,6 +131,18 @@ def _sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     return distinct(*ngrams(tokens.hashes(), tokens.doc, tokens.first, words))
 
 
+def _names(elements: np.ndarray, doc: np.ndarray, count: int) -> list[np.ndarray]:
+    """Of each set its size and two 64-bit sums over its elements: what tells it from other sets."""
+    n = np.bincount(doc, minlength=count)
+    start = np.cumsum(n) - n
+    sums = []
+    for salt in (1, 2):
+        total = np.zeros(len(elements) + 1, dtype=np.uint64)
+        np.cumsum(mix(mix(elements) + np.uint64(salt)), out=total[1:])
+        sums.append((total[start + n] - total[start]).view(np.int64))
+    return [n, *sums]
+
+
 SKETCH = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, bits array<bigint>"
 
 
@@ -142,13 +153,7 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
         for batch in row_batches(batches):
             for first, texts in slices(batch.column(1)):
                 elements, doc = _sets(texts, words)
-                n = np.bincount(doc, minlength=len(texts))
-                start = np.cumsum(n) - n
-                sums = []
-                for salt in (1, 2):
-                    total = np.zeros(len(elements) + 1, dtype=np.uint64)
-                    np.cumsum(mix(mix(elements) + np.uint64(salt)), out=total[1:])
-                    sums.append((total[start + n] - total[start]).view(np.int64))
+                n, *sums = _names(elements, doc, len(texts))
                 banded = np.flatnonzero(n >= LEAST_SET)
                 number = np.zeros(len(texts), dtype=np.int64)
                 number[banded] = np.arange(len(banded))
@@ -168,21 +173,24 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
 
 
 def sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id and the elements of its set."""
+    """doc_id, what names its set, and the set's elements."""
 
     def run(batches):
         for batch in row_batches(batches):
             for first, texts in slices(batch.column(1)):
                 elements, doc = _sets(texts, words)
+                n, *sums = _names(elements, doc, len(texts))
                 offsets = np.zeros(len(texts) + 1, dtype=np.int32)
-                np.cumsum(np.bincount(doc, minlength=len(texts)), out=offsets[1:])
+                np.cumsum(n, out=offsets[1:])
+                held = pa.ListArray.from_arrays(pa.array(offsets), pa.array(elements.view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(texts)),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(elements.view(np.int64)))],
-                    names=["doc_id", "elements"],
-                )
+                    [batch.column(0).slice(first, len(texts)), pa.array(n), *map(pa.array, sums), held],
+                    names=["doc_id", "n_shingles", "set_a", "set_b", "elements"],
+                )
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, elements array<bigint>")
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
+        run, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, elements array<bigint>"
+    )
 
 
 def confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -224,7 +232,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(members, "doc_id", "left_semi")
     # Rows that share a doc_id may hold several sets; the class's own is told by its size and sums.
     heads = heads.join(members, "doc_id", "left_semi")
-    full = materialize(sets(found, words).dropDuplicates(["doc_id"]))
+    full = sets(found, words).join(heads, ["doc_id", *name], "left_semi").dropDuplicates(["doc_id"])
+    full = materialize(full.select("doc_id", "elements"))
     start = sketched.join(heads, ["doc_id", *name], "left_semi").dropDuplicates(["doc_id"])
     groups = materialize(start.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bits", F.col("doc_id").alias("c")))
     pairwise = False
