@@ -32,7 +32,7 @@ from folioworks.llm.columns import with_results
 from folioworks.llm.words import mix, powers, slices
 
 #: Encoded words that a Python worker remembers, at most.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 #: Pieces of more bytes than this are merged with a heap.
 LONG_PIECE = 48
 BLANK, LETTER, NUMBER, OTHER = range(4)
