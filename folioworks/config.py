@@ -10,18 +10,17 @@ class EngineConfig:
     """Options; their values enter the plans as literals.
 
     ``block_pages`` is the number of pages of one document that may share a
-    task: longer documents are split into blocks of that many pages.
+    task: longer documents are split into blocks of that many pages. What to
+    save is the caller's choice of sink, see ``sources.sinks``.
     """
 
     min_text_page_ratio: float = 0.55
     max_pages_probe: int = 12
-    ocr_engine: str = "auto"        # auto | tesseract | deepseek | off
+    ocr_engine: str = "auto"
     ocr_available: bool = True
-    prompt_mode: str = "markdown"   # markdown | plain
-    language: str = "auto"          # auto | off
-    tables: str = "auto"            # auto | docling | camelot | off
-    save_pages: bool = False
-    keep_records: bool = False
+    prompt_mode: str = "markdown"
+    language: str = "auto"
+    tables: str = "auto"
     edge_top: int = 2
     edge_bottom: int = 2
     edge_share: float = 0.45

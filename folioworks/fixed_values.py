@@ -49,16 +49,9 @@ NA_WORDS = [
     "n/a", "nan", "null",
 ]
 
-# Named HTML entities decoded in table cells; &amp; comes last.
-ENTITIES = [
-    ("&nbsp;", "\xa0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-    ("&apos;", "'"), ("&euro;", "€"), ("&pound;", "£"), ("&cent;", "¢"),
-    ("&yen;", "¥"), ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"),
-    ("&deg;", "°"), ("&plusmn;", "±"), ("&times;", "×"), ("&middot;", "·"),
-    ("&bull;", "•"), ("&hellip;", "…"), ("&ndash;", "–"), ("&mdash;", "—"),
-    ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
-    ("&amp;", "&"),
-]
+# The most columns and rows that a cell of an HTML table may span.
+MOST_COLSPAN = 1000
+MOST_ROWSPAN = 65534
 
 # (engine flag, OCR available, router choice, use OCR, reason); None = any.
 ROUTE_RULES = [

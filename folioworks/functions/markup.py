@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,24 +52,34 @@ def html_tables(html: Column) -> Column:
     return F.regexp_extract_all(visible, F.lit(r"(?is)<table\b.*?(?:</table\s*>|\z)"), F.lit(0))
 
 
+def _named_references() -> Column:
+    """All named references of HTML that end with a semicolon, as one literal map; &amp; is left out."""
+    names = {f"&{name}": char for name, char in html5.items() if name.endswith(";") and name.lower() != "amp;"}
+    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+
+
 def _decoded(text: Column) -> Column:
-    """Character references as characters, numbers first and &amp; last."""
-    refs = F.array_distinct(F.regexp_extract_all(text, F.lit("&#[0-9]{1,7};"), F.lit(0)))
+    """Character references as characters: decimal, hexadecimal and named ones, &amp; last."""
+    refs = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"), F.lit(0)))
 
     def put(acc: Column, ref: Column) -> Column:
-        number = F.regexp_extract(ref, "[0-9]+", 0).cast("int")
+        decimal = F.regexp_extract(ref, "^&#0*([0-9]{1,7});$", 1)
+        hexadecimal = F.regexp_extract(ref, "^&#[xX]0*([0-9a-fA-F]{1,6});$", 1)
+        number = F.coalesce(F.nullif(decimal, F.lit("")).cast("int"), F.conv(F.nullif(hexadecimal, F.lit("")), 16, 10).cast("int"))
         char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-        return F.when(number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF), F.replace(acc, ref, char)).otherwise(acc)
+        coded = F.when(number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF), char)
+        named = F.when(~F.startswith(ref, F.lit("&#")), F.element_at(_named_references(), ref))
+        return F.replace(acc, ref, F.coalesce(coded, named, ref))
 
-    out = F.when(F.contains(text, F.lit("&#")), F.aggregate(refs, text, put)).otherwise(text)
-    for entity, char in fixed.ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    out = F.when(F.contains(text, F.lit("&")), F.aggregate(refs, text, put)).otherwise(text)
+    return F.replace(F.replace(out, F.lit("&amp;"), F.lit("&")), F.lit("&AMP;"), F.lit("&"))
 
 
-def _span(tag: Column, name: str) -> Column:
-    found = F.regexp_extract(tag, rf"(?is)\b{name}\s*=\s*[\"']?([0-9]{{1,4}})", 1)
-    return F.greatest(F.lit(1), F.coalesce(F.nullif(found, F.lit("")).cast("int"), F.lit(1)))
+def _span(tag: Column, name: str, most: int) -> Column:
+    """A span attribute; as in HTML, a number over ``most`` counts as that."""
+    found = F.regexp_extract(tag, rf"(?is)\b{name}\s*=\s*[\"']?0*([0-9]+)", 1)
+    number = F.when(F.length(found) > 8, most).otherwise(F.nullif(found, F.lit("")).cast("int"))
+    return F.greatest(F.lit(1), F.least(F.coalesce(number, F.lit(1)), F.lit(most)))
 
 
 def _cell(element: Column) -> Column:
@@ -76,8 +89,8 @@ def _cell(element: Column) -> Column:
     return F.struct(
         F.regexp_replace(py_strip(_decoded(text)), rf"[\r\n]+|{WS}{{2,}}", " ").alias("text"),
         element.rlike(r"(?i)\A<th\b").alias("is_th"),
-        _span(tag, "colspan").alias("across"),
-        _span(tag, "rowspan").alias("down"),
+        _span(tag, "colspan", fixed.MOST_COLSPAN).alias("across"),
+        _span(tag, "rowspan", fixed.MOST_ROWSPAN).alias("down"),
     )
 
 

@@ -157,13 +157,14 @@ def bundle(
 ) -> DataFrame:
     """One nested record per document (per part of a long one).
 
-    ``routes``: doc_id, num_pages, text_pages, text_page_ratio, routed,
+    A document of ``routes`` without any page comes out empty. ``routes``:
+    doc_id, n_pages (of the chosen source), num_pages, text_pages, text_page_ratio, routed,
     route_reason. ``languages``: doc_id, language. ``tables``: doc_id, part_no,
     tables (see ``operators.tables.table_meta``).
     """
     facts = routes.select(
         "doc_id",
-        F.col("num_pages").alias("n_pages"),
+        "n_pages",
         F.struct("num_pages", "text_page_ratio", F.col("text_pages").alias("text_pages_sampled")).alias("_probe"),
         "route_reason",
         "router",
@@ -174,7 +175,7 @@ def bundle(
     else:
         facts = facts.withColumn("language", F.lit("unknown"))
     per_part = spread(facts, block_pages).withColumnRenamed("block", "part_no").drop("n_pages")
-    joined = parts.join(per_part, ["doc_id", "part_no"], "left")
+    joined = per_part.join(parts, ["doc_id", "part_no"], "left")
     if tables is not None:
         joined = joined.join(tables.select("doc_id", "part_no", "tables"), ["doc_id", "part_no"], "left")
     else:
@@ -182,29 +183,50 @@ def bundle(
     return joined.select(
         "doc_id",
         "part_no",
-        "n_parts",
-        "text",
-        "page_slices",
-        "page_offsets",
+        F.coalesce("n_parts", F.lit(1)).alias("n_parts"),
+        F.coalesce("text", F.lit("")).alias("text"),
+        F.coalesce("page_slices", F.array().cast("array<string>")).alias("page_slices"),
+        F.coalesce("page_offsets", F.array().cast("array<bigint>")).alias("page_offsets"),
         F.col("_routed").alias("routed"),
         F.coalesce("language", F.lit("unknown")).alias("language"),
         F.struct(
             F.col("_probe").alias("probe"),
             "route_reason",
             "router",
-            "token_count",
+            F.coalesce("token_count", F.lit(0).cast("bigint")).alias("token_count"),
             F.coalesce("tables", empty_table_meta()).alias("tables"),
         ).alias("meta"),
     )
 
 
-def summary(bundles: DataFrame, out: str = "", *more: Column) -> DataFrame:
-    """One row per document; the first part speaks for a long one.
+def text_fingerprint() -> Column:
+    """What the pages of a bundle row add to the fingerprint of its document.
+
+    Each page gives 60 bits of SHA-256 over its place in the document's text and
+    the text from there to the next page; the sum over all pages of a document
+    is the same for every ``block_pages`` and every order.
+    """
+    first = F.get("page_offsets", F.lit(0))
+    ends = F.concat(F.slice("page_offsets", 2, F.size("page_offsets")), F.array(first + F.length("text")))
+    spans = F.filter(F.arrays_zip(F.col("page_offsets").alias("a"), ends.alias("b")), lambda s: s["a"].isNotNull())
+
+    def bits(s: Column) -> Column:
+        piece = F.substr(F.col("text"), (s["a"] - first + 1).cast("int"), (s["b"] - s["a"]).cast("int"))
+        place = F.concat(s["a"].cast("string"), F.lit(":"), piece)
+        return F.conv(F.substring(F.sha2(place, 256), 1, 15), 16, 10).cast("decimal(38,0)")
+
+    zero = F.lit(0).cast("decimal(38,0)")
+    return F.aggregate(F.transform(spans, bits), zero, lambda a, v: (a + v).cast("decimal(38,0)"))
+
+
+def summary(bundles: DataFrame, out: str = "", *more: Column, fingerprint: bool = False) -> DataFrame:
+    """One row per document; facts of the document stand in its first part.
 
-    ``more`` are further columns to take from the bundles.
+    ``more`` are further columns to take from the first part. ``fingerprint``
+    adds one of the whole text, summed over all parts.
     """
     base = f"{out.rstrip('/')}/" if out else ""
-    return bundles.filter(F.col("part_no") == 0).select(
+    first = bundles.filter(F.col("part_no") == 0).select(
         "doc_id",
         F.concat(F.lit(base), "doc_id").alias("out"),
         "routed",
@@ -212,6 +234,10 @@ def summary(bundles: DataFrame, out: str = "", *more: Column) -> DataFrame:
         F.col("meta.token_count").alias("token_count"),
         *more,
     )
+    if not fingerprint:
+        return first
+    marks = bundles.groupBy("doc_id").agg(F.sum(text_fingerprint()).cast("string").alias("text_fingerprint"))
+    return first.join(marks, "doc_id")
 
 
 def to_docmeta(bundles: DataFrame) -> DataFrame:

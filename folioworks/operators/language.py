@@ -15,7 +15,8 @@ from folioworks.session import materialize
 SCALE = 1_000_000
 MAX_LANGUAGES = 1000
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
-SALTS = 32
+#: Documents that one salt of a very common n-gram stands for, about.
+DOCS_PER_SALT = 250_000
 
 
 @dataclass(frozen=True)
@@ -43,16 +44,20 @@ def _scaled_log(p: Column) -> Column:
     return F.round(F.log(p) * SCALE).cast("bigint")
 
 
-def fit_language_profiles(df: DataFrame, text: str = "text", lang: str = "lang", n: int = 3) -> LanguageProfiles:
+def fit_language_profiles(
+    df: DataFrame, text: str = "text", lang: str = "lang", n: int = 3, max_languages: int = MAX_LANGUAGES
+) -> LanguageProfiles:
     """Count n-grams per language and turn them into add-one log weights.
 
-    Counting folds before its shuffle. The counts are written once to the
-    shared folder; only one row per language comes to the driver.
+    Rows without a label teach nothing. Counting folds before its shuffle. The
+    counts are written once to the shared folder; only one row per language
+    comes to the driver, and more than ``max_languages`` of them are an error.
     """
+    df = df.filter(F.col(lang).isNotNull())
     docs = df.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("docs"))
-    head = docs.orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(head) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    head = docs.orderBy("lang").limit(max_languages + 1).collect()
+    if len(head) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
     k = range(len(head))
     # outer: the plain explode has the optimizer extract all n-grams twice
     counts = (
@@ -104,8 +109,10 @@ def tag_language(
         scored = grams.withColumn("cnt", one).join(F.broadcast(profiles.weights), "gram", "left")
     else:
         counted = grams.groupBy("doc_id", "gram").agg(F.sum(one).alias("cnt"))
-        salted = counted.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-        copies = profiles.weights.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        # some n-grams occur in nearly every document, so the salts grow with the documents
+        salts = 32 + df.count() // DOCS_PER_SALT
+        salted = counted.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
+        copies = profiles.weights.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         scored = salted.join(copies, ["gram", "salt"], "left")
     sums = scored.groupBy("doc_id").agg(
         F.sum("cnt").alias("grams"),

@@ -78,18 +78,24 @@ def resolve_route(routed: DataFrame, engine: Column | str, available: Column | b
     )
 
 
+def page_counts(pages: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:
+    """``doc_id, n_pages`` of every document in a page table, from narrow rows."""
+    return prepare(pages, block_pages).groupBy("doc_id").agg(F.max("n_pages").alias("n_pages"))
+
+
 def select_source(
     routes: DataFrame, native_pages: DataFrame, ocr_pages: DataFrame, block_pages: int = BLOCK_PAGES
 ) -> DataFrame:
     """OCR pages of documents with ``use_ocr``, native pages of the others.
 
-    ``routes`` has ``doc_id, num_pages, use_ocr``. Each side is filtered by its
-    own join, so no document's pages are read into both branches.
+    ``routes`` has ``doc_id, use_ocr``. Each side is filtered by its own join on
+    its own page counts, so a document may have more pages on one side than on
+    the other, or none there, and no pages are read into both branches.
     """
 
     def side(pages: DataFrame, wanted: Column, source: str) -> DataFrame:
         ready = prepare(pages, block_pages)
-        docs = routes.filter(wanted).select("doc_id", F.col("num_pages").alias("n_pages"))
+        docs = routes.filter(wanted).select("doc_id").join(page_counts(ready, block_pages), "doc_id")
         kept = attach(ready, docs, "left_semi", block_pages)
         return kept.select(
             "doc_id", "page_no", "n_pages", F.coalesce("text", F.lit("")).alias("text"), F.lit(source).alias("routed")
@@ -100,18 +106,6 @@ def select_source(
     )
 
 
-def select_source_parts(
-    routes: DataFrame, native_parts: DataFrame, ocr_parts: DataFrame, block_pages: int = BLOCK_PAGES
-) -> DataFrame:
-    """The same choice on parts: texts that are already in place do not move again."""
-
-    def side(parts: DataFrame, wanted: Column) -> DataFrame:
-        docs = routes.filter(wanted).select("doc_id", F.col("num_pages").alias("n_pages"))
-        return attach(parts, docs, "left_semi", block_pages)
-
-    return side(native_parts, ~F.col("use_ocr")).unionByName(side(ocr_parts, F.col("use_ocr")))
-
-
 def with_fallback(primary: DataFrame, fallback: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:
     """All pages of a document from the fallback if any primary page failed.
 

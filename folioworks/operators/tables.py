@@ -114,10 +114,13 @@ def choose_engine(
     back to the tables by (doc_id, block).
     """
     rank = F.array_position(F.array(*[F.lit(e) for e in fixed.TABLE_ENGINES]), F.col("engine"))
-    docs = routes.select("doc_id", "routed", F.col("num_pages").alias("n_pages"))
-    ready = prepare(candidates, block_pages) if "n_pages" in candidates.columns else candidates.withColumn(
-        "block", F.floor(F.col("page_no") / block_pages).cast("int")
-    )
+    pages = F.col("n_pages") if "n_pages" in routes.columns else F.col("num_pages")
+    docs = routes.select("doc_id", "routed", pages.alias("n_pages"))
+    # a table without a page number belongs to the first block
+    own = F.coalesce(F.floor(F.col("page_no") / block_pages).cast("int"), F.lit(0))
+    last = F.greatest(F.lit(0), F.floor((F.col("_pages") - 1) / block_pages)).cast("int")
+    counts = docs.select("doc_id", F.col("n_pages").alias("_pages"))
+    ready = candidates.drop("n_pages", "block").join(counts, "doc_id").withColumn("block", F.least(own, last)).drop("_pages")
     ranked = attach(ready, docs, "inner", block_pages).withColumn("_rank", rank)
     allowed = ranked.filter(_allowed(F.col("engine"), F.col("routed"), mode, prompt))
     counts = allowed.groupBy("doc_id", "_rank", "engine").agg(F.count(F.lit(1)).alias("count"))
@@ -159,17 +162,30 @@ def best_table(scored: DataFrame) -> DataFrame:
 
 
 def table_meta(
-    named: DataFrame, chosen: DataFrame, best: DataFrame, block_pages: int = BLOCK_PAGES
+    named: DataFrame,
+    chosen: DataFrame,
+    best: DataFrame,
+    block_pages: int = BLOCK_PAGES,
+    errors: DataFrame | None = None,
 ) -> DataFrame:
     """``tables`` per document part: engine, count, items in order, best table.
 
-    The items of a long document are listed in the part of their page.
+    The items of a long document are listed in the part of their page. Pages
+    are counted from 1, or as the layout engine numbers them; a table without a
+    page keeps none. ``errors`` (doc_id, engine, error) tells of engines that
+    failed: the error stands with the engine that it struck, if no other engine
+    found tables.
     """
+    if errors is not None:
+        struck = errors.groupBy("doc_id", "engine").agg(F.min("error").alias("_error"))
+        chosen = chosen.join(struck, ["doc_id", "engine"], "left").withColumn("_error", F.when(F.col("count") == 0, F.col("_error")))
+    else:
+        chosen = chosen.withColumn("_error", F.lit(None).cast("string"))
     stem = F.col("name")
-    is_md = F.col("engine") == "markdown"
+    is_md, is_grid = F.col("engine") == "markdown", F.col("engine") == "camelot"
     item = F.struct(
-        F.when(is_md, F.col("page_no") + 1).otherwise(F.col("page_no")).cast("int").alias("page"),
-        F.when(~is_md, F.concat(stem, F.lit(".html"))).alias("path_html"),
+        F.when(is_md | is_grid, F.col("page_no") + 1).otherwise(F.col("page_no")).cast("int").alias("page"),
+        F.when(~is_md & ~is_grid, F.concat(stem, F.lit(".html"))).alias("path_html"),
         F.concat(stem, F.lit(".csv")).alias("path_csv"),
         F.when(is_md, F.concat(stem, F.lit(".md"))).alias("path_md"),
     )
@@ -183,7 +199,7 @@ def table_meta(
         F.col("block").alias("part_no"),
         F.struct(
             "engine",
-            F.lit(None).cast("string").alias("error"),
+            F.col("_error").alias("error"),
             F.col("count").cast("bigint").alias("count"),
             F.coalesce("_items.item", empty_table_meta()["items"]).alias("items"),
             "best_csv",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from folioworks.operators import assembly, cleaning, identity, language, paging,
 from folioworks.plans import inputs
 from folioworks.operators.cleaning import clean_pages
 from folioworks.plans.ingest import ingest, routes_of
-from folioworks.session import materialize
+from folioworks.session import materialize, shared_dir
 from folioworks.sources import files, sinks
 from folioworks.streaming import stream
 
@@ -32,8 +33,9 @@ def query(fn: Query) -> Query:
 
 @query
 def file_discovery(spark, sf_dir):
-    found = files.with_file_id(files.read_files(spark, sf_dir, ".parquet"))
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length", "doc_id")
+    """The files below the folder, listed without reading them."""
+    found = files.read_files(spark, sf_dir, ".parquet")
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length")
 
 
 @query
@@ -117,6 +119,40 @@ def source_select(spark, sf_dir):
     return routing.select_source(routes_of(native), native, ocr).select("doc_id", "page_no", "text", "routed")
 
 
+def _uneven(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Native and OCR pages of which some documents lack the one or the other,
+    or have fewer native pages than OCR pages."""
+    pages, kind = inputs.routed_pages(spark, sf_dir), F.col("doc_id") % 6
+    native = pages.filter((kind != 5) & ((kind != 4) | (F.col("page_no") == 0))).select(
+        "doc_id", "page_no", F.when(kind == 4, 1).otherwise(F.col("n_pages")).alias("n_pages"), F.col("native_text").alias("text")
+    )
+    ocr = pages.filter(kind != 3).select("doc_id", "page_no", "n_pages", F.col("fallback_text").alias("text"))
+    return native, ocr
+
+
+@query
+def uneven_sources(spark, sf_dir):
+    """Routes and chosen pages where the two page tables hold different documents, in blocks of two pages."""
+    native, ocr = _uneven(spark, sf_dir)
+    cfg = EngineConfig(block_pages=2)
+    routes = routes_of(native, cfg, ocr_pages=ocr)
+    chosen = routing.select_source(routes, native, ocr, 2).groupBy("doc_id").agg(
+        F.count("*").alias("pages"), F.sum(F.length("text")).alias("chars")
+    )
+    return routes.drop("pages").join(chosen, "doc_id", "left").select(
+        "doc_id", "num_pages", F.round("text_page_ratio", 6).alias("text_page_ratio"), "router", "route_reason", "routed",
+        F.coalesce("pages", F.lit(0)).alias("pages"), F.coalesce("chars", F.lit(0)).alias("chars"),
+    )
+
+
+@query
+def uneven_bundle(spark, sf_dir):
+    """Bundles of the same pages, parts of two pages folded back into documents."""
+    native, ocr = _uneven(spark, sf_dir)
+    bundles = ingest(native, EngineConfig(language="off", tables="off", block_pages=2), ocr_pages=ocr)
+    return _folded(bundles).select("doc_id", "text", "routed", "token_count", "n_slices")
+
+
 @query
 def ocr_fallback(spark, sf_dir):
     pages = inputs.routed_pages(spark, sf_dir)
@@ -224,6 +260,17 @@ def language_tag(spark, sf_dir):
     return language.tag_language(docs, profiles).select("doc_id", "language")
 
 
+@query
+def language_holdout(spark, sf_dir):
+    """Tags of every fifth document by profiles of the others, copies of a text folded first."""
+    docs = identity.dedup_exact(
+        inputs.documents(spark, sf_dir, "lang", "text").withColumn("content_id", identity.content_id("text")), "doc_id", "content_id"
+    )
+    held = F.col("doc_id") % 5 == 0
+    profiles = language.fit_language_profiles(docs.filter(~held))
+    return language.tag_language(docs.filter(held), profiles).join(docs.select("doc_id", "lang"), "doc_id").select("doc_id", "lang", "language")
+
+
 # --- tables -----------------------------------------------------------------
 
 
@@ -410,9 +457,47 @@ def bundle(spark, sf_dir):
     )
 
 
+def _folded(bundles: DataFrame) -> DataFrame:
+    """One row per document of a bundle in parts."""
+    part = F.struct("part_no", "text", "page_slices", "page_offsets")
+    rows = bundles.groupBy("doc_id").agg(
+        F.sort_array(F.collect_list(part)).alias("p"), F.max("n_parts").alias("n_parts"), F.first("routed").alias("routed"),
+        F.first("language").alias("language"), F.first("meta").alias("meta"),
+    )
+    return rows.select(
+        "doc_id", "n_parts", F.array_join("p.text", "").alias("text"),
+        F.array_join(F.flatten("p.page_slices"), "\f").alias("slices"),
+        F.array_join(F.flatten("p.page_offsets").cast("array<string>"), ",").alias("offsets"),
+        F.size(F.flatten("p.page_slices")).alias("n_slices"), "routed", "language", "meta", F.col("meta.token_count").alias("token_count"),
+    )
+
+
+@query
+def bundle_long(spark, sf_dir):
+    """The bundles in parts of two pages, folded back: the same documents as ``bundle``."""
+    meta = F.col("meta")
+    folded = _folded(ingest(inputs.decorated_pages(spark, sf_dir), EngineConfig(language="off", block_pages=2)))
+    return folded.select(
+        "doc_id", F.lit(0).alias("part_no"), F.lit(1).alias("n_parts"), "text", "slices", "offsets", "routed", "language",
+        meta["probe"]["num_pages"].alias("num_pages"), F.round(meta["probe"]["text_page_ratio"], 6).alias("text_page_ratio"),
+        meta["route_reason"].alias("route_reason"), "token_count",
+    )
+
+
 @query
 def docmeta(spark, sf_dir):
-    return assembly.to_docmeta(_bundles(spark, sf_dir))
+    """The metadata records, read back from their JSON text."""
+    kind = (
+        "doc_id bigint, part_no int, routed string, language string, page_offsets array<bigint>, meta struct<"
+        "probe: struct<num_pages: int, text_page_ratio: double>, route_reason: string, token_count: bigint, tables: struct<count: bigint>>"
+    )
+    made = assembly.to_docmeta(_bundles(spark, sf_dir)).select(F.from_json("docmeta", kind).alias("d"))
+    return made.select(
+        "d.doc_id", "d.part_no", "d.routed", "d.language",
+        F.array_join(F.col("d.page_offsets").cast("array<string>"), ",").alias("offsets"),
+        "d.meta.probe.num_pages", F.round("d.meta.probe.text_page_ratio", 6).alias("text_page_ratio"),
+        "d.meta.route_reason", "d.meta.token_count", F.col("d.meta.tables.count").alias("n_tables"),
+    )
 
 
 @query
@@ -440,7 +525,7 @@ def ingest_documents(spark, sf_dir):
     ocr = pages.select("doc_id", "page_no", "n_pages", "text")
     bundles = ingest(native, EngineConfig(tables="off"), ocr_pages=ocr, profiles=profiles)
     return assembly.summary(
-        bundles, "out", F.col("meta.probe.num_pages").alias("num_pages"), F.sha2("text", 256).alias("text_hash")
+        bundles, "out", F.col("meta.probe.num_pages").alias("num_pages"), fingerprint=True
     )
 
 
@@ -464,6 +549,17 @@ def stream_dedup(spark, sf_dir):
     return stream.drain_new(stream.dedup_stream(docs, "source_id").select("doc_id"))
 
 
+@query
+def stream_upsert(spark, sf_dir):
+    """Every document in a first batch, half of them changed in a second: one row each is left."""
+    docs = inputs.documents(spark, sf_dir, "text")
+    path = f"{shared_dir(spark)}/upsert-{uuid.uuid4().hex}"
+    write = stream.upsert_batch(path, EngineConfig(language="off", tables="off"), lambda df: paging.paginate(df, inputs.LINES_PER_PAGE))
+    write(docs, 0)
+    write(docs.filter(F.col("doc_id") % 2 == 0).withColumn("text", F.concat(F.lit("Changed. "), F.coalesce("text", F.lit("")))), 1)
+    return stream.latest(spark, path).select("doc_id", F.expr("text LIKE 'Changed. %'").alias("changed"), F.length("text").alias("chars"))
+
+
 @query
 def stream_pages(spark, sf_dir):
     path = f"{sf_dir}/conversations.parquet"

@@ -14,11 +14,35 @@ from folioworks.operators.language import LanguageProfiles, tag_language
 from folioworks.session import materialize
 
 
-def routes_of(pages: DataFrame, cfg: EngineConfig = EngineConfig(), has_ocr: bool = True) -> DataFrame:
-    """One row per document: probe figures, router choice and final route."""
+def routes_of(
+    pages: DataFrame, cfg: EngineConfig = EngineConfig(), has_ocr: bool = True, ocr_pages: DataFrame | None = None
+) -> DataFrame:
+    """One row per document: probe figures, router choice, final route and pages of its source.
+
+    With ``ocr_pages``, documents that have OCR pages only are there too, with
+    no text page among none, and OCR is available to those documents that have
+    OCR pages. Without, ``has_ocr`` says so for all. ``n_pages`` counts the
+    pages of the chosen source.
+    """
     probed = routing.probe(pages, cfg.max_pages_probe)
-    chosen = routing.route(probed, cfg.min_text_page_ratio)
-    return routing.resolve_route(chosen, cfg.ocr_engine, cfg.ocr_available and has_ocr)
+    if ocr_pages is None:
+        chosen = routing.route(probed, cfg.min_text_page_ratio)
+        return routing.resolve_route(chosen, cfg.ocr_engine, cfg.ocr_available and has_ocr).withColumn(
+            "n_pages", F.col("num_pages")
+        )
+    counts = routing.page_counts(ocr_pages, cfg.block_pages).withColumnRenamed("n_pages", "_ocr_pages")
+    every = probed.join(counts, "doc_id", "full").withColumns(
+        {
+            "num_pages": F.coalesce("num_pages", F.lit(0)),
+            "text_pages": F.coalesce("text_pages", F.lit(0)),
+            "text_page_ratio": F.coalesce("text_page_ratio", F.lit(0.0)),
+            "pages": F.coalesce("pages", F.array().cast(probed.schema["pages"].dataType)),
+        }
+    )
+    chosen = routing.route(every, cfg.min_text_page_ratio)
+    available = F.col("_ocr_pages").isNotNull() & F.lit(cfg.ocr_available and has_ocr)
+    resolved = routing.resolve_route(chosen, cfg.ocr_engine, available)
+    return resolved.withColumn("n_pages", F.when(F.col("use_ocr"), F.col("_ocr_pages")).otherwise(F.col("num_pages"))).drop("_ocr_pages")
 
 
 def collect_tables(
@@ -51,16 +75,21 @@ def ingest(
     """Bundles of all documents of a page table.
 
     ``ocr_pages`` is the page table an OCR engine made, ``tables`` the raw
-    tables of layout engines, ``profiles`` a fitted language model.
+    tables of layout engines, ``profiles`` a fitted language model. Documents
+    are those of either page table. Routes are settled from narrow rows first,
+    so only the texts of each document's source are gathered.
     """
-    routes = routes_of(pages, cfg, ocr_pages is not None)
+    if cfg.language == "auto" and profiles is None:
+        raise ValueError('language="auto" needs profiles: fit them, or set language="off"')
+    routes = routes_of(pages, cfg, ocr_pages is not None, ocr_pages)
     b = cfg.block_pages
-    native = prepare(pages, b)
-    parts, long_pages = gather(native, b), only_long(native, b)
+    source = prepare(pages, b)
     if ocr_pages is not None:
-        scanned = prepare(ocr_pages, b)
-        parts = routing.select_source_parts(routes, parts, gather(scanned, b), b)
-        long_pages = routing.select_source(routes, long_pages, only_long(scanned, b), b)
+        # read by several branches: routes are a narrow row per document
+        routes = materialize(routes)
+        source = routing.select_source(routes, source, prepare(ocr_pages, b), b).drop("routed")
+        source = prepare(source, b)
+    parts, long_pages = gather(source, b), only_long(source, b)
     parts = assembly.concat_parts(clean_parts(parts, long_pages, cfg), cfg.page_sep, b)
     languages = None
     if profiles is not None and cfg.language == "auto":

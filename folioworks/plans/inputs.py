@@ -16,10 +16,10 @@ PARTS_PER_PAGE = 250
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A given table. One with fewer splits than cores is spread by ``key``."""
+    """A given table. One with fewer files than cores is spread by ``key``."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

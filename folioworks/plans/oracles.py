@@ -550,7 +550,59 @@ source_pages AS (
   FROM native_pages n JOIN decorated_pages d USING (doc_id, page_no) JOIN routed r USING (doc_id)),
 {chain('source_pages')},
 doc_texts AS (SELECT doc_id, string_agg(text, '' ORDER BY page_no) AS text FROM clean_pages GROUP BY doc_id),
+page_starts AS (
+  SELECT doc_id, text, CAST(coalesce(sum(length(text)) OVER (PARTITION BY doc_id ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_at
+  FROM clean_pages),
+marks AS (
+  SELECT doc_id, CAST(sum(CAST(('0x' || substr(sha256(start_at || ':' || text), 1, 15)) AS BIGINT)) AS VARCHAR) AS text_fingerprint
+  FROM page_starts GROUP BY doc_id),
 {language('doc_texts', 'documents').strip()}
 SELECT d.doc_id, 'out/' || d.doc_id AS out, r.router AS routed, t.language, {tokens('d.text')} AS token_count,
-       r.num_pages, sha256(d.text) AS text_hash
-FROM doc_texts d JOIN routed r USING (doc_id) JOIN tags t USING (doc_id)"""
+       r.num_pages, f.text_fingerprint
+FROM doc_texts d JOIN routed r USING (doc_id) JOIN tags t USING (doc_id) JOIN marks f USING (doc_id)"""
+
+ORACLES["bundle_long"] = ORACLES["bundle"]
+
+ORACLES["docmeta"] = f"""SELECT doc_id, part_no, routed, language, offsets, num_pages, text_page_ratio, route_reason, token_count, 0 AS n_tables
+FROM ({ORACLES["bundle"]})"""
+
+ORACLES["stream_upsert"] = f"""WITH kept AS (
+  SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'Changed. ' ELSE '' END || coalesce(text, '') AS text, 'x' AS source FROM documents),
+{TEXT_PAGES.replace("FROM documents)", "FROM kept)")}, {chain('text_pages')},
+doc_texts AS (SELECT doc_id, string_agg(text, '' ORDER BY page_no) AS text FROM clean_pages GROUP BY doc_id)
+SELECT doc_id, text LIKE 'Changed. %' AS changed, length(text) AS chars FROM doc_texts"""
+
+ORACLES["language_holdout"] = f"""WITH held_docs AS (
+  SELECT min(doc_id) AS doc_id, arg_min(lang, doc_id) AS lang, any_value(text) AS text FROM documents GROUP BY {CONTENT_ID}),
+taught AS (SELECT * FROM held_docs WHERE doc_id % 5 <> 0), asked AS (SELECT * FROM held_docs WHERE doc_id % 5 = 0),
+{language('asked', 'taught').strip()}
+SELECT doc_id, lang, language FROM tags JOIN asked USING (doc_id)"""
+
+_UNEVEN = f"""{ROUTED},
+native_pages AS (
+  SELECT doc_id, page_no, CASE WHEN doc_id % 6 = 4 THEN 1 ELSE n_pages END AS n_pages, native_text AS text
+  FROM routed_pages WHERE doc_id % 6 <> 5 AND (doc_id % 6 <> 4 OR page_no = 0)),
+ocr_pages AS (SELECT doc_id, page_no, n_pages, fallback_text AS text FROM routed_pages WHERE doc_id % 6 <> 3),
+{probing('native_pages', 'text')},
+ids AS (SELECT DISTINCT doc_id FROM routed_pages),
+decided AS (
+  SELECT doc_id, coalesce(num_pages, 0) AS num_pages, coalesce(text_page_ratio, 0) AS text_page_ratio,
+    coalesce(router, 'ocr') AS router, coalesce(router, 'ocr') = 'ocr' AND doc_id % 6 <> 3 AS use_ocr,
+    CASE WHEN router = 'non_ocr' THEN 'router_non_ocr' WHEN doc_id % 6 = 3 THEN 'ocr_engine_missing' ELSE 'router_ocr' END AS route_reason
+  FROM ids LEFT JOIN routed USING (doc_id)),
+source_pages AS (
+  SELECT n.* FROM native_pages n JOIN decided d USING (doc_id) WHERE NOT d.use_ocr
+  UNION ALL SELECT o.* FROM ocr_pages o JOIN decided d USING (doc_id) WHERE d.use_ocr)"""
+
+ORACLES["uneven_sources"] = f"""WITH {_UNEVEN},
+sizes AS (SELECT doc_id, count(*) AS pages, sum(length(text)) AS chars FROM source_pages GROUP BY doc_id)
+SELECT doc_id, num_pages, round(text_page_ratio, 6) AS text_page_ratio, router, route_reason,
+       CASE WHEN use_ocr THEN 'ocr' ELSE 'non_ocr' END AS routed, coalesce(pages, 0) AS pages, CAST(coalesce(chars, 0) AS BIGINT) AS chars
+FROM decided LEFT JOIN sizes USING (doc_id)"""
+
+ORACLES["uneven_bundle"] = f"""WITH {_UNEVEN}, {chain('source_pages')},
+doc_texts AS (SELECT doc_id, string_agg(text, '' ORDER BY page_no) AS text, count(*) AS n_slices FROM clean_pages GROUP BY doc_id),
+filled AS (
+  SELECT d.doc_id, coalesce(t.text, '') AS text, CASE WHEN d.use_ocr THEN 'ocr' ELSE 'non_ocr' END AS routed, coalesce(t.n_slices, 0) AS n_slices
+  FROM decided d LEFT JOIN doc_texts t USING (doc_id))
+SELECT doc_id, text, routed, {tokens('text')} AS token_count, n_slices FROM filled"""

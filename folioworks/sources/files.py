@@ -50,6 +50,8 @@ def markdown_pages(pages: DataFrame, mode: str) -> DataFrame:
     return pages if mode == "markdown" else pages.filter(F.lit(False))
 
 
+#: Page rows that an extractor task hands on at once, at most.
+PIECE_ROWS = 1000
 PAGE_SCHEMA = "doc_id string, page_no int, n_pages int, text string, error string"
 
 
@@ -58,23 +60,33 @@ def extract_with(files: DataFrame, make_extractor: Callable[[], Callable[[bytes]
 
     ``files`` has ``doc_id, content``. ``make_extractor`` is called once per
     task, so a model is loaded once there. A document it fails on gives one row
-    with ``error`` and no text; all others go on.
+    with ``error`` and no text, and one without pages a row with ``n_pages`` 0
+    and an empty text; all others go on. Pages leave a task in pieces of
+    ``PIECE_ROWS``. A batch holds whole files: for large ones set
+    ``spark.sql.execution.arrow.maxRecordsPerBatch`` to what a task can hold.
     """
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
 
+        def frame(rows: list) -> pd.DataFrame:
+            out = pd.DataFrame(rows, columns=["doc_id", "page_no", "n_pages", "text", "error"])
+            return out.astype({"page_no": "Int32", "n_pages": "Int32"})
+
         extract = make_extractor()
         for batch in batches:
             rows = []
             for doc_id, content in zip(batch["doc_id"], batch["content"]):
                 try:
                     texts = list(extract(bytes(content)))
-                    rows += [(doc_id, i, len(texts), t or "", None) for i, t in enumerate(texts)]
+                    pages = [(doc_id, i, len(texts), t or "", None) for i, t in enumerate(texts)]
+                    rows += pages or [(doc_id, 0, 0, "", None)]
                 except Exception as e:  # one document's failure is data
                     rows.append((doc_id, None, None, None, f"{type(e).__name__}: {e}"))
-            out = pd.DataFrame(rows, columns=["doc_id", "page_no", "n_pages", "text", "error"])
-            yield out.astype({"page_no": "Int32", "n_pages": "Int32"})
+                while len(rows) >= PIECE_ROWS:
+                    yield frame(rows[:PIECE_ROWS])
+                    rows = rows[PIECE_ROWS:]
+            yield frame(rows)
 
     return files.select("doc_id", "content").mapInPandas(run, PAGE_SCHEMA)
 

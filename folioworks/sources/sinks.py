@@ -56,8 +56,7 @@ def write_tables(named: DataFrame, path: str) -> None:
 
 
 def save_page_table(pages: DataFrame, table: str, buckets: int, block_pages: int = BLOCK_PAGES) -> None:
-    """A page table bucketed by (doc_id, block). Cleaning it with
-    ``partitioned=True`` joins on the buckets and shuffles no page text."""
+    """A page table bucketed by (doc_id, block): gathering it shuffles no page text."""
     (
         prepare(pages, block_pages)
         .write.mode("overwrite")

@@ -11,15 +11,24 @@ from pyspark.sql import functions as F
 from folioworks.config import EngineConfig
 from folioworks.operators.blocks import BLOCK_PAGES
 from folioworks.operators.identity import content_id
+from folioworks.operators.language import LanguageProfiles
 from folioworks.plans.ingest import ingest
 from folioworks.session import shared_dir
 
 SALTS = 32
 
 
-def stream_docs(spark: SparkSession, path: str, schema, files_per_trigger: int = 1000, glob: str | None = None) -> DataFrame:
-    """Arriving parquet files of documents, with ``doc_id`` and ``arrived``."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+def stream_docs(
+    spark: SparkSession, path: str, schema, files_per_trigger: int = 1000, glob: str | None = None, max_file_age: str = "365d"
+) -> DataFrame:
+    """Arriving parquet files of documents, with ``doc_id`` and ``arrived``.
+
+    ``arrived`` is the time of the micro-batch that first sees a row, which never
+    runs behind the watermark: a file with an old time stamp is not late. Spark
+    passes over files that are ``max_file_age`` older than the newest one it has
+    seen, and remembers the names of those that are younger.
+    """
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).option("maxFileAge", max_file_age)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     docs = reader.parquet(path)
@@ -27,7 +36,7 @@ def stream_docs(spark: SparkSession, path: str, schema, files_per_trigger: int =
         *[c for c in docs.columns if c != "doc_id"],
         *([F.col("doc_id").alias("source_id")] if "doc_id" in docs.columns else []),
         content_id("text").alias("doc_id"),
-        F.col("_metadata.file_modification_time").alias("arrived"),
+        F.current_timestamp().alias("arrived"),
     )
 
 
@@ -51,13 +60,17 @@ def assemble_pages(pages: DataFrame, gap: str = "10 minutes", delay: str = "1 ho
     """Pages that arrive one by one, put together when their document is quiet.
 
     ``pages`` has ``doc_id, page_no, text, arrived``. A session holds the pages
-    of one block of a document, so state per key is bounded.
+    of one block of a document, so state per key is bounded. ``arrived`` should
+    be the time of arrival, as ``stream_docs`` gives it: rows behind the
+    watermark are dropped. A block whose pages come more than ``gap`` apart
+    gives one row per session; ``merge_sessions`` makes them one again.
     """
     block = F.floor(F.col("page_no") / block_pages).cast("int")
     return (
         pages.withWatermark("arrived", delay)
         .groupBy("doc_id", block.alias("part_no"), F.session_window("arrived", gap).alias("_window"))
-        .agg(F.sort_array(F.collect_list(F.struct("page_no", "text"))).alias("_pages"))
+        # a set, so that repeated deliveries of a page add nothing to the state
+        .agg(F.sort_array(F.collect_set(F.struct("page_no", "text"))).alias("_pages"))
         .select(
             "doc_id",
             "part_no",
@@ -68,17 +81,39 @@ def assemble_pages(pages: DataFrame, gap: str = "10 minutes", delay: str = "1 ho
     )
 
 
-def upsert_batch(path: str, cfg: EngineConfig = EngineConfig(), prepare=None):
+def merge_sessions(sessions: DataFrame) -> DataFrame:
+    """Rows of ``assemble_pages`` with the sessions of one (doc_id, part_no) put together; of a page's texts the last in order stays."""
+    page = F.explode(F.arrays_zip(F.col("page_nos").alias("page_no"), F.col("page_texts").alias("text")))
+    once = sessions.select("doc_id", "part_no", page.alias("p")).groupBy("doc_id", "part_no", "p.page_no").agg(F.max("p.text").alias("text"))
+    return (
+        once.groupBy("doc_id", "part_no")
+        .agg(F.sort_array(F.collect_list(F.struct("page_no", "text"))).alias("_pages"))
+        .select("doc_id", "part_no", F.size("_pages").alias("n_pages"), F.col("_pages.page_no").alias("page_nos"), F.col("_pages.text").alias("page_texts"))
+    )
+
+
+def latest(spark: SparkSession, path: str) -> DataFrame:
+    """The output of ``upsert_batch`` by document: all parts of the last batch that brought it.
+
+    The last batch of each document is a hash aggregate over narrow rows.
+    """
+    rows = spark.read.parquet(path)
+    last = rows.groupBy("doc_id").agg(F.max("batch_id").alias("batch_id"))
+    return rows.join(last, ["doc_id", "batch_id"], "left_semi").drop("batch_id")
+
+
+def upsert_batch(path: str, cfg: EngineConfig = EngineConfig(), prepare=None, profiles: LanguageProfiles | None = None):
     """A foreachBatch function: the batch pipeline, written under the batch id.
 
     A batch that is run again after a failure replaces its own folder, so the
-    output holds every batch exactly once. ``prepare`` turns the arrived rows
-    into a page table.
+    output holds every batch exactly once. A document that comes again in a later
+    batch replaces its earlier form in ``latest``. ``prepare`` turns the arrived
+    rows into a page table; ``profiles`` are needed where languages are tagged.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         pages = prepare(batch) if prepare else batch
-        ingest(pages, cfg).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        ingest(pages, cfg, profiles=profiles).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 

