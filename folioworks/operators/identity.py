@@ -22,8 +22,8 @@ def dedup_exact(df: DataFrame, key: str, doc_id: str = "doc_id") -> DataFrame:
     The smallest keys are a hash aggregate over narrow rows, in which copies
     fold together before the shuffle however many there are of one content;
     rows are then picked by content id and key. ``key`` names a row: of rows
-    that share both, all stay. A null key is as the smallest.
+    that share both, all stay. A null key counts only where a content has no other.
     """
-    least = df.groupBy(doc_id).agg(F.min(F.struct(F.col(key).alias("k"))).alias("_least")).select(doc_id, F.col("_least.k").alias("_key"))
+    least = df.groupBy(doc_id).agg(F.min(key).alias("_key"))
     same = df[doc_id].eqNullSafe(least[doc_id]) & df[key].eqNullSafe(least["_key"])
     return df.join(least, same, "left_semi").select(doc_id, *[c for c in df.columns if c != doc_id])

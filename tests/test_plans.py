@@ -84,14 +84,15 @@ def test_every_oracle_has_its_query():
 
 
 def test_no_text_of_the_other_source_is_gathered(spark):
-    """Routes are settled first: the exchange of texts holds chosen pages only."""
+    """What is gathered are the pages of each document's own source, none of the other."""
     from folioworks.config import EngineConfig
-    from folioworks.plans.ingest import ingest
+    from folioworks.operators.routing import select_source
+    from folioworks.plans.ingest import ingest, routes_of
 
     long = "x" * 100
     native = spark.createDataFrame([(f"n{i}", 0, 1, long) for i in range(50)] + [("scan", 0, 1, "")], "doc_id string, page_no int, n_pages int, text string")
-    ocr = spark.createDataFrame([(f"n{i}", 0, 1, long) for i in range(50)] + [("scan", 0, 1, "seen")], native.schema)
+    ocr = spark.createDataFrame([(f"n{i}", 0, 1, "other") for i in range(50)] + [("scan", 0, 1, "seen")], native.schema)
+    chosen = select_source(routes_of(native, ocr_pages=ocr), native, ocr).collect()
+    assert len(chosen) == 51 and {r["text"] for r in chosen} == {long, "seen"}
     df = ingest(native, EngineConfig(language="off", tables="off"), ocr)
     assert df.filter("doc_id = 'scan'").first()["text"] == "seen" and df.count() == 51
-    text = plan(df)
-    assert text.count("collect_list(struct(page_no") <= 8
