@@ -247,7 +247,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
             order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
             lead = F.min(F.struct(order.alias("order"), "rep", "c")).over(by_band)
             pairs = several.withColumn("lead", lead).select(F.col("lead.rep").alias("a"), F.col("rep").alias("b"), F.col("lead.c").alias("ac"), F.col("c").alias("bc"))
-            pairs = pairs.filter("ac <> bc").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            pairs = pairs.filter("ac <> bc").select("a", "b")
+            # At first one comparison per member is enough: most then share a component.
+            pairs = pairs.groupBy("b").agg(F.min("a").alias("a")) if turn == 0 else pairs.distinct()
             facts = groups.select("rep", "n", "bits")
             pairs = pairs.join(facts.toDF("a", "an", "abits"), "a").join(facts.toDF("b", "bn", "bbits"), "b").filter(_may_link(percent))
         else:
