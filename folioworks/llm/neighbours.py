@@ -4,7 +4,9 @@ Centroids are fitted on a bounded sample in one task, with large clusters split,
 by a neighbour graph that every task holds in memory. Every vector is then indexed: a beam
 search of the graph finds its nearest centroids, and a vector near a boundary enters all
 lists whose distance is within ``REPLICATE`` times the least one. Queries search the same
-graph and take the lists within ``PRUNE`` times their least distance.
+graph and open lists, nearest first, until these hold 2 * ``COPIES`` * (k + 1) vec_ids, then all
+lists within ``PRUNE`` times the distance reached, or times that of a typical query if it is
+more. A query that still has fewer than ``k`` rows searches all lists.
 
 Largest inner product becomes least distance by one more coordinate, sqrt(M^2 - |x|^2), for
 the indexed vectors and 0 for the queries. Lists longer than ``CHUNK`` are cut in chunks that
@@ -43,6 +45,8 @@ class Centroids:
     """Centroids and a graph between near ones."""
 
     def __init__(self, points: np.ndarray):
+        #: Least distance of the median query.
+        self.typical = 0.0
         self.points = points.astype(np.float64)
         self.squares = (self.points**2).sum(1)
         n = len(points)
@@ -112,7 +116,13 @@ def fit_centroids(sample: np.ndarray, count: int) -> Centroids:
             if size[b] * 4 > size[a]:
                 break
             points[b] = sample[rng.choice(np.flatnonzero(best == a))]
-    return Centroids(np.unique(points, axis=0))
+    made = Centroids(np.unique(points, axis=0))
+    asking = np.column_stack([sample[:, :-1], np.zeros(len(sample))])
+    least = np.concatenate([
+        (made.squares[None, :] - 2 * asking[i : i + 2048] @ made.points.T).min(1) for i in range(0, len(asking), 2048)
+    ])
+    made.typical = float(np.sqrt(np.maximum(np.median(least + (asking**2).sum(1)), 0)))
+    return made
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -156,8 +166,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS)
     centroids = pickle.loads(sample.repartition(1).mapInArrow(fit, "model binary").first().model)
 
-    def assign(as_query: bool):
+    def assign(as_query: bool, held: np.ndarray | None = None):
         ratio, most = (PRUNE, BEAM) if as_query else (REPLICATE, COPIES)
+        enough = 2 * COPIES * (k + 1)
 
         def run(batches):
             for whole in batches:
@@ -166,7 +177,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
                     x = _matrix(batch.column(1))
                     x = np.column_stack([x, np.zeros(len(x))]) if as_query else _augmented(x, top)
                     ids, dist = centroids.search(x, BEAM if as_query else 2 * COPIES)
-                    taken = (dist <= ratio * dist[:, :1] + 1e-12) & (np.arange(ids.shape[1]) < most)
+                    reach = dist[:, :1]
+                    if as_query:
+                        opened = np.minimum((np.cumsum(held[ids], axis=1) < enough).sum(1), ids.shape[1] - 1)
+                        reach = np.maximum(dist[np.arange(len(dist)), opened], centroids.typical)[:, None]
+                    taken = (dist <= ratio * reach + 1e-12) & (np.arange(ids.shape[1]) < most)
                     row, col = np.nonzero(taken)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(ids[row, col]), *(c.take(pa.array(row)) for c in batch.columns)], names=["list", "vec_id", "embedding"]
@@ -176,43 +191,65 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
 
     schema = "list bigint, vec_id bigint, embedding array<double>"
     posted = materialize(rows.mapInArrow(assign(False), schema))
-    visits = materialize(asked.mapInArrow(assign(True), schema))
 
-    # Of each list, how many chunks of vectors and of queries; at most MOST_LISTS rows.
-    chunks = posted.groupBy("list").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    turns = visits.groupBy("list").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("turns"))
-    plan = F.broadcast(chunks.join(turns, "list"))
-    chunk = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = posted.join(plan, "list").select("list", chunk("chunks").alias("chunk"), every("turns").alias("turn"), "vec_id", "embedding")
-    right = visits.join(plan, "list").select("list", every("chunks").alias("chunk"), chunk("turns").alias("turn"), "vec_id", "embedding")
+    # Of each list, its vec_ids and how many chunks of vectors; at most MOST_LISTS rows.
+    chunks = posted.groupBy("list").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"), F.countDistinct("vec_id").alias("ids"))
+    chunks = materialize(chunks)
+    held = np.zeros(len(centroids.points), dtype=np.int64)
+    for r in chunks.collect():
+        held[r.list] = r.ids
 
     def best(candidates: pa.Table, asking: pa.Table) -> pa.Table:
         out = [[], [], []]
         if candidates.num_rows and asking.num_rows:
+            candidates = candidates.sort_by("vec_id")
             ids, x = np.asarray(candidates["vec_id"]), _matrix(candidates["embedding"].combine_chunks())
+            starts = np.flatnonzero(np.diff(ids, prepend=ids[0] - 1))
             query_ids, q = np.asarray(asking["vec_id"]), _matrix(asking["embedding"].combine_chunks())
             for i in range(0, len(q), 256):
                 rough = q[i : i + 256] @ x.T
                 rough[query_ids[i : i + 256, None] == ids[None, :]] = -np.inf
-                m = min(k, len(ids))
-                cut = np.partition(rough, len(ids) - m, axis=1)[:, len(ids) - m]
+                # Rows of one vec_id are one candidate.
+                each = np.maximum.reduceat(rough, starts, axis=1) if len(starts) < len(ids) else rough
+                m = min(k, len(starts))
+                cut = np.partition(each, len(starts) - m, axis=1)[:, len(starts) - m]
                 row, col = np.nonzero((rough >= (cut - 1e-9 * (1 + np.abs(cut)))[:, None]) & np.isfinite(rough))
                 exact = (q[i + row] * x[col]).sum(axis=1)
+                order = np.lexsort((-exact, ids[col], row))
+                row, col, exact = row[order], col[order], exact[order]
+                new = (np.diff(row, prepend=-1) != 0) | (np.diff(ids[col], prepend=0) != 0)
+                row, col, exact = row[new], col[new], exact[new]
                 order = np.lexsort((ids[col], -exact, row))
                 row, col, exact = row[order], col[order], exact[order]
                 first = np.searchsorted(row, np.arange(len(q)))
                 keep = np.arange(len(row)) - first[row] < k
-                for held, values in zip(out, (query_ids[i + row[keep]], ids[col[keep]], exact[keep]), strict=True):
-                    held.append(values)
+                for kept, values in zip(out, (query_ids[i + row[keep]], ids[col[keep]], exact[keep]), strict=True):
+                    kept.append(values)
         arrays = [np.concatenate(h) if h else np.zeros(0) for h in out]
         return pa.table({"query_id": pa.array(arrays[0], pa.int64()), "vec_id": pa.array(arrays[1], pa.int64()), "score": pa.array(arrays[2], pa.float64())})
 
     key = ["list", "chunk", "turn"]
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(best, "query_id bigint, vec_id bigint, score double")
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    chunk = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def search(visits: DataFrame) -> DataFrame:
+        turns = visits.groupBy("list").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("turns"))
+        plan = F.broadcast(chunks.join(turns, "list"))
+        left = posted.join(plan, "list").select("list", chunk("chunks").alias("chunk"), every("turns").alias("turn"), "vec_id", "embedding")
+        right = visits.join(plan, "list").select("list", every("chunks").alias("chunk"), chunk("turns").alias("turn"), "vec_id", "embedding")
+        found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(best, "query_id bigint, vec_id bigint, score double")
+        once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        ranked = once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        return materialize(ranked.select("query_id", "rank", "vec_id", "score"))
+
+    near = search(materialize(asked.mapInArrow(assign(True, held), schema)))
+    full = near.filter(F.col("rank") == k).select("query_id")
+    short = materialize(asked.join(full, asked["vec_id"] == full["query_id"], "left_anti"))
+    if short.isEmpty():
+        return near
+    wide = search(short.crossJoin(F.broadcast(chunks.select("list"))).select("list", "vec_id", "embedding"))
+    return near.join(full, "query_id", "left_semi").union(wide)
 
 
 def op6_neighbours(spark, sf_dir: str) -> DataFrame:

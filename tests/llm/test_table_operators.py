@@ -146,6 +146,51 @@ def test_odd_vectors_ties_and_small_chunks(spark, monkeypatch):
     assert [(r.query_id, r.rank) for r in neighbours.nearest(few, few.filter("vec_id = 0")).orderBy("rank").collect()] == [(0, 1), (0, 2)]
 
 
+@pytest.mark.parametrize("list_size, most_lists", [(128, 2000), (8, 2000)])
+def test_small_isolated_groups_have_all_ranks(spark, monkeypatch, list_size, most_lists):
+    """Groups of ten near copies far from all else, at few lists and at the most lists."""
+    monkeypatch.setattr(neighbours, "LIST_SIZE", list_size)
+    rng = np.random.default_rng(8)
+    loose, heads = rng.normal(size=(16_000, 12)), rng.normal(size=(40, 12))
+    x = np.concatenate([loose, np.repeat(heads, 10, axis=0) + 1e-6 * rng.normal(size=(400, 12))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = np.arange(len(x))
+    vectors = spark.createDataFrame([(int(i), v) for i, v in zip(ids, x.tolist(), strict=True)], "vec_id bigint, embedding array<double>")
+    asked = np.arange(16_000, 16_400, 4).tolist()
+    got = {}
+    for r in neighbours.nearest(vectors, vectors.filter(F.col("vec_id").isin(asked))).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert {q: len(v) for q, v in got.items()} == dict.fromkeys(asked, 20)
+    scores = x[asked] @ x.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    best = np.argsort(-scores, axis=1)[:, :20]
+    assert np.mean([len(got[q] & set(b.tolist())) / 20 for q, b in zip(asked, best, strict=True)]) >= 0.9
+
+
+def test_rows_of_one_id_do_not_crowd_out_others(spark):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(50, 5)).tolist()
+    rows = [(i, v) for i, v in enumerate(base)] + [(1, base[0])] * 100
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {r.rank: r.vec_id for r in neighbours.nearest(vectors, vectors.filter("vec_id = 0")).collect()}
+    want = dict.fromkeys([1] + [j for j in np.argsort(-(np.array(base) @ np.array(base[0])), kind="stable").tolist() if j > 1])
+    x, best = np.array(base), {}
+    for i, v in rows:
+        if i:
+            best[i] = max(best.get(i, -np.inf), float(np.dot(x[0], v)))
+    order = sorted(want, key=lambda i: (-best[i], i))[:20]
+    assert [got[r] for r in range(1, 21)] == order
+
+
+def test_queries_short_of_rows_search_all_lists(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BEAM", 1)
+    monkeypatch.setattr(neighbours, "LIST_SIZE", 4)
+    x = np.random.default_rng(10).normal(size=(200, 6))
+    vectors = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>")
+    got = neighbours.nearest(vectors, vectors.filter("vec_id < 20")).groupBy("query_id").count().collect()
+    assert len(got) == 20 and {r["count"] for r in got} == {20}
+
+
 def test_graph_search_finds_near_centroids():
     rng = np.random.default_rng(2)
     c = neighbours.Centroids(rng.normal(size=(500, 12)))
