@@ -1,14 +1,14 @@
 """Language of web pages: Bayesian fusion of text, declared markup language, address suffix and host.
 
 * Text: log likelihoods of hashed runs of three bytes under each language, from a bounded
-  labelled sample; long texts count as ``TEXT_RUNS`` runs, since runs are not independent.
+  number of labelled texts of each; long texts count as ``TEXT_RUNS`` runs, since runs are not independent.
 * Declared language and address suffix: P(declared | language) and P(suffix | language),
   counted over all pages by their text's best language, smoothed by one count.
 * Host: P(language | host) from the pages of the host other than the page itself, smoothed
   towards the host's registered domain, that towards all pages (``WEIGHT`` counts each).
 
-All counts are grouped aggregations over whole tables; the host's counts are joined back by
-host, the rest is a few numbers per language and suffix.
+All counts are grouped aggregations over whole tables and joined back by host, declared
+language and suffix; values that many pages share are joined in ``SALTS`` parts.
 
 Defined results: a page without text, host or declared language gets no evidence from it
 (null html or url alike); a page without any evidence gets the commonest language. Ties go to
@@ -22,19 +22,19 @@ import pickle
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioworks.llm.words import row_batches, slices
 from folioworks.session import materialize
 
-#: Labelled texts for the fit, at most, and languages, at most (those of most texts).
-SAMPLE_ROWS, MOST_LANGUAGES = 6000, 200
+#: Labelled texts of each language for the fit, at most.
+SAMPLE_ROWS = 6000
 BUCKETS = 1 << 16
 TEXT_RUNS = 60.0
 WEIGHT = 4.0
-#: Declared languages and suffixes that are counted by name; rarer ones count as one.
-MOST_NAMES = 1000
+#: Parts in which a value of more than one in ``SALTS`` pages is joined.
+SALTS = 64
 
 
 def visible(html: Column) -> Column:
@@ -67,27 +67,46 @@ def _runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_text(docs: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list[str], np.ndarray]:
-    """Languages and the log likelihood of each bucket under each, from the labelled texts of lowest hash."""
+    """Languages and the log likelihood of each bucket under each, from each language's texts of lowest hash."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    chosen = known.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).distinct()
-    found = known.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id").limit(2 * rows)
-
-    def run(batches):
-        counts: dict[str, np.ndarray] = {}
+    known = known.select("doc_id", "lang", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)).alias("hash"))
+    ids = known.select("lang", "doc_id", "hash").distinct()
+    # Languages of many texts are thinned by hash before they are ordered.
+    part = F.broadcast(ids.groupBy("lang").agg((F.lit(2.0 * rows) / F.count("*")).alias("part")))
+    few = ids.join(part, "lang").filter(F.col("hash") < F.col("part") * (1 << 40))
+    order = Window.partitionBy("lang").orderBy("hash", "doc_id")
+    chosen = few.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rows).select("lang", "doc_id", "hash")
+    found = known.join(F.broadcast(chosen), ["lang", "doc_id", "hash"], "left_semi")
+
+    def count(batches):
         for batch in row_batches(batches):
-            names = batch.column(0).to_pylist()
-            for first, part in slices(batch.column(1)):
-                bucket, doc = _runs(part)
-                for name in set(names[first : first + len(part)]):
-                    mine = np.array([x == name for x in names[first : first + len(part)]])
-                    counts[name] = counts.get(name, 0) + np.bincount(bucket[mine[doc]], minlength=BUCKETS)
-        most = sorted(counts, key=lambda name: (-counts[name].sum(), name))[:MOST_LANGUAGES]
-        languages = sorted(most)
-        table = np.array([counts[name] for name in languages], dtype=float).reshape(len(languages), BUCKETS)
-        logs = np.log((table + 0.5) / (table.sum(1, keepdims=True) + 0.5 * BUCKETS)).astype(np.float32)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((languages, logs))], pa.binary())], names=["model"])
-
-    made = found.select("lang", "text").repartition(1).mapInArrow(run, "model binary").first()
+            names = np.array(batch.column(0).to_pylist(), dtype=object)
+            for first, texts in slices(batch.column(1)):
+                bucket, doc = _runs(texts)
+                mine = names[first : first + len(texts)]
+                for name in set(mine):
+                    runs = np.bincount(bucket[(mine == name)[doc]], minlength=BUCKETS)
+                    # A language of texts without runs is one too.
+                    seen = np.union1d(np.flatnonzero(runs), [0])
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(seen)), pa.array(seen), pa.array(runs[seen])], names=["lang", "bucket", "n"])
+
+    def build(batches):
+        counts: dict[str, np.ndarray] = {}
+        for batch in batches:
+            names, bucket, n = batch.column(0).dictionary_encode(), batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            place = names.indices.to_numpy()
+            for i, name in enumerate(names.dictionary.to_pylist()):
+                counts.setdefault(name, np.zeros(BUCKETS, dtype=np.float32))[bucket[place == i]] = n[place == i]
+        languages = sorted(counts)
+        logs = np.empty((len(languages), BUCKETS), dtype=np.float32)
+        for i, name in enumerate(languages):
+            seen = counts.pop(name).astype(float)
+            logs[i] = np.log((seen + 0.5) / (seen.sum() + 0.5 * BUCKETS))
+        if languages:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((languages, logs))], pa.binary())], names=["model"])
+
+    counted = found.select("lang", "text").mapInArrow(count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    made = counted.repartition(1).mapInArrow(build, "model binary").first()
     return pickle.loads(made.model) if made else ([], np.zeros((0, BUCKETS), dtype=np.float32))
 
 
@@ -99,16 +118,30 @@ def _normal(column: Column) -> Column:
     return F.transform(powers, lambda v: v / total)
 
 
-def _conditional(pages: DataFrame, name: str, count: int) -> DataFrame:
-    """log P(value of ``name`` | language) for the values that most pages have, by language number."""
-    top = pages.filter(F.col(name).isNotNull()).groupBy(name, "best").count()
-    totals = {r.best: r.n for r in top.groupBy("best").agg(F.sum("count").alias("n")).collect()}
-    values = [r[name] for r in top.groupBy(name).agg(F.sum("count").alias("n")).orderBy(F.desc("n"), name).limit(MOST_NAMES).collect()]
-    seen = {(r[name], r.best): r["count"] for r in top.filter(F.col(name).isin(values)).collect()} if values else {}
-    rows = [
-        (v, [float(np.log((seen.get((v, k), 0) + 1.0) / (totals.get(k, 0) + len(values) + 1.0))) for k in range(count)]) for v in values
-    ]
-    return pages.sparkSession.createDataFrame(rows, f"{name} string, log_{name} array<double>")
+def _by_language(pages: DataFrame, name: str, count: int) -> DataFrame:
+    """Of each value of ``name``, ``by_<name>``: its pages by their text's best language."""
+    counts = pages.filter(F.col(name).isNotNull()).groupBy(name, "best").agg(F.count("*").alias("n"))
+    known = F.when(F.col("best").isNotNull(), F.struct("best", "n"))
+    held = counts.groupBy(name).agg(F.map_from_entries(F.collect_list(known)).alias("held"))
+    each = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda k: F.coalesce(F.element_at("held", k.cast("bigint")), F.lit(0).cast("bigint")))
+    return held.select(name, each.alias(f"by_{name}"))
+
+
+def _conditional(rows: DataFrame, pages: DataFrame, name: str, count: int) -> DataFrame:
+    """``rows``, made from ``pages``, with ``log_<name>``: log P(value of ``name`` | language), by language number."""
+    counts = materialize(_by_language(pages, name, count))
+    named = pages.filter(F.col(name).isNotNull())
+    totals = {r.best: r.n for r in named.filter(F.col("best").isNotNull()).groupBy("best").agg(F.count("*").alias("n")).collect()}
+    values, total = counts.count(), named.count()
+    size = F.lit([float(totals.get(k, 0)) for k in range(count)])
+    logs = F.zip_with(f"by_{name}", size, lambda c, t: F.log((c + 1.0) / (t + values + 1.0)))
+    # At most SALTS values.
+    common = [r[name] for r in named.groupBy(name).count().filter(F.col("count") * SALTS > total).collect()]
+    hot = F.col(name).isin(common) if common else F.lit(False)
+    salt = F.pmod(F.xxhash64("page_id", "host", "log_text"), F.lit(SALTS)).cast("int")
+    table = counts.select(name, logs.alias(f"log_{name}"), F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt"))
+    salted = rows.withColumn("salt", F.when(F.col(name).isNull() | hot, salt).otherwise(0))
+    return salted.join(table, [name, "salt"], "left").drop("salt")
 
 
 def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
@@ -146,26 +179,31 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     read = materialize(read)
 
     # Counts of best languages by host, domain and over all; then priors with the page's own vote taken out.
-    one = [F.sum(F.when(F.col("best") == k, 1).otherwise(0)).alias(f"c{k}") for k in range(n)]
-    counted = lambda key: read.filter(F.col(key).isNotNull()).groupBy(key).agg(F.array(*one).alias(f"by_{key}"))
-    everywhere = [r or 0 for r in read.agg(F.array(*one).alias("c")).first().c]
-    share = [(c + 1.0) / (sum(everywhere) + n) for c in everywhere]
-    own = lambda k: F.when(F.col("best") == k, 1).otherwise(0)
-    left_out = lambda name, k: F.coalesce(F.col(name)[k], F.lit(0)) - F.when(F.col(name).isNotNull(), own(k)).otherwise(0)
-    size = lambda name: sum((left_out(name, k) for k in range(n)), F.lit(0))
-    domain = [(left_out("by_domain", k) + WEIGHT * share[k]) / (F.col("domain_size") + WEIGHT) for k in range(n)]
-    prior = [F.log((left_out("by_host", k) + WEIGHT * F.col("by_domain_p")[k]) / (F.col("host_size") + WEIGHT)) for k in range(n)]
-
-    fused = read.join(counted("host"), "host", "left").join(counted("domain"), "domain", "left")
+    votes = {r.best: r.n for r in read.filter(F.col("best").isNotNull()).groupBy("best").agg(F.count("*").alias("n")).collect()}
+    total = sum(votes.values())
+    share = F.lit([(votes.get(k, 0) + 1.0) / (total + n) for k in range(n)])
+    none = F.lit([0] * n).cast("array<bigint>")
+
+    def left_out(name: str) -> Column:
+        """Counts of ``name`` without the page itself."""
+        own = lambda c, k: c - F.when(F.col("best") == k, 1).otherwise(0)
+        return F.when(F.col(name).isNotNull(), F.transform(name, own)).otherwise(none)
+
+    size = lambda name: F.aggregate(name, F.lit(0).cast("bigint"), lambda a, c: a + c)
+
+    fused = read.join(_by_language(read, "host", n), "host", "left").join(_by_language(read, "domain", n), "domain", "left")
     for name in ("declared", "suffix"):
-        fused = fused.join(F.broadcast(_conditional(read, name, n)), name, "left")
-    zero = F.array(*[F.lit(0.0)] * n)
+        fused = _conditional(fused, read, name, n)
+    fused = fused.withColumns({"by_host": left_out("by_host"), "by_domain": left_out("by_domain")})
     fused = fused.withColumns({"domain_size": size("by_domain"), "host_size": size("by_host")})
-    fused = fused.withColumn("by_domain_p", F.array(*domain)).withColumn("log_host", F.array(*prior))
+    domain = F.zip_with("by_domain", share, lambda c, s: (c + WEIGHT * s) / (F.col("domain_size") + WEIGHT))
+    prior = F.zip_with("by_host", F.col("by_domain_p"), lambda c, p: F.log((c + WEIGHT * p) / (F.col("host_size") + WEIGHT)))
+    fused = fused.withColumn("by_domain_p", domain).withColumn("log_host", prior)
+    zero = F.lit([0.0] * n)
     logs_of = [F.coalesce(c, zero) for c in ("log_text", "log_declared", "log_suffix", "log_host")]
     weight = F.transform(F.arrays_zip(*[c.alias(f"e{i}") for i, c in enumerate(logs_of)]), lambda e: e["e0"] + e["e1"] + e["e2"] + e["e3"])
     fused = fused.withColumn("p", _normal(weight)).withColumn("confidence", F.array_max("p"))
-    names = F.array(*[F.lit(x) for x in languages])
+    names = F.lit(languages)
     place = F.array_position("p", F.col("confidence"))
     return fused.select(
         "page_id", F.element_at(names, place.cast("int")).alias("lang"), "confidence",

@@ -233,6 +233,26 @@ def test_fusion_against_plain_sums(spark):
     assert got[23].lang == "de" and abs(got[23].confidence - share["de"]) < 0.2
 
 
+def test_rare_suffixes_and_languages_count_too(spark):
+    """More than 1,000 suffixes and 200 languages, and one language with most of the texts."""
+    texts = [(i, "the and with not from this", "en") for i in range(7000)] + [(10_000 + i, f"{chr(0x4E00 + i)}xyz" * 5, f"l{i:03d}") for i in range(210)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string, lang string")
+    languages, logs = page_language.fit_text(docs)
+    assert languages == sorted({lang for _, _, lang in texts}) and len(logs) == 211
+    fitted = spark.createDataFrame([t for t in texts if t[2] in ("en", "l001")], docs.schema)
+    words = {"en": "the and with not", "l001": texts[7001][1]}
+    page = lambda i, host, text: (i, f"https://{host}/a", f"<p>{text}</p>")
+    rows = [page(10 * i + j, f"h{j}.s{i:04d}", words["en"]) for i in range(1001) for j in range(3)]
+    rows += [page(50_000 + j, f"h{j}.zz", words["l001"]) for j in range(2)] + [page(60_000, "other.zz", "")]
+    got = {r.page_id: r for r in page_language.identify(spark.createDataFrame(rows, "page_id bigint, url string, html string"), fitted).collect()}
+    share = {"en": (3003 + 1) / (3005 + 2), "l001": (2 + 1) / (3005 + 2)}
+    suffix = {"en": 1 / (3003 + 1002 + 1), "l001": (2 + 1) / (2 + 1002 + 1)}
+    p = {k: share[k] * suffix[k] for k in share}
+    best = max(p, key=p.get)
+    assert got[60_000].lang == best and abs(got[60_000].confidence - p[best] / sum(p.values())) < 1e-9
+    assert len(got) == len(rows)
+
+
 def test_pages_without_rows_or_labels(spark, table, no_docs):
     pages = table("pages")
     assert page_language.identify(pages.limit(0), table("documents")).count() == 0
