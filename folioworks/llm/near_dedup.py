@@ -4,7 +4,8 @@
    the keys of its bands. SuperMinHash gives each element one random permutation of the
    slots and increasing ranks; an element stops as soon as its next rank can't lower any
    slot, which after the first few ranks is nearly always.
-2. Texts with equal sets form a class; from here on only class representatives count.
+2. Texts with equal sets form a class, which has a key of its own; from here on only one row
+   of each class counts. Several classes may have rows of one doc_id.
 3. In every band that spans several components, all members are compared with one of them,
    first the least, then in each round the first of another random order, so that bands of one
    group agree on a few members to compare with; after ``STAR_ROUNDS``, or a
@@ -14,7 +15,8 @@
    bits of each slot must agree as far as ``percent`` less 13 allows, some five standard
    deviations of the estimate.
 4. Pairs are confirmed on their full sets: 100 * intersection >= ``percent`` * union.
-5. Components of the links, found by ``components``, give the groups.
+5. Components of the links, found by ``components``, give the groups, each named by its
+   least doc_id.
 
 Signatures have ``BANDS`` * ``ROWS`` slots: two sets of similarity 0.8 share no band with
 probability 2e-6. Sets of fewer than four elements can only be linked when equal, so
@@ -143,11 +145,11 @@ def _names(elements: np.ndarray, doc: np.ndarray, count: int) -> list[np.ndarray
     return [n, *sums]
 
 
-SKETCH = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, bits array<bigint>"
+SKETCH = "doc_id bigint, text_hash bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, bits array<bigint>"
 
 
 def sketch(docs: DataFrame, words: int) -> DataFrame:
-    """Set size, two 64-bit sums that name the set, and the band keys of every row."""
+    """Hash of the text, set size, two 64-bit sums that name the set, and the band keys of every row."""
 
     def run(batches):
         for batch in row_batches(batches):
@@ -165,11 +167,11 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
                     for values in (band_keys(slots), packed_bits(slots))
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(texts)), pa.array(n), *map(pa.array, sums), *lists],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "bits"],
+                    [*(batch.column(c).slice(first, len(texts)) for c in (0, 2)), pa.array(n), *map(pa.array, sums), *lists],
+                    names=["doc_id", "text_hash", "n_shingles", "set_a", "set_b", "bands", "bits"],
                 )
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, SKETCH)
+    return docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text")).mapInArrow(run, SKETCH)
 
 
 def sets(docs: DataFrame, words: int) -> DataFrame:
@@ -195,8 +197,8 @@ def sets(docs: DataFrame, words: int) -> DataFrame:
 
 def confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full sets are similar enough."""
-    left = full.select(F.col("doc_id").alias("a"), F.col("elements").alias("x"))
-    right = full.select(F.col("doc_id").alias("b"), F.col("elements").alias("y"))
+    left = full.select(F.col("key").alias("a"), F.col("elements").alias("x"))
+    right = full.select(F.col("key").alias("b"), F.col("elements").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("x", "y"))
     similar = 100 * shared >= percent * (F.size("x") + F.size("y") - shared)
@@ -209,51 +211,53 @@ def _may_link(percent: int):
 
 
 def _merge(groups: DataFrame, links: DataFrame) -> DataFrame:
-    """``groups`` (rep, n, bits, c) with the components that ``links`` connect made one."""
-    named = groups.select("rep", "c")
+    """``groups`` (key, n, bits, c) with the components that ``links`` connect made one."""
+    named = groups.select("key", "c")
     ends = links.join(named.toDF("a", "ac"), "a").join(named.toDF("b", "bc"), "b").select(F.col("ac").alias("a"), F.col("bc").alias("b"))
     joined = components(ends.distinct()).toDF("c", "merged")
-    return groups.join(joined, "c", "left").select("rep", "n", "bits", F.coalesce("merged", "c").alias("c"))
+    return groups.join(joined, "c", "left").select("key", "n", "bits", F.coalesce("merged", "c").alias("c"))
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
+def _found(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
     sketched = materialize(sketch(docs, words))
     name = ["n_shingles", "set_a", "set_b"]
     filled = sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", *name)
-    classes = materialize(filled.groupBy(*name).agg(F.min("doc_id").alias("rep")))
-    heads = classes.filter(F.col("n_shingles") >= LEAST_SET).select(F.col("rep").alias("doc_id"), *name)
-    banded = sketched.join(heads, ["doc_id", *name], "left_semi").select(F.col("doc_id").alias("rep"), F.explode("bands").alias("band"))
+    classes = filled.groupBy(*name).agg(F.min("doc_id").alias("rep"))
+    classes = materialize(classes.withColumn("key", F.monotonically_increasing_id()))
+    heads = classes.filter(F.col("n_shingles") >= LEAST_SET).select(F.col("rep").alias("doc_id"), *name, "key")
+    # Repeated rows of a class and doc_id are equal here.
+    start = materialize(sketched.join(heads, ["doc_id", *name]).dropDuplicates(["key"]).select("key", F.col("n_shingles").alias("n"), "bits", "bands"))
+    banded = start.select("key", F.explode("bands").alias("band"))
     by_band = Window.partitionBy("band")
-    shared = banded.distinct().withColumns({"least": F.min("rep").over(by_band), "most": F.max("rep").over(by_band)})
-    shared = materialize(shared.filter("least <> most").select("band", "rep"))
+    shared = banded.distinct().withColumns({"least": F.min("key").over(by_band), "most": F.max("key").over(by_band)})
+    shared = materialize(shared.filter("least <> most").select("band", "key"))
 
-    members = shared.select(F.col("rep").alias("doc_id")).distinct()
-    found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(members, "doc_id", "left_semi")
+    heads = heads.join(shared.select("key").distinct(), "key", "left_semi")
+    found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(heads.select("doc_id"), "doc_id", "left_semi")
     # Rows that share a doc_id may hold several sets; the class's own is told by its size and sums.
-    heads = heads.join(members, "doc_id", "left_semi")
-    full = sets(found, words).join(heads, ["doc_id", *name], "left_semi").dropDuplicates(["doc_id"])
-    full = materialize(full.select("doc_id", "elements"))
-    start = sketched.join(heads, ["doc_id", *name], "left_semi").dropDuplicates(["doc_id"])
-    groups = materialize(start.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bits", F.col("doc_id").alias("c")))
+    full = sets(found, words).join(heads, ["doc_id", *name]).dropDuplicates(["key"])
+    full = materialize(full.select("key", "elements"))
+    groups = start.join(heads.select("key"), "key", "left_semi")
+    groups = materialize(groups.select("key", "n", "bits", F.col("key").alias("c")))
     pairwise = False
     for turn in range(STAR_ROUNDS + 1):
         pairwise = pairwise or turn == STAR_ROUNDS
-        named = shared.join(groups.select("rep", "c"), "rep").withColumns({"lo": F.min("c").over(by_band), "hi": F.max("c").over(by_band)})
-        several = materialize(named.filter("lo <> hi").select("band", "rep", "c"))
+        named = shared.join(groups.select("key", "c"), "key").withColumns({"lo": F.min("c").over(by_band), "hi": F.max("c").over(by_band)})
+        several = materialize(named.filter("lo <> hi").select("band", "key", "c"))
         if several.isEmpty():
             break
         if not pairwise:
-            order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
-            lead = F.min(F.struct(order.alias("order"), "rep", "c")).over(by_band)
-            pairs = several.withColumn("lead", lead).select(F.col("lead.rep").alias("a"), F.col("rep").alias("b"), F.col("lead.c").alias("ac"), F.col("c").alias("bc"))
+            order = F.col("key") if turn == 0 else F.xxhash64("key", F.lit(turn))
+            lead = F.min(F.struct(order.alias("order"), "key", "c")).over(by_band)
+            pairs = several.withColumn("lead", lead).select(F.col("lead.key").alias("a"), F.col("key").alias("b"), F.col("lead.c").alias("ac"), F.col("c").alias("bc"))
             pairs = pairs.filter("ac <> bc").select("a", "b")
             # At first one comparison per member is enough: most then share a component.
             pairs = pairs.groupBy("b").agg(F.min("a").alias("a")) if turn == 0 else pairs.distinct()
-            facts = groups.select("rep", "n", "bits")
+            facts = groups.select("key", "n", "bits")
             pairs = pairs.join(facts.toDF("a", "an", "abits"), "a").join(facts.toDF("b", "bn", "bbits"), "b").filter(_may_link(percent))
         else:
-            known = several.join(groups.select("rep", "n", "bits"), "rep").select("band", "rep", "c", "n", "bits")
+            known = several.join(groups.select("key", "n", "bits"), "key").select("band", "key", "c", "n", "bits")
             one, other = known.toDF("band", "a", "ac", "an", "abits"), known.toDF("band", "b", "bc", "bn", "bbits")
             across = (one["band"] == other["band"]) & (F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & _may_link(percent)
             pairs = one.join(other, across)
@@ -264,27 +268,33 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         if pairwise:
             break
         pairwise = not linked
-    groups = groups.select(F.col("rep"), F.col("c").alias("component"))
-    named = classes.join(groups, "rep", "left").select(*name, F.coalesce("component", "rep").alias("component_id"))
+    held = classes.join(groups.select("key", "c"), "key", "left").select(*name, "rep", F.coalesce("c", "key").alias("c"))
+    least = held.groupBy("c").agg(F.min("rep").alias("component_id"))
+    named = held.join(least, "c").select(*name, "component_id")
     return (
-        sketched.select("doc_id", *name)
+        sketched.select("doc_id", "text_hash", *name)
         .join(named, name, "left")
-        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+        .select("doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
     )
 
 
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
+    return _found(docs, words, percent).select("doc_id", "n_shingles", "component_id")
+
+
 def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row of each group of near copies, that of the least doc_id, with all its columns.
 
-    Rows of equal doc_id and text are one document: one of them stays. Rows without
+    Rows go by doc_id and text: another text of the same doc_id stays. Rows of equal doc_id and text are one document: one of them stays. Rows without
     ``doc_id`` all stay.
     """
-    found = near_duplicates(docs, words, percent)
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    found = _found(docs, words, percent)
+    row = ["doc_id", "_text_hash_"]
+    gone = found.filter("doc_id <> component_id").select("doc_id", F.col("text_hash").alias("_text_hash_")).distinct()
     named = F.col("doc_id").isNotNull()
-    stay = docs.filter(named).join(gone, "doc_id", "left_anti").select(docs.columns)
-    text = F.xxhash64("text")
-    stay = stay.withColumn("_text_hash_", text).dropDuplicates(["doc_id", "_text_hash_"]).select(docs.columns)
+    stay = docs.filter(named).withColumn("_text_hash_", F.xxhash64("text")).join(gone, row, "left_anti")
+    stay = stay.dropDuplicates(row).select(docs.columns)
     return stay.union(docs.filter(~named))
 
 

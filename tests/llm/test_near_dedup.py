@@ -80,6 +80,21 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert ids == [0, 1, 2, 3, 4, 7, 9, 9, 10, 11]
 
 
+def test_texts_of_one_id_are_kept_apart(spark):
+    near = [f"a{i}" for i in range(60)]
+    other, far = [f"b{i}" for i in range(60)], [f"c{i}" for i in range(60)]
+    line = lambda words, last: " ".join([*words, last])
+    rows = [(3, line(near, "x")), (5, line(near, "y")), (5, line(other, "x")), (7, line(other, "x")), (8, line(other, "y"))]
+    rows += [(1, line(far, "x")), (5, line(far, "y")), (5, " ".join(far[:2])), (9, line(near, "z"))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = sorted([(3, 3), (5, 3), (5, 5), (7, 5), (8, 5), (1, 1), (5, 1), (5, 5), (9, 3)])
+    for parts in (1, 4):
+        split = docs.repartition(parts)
+        assert sorted((r.doc_id, r.component_id) for r in nd.near_duplicates(split, words=2).collect()) == want
+    kept = sorted((r.doc_id, r.text) for r in nd.keep_first(docs, words=2).collect())
+    assert kept == sorted([rows[0], rows[2], rows[5], rows[7]])
+
+
 def plain_superminhash(elements):
     """The published loop, one element after another, with the same random numbers."""
     m = nd.SLOTS
