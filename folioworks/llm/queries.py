@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from folioworks.llm.byte_bpe import op7_byte_bpe
 from folioworks.llm.decontaminate import op1_decontamination
+from folioworks.llm.importance import OP13_SQL, op13_resample
 from folioworks.llm.near_dedup import op9_near_dedup
 from folioworks.llm.neighbours import op6_neighbours
 from folioworks.llm.page_language import op8_page_language
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_page_language": op8_page_language,
     "op9_near_dedup": op9_near_dedup,
     "op10_perspectives": op10_perspectives,
+    "op13_resample": op13_resample,
 }
 
-ORACLES: dict[str, str] = {"op3_warc": OP3_SQL, "op10_perspectives": OP10_SQL}
+ORACLES: dict[str, str] = {"op3_warc": OP3_SQL, "op10_perspectives": OP10_SQL, "op13_resample": OP13_SQL}
