@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioworks.llm.crc_sql import CRC_CTES
 from folioworks.llm.words import row_batches, slices
 from folioworks.session import materialize
 
@@ -231,43 +232,15 @@ def op13_resample(spark, sf_dir: str) -> DataFrame:
     return resample(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-#: The same CRC by one table row per byte and distance, over distinct features.
 OP13_SQL = r"""
-WITH RECURSIVE step(i, b, c) AS (
-  SELECT 0, b::BIGINT, b::BIGINT FROM range(256) r(b)
-  UNION ALL
-  SELECT i + 1, b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM step WHERE i < 8
-),
-single AS MATERIALIZED (SELECT b, c FROM step WHERE i = 8),
-words AS MATERIALIZED (
+WITH RECURSIVE words AS MATERIALIZED (
   SELECT kind, id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda v: v <> '') AS w
   FROM (SELECT 0 AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark)
 ),
 features AS MATERIALIZED (
   SELECT kind, id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM words
-),
-bytes AS (
-  SELECT f, strlen(f) AS n, unnest(range(strlen(f))) AS p FROM (SELECT DISTINCT f FROM features)
-),
-spread AS MATERIALIZED (
-  SELECT f, n, n - 1 - p AS d, ('0x' || hex(encode(f))[2 * p + 1 : 2 * p + 2])::BIGINT AS b FROM bytes
-),
-top AS (SELECT max(n) AS n FROM spread),
-position(d, b, c) AS (
-  SELECT 0::BIGINT, b, c FROM single
-  UNION ALL
-  SELECT d + 1, p.b, xor(p.c >> 8, s.c) FROM position p JOIN single s ON s.b = p.c & 255 WHERE d < (SELECT n FROM top)
-),
-constant(n, c) AS (
-  SELECT 0::BIGINT, 4294967295::BIGINT
-  UNION ALL
-  SELECT k.n + 1, xor(k.c >> 8, s.c) FROM constant k JOIN single s ON s.b = k.c & 255 WHERE k.n < (SELECT n FROM top)
-),
-crc AS MATERIALIZED (
-  SELECT x.f, xor(xor(x.c, k.c), 4294967295) % 10000 AS bucket
-  FROM (SELECT f, n, bit_xor(p.c) AS c FROM spread JOIN position p USING (d, b) GROUP BY f, n) x JOIN constant k ON k.n = x.n
-),
-held AS MATERIALIZED (SELECT kind, id, bucket FROM features JOIN crc USING (f)),
+),""" + CRC_CTES + r""",
+held AS MATERIALIZED (SELECT kind, id, c % 10000 AS bucket FROM features JOIN crc USING (f)),
 totals AS (SELECT count(*) FILTER (kind = 0) AS s, count(*) FILTER (kind = 1) AS t FROM held),
 gain AS MATERIALIZED (
   SELECT b AS bucket, floor(1000 * ln((t + 1)::DOUBLE * (SELECT s + 10000 FROM totals) / ((s + 1)::DOUBLE * (SELECT t + 10000 FROM totals))))::BIGINT AS g

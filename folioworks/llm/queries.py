@@ -11,6 +11,7 @@ from folioworks.llm.page_language import op8_page_language
 from folioworks.llm.perspectives import OP10_SQL, op10_perspectives
 from folioworks.llm.quality import op5_quality
 from folioworks.llm.sharding import op4_sharding
+from folioworks.llm.spelling import OP12_SQL, op12_spelling
 from folioworks.llm.toxicity import op2_toxicity
 from folioworks.llm.warc import OP3_SQL, op3_warc
 
@@ -25,7 +26,8 @@ QUERIES = {
     "op8_page_language": op8_page_language,
     "op9_near_dedup": op9_near_dedup,
     "op10_perspectives": op10_perspectives,
+    "op12_spelling": op12_spelling,
     "op13_resample": op13_resample,
 }
 
-ORACLES: dict[str, str] = {"op3_warc": OP3_SQL, "op10_perspectives": OP10_SQL, "op13_resample": OP13_SQL}
+ORACLES: dict[str, str] = {"op3_warc": OP3_SQL, "op10_perspectives": OP10_SQL, "op12_spelling": OP12_SQL, "op13_resample": OP13_SQL}
