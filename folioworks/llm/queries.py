@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from folioworks.llm.byte_bpe import op7_byte_bpe
 from folioworks.llm.decontaminate import op1_decontamination
+from folioworks.llm.edit_fingerprint import op11_edit_fingerprint
 from folioworks.llm.importance import OP13_SQL, op13_resample
 from folioworks.llm.near_dedup import op9_near_dedup
 from folioworks.llm.neighbours import op6_neighbours
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_page_language": op8_page_language,
     "op9_near_dedup": op9_near_dedup,
     "op10_perspectives": op10_perspectives,
+    "op11_edit_fingerprint": op11_edit_fingerprint,
     "op12_spelling": op12_spelling,
     "op13_resample": op13_resample,
 }
