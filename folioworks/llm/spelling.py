@@ -105,14 +105,14 @@ def _class(size: int) -> int:
     return min(size, LONGEST)
 
 
-def shards(words: DataFrame, blocks: dict[int, int]) -> DataFrame:
-    """class, shard, filter: the Bloom filters of ``words``; ``blocks`` has the number of blocks of each class."""
+def shards(words: DataFrame, blocks: dict[int, int], of_shard: int = SHARD_BLOCKS) -> DataFrame:
+    """class, shard, filter: the Bloom filters of ``words``; ``blocks`` has the number of blocks of each class, ``of_shard`` that of a shard."""
 
     def spread(batches):
         for batch in batches:
             for size, places, letters in _by_length(batch.column(0)):
                 keys = keys_of((_CHARACTER[letters] * _powers(size)).sum(axis=1, dtype=np.uint64), size)
-                shard = _blocks(keys, blocks[_class(size)]) // SHARD_BLOCKS
+                shard = _blocks(keys, blocks[_class(size)]) // of_shard
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(places), _class(size))), pa.array(shard), pa.array(keys.view(np.int64))], names=["class", "shard", "key"]
                 )
@@ -120,8 +120,8 @@ def shards(words: DataFrame, blocks: dict[int, int]) -> DataFrame:
     def build(table: pa.Table) -> pa.Table:
         kind, shard = table["class"][0].as_py(), table["shard"][0].as_py()
         keys = np.asarray(table["key"]).view(np.uint64)
-        bits = np.zeros(min(SHARD_BLOCKS, blocks[kind] - shard * SHARD_BLOCKS) * 8, dtype=np.uint64)
-        at = (_blocks(keys, blocks[kind]) - shard * SHARD_BLOCKS) * 8
+        bits = np.zeros(min(of_shard, blocks[kind] - shard * of_shard) * 8, dtype=np.uint64)
+        at = (_blocks(keys, blocks[kind]) - shard * of_shard) * 8
         for part in (keys, mix(keys)):
             word, marks = _marks(part)
             np.bitwise_or.at(bits, at + word, marks)
@@ -134,11 +134,11 @@ def shards(words: DataFrame, blocks: dict[int, int]) -> DataFrame:
 class Filters:
     """Some shards, and the question whether a key may be in them."""
 
-    def __init__(self, blocks: dict[int, int], held: dict[tuple[int, int], bytes]):
-        self.blocks, self.bits, self.start = blocks, {}, {}
+    def __init__(self, blocks: dict[int, int], held: dict[tuple[int, int], bytes], of_shard: int = SHARD_BLOCKS):
+        self.blocks, self.of_shard, self.bits, self.start = blocks, of_shard, {}, {}
         for kind in {k for k, _ in held}:
             mine = {s: np.frombuffer(b, dtype=np.uint64) for (k, s), b in held.items() if k == kind}
-            start = np.full(-(-blocks[kind] // SHARD_BLOCKS), -1, dtype=np.int64)
+            start = np.full(-(-blocks[kind] // of_shard), -1, dtype=np.int64)
             at = 0
             for s, bits in mine.items():
                 start[s], at = at, at + len(bits)
@@ -150,8 +150,8 @@ class Filters:
         if kind not in self.bits:
             return np.zeros(0, dtype=np.int64)
         block = _blocks(keys, self.blocks[kind])
-        start = self.start[kind][block // SHARD_BLOCKS]
-        at = start + (block % SHARD_BLOCKS) * 8
+        start = self.start[kind][block // self.of_shard]
+        at = start + (block % self.of_shard) * 8
         bits = self.bits[kind]
         word, marks = _marks(keys)
         yes = np.flatnonzero((start >= 0) & ((bits[at + word] & marks) == marks))
@@ -196,7 +196,7 @@ def hits(size: int, letters: np.ndarray, alphabet: np.ndarray, filters: Filters)
             yield row, edits
 
 
-def neighbours(words: DataFrame) -> DataFrame:
+def neighbours(words: DataFrame, of_shard: int = SHARD_BLOCKS, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """word, n, near, near_n: each pair of ``words`` (word, n; distinct, of characters up to U+00FF) that differs by one edit, once."""
     spark = words.sparkSession
     size = F.length("word")
@@ -207,21 +207,21 @@ def neighbours(words: DataFrame) -> DataFrame:
     schema = "word string, n bigint, near string"
     if not blocks:
         return spark.createDataFrame([], f"{schema}, near_n bigint")
-    built = materialize(shards(words, blocks))
+    built = materialize(shards(words, blocks, of_shard))
 
     def probe(batches, shared):
-        filters = Filters(blocks, shared.value)
+        filters = Filters(blocks, shared.value, of_shard)
         for batch in batches:
             for size, places, rows in _by_length(batch.column(0)):
                 for row, edits in hits(size, rows, alphabet, filters):
                     of = pa.array(places[row])
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(1).take(of), _strings(edits)], names=["word", "n", "near"])
 
-    passes, room = [[]], PASS_BYTES
+    passes, room = [[]], pass_bytes
     for r in built.select("class", "shard", F.length("filter").alias("bytes")).orderBy("class", "shard").toLocalIterator():
         if r.bytes > room and passes[-1]:
             passes.append([])
-            room = PASS_BYTES
+            room = pass_bytes
         passes[-1].append((r["class"], r.shard))
         room -= r.bytes
     found = []
@@ -251,9 +251,9 @@ def roots(forms: DataFrame) -> DataFrame:
     return found.select("word", "root")
 
 
-def variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
+def variants(words: DataFrame, ratio: int = RATIO, of_shard: int = SHARD_BLOCKS, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """word, form, root, n, n_near, form_n of every row of ``words`` (word, n)."""
-    pairs = materialize(neighbours(words))
+    pairs = materialize(neighbours(words, of_shard, pass_bytes))
     other = pairs.select(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n"))
     both = pairs.union(other)
     counts = both.groupBy("word").agg(F.count("*").alias("n_near"))
