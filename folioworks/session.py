@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,25 +32,53 @@ def build_session(name: str = "folioworks", master: str | None = None, **conf: s
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as ``spark.checkpoint.dir`` names it.
 
-    Only a local master gets a temporary folder when the setting is missing.
+    Only a local master, which has no executors elsewhere, gets one beside its tables when the
+    setting is missing.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="folioworks-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+def _at(spark: SparkSession, path: str):
+    """The Hadoop path and its file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def scratch_path(spark: SparkSession, name: str = "table") -> str:
+    """A new folder name in the shared folder; what is written there goes when the application ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    place, system = _at(spark, path)
+    system.mkdirs(place.getParent())
+    # Of a path that doesn't exist yet Hadoop takes no note, so the folder is made at once.
+    system.mkdirs(place)
+    system.deleteOnExit(place)
+    return path
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a parquet table in the shared folder and read it back.
 
     Cuts the lineage there. Unlike a checkpoint, the table can be read by
-    column and Spark knows its size.
+    column and Spark knows its size. It goes when the application ends, or by ``discard``.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = scratch_path(spark)
+    df.write.mode("append").parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made._scratch = path
+    return made
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for these tables; nothing that still has to run may read them."""
+    for table in tables:
+        if path := getattr(table, "_scratch", None):
+            place, system = _at(table.sparkSession, path)
+            system.delete(place, True)
