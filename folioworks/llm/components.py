@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioworks.session import materialize
+from folioworks.session import discard, materialize
 
 
 def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,7 +61,9 @@ def components(links: DataFrame) -> DataFrame:
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        edges = materialize(small.select("e.a", "e.b").filter("a <> b").distinct())
+        hung = materialize(small.select("e.a", "e.b").filter("a <> b").distinct())
+        discard(edges)
+        edges = hung
         # Finished when every node hangs on one node that hangs on none.
         state = edges.agg(F.count("*").alias("n"), F.countDistinct("a").alias("k"), F.sum(F.col("b").cast("decimal(38,0)")).alias("s")).first()
         if state.n == state.k and before == (state.n, state.s):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioworks.llm.words import Tokens, mix, ngrams, slices
@@ -21,21 +21,20 @@ def held_out(doc_id: Column) -> Column:
 def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
     """At most ``rows`` labelled texts: doc_id, text, label.
 
-    Taken are the ids of lowest hash among the labelled rows that are not held out; each
-    class gets half of the places. ``rows`` bounds what is broadcast and what one task fits.
+    Taken are the ids of lowest hash among the labelled ones that are not held out; each
+    class gets half of the places. Repeated rows count once, ids that are labelled 0 and 1 not at
+    all. Should ids have several texts, those of lowest hash fill the places of the class.
+    ``rows`` bounds what is broadcast and what one task fits.
     """
     usable = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    order = F.xxhash64("doc_id")
-    parts = [
-        usable.filter(F.col(label) == value)
-        .select("doc_id", F.lit(value).alias("label"), order.alias("_order"))
-        .orderBy("_order", "doc_id")
-        .limit(rows // 2)
-        for value in (0, 1)
-    ]
-    chosen = parts[0].union(parts[1]).dropDuplicates(["doc_id"]).select("doc_id", "label")
-    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
-    return texts.join(F.broadcast(chosen), "doc_id").limit(rows)
+    each = usable.groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("most")).filter("label = most")
+    ids = [each.filter(F.col("label") == v).select("doc_id", F.lit(v).cast("bigint").alias("label"), F.xxhash64("doc_id").alias("_order")) for v in (0, 1)]
+    ids = [x.orderBy("_order", "doc_id").limit(rows // 2).select("doc_id", "label") for x in ids]
+    texts = docs.filter(F.col("text").isNotNull()).select("doc_id", "text")
+    found = texts.join(F.broadcast(ids[0].union(ids[1])), "doc_id").dropDuplicates(["doc_id", "text"])
+    # Spark keeps the first rows of each task only before it moves them.
+    place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text"))
+    return found.withColumn("_place_", place).filter(F.col("_place_") <= rows // 2).select("doc_id", "text", "label")
 
 
 def fit_in_task(found: DataFrame, learn: Callable[[list[str], np.ndarray], object]) -> object:

@@ -6,12 +6,11 @@
    slot, which after the first few ranks is nearly always.
 2. Texts with equal sets form a class, which has a key of its own; from here on only one row
    of each class counts. Several classes may have rows of one doc_id.
-3. In every band that spans several components, all members are compared with one of them,
-   first the least, then in each round the first of another random order, so that bands of one
-   group agree on a few members to compare with; after ``STAR_ROUNDS``, or a
-   round without links, what remains is compared
-   pair by pair, but only across components. Groups of near copies are thus linked through
-   a few of their members and never expanded into all pairs. Before sets are fetched, two
+3. In each round of ``linking`` a member is compared with one other that shares a band with it
+   and is in another component. What a few rounds leave is compared by ``prefix_join``: two
+   members meet only if they share one of their rarest elements. Groups of near copies are thus
+   linked through a few of their members, and documents of one template that are not
+   near copies hardly meet. Before sets are fetched, two
    bits of each slot must agree as far as ``percent`` less 13 allows, some five standard
    deviations of the estimate.
 4. Pairs are confirmed on their full sets: 100 * intersection >= ``percent`` * union.
@@ -30,21 +29,22 @@ empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioworks.llm.components import components
+from folioworks.llm.linking import linked
+from folioworks.llm.prefix_join import candidates
 from folioworks.llm.words import Tokens, distinct, mix, ngrams, row_batches, slices
-from folioworks.session import materialize
+from folioworks.session import discard, materialize
 
 BANDS, ROWS = 56, 7
 SLOTS = BANDS * ROWS
 #: Sets of this size or more can have similar sets that differ from them.
 LEAST_SET = 4
-#: Rounds that compare the members of a band with one of them each.
-STAR_ROUNDS = 5
 #: Slots whose lowest two bits share a 64-bit integer.
 PACKED = 32
 WORDS = -(-SLOTS // PACKED)
@@ -145,11 +145,11 @@ def _names(elements: np.ndarray, doc: np.ndarray, count: int) -> list[np.ndarray
     return [n, *sums]
 
 
-SKETCH = "doc_id bigint, text_hash bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, bits array<bigint>"
+SKETCH = "doc_id bigint, text_hash bigint, row_hash bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, bits array<bigint>"
 
 
 def sketch(docs: DataFrame, words: int) -> DataFrame:
-    """Hash of the text, set size, two 64-bit sums that name the set, and the band keys of every row."""
+    """Hashes of the text and of the whole row, set size, two 64-bit sums that name the set, and the band keys of every row."""
 
     def run(batches):
         for batch in row_batches(batches):
@@ -167,11 +167,16 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
                     for values in (band_keys(slots), packed_bits(slots))
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(first, len(texts)) for c in (0, 2)), pa.array(n), *map(pa.array, sums), *lists],
-                    names=["doc_id", "text_hash", "n_shingles", "set_a", "set_b", "bands", "bits"],
+                    [*(batch.column(c).slice(first, len(texts)) for c in (0, 2, 3)), pa.array(n), *map(pa.array, sums), *lists],
+                    names=["doc_id", "text_hash", "row_hash", "n_shingles", "set_a", "set_b", "bands", "bits"],
                 )
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text")).mapInArrow(run, SKETCH)
+    return docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text"), row_hash(docs)).mapInArrow(run, SKETCH)
+
+
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns that can be hashed (maps can't)."""
+    return F.xxhash64(*[F.col(f"`{n}`") for n, kind in docs.dtypes if "map<" not in kind and kind != "variant"])
 
 
 def sets(docs: DataFrame, words: int) -> DataFrame:
@@ -199,7 +204,7 @@ def confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full sets are similar enough."""
     left = full.select(F.col("key").alias("a"), F.col("elements").alias("x"))
     right = full.select(F.col("key").alias("b"), F.col("elements").alias("y"))
-    both = pairs.join(left, "a").join(right, "b")
+    both = pairs.join(right, "b").join(left, "a")
     shared = F.size(F.array_intersect("x", "y"))
     similar = 100 * shared >= percent * (F.size("x") + F.size("y") - shared)
     return both.filter(similar).select("a", "b")
@@ -210,16 +215,11 @@ def _may_link(percent: int):
     return (100 * F.least("an", "bn") >= percent * F.greatest("an", "bn")) & looks_similar("abits", "bbits", percent)
 
 
-def _merge(groups: DataFrame, links: DataFrame) -> DataFrame:
-    """``groups`` (key, n, bits, c) with the components that ``links`` connect made one."""
-    named = groups.select("key", "c")
-    ends = links.join(named.toDF("a", "ac"), "a").join(named.toDF("b", "bc"), "b").select(F.col("ac").alias("a"), F.col("bc").alias("b"))
-    joined = components(ends.distinct()).toDF("c", "merged")
-    return groups.join(joined, "c", "left").select("key", "n", "bits", F.coalesce("merged", "c").alias("c"))
-
-
 def _found(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
+    """doc_id, text_hash, row_hash, n_shingles, c, component_id of every row of ``docs`` (doc_id, text).
+
+    ``c`` tells components apart whose least doc_id is the same; it is null for empty sets and rows without doc_id.
+    """
     sketched = materialize(sketch(docs, words))
     name = ["n_shingles", "set_a", "set_b"]
     filled = sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", *name)
@@ -229,52 +229,30 @@ def _found(docs: DataFrame, words: int, percent: int) -> DataFrame:
     # Repeated rows of a class and doc_id are equal here.
     start = materialize(sketched.join(heads, ["doc_id", *name]).dropDuplicates(["key"]).select("key", F.col("n_shingles").alias("n"), "bits", "bands"))
     banded = start.select("key", F.explode("bands").alias("band"))
-    by_band = Window.partitionBy("band")
-    shared = banded.distinct().withColumns({"least": F.min("key").over(by_band), "most": F.max("key").over(by_band)})
-    shared = materialize(shared.filter("least <> most").select("band", "key"))
+    several = banded.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1").select("band")
+    banded = materialize(banded.join(several, "band"))
 
-    heads = heads.join(shared.select("key").distinct(), "key", "left_semi")
-    found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(heads.select("doc_id"), "doc_id", "left_semi")
+    met = materialize(heads.join(banded.select("key").distinct(), "key", "left_semi"))
+    found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(met.select("doc_id").distinct(), "doc_id", "left_semi")
     # Rows that share a doc_id may hold several sets; the class's own is told by its size and sums.
-    full = sets(found, words).join(heads, ["doc_id", *name]).dropDuplicates(["key"])
+    full = sets(found, words).join(met, ["doc_id", *name]).dropDuplicates(["key"])
     full = materialize(full.select("key", "elements"))
-    groups = start.join(heads.select("key"), "key", "left_semi")
-    groups = materialize(groups.select("key", "n", "bits", F.col("key").alias("c")))
-    pairwise = False
-    for turn in range(STAR_ROUNDS + 1):
-        pairwise = pairwise or turn == STAR_ROUNDS
-        named = shared.join(groups.select("key", "c"), "key").withColumns({"lo": F.min("c").over(by_band), "hi": F.max("c").over(by_band)})
-        several = materialize(named.filter("lo <> hi").select("band", "key", "c"))
-        if several.isEmpty():
-            break
-        if not pairwise:
-            order = F.col("key") if turn == 0 else F.xxhash64("key", F.lit(turn))
-            lead = F.min(F.struct(order.alias("order"), "key", "c")).over(by_band)
-            pairs = several.withColumn("lead", lead).select(F.col("lead.key").alias("a"), F.col("key").alias("b"), F.col("lead.c").alias("ac"), F.col("c").alias("bc"))
-            pairs = pairs.filter("ac <> bc").select("a", "b")
-            # At first one comparison per member is enough: most then share a component.
-            pairs = pairs.groupBy("b").agg(F.min("a").alias("a")) if turn == 0 else pairs.distinct()
-            facts = groups.select("key", "n", "bits")
-            pairs = pairs.join(facts.toDF("a", "an", "abits"), "a").join(facts.toDF("b", "bn", "bbits"), "b").filter(_may_link(percent))
-        else:
-            known = several.join(groups.select("key", "n", "bits"), "key").select("band", "key", "c", "n", "bits")
-            one, other = known.toDF("band", "a", "ac", "an", "abits"), known.toDF("band", "b", "bc", "bn", "bbits")
-            across = (one["band"] == other["band"]) & (F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & _may_link(percent)
-            pairs = one.join(other, across)
-        links = materialize(confirm(pairs.select("a", "b").distinct(), full, percent))
-        linked = not links.isEmpty()
-        if linked:
-            groups = materialize(_merge(groups, links))
-        if pairwise:
-            break
-        pairwise = not linked
-    held = classes.join(groups.select("key", "c"), "key", "left").select(*name, "rep", F.coalesce("c", "key").alias("c"))
+    facts = materialize(start.join(met.select("key"), "key", "left_semi").select("key", "n", "bits"))
+    discard(start, met)
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        known = pairs.join(facts.toDF("b", "bn", "bbits"), "b").join(facts.toDF("a", "an", "abits"), "a")
+        return confirm(known.filter(_may_link(percent)).select("a", "b"), full, percent)
+
+    groups = linked(banded, confirmed, lambda open_: candidates(full.join(open_, "key"), percent))
+    discard(banded, facts, full)
+    held = classes.join(groups, "key", "left").select(*name, "rep", F.coalesce("c", "key").alias("c"))
     least = held.groupBy("c").agg(F.min("rep").alias("component_id"))
-    named = held.join(least, "c").select(*name, "component_id")
+    named = held.join(least, "c").select(*name, "c", "component_id")
     return (
-        sketched.select("doc_id", "text_hash", *name)
+        sketched.select("doc_id", "text_hash", "row_hash", *name)
         .join(named, name, "left")
-        .select("doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+        .select("doc_id", "text_hash", "row_hash", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("c")).alias("c"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
     )
 
 
@@ -284,18 +262,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 
 def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each group of near copies, that of the least doc_id, with all its columns.
+    """One row of each group of near copies, with all its columns: that of the least doc_id.
 
-    Rows go by doc_id and text: another text of the same doc_id stays. Rows of equal doc_id and text are one document: one of them stays. Rows without
-    ``doc_id`` all stay.
+    Of several rows of that doc_id the one of least hash over its columns stays. Rows with empty sets
+    are one group if doc_id and text are equal. Rows without ``doc_id`` all stay.
     """
-    found = _found(docs, words, percent)
-    row = ["doc_id", "_text_hash_"]
-    gone = found.filter("doc_id <> component_id").select("doc_id", F.col("text_hash").alias("_text_hash_")).distinct()
-    named = F.col("doc_id").isNotNull()
-    stay = docs.filter(named).withColumn("_text_hash_", F.xxhash64("text")).join(gone, row, "left_anti")
-    stay = stay.dropDuplicates(row).select(docs.columns)
-    return stay.union(docs.filter(~named))
+    found = _found(docs, words, percent).filter("doc_id IS NOT NULL")
+    group = [F.col("c"), F.when(F.col("c").isNull(), F.col("doc_id")).alias("own"), F.when(F.col("c").isNull(), F.col("text_hash")).alias("same")]
+    copies = found.groupBy(*group, "doc_id", "row_hash").agg(F.count("*").alias("copies"))
+    least = copies.groupBy("c", "own", "same").agg(F.min(F.struct("doc_id", "row_hash", "copies")).alias("least"))
+    mark, repeated = (f"_{uuid.uuid4().hex}" for _ in range(2))
+    stay = least.select(F.col("least.row_hash").alias(mark), F.col("least.doc_id").alias("_doc_id_"), (F.col("least.copies") > 1).alias(repeated))
+    named = docs.filter(F.col("doc_id").isNotNull()).withColumn(mark, row_hash(docs))
+    kept = named.join(stay, (named[mark] == stay[mark]) & (named["doc_id"].cast("bigint") == stay["_doc_id_"])).select(named["*"], repeated)
+    once = kept.filter(~F.col(repeated)).select(docs.columns)
+    folded = kept.filter(repeated).dropDuplicates([mark]).select(docs.columns)
+    return once.union(folded).union(docs.filter(F.col("doc_id").isNull()))
 
 
 def op9_near_dedup(spark, sf_dir: str) -> DataFrame:

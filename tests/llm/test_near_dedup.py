@@ -2,8 +2,9 @@ import random
 import re
 
 import numpy as np
-import pyarrow as pa
+from pyspark.sql import functions as F
 
+from folioworks.llm import linking, prefix_join
 from folioworks.llm import near_dedup as nd
 from folioworks.llm.components import components
 from folioworks.llm.words import mix
@@ -60,8 +61,8 @@ def test_groups_against_all_pairs(spark):
         assert len(set(got.values())) < len(rows) - 5
 
 
-def test_pairwise_rest_finds_the_same(spark, monkeypatch):
-    monkeypatch.setattr(nd, "STAR_ROUNDS", 0)
+def test_few_rounds_find_the_same(spark, monkeypatch):
+    monkeypatch.setattr(linking, "ROUNDS", 1)
     rows = corpus()
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert {r.doc_id: r.component_id for r in nd.near_duplicates(docs, words=2).collect()} == groups(rows, 2)
@@ -95,6 +96,55 @@ def test_texts_of_one_id_are_kept_apart(spark):
     assert kept == sorted([rows[0], rows[2], rows[5], rows[7]])
 
 
+def test_one_row_of_each_group_stays(spark):
+    words = [f"a{i}" for i in range(60)]
+    a, near = " ".join(words), " ".join([*words, "more"])
+    rows = [(5, a, "x"), (5, a.replace(" ", "  "), "y"), (5, a.upper(), "z"), (5, near, "x"), (6, a, "x"), (7, "alone", "q"), (7, "alone", "p"), (8, "", "q"), (8, "", "p"), (8, None, "p")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _text_hash_ string").withColumns({c: F.lit("t") for c in ("row_hash", "c", "own", "least")})
+    got = [tuple(r) for r in nd.keep_first(docs).collect()]
+    assert sorted(r[0] for r in got) == [5, 7, 8, 8] and {r[1] for r in got if r[0] == 8} == {"", None}
+    for parts in (1, 5):
+        assert sorted(map(repr, map(tuple, nd.keep_first(docs.repartition(parts)).collect()))) == sorted(map(repr, got))
+    copies = docs.union(docs).union(docs)
+    assert sorted(map(repr, map(tuple, nd.keep_first(copies).collect()))) == sorted(map(repr, got))
+
+
+def test_prefixes_hold_all_similar_pairs(spark):
+    rng = random.Random(4)
+    sets = []
+    for _ in range(12):
+        base = [rng.randrange(1 << 52) for _ in range(rng.randrange(4, 40))]
+        for _ in range(6):
+            mine = set(base)
+            for _ in range(rng.randrange(0, max(2, len(base) // 4))):
+                mine.discard(rng.choice(base))
+                if rng.random() < 0.5:
+                    mine.add(rng.randrange(1 << 52))
+            sets.append(sorted(mine))
+    rows = [(i, i if i % 3 else i - i % 6, s) for i, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "key bigint, c bigint, elements array<bigint>").repartition(3)
+    got = {tuple(r) for r in prefix_join.candidates(df, 80).collect()}
+    near = {(a, b) for a, ac, x in rows for b, bc, y in rows if a < b and ac != bc and 100 * len(set(x) & set(y)) >= 80 * len(set(x) | set(y))}
+    assert near and near <= got and all(a < b and rows[a][1] != rows[b][1] for a, b in got)
+
+
+def test_templates_below_the_similarity_hardly_meet(spark, monkeypatch):
+    """600 documents of one template share bands by the dozen, are no near copies, and are not compared with each other."""
+    template = [f"t{i}" for i in range(120)]
+    rows = [(i, " ".join(template + [f"own{i}x{k}" for k in range(20)])) for i in range(600)]
+    asked, compared = [], nd.confirm
+
+    def count(pairs, full, percent):
+        asked.append(pairs.count())
+        return compared(pairs, full, percent)
+
+    monkeypatch.setattr(nd, "confirm", count)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = nd.near_duplicates(docs, words=1).collect()
+    assert all(r.component_id == r.doc_id for r in got)
+    assert sum(asked) < 5 * len(rows)
+
+
 def plain_superminhash(elements):
     """The published loop, one element after another, with the same random numbers."""
     m = nd.SLOTS
@@ -148,4 +198,4 @@ def test_sketch_does_not_depend_on_slices(spark, monkeypatch):
     docs = spark.createDataFrame(corpus(), "doc_id bigint, text string")
     whole = {r.doc_id: (r.set_a, r.set_b, r.bands) for r in nd.sketch(docs.coalesce(1), 2).collect()}
     split = {r.doc_id: (r.set_a, r.set_b, r.bands) for r in nd.sketch(docs.repartition(7), 2).collect()}
-    assert whole == split and isinstance(next(iter(whole.values()))[2], list) and pa.__version__
+    assert whole == split and isinstance(next(iter(whole.values()))[2], list)
