@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +14,10 @@ from folioworks.operators import assembly, cleaning, identity, language, paging,
 from folioworks.plans import inputs
 from folioworks.operators.cleaning import clean_pages
 from folioworks.plans.ingest import ingest, routes_of
-from folioworks.session import materialize, shared_dir
+from folioworks.session import materialize, scratch_path
 from folioworks.sources import files, sinks
-from folioworks.streaming import stream
+from folioworks.streaming import keyed, stream
+from folioworks.streaming import pages as page_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -551,28 +551,32 @@ def stream_dedup(spark, sf_dir):
 
 @query
 def stream_upsert(spark, sf_dir):
-    """Every document in a first batch, half of them changed in a second: one row each is left."""
+    """Every document arrives in a stream, then half of them again with another text: one row each is left.
+
+    The parts of the raw pages are kept by document; the table has as many live rows as documents.
+    """
+    base = scratch_path(spark, "upsert")
+    write = stream.upsert_batch(f"{base}/out", EngineConfig(language="off", tables="off"), lambda df: paging.paginate(df, inputs.LINES_PER_PAGE))
     docs = inputs.documents(spark, sf_dir, "text")
-    path = f"{shared_dir(spark)}/upsert-{uuid.uuid4().hex}"
-    write = stream.upsert_batch(path, EngineConfig(language="off", tables="off"), lambda df: paging.paginate(df, inputs.LINES_PER_PAGE))
-    write(docs, 0)
-    write(docs.filter(F.col("doc_id") % 2 == 0).withColumn("text", F.concat(F.lit("Changed. "), F.coalesce("text", F.lit("")))), 1)
-    return stream.latest(spark, path).select("doc_id", F.expr("text LIKE 'Changed. %'").alias("changed"), F.length("text").alias("chars"))
+    arrivals = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1000).parquet(f"{base}/in")
+    changed = docs.filter(F.col("doc_id") % 2 == 0).withColumn("text", F.concat(F.lit("Changed. "), F.coalesce("text", F.lit(""))))
+    for batch in (docs, changed):
+        batch.write.mode("append").parquet(f"{base}/in")
+        stream.run_batches(arrivals, write, f"{base}/state")
+    return keyed.latest(spark, f"{base}/out").select("doc_id", F.expr("text LIKE 'Changed. %'").alias("changed"), F.length("text").alias("chars"))
 
 
 @query
 def stream_pages(spark, sf_dir):
+    """Turns of conversations as pages, each conversation put together when all its turns have come."""
     path = f"{sf_dir}/conversations.parquet"
-    turns = spark.readStream.schema(spark.read.parquet(path).schema).option(
-        "pathGlobFilter", "conversations.parquet"
-    ).parquet(sf_dir)
-    pages = turns.select(
-        F.col("conv_id").cast("string").alias("doc_id"),
-        F.col("turn").cast("int").alias("page_no"),
-        "text",
-        F.timestamp_seconds(F.col("turn")).alias("arrived"),
+    known = spark.read.parquet(path)
+    turns = spark.readStream.schema(known.schema).option("pathGlobFilter", "conversations.parquet").parquet(sf_dir)
+    sizes = known.groupBy("conv_id").agg(F.countDistinct("turn").cast("int").alias("n_pages"))
+    first = known.groupBy("conv_id").agg(F.min("turn").alias("first"))
+    arrived = turns.join(sizes.join(first, "conv_id"), "conv_id").select(
+        F.col("conv_id").alias("doc_id"), (F.col("turn") - F.col("first")).alias("page_no"), "n_pages", "text"
     )
-    return stream.drain_sessions(pages, stream.assemble_pages).select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), "part_no", "n_pages",
-        F.array_join("page_texts", "\n").alias("text"),
+    return stream.drain_new(page_stream.assemble_pages(arrived)).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "part_no", "n_pages", F.array_join("page_texts", "\n").alias("text")
     )

@@ -82,3 +82,14 @@ def discard(*tables: DataFrame) -> None:
         if path := getattr(table, "_scratch", None):
             place, system = _at(table.sparkSession, path)
             system.delete(place, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, system = _at(spark, path)
+    return system.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark can reach it."""
+    place, system = _at(spark, path)
+    system.delete(place, True)

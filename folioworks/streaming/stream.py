@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioworks.config import EngineConfig
-from folioworks.operators.blocks import BLOCK_PAGES
 from folioworks.operators.identity import content_id
 from folioworks.operators.language import LanguageProfiles
 from folioworks.plans.ingest import ingest
-from folioworks.session import shared_dir
+from folioworks.session import scratch_path
+from folioworks.streaming.keyed import upsert_batches
 
 SALTS = 32
 
@@ -56,105 +55,39 @@ def dedup_stream(docs: DataFrame, spread_by: str, delay: str = "1 day", salts: i
     )
 
 
-def assemble_pages(pages: DataFrame, gap: str = "10 minutes", delay: str = "1 hour", block_pages: int = BLOCK_PAGES) -> DataFrame:
-    """Pages that arrive one by one, put together when their document is quiet.
-
-    ``pages`` has ``doc_id, page_no, text, arrived``. A session holds the pages
-    of one block of a document, so state per key is bounded. ``arrived`` should
-    be the time of arrival, as ``stream_docs`` gives it: rows behind the
-    watermark are dropped. A block whose pages come more than ``gap`` apart
-    gives one row per session; ``merge_sessions`` makes them one again.
-    """
-    block = F.floor(F.col("page_no") / block_pages).cast("int")
-    return (
-        pages.withWatermark("arrived", delay)
-        .groupBy("doc_id", block.alias("part_no"), F.session_window("arrived", gap).alias("_window"))
-        # a set, so that repeated deliveries of a page add nothing to the state
-        .agg(F.sort_array(F.collect_set(F.struct("page_no", "text"))).alias("_pages"))
-        .select(
-            "doc_id",
-            "part_no",
-            F.size("_pages").alias("n_pages"),
-            F.col("_pages.page_no").alias("page_nos"),
-            F.col("_pages.text").alias("page_texts"),
-        )
-    )
-
-
-def merge_sessions(sessions: DataFrame) -> DataFrame:
-    """Rows of ``assemble_pages`` with the sessions of one (doc_id, part_no) put together; of a page's texts the last in order stays."""
-    page = F.explode(F.arrays_zip(F.col("page_nos").alias("page_no"), F.col("page_texts").alias("text")))
-    once = sessions.select("doc_id", "part_no", page.alias("p")).groupBy("doc_id", "part_no", "p.page_no").agg(F.max("p.text").alias("text"))
-    return (
-        once.groupBy("doc_id", "part_no")
-        .agg(F.sort_array(F.collect_list(F.struct("page_no", "text"))).alias("_pages"))
-        .select("doc_id", "part_no", F.size("_pages").alias("n_pages"), F.col("_pages.page_no").alias("page_nos"), F.col("_pages.text").alias("page_texts"))
-    )
-
-
-def latest(spark: SparkSession, path: str) -> DataFrame:
-    """The output of ``upsert_batch`` by document: all parts of the last batch that brought it.
-
-    The last batch of each document is a hash aggregate over narrow rows.
-    """
-    rows = spark.read.parquet(path)
-    last = rows.groupBy("doc_id").agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(last, ["doc_id", "batch_id"], "left_semi").drop("batch_id")
-
-
 def upsert_batch(path: str, cfg: EngineConfig = EngineConfig(), prepare=None, profiles: LanguageProfiles | None = None):
-    """A foreachBatch function: the batch pipeline, written under the batch id.
+    """A foreachBatch function: the batch pipeline, its bundles kept by document (see ``keyed``).
 
-    A batch that is run again after a failure replaces its own folder, so the
-    output holds every batch exactly once. A document that comes again in a later
-    batch replaces its earlier form in ``latest``. ``prepare`` turns the arrived
-    rows into a page table; ``profiles`` are needed where languages are tagged.
+    ``prepare`` turns the arrived rows into a page table; ``profiles`` are needed where languages are tagged.
     """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        pages = prepare(batch) if prepare else batch
-        ingest(pages, cfg, profiles=profiles).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return write
+    return upsert_batches(path, lambda batch: ingest(prepare(batch) if prepare else batch, cfg, profiles=profiles))
 
 
 def drain(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Run an append stream over all that is there now; read back its output."""
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    """Run an append stream over all that is there now; read back its output.
+
+    A stream with timers on the clock would go on with empty batches for ever, so there are none:
+    timers fire in the batches that have rows.
+    """
+    conf = stream.sparkSession.conf
+    empty = conf.get("spark.sql.streaming.noDataMicroBatches.enabled")
+    conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    try:
+        query = writer.outputMode("append").trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        conf.set("spark.sql.streaming.noDataMicroBatches.enabled", empty)
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
 def drain_new(stream: DataFrame) -> DataFrame:
     """``drain`` into a new folder below the session's shared folder."""
-    base = f"{shared_dir(stream.sparkSession)}/stream-{uuid.uuid4().hex}"
+    base = scratch_path(stream.sparkSession, "stream")
     return drain(stream, f"{base}/out", f"{base}/state")
 
 
-END_OF_STREAM = "9999-01-01 00:00:00"
-
-
-def drain_sessions(pages: DataFrame, assemble: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Drain ``assemble(pages)`` and close the sessions still open at the end.
-
-    Once all pages are in, one row of the far future arrives on a second input
-    and moves the watermark past every session; its own session stays open and
-    is never put out.
-    """
-    spark = pages.sparkSession
-    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in pages.schema.fields if f.name != "arrived"]
-    marker = spark.range(1).select(*empty, F.lit(END_OF_STREAM).cast("timestamp").alias("arrived"))
-    marker.limit(0).write.parquet(f"{base}/marker")
-    ends = spark.readStream.schema(pages.schema).parquet(f"{base}/marker")
-    sessions = assemble(pages.unionByName(ends))
-    drain(sessions, f"{base}/out", f"{base}/state")
-    marker.write.mode("append").parquet(f"{base}/marker")
-    return drain(sessions, f"{base}/out", f"{base}/state")
+def run_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Hand all that is there now to ``write``, batch by batch."""
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
