@@ -3,7 +3,7 @@
 1. The vocabulary is a table of distinct words and their counts, made by one aggregation.
 2. Its words enter blocked Bloom filters, one family for each length: the upper half of a
    word's hash picks a block of 512 bits, the lower half two of its eight 64-bit words and three
-   bits in each. A shard is a run of ``SHARD_BLOCKS`` blocks (2 MB), built by one group.
+   bits in each. A shard is a run of ``SHARD_BLOCKS`` blocks (128 KB), built by one group.
 3. Every word's deletions and replacements are generated in tasks and probed against the
    filters of their length. Hashes are polynomial, so an edit's hash follows from the word's
    own in a few operations and no string is made before a filter says yes. An insertion is
@@ -41,9 +41,9 @@ SLIP = 31
 #: Lengths from here on share the filters of one class.
 LONGEST = 64
 #: Words that a block is filled with, blocks of a shard, and bytes of shards in one pass.
-BLOCK_WORDS, SHARD_BLOCKS, PASS_BYTES = 32, 1 << 15, 32 << 20
-#: Edits that are hashed at once.
-EDITS = 1 << 21
+BLOCK_WORDS, SHARD_BLOCKS, PASS_BYTES = 32, 1 << 11, 32 << 20
+#: Edits that are hashed at once, and words that a task probes the edits of.
+EDITS, TASK_WORDS = 1 << 21, 20_000
 
 _BASE = 0xD6E8FEB86659FD93
 _INVERSE = np.uint64(pow(_BASE, -1, 1 << 64))
@@ -230,7 +230,8 @@ def neighbours(words: DataFrame, of_shard: int = SHARD_BLOCKS, pass_bytes: int =
         held = built.filter(f"(class > {low} OR class = {low} AND shard >= {first}) AND (class < {high} OR class = {high} AND shard <= {last})")
         shared = spark.sparkContext.broadcast({(r["class"], r.shard): bytes(r.filter) for r in held.collect()})
         longest = F.lit(True) if high == LONGEST else size <= high + 1
-        asked = words.filter((size >= low) & longest).select("word", "n")
+        # A short word is few bytes but many edits, so tasks are cut by words.
+        asked = words.filter((size >= low) & longest).select("word", "n").repartition(-(-sum(sizes.values()) // TASK_WORDS))
         found.append(asked.mapInArrow(lambda batches, shared=shared: probe(batches, shared), schema))
         if len(passes) > 1:
             found[-1] = materialize(found[-1])
