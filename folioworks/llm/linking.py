@@ -1,71 +1,84 @@
 """Groups of similar members, from bands they share, without comparing all members of a band.
 
-In every round each member that shares a band with another component is compared with one member
-of such a band: first the least, then the first of another order. Bands whose members
-are all in one component are done. After a round without links, or ``ROUNDS``, ``rest`` names the
-pairs across components that are still to be compared.
+Every band has a lead in every round: its least member at first, then the first of an order of
+its own. A member of another component looks at the leads of its bands, two in the first round and
+twice as many in each further one (those that linked need none), and is compared with the one
+most like it by estimate. Bands whose members are all in one component are done. After a round
+that links few, or ``ROUNDS``, ``rest`` names the pairs across components that are still to be compared.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioworks.llm.components import components
 from folioworks.session import discard, materialize
 
-#: Rounds of one comparison for each member.
-ROUNDS = 4
+ROUNDS = 6
+#: A round that links less than one in so many of the open members is the last.
+FEW = 50
 
 
-def _order(key: Column, turn: int) -> Column:
-    """Another order of the keys in each turn; applied twice it gives the key."""
-    return key.bitwiseXOR(F.lit(turn * 0x5851F42D4C957F2D % (1 << 62)))
-
-
-def linked(bands: DataFrame, confirm: Callable[[DataFrame], DataFrame], rest: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked(
+    bands: DataFrame,
+    promising: Callable[[DataFrame], DataFrame],
+    confirm: Callable[[DataFrame], DataFrame],
+    rest: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
     """key, c: every member that has a link, and the least key of its component.
 
-    ``bands`` (band, key) holds one row per member and band. ``confirm`` takes pairs (a, b) and
+    ``bands`` (band, key) holds one row per member and band. ``promising`` takes pairs (a, b) and
+    returns the one likeliest link of each b, if any is likely. ``confirm`` takes pairs (a, b) and
     returns those that are links. ``rest`` takes members (key, c) and returns pairs of different
     components that hold all links between them.
     """
     spread = bands.groupBy("band").agg(F.min("key").alias("lead"), F.max("key").alias("most")).filter("lead <> most")
-    shared = materialize(bands.join(spread.select("band", "lead"), "band").select("band", "key", "lead"))
-    groups = materialize(shared.limit(0).select("key", F.col("key").alias("c")))
-    first = shared.filter("key <> lead").groupBy(F.col("key").alias("b")).agg(F.min("lead").alias("a"))
-    links = materialize(confirm(first.select("a", "b")))
-    for turn in range(1, ROUNDS + 1):
-        done = links.isEmpty()
-        if not done:
-            groups = _merged(groups, links)
+    shared = materialize(bands.join(spread.select("band", "lead"), "band").select("band", "key", F.col("key").alias("c"), "lead"))
+    groups = None
+    for turn in range(ROUNDS):
+        if turn:
+            # Another order of the keys in each band; applied twice it gives the key.
+            shuffled = F.col("key").bitwiseXOR(F.shiftrightunsigned(F.xxhash64("band", F.lit(turn)), 2))
+            named = shared.select("band", "key").join(groups, "key", "left").select("band", "key", F.coalesce("c", "key").alias("c"))
+            spans = named.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min(shuffled).alias("first")).filter("lo <> hi")
+            lead = F.col("first").bitwiseXOR(F.shiftrightunsigned(F.xxhash64("band", F.lit(turn)), 2)).alias("lead")
+            open_ = materialize(named.join(spans.select("band", lead), "band"))
+            discard(shared)
+            shared = open_
+            if shared.isEmpty():
+                break
+            known = groups.select(F.col("key").alias("lead"), F.col("c").alias("lead_c"))
+            across = shared.join(known, "lead", "left").filter(F.coalesce("lead_c", "lead") != F.col("c"))
+        else:
+            across = shared.filter("key <> lead")
+        looks = F.pmod(F.xxhash64("band"), F.lit(1 << turn))
+        pairs = across.groupBy(F.col("key").alias("b"), looks.alias("look")).agg(F.min("lead").alias("a")).select("a", "b").distinct()
+        links = materialize(confirm(promising(pairs)))
+        found = links.count()
+        if found:
+            merged = _merged(groups, links)
+            if groups is not None:
+                discard(groups)
+            groups = merged
         discard(links)
-        named = shared.select("band", "key").join(groups, "key", "left").select("band", "key", F.coalesce("c", "key").alias("c"))
-        lead = F.min(_order(F.col("key"), turn)).alias("lead")
-        spans = named.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), lead).filter("lo <> hi")
-        several = materialize(named.join(spans.select("band", _order(F.col("lead"), turn).alias("lead")), "band"))
-        discard(shared)
-        shared = several
-        if done or turn == ROUNDS or shared.isEmpty():
+        if turn and found * FEW < shared.select("key").distinct().count():
             break
-        of_lead = groups.select(F.col("key").alias("lead"), F.col("c").alias("lead_c"))
-        across = shared.join(of_lead, "lead", "left").filter(F.coalesce("lead_c", "lead") != F.col("c"))
-        one = across.groupBy(F.col("key").alias("b")).agg(F.min(_order(F.col("lead"), turn)).alias("a"))
-        links = materialize(confirm(one.select(_order(F.col("a"), turn).alias("a"), "b")))
-    if not shared.isEmpty():
-        links = materialize(confirm(rest(shared.select("key", "c").distinct())))
-        if not links.isEmpty():
-            groups = _merged(groups, links)
-        discard(links)
-    discard(shared)
+        if groups is None:
+            groups = shared.select("key", "c").limit(0)
+    open_ = shared.select("key").distinct().join(groups, "key", "left").select("key", F.coalesce("c", "key").alias("c"))
+    links = materialize(confirm(rest(open_)))
+    if not links.isEmpty():
+        groups = _merged(groups, links)
+    discard(links)
     return groups
 
 
-def _merged(groups: DataFrame, links: DataFrame) -> DataFrame:
+def _merged(groups: DataFrame | None, links: DataFrame) -> DataFrame:
     """``groups`` (key, c) and ``links`` (a, b) as one set of components."""
-    known = groups.select(F.col("key").alias("a"), F.col("c").alias("b")).filter("a <> b")
-    made = materialize(components(links.select("a", "b").union(known)).toDF("key", "c"))
-    discard(groups)
-    return made
+    known = links.select("a", "b")
+    if groups is not None:
+        known = known.union(groups.filter("key <> c").select("key", "c"))
+    return materialize(components(known).toDF("key", "c"))

@@ -6,8 +6,8 @@
    slot, which after the first few ranks is nearly always.
 2. Texts with equal sets form a class, which has a key of its own; from here on only one row
    of each class counts. Several classes may have rows of one doc_id.
-3. In each round of ``linking`` a member is compared with one other that shares a band with it
-   and is in another component. What a few rounds leave is compared by ``prefix_join``: two
+3. In each round of ``linking`` a member is compared on full sets with one other at most, that of
+   some band-mates of other components most like it by its signature. What the rounds leave is compared by ``prefix_join``: two
    members meet only if they share one of their rarest elements. Groups of near copies are thus
    linked through a few of their members, and documents of one template that are not
    near copies hardly meet. Before sets are fetched, two
@@ -50,6 +50,8 @@ PACKED = 32
 WORDS = -(-SLOTS // PACKED)
 #: The estimate from the packed bits may fall this far below the similarity asked for.
 LEEWAY = 0.13
+#: The same for the choice of what to compare in a round.
+SMALL_LEEWAY = 0.03
 #: Elements whose permutations are kept as a table once most have stopped.
 TABLE_ELEMENTS = 20_000
 
@@ -117,15 +119,20 @@ def packed_bits(slots: np.ndarray) -> np.ndarray:
     return (bits.reshape(len(slots), WORDS, PACKED) << places).sum(axis=2, dtype=np.uint64)
 
 
-def looks_similar(one: str, other: str, percent: int):
-    """Whether packed bits agree as often as a pair of the similarity does, within LEEWAY."""
+def differing_bits(one: str, other: str) -> Column:
+    """Slots of which the packed bits differ."""
     odd = 0x5555555555555555
     differing = F.lit(0)
     for w in range(WORDS):
         x = F.col(one)[w].bitwiseXOR(F.col(other)[w])
         either = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(odd))
         differing = differing + F.bit_count(either)
-    return differing <= int((1 - percent / 100 + LEEWAY) * 0.75 * SLOTS)
+    return differing
+
+
+def looks_similar(one: str, other: str, percent: int, leeway: float = LEEWAY) -> Column:
+    """Whether packed bits agree as often as a pair of the similarity does, within the leeway."""
+    return differing_bits(one, other) <= int((1 - percent / 100 + leeway) * 0.75 * SLOTS)
 
 
 def _sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -210,9 +217,8 @@ def confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     return both.filter(similar).select("a", "b")
 
 
-def _may_link(percent: int):
-    """Whether a pair (an, abits, bn, bbits) can be similar enough."""
-    return (100 * F.least("an", "bn") >= percent * F.greatest("an", "bn")) & looks_similar("abits", "bbits", percent)
+def _sizes_fit(percent: int) -> Column:
+    return 100 * F.least("an", "bn") >= percent * F.greatest("an", "bn")
 
 
 def _found(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -233,18 +239,30 @@ def _found(docs: DataFrame, words: int, percent: int) -> DataFrame:
     banded = materialize(banded.join(several, "band"))
 
     met = materialize(heads.join(banded.select("key").distinct(), "key", "left_semi"))
-    found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(met.select("doc_id").distinct(), "doc_id", "left_semi")
+    # As at scale: the ids are too many to broadcast.
+    ids = met.select("doc_id").distinct().hint("merge")
+    found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
     # Rows that share a doc_id may hold several sets; the class's own is told by its size and sums.
     full = sets(found, words).join(met, ["doc_id", *name]).dropDuplicates(["key"])
     full = materialize(full.select("key", "elements"))
     facts = materialize(start.join(met.select("key"), "key", "left_semi").select("key", "n", "bits"))
     discard(start, met)
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        known = pairs.join(facts.toDF("b", "bn", "bbits"), "b").join(facts.toDF("a", "an", "abits"), "a")
-        return confirm(known.filter(_may_link(percent)).select("a", "b"), full, percent)
+    def known(pairs: DataFrame) -> DataFrame:
+        sides = facts.toDF("b", "bn", "bbits"), facts.toDF("a", "an", "abits")
+        return pairs.join(sides[0], "b").join(sides[1], "a").filter(_sizes_fit(percent))
+
+    def promising(pairs: DataFrame) -> DataFrame:
+        # What is passed over here stays open, so the leeway may be small.
+        likely = known(pairs).filter(looks_similar("abits", "bbits", percent, SMALL_LEEWAY))
+        order = F.shiftleft(differing_bits("abits", "bbits").cast("bigint"), 48) + F.col("a") % (1 << 47)
+        return likely.groupBy("b").agg(F.min_by("a", order).alias("a")).select("a", "b")
+
+    def rest(open_: DataFrame) -> DataFrame:
+        pairs = candidates(full.join(open_, "key"), percent)
+        return known(pairs).filter(looks_similar("abits", "bbits", percent)).select("a", "b")
 
-    groups = linked(banded, confirmed, lambda open_: candidates(full.join(open_, "key"), percent))
+    groups = linked(banded, promising, lambda pairs: confirm(pairs, full, percent), rest)
     discard(banded, facts, full)
     held = classes.join(groups, "key", "left").select(*name, "rep", F.coalesce("c", "key").alias("c"))
     least = held.groupBy("c").agg(F.min("rep").alias("component_id"))

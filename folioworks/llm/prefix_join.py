@@ -4,7 +4,8 @@ Two sets with |x| <= |y| and 100 * |x and y| >= percent * |x or y| share at leas
 2 * percent / (100 + percent) * |x| elements and percent / 100 * |y| elements. So in any order of all elements,
 one of the first ``|x| - that + 1`` of x is among the first ``|y| - that + 1`` of y. Rare
 elements go first: sets that share much of a template but have enough elements of their own
-meet nowhere. How rare an element is comes from a table of ``CELLS`` counters over all the sets;
+meet nowhere. The first shared element also has to stand early enough in both for the rest to
+suffice. How rare an element is comes from a table of ``CELLS`` counters over all the sets;
 the table decides the order only, so its collisions cost time and lose no pair.
 """
 
@@ -58,7 +59,7 @@ def frequencies(sets: DataFrame) -> np.ndarray:
 
 
 def prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """slot, key, c, n, short: the prefix elements of every set of ``sets`` (key, c, elements).
+    """slot, key, c, n, at, short: the prefix elements of every set of ``sets`` (key, c, elements) and their places.
 
     ``short`` rows are those that a set has when it is the smaller of a pair.
     """
@@ -80,11 +81,11 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
                 taken = place < first[owner]
                 rows = pa.array(owner[taken])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[order[taken]].view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(n[owner[taken]].astype(np.int64)), pa.array(np.full(len(rows), short))],
-                    names=["slot", "key", "c", "n", "short"],
+                    [pa.array(hashes[order[taken]].view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(n[owner[taken]].astype(np.int64)), pa.array(place[taken]), pa.array(np.full(len(rows), short))],
+                    names=["slot", "key", "c", "n", "at", "short"],
                 )
 
-    return sets.select("key", "c", "elements").mapInArrow(run, "slot bigint, key bigint, c bigint, n bigint, short boolean")
+    return sets.select("key", "c", "elements").mapInArrow(run, "slot bigint, key bigint, c bigint, n bigint, at bigint, short boolean")
 
 
 def candidates(sets: DataFrame, percent: int) -> DataFrame:
@@ -99,12 +100,15 @@ def candidates(sets: DataFrame, percent: int) -> DataFrame:
     rows = shared = materialize(rows.join(both, "slot"))
     sizes = rows.groupBy("slot", "c").agg(F.count("*").alias("held"))
     main = sizes.groupBy("slot").agg(F.max_by("c", "held").alias("main"))
-    rows = rows.join(main, "slot").withColumn("other", F.col("c") != F.col("main")).select("slot", "key", "c", "n", "short", "other")
+    rows = rows.join(main, "slot").withColumn("other", F.col("c") != F.col("main")).select("slot", "key", "c", "n", "at", "short", "other")
     rows = materialize(rows)
     discard(every, shared)
-    short = rows.filter("short").select("slot", F.col("key").alias("a"), F.col("c").alias("ac"), F.col("n").alias("an"), F.col("other").alias("a_other"))
-    long = rows.filter("NOT short").select("slot", F.col("key").alias("b"), F.col("c").alias("bc"), F.col("n").alias("bn"), F.col("other").alias("b_other"))
+    short = rows.filter("short").select("slot", F.col("key").alias("a"), F.col("c").alias("ac"), F.col("n").alias("an"), F.col("at").alias("i"), F.col("other").alias("a_other"))
+    long = rows.filter("NOT short").select("slot", F.col("key").alias("b"), F.col("c").alias("bc"), F.col("n").alias("bn"), F.col("at").alias("j"), F.col("other").alias("b_other"))
     fits = (F.col("an") <= F.col("bn")) & (100 * F.col("an") >= percent * F.col("bn")) & (F.col("ac") != F.col("bc"))
+    # Nothing before the first element that both hold is shared, so what comes from there on must do.
+    left = F.least(F.col("an") - F.col("i"), F.col("bn") - F.col("j"))
+    fits &= (100 + percent) * left >= percent * (F.col("an") + F.col("bn"))
     found = short.filter("a_other").join(long, ["slot"]).filter(fits)
     found = found.union(short.filter("NOT a_other").join(long.filter("b_other"), ["slot"]).filter(fits).select(found.columns))
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
