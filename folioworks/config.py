@@ -10,8 +10,8 @@ class EngineConfig:
     """Options; their values enter the plans as literals.
 
     ``block_pages`` is the number of pages of one document that may share a
-    task: longer documents are split into blocks of that many pages. What to
-    save is the caller's choice of sink, see ``sources.sinks``.
+    task: longer documents are split into blocks of that many pages. ``save_pages`` and
+    ``keep_records`` say what ``sources.sinks.export`` writes besides texts and metadata.
     """
 
     min_text_page_ratio: float = 0.55
@@ -30,6 +30,8 @@ class EngineConfig:
     max_join_len: int = 120
     bare_numbers: bool = True
     page_sep: str = ""
+    save_pages: bool = False
+    keep_records: bool = False
     block_pages: int = 256
 
     def __post_init__(self):

@@ -46,10 +46,73 @@ def pipe_grid(md: Column) -> Column:
     return let(F.split(md, "\n", -1), parsed)
 
 
+def _by_depth(visible: Column) -> Column:
+    """All <table> elements in the order of their start tags, nested ones too.
+
+    A fold over the pieces between the tags with a stack of the open tables. When a table
+    closes, its text without markup joins that of the table around it, so the cell that held
+    it keeps its words and each table is free of others. What is open at the end closes there.
+    """
+    closed = F.regexp_replace(visible, r"(?i)</table\s*>", "</table>")
+    pieces = F.split(closed, r"(?i)(?=<table\b)|(?<=</table>)", -1)
+    table = "struct<no:int,html:string>"
+    start = F.struct(
+        F.array().cast(f"array<{table}>").alias("open"), F.array().cast(f"array<{table}>").alias("done"), F.lit(0).alias("next")
+    )
+
+    def entry(no: Column, html: Column) -> Column:
+        return F.struct(no.alias("no"), html.alias("html"))
+
+    def added(stack: Column, text: Column) -> Column:
+        """The stack with ``text`` at the end of its top table; nothing if it is empty."""
+        top = F.get(stack, F.size(stack) - 1)
+        more = F.concat(F.slice(stack, 1, F.size(stack) - 1), F.array(entry(top["no"], F.concat(top["html"], text))))
+        return F.when(F.size(stack) > 0, more).otherwise(stack)
+
+    def words(html: Column) -> Column:
+        return F.regexp_replace(html, r"(?i)<(?!br\b)[^>]*>", "")
+
+    def popped(state: Column) -> Column:
+        stack = state["open"]
+        top = F.get(stack, F.size(stack) - 1)
+        below = F.slice(stack, 1, F.size(stack) - 1)
+        return F.when(
+            F.size(stack) > 0,
+            F.struct(
+                added(below, words(top["html"])).alias("open"),
+                F.concat(state["done"], F.array(entry(top["no"], F.concat(top["html"], F.lit("</table>"))))).alias("done"),
+                state["next"].alias("next"),
+            ),
+        ).otherwise(state)
+
+    def step(state: Column, piece: Column) -> Column:
+        opens, closes = piece.rlike(r"(?i)\A<table\b"), F.endswith(piece, F.lit("</table>"))
+        body = F.when(closes, F.substr(piece, F.lit(1), F.length(piece) - len("</table>"))).otherwise(piece)
+        begun = F.when(
+            opens,
+            F.struct(
+                F.concat(state["open"], F.array(entry(state["next"], body))).alias("open"), state["done"].alias("done"), (state["next"] + 1).alias("next")
+            ),
+        ).otherwise(F.struct(added(state["open"], body).alias("open"), state["done"].alias("done"), state["next"].alias("next")))
+        return let(begun, lambda s: F.when(closes, popped(s)).otherwise(s))
+
+    def finish(state: Column) -> Column:
+        ended = F.aggregate(F.sequence(F.lit(0), F.size(state["open"])), state, lambda s, _: popped(s))
+        return F.transform(F.sort_array(ended["done"]), lambda t: t["html"])
+
+    return F.aggregate(pieces, start, step, finish)
+
+
 def html_tables(html: Column) -> Column:
-    """The <table> elements of a page, in order. Nested tables are not taken apart."""
+    """The <table> elements of a page in order; a nested one follows the one around it, which keeps its text."""
     visible = F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", "")
-    return F.regexp_extract_all(visible, F.lit(r"(?is)<table\b.*?(?:</table\s*>|\z)"), F.lit(0))
+    found = F.regexp_extract_all(visible, F.lit(r"(?is)<table\b.*?(?:</table\s*>|\z)"), F.lit(0))
+    return let(
+        F.struct(visible.alias("visible"), found.alias("found")),
+        lambda x: F.when(
+            F.exists(x["found"], lambda t: F.regexp_count(t, F.lit(r"(?i)<table\b")) > 1), _by_depth(x["visible"])
+        ).otherwise(x["found"]),
+    )
 
 
 def _named_references() -> Column:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioworks.functions.text import ngrams
+from folioworks.operators.assembly import SPAN_PARTS
 from folioworks.session import materialize
 
 # Log probabilities are kept as whole millionths: integer sums do not depend on
@@ -87,6 +88,33 @@ def fit_language_profiles(
     )
 
 
+def with_seams(parts: DataFrame, size: int, span: int = SPAN_PARTS) -> DataFrame:
+    """Texts of parts (doc_id, part_no, n_parts, text), each behind the last ``size`` characters before it.
+
+    The n-grams of ``size`` + 1 of the parts are then those of the whole text, each once. Only short tails
+    move: parts without a text fall out, and then the last ``size`` tails hold enough characters.
+    Parts fall into spans, so a window holds at most ``span`` rows of a document, or one row per span.
+    """
+    whole = parts.filter("n_parts = 1").select("doc_id", "part_no", "text")
+    cut = parts.filter("n_parts > 1")
+    tails = cut.filter(F.length("text") > 0).select(
+        "doc_id", "part_no", F.floor(F.col("part_no") / span).alias("_span"), F.right("text", F.lit(size)).alias("_tail")
+    )
+
+    def earlier(tail: str, order: str, *keys: str) -> Column:
+        before = Window.partitionBy(*keys).orderBy(order).rowsBetween(-size, -1)
+        return F.right(F.array_join(F.collect_list(tail).over(before), ""), F.lit(size))
+
+    near = tails.withColumn("_near", earlier("_tail", "part_no", "doc_id", "_span"))
+    ends = near.groupBy("doc_id", "_span").agg(
+        F.max_by(F.right(F.concat("_near", "_tail"), F.lit(size)), "part_no").alias("_end")
+    )
+    far = ends.select("doc_id", "_span", earlier("_end", "_span", "doc_id").alias("_far"))
+    halo = near.join(far, ["doc_id", "_span"]).select("doc_id", "part_no", F.right(F.concat("_far", "_near"), F.lit(size)).alias("_halo"))
+    seamed = cut.join(halo, ["doc_id", "part_no"], "left")
+    return whole.union(seamed.select("doc_id", "part_no", F.concat(F.coalesce("_halo", F.lit("")), F.coalesce("text", F.lit(""))).alias("text")))
+
+
 def tag_language(
     df: DataFrame,
     profiles: LanguageProfiles,
@@ -99,8 +127,13 @@ def tag_language(
     A profile below the broadcast limit is joined where the n-grams arise, so
     none of them is shuffled: only one row of sums per document and task is.
     A larger profile is joined by shuffle, n-grams counted per document first
-    and spread by salt, since some n-grams occur in most documents.
+    and spread by salt, since some n-grams occur in most documents. A table of parts
+    (with ``part_no`` and ``n_parts``) is read as whole texts: the tags don't depend on where they are cut.
     """
+    if {"part_no", "n_parts"} <= set(df.columns) and profiles.n > 1:
+        df = with_seams(df.select(F.col(doc_id).alias("doc_id"), "part_no", "n_parts", F.col(text).alias("text")), profiles.n - 1)
+        doc_id = text = None
+    doc_id, text = doc_id or "doc_id", text or "text"
     k = range(len(profiles.languages))
     # explode_outer: a text too short for any n-gram is decided by the priors
     grams = df.select(F.col(doc_id).alias("doc_id"), F.explode_outer(_grams(text, profiles.n)).alias("gram"))

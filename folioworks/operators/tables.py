@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +13,8 @@ from folioworks import fixed_values as fixed
 from folioworks.functions import grid as G
 from folioworks.functions import markup as M
 from folioworks.operators.assembly import empty_table_meta
-from folioworks.operators.blocks import BLOCK_PAGES, attach, prepare, spread, with_block
+from folioworks.operators.blocks import BLOCK_PAGES, spread, with_block
+from folioworks.session import materialize
 
 
 def _page_keys(pages: DataFrame) -> list[str]:
@@ -93,14 +98,6 @@ def union_passes(lattice: DataFrame, stream: DataFrame) -> DataFrame:
     )
 
 
-def _allowed(engine: Column, routed: Column, mode: str, prompt: str) -> Column:
-    if mode == "off":
-        return F.lit(False)
-    if mode in ("docling", "camelot"):
-        return engine == mode
-    return (engine != "markdown") | ((routed == "ocr") & F.lit(prompt == "markdown"))
-
-
 def choose_engine(
     candidates: DataFrame,
     routes: DataFrame,
@@ -108,35 +105,63 @@ def choose_engine(
     prompt: str = "markdown",
     block_pages: int = BLOCK_PAGES,
 ) -> tuple[DataFrame, DataFrame]:
-    """(tables of the first engine that found any, one row per document).
+    """``cascade`` over tables that are there already: (tables of the first engine that found any, one row per document).
 
-    The choice is a minimum per document, folded before its shuffle; it goes
-    back to the tables by (doc_id, block).
+    Markdown tables count for documents read by OCR, under the markdown prompt.
     """
-    rank = F.array_position(F.array(*[F.lit(e) for e in fixed.TABLE_ENGINES]), F.col("engine"))
-    pages = F.col("n_pages") if "n_pages" in routes.columns else F.col("num_pages")
-    docs = routes.select("doc_id", "routed", pages.alias("n_pages"))
-    # a table without a page number belongs to the first block
+
+    def of_engine(engine: str) -> Stage:
+        given = candidates.filter(F.col("engine") == engine)
+        return Stage(engine, lambda docs: placed(given, docs, block_pages), ocr_only=engine == "markdown")
+
+    engines = {"off": [], "auto": [e for e in fixed.TABLE_ENGINES if e != "markdown" or prompt == "markdown"]}.get(mode, [mode])
+    default = {"off": None, "camelot": "camelot"}.get(mode, "docling")
+    served, chosen = cascade(routes, [of_engine(e) for e in engines], default)
+    return candidates.limit(0) if served is None else served, chosen
+
+
+@dataclass(frozen=True)
+class Stage:
+    """One step of a cascade: ``find`` gives the tables of the documents (doc_id, n_pages) that it is asked for."""
+
+    engine: str
+    find: Callable[[DataFrame], DataFrame]
+    ocr_only: bool = False
+
+
+def placed(tables: DataFrame, docs: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:
+    """Tables of ``docs`` (doc_id, n_pages) with the block that they belong to; one without a page number is in the first."""
     own = F.coalesce(F.floor(F.col("page_no") / block_pages).cast("int"), F.lit(0))
-    last = F.greatest(F.lit(0), F.floor((F.col("_pages") - 1) / block_pages)).cast("int")
-    counts = docs.select("doc_id", F.col("n_pages").alias("_pages"))
-    ready = candidates.drop("n_pages", "block").join(counts, "doc_id").withColumn("block", F.least(own, last)).drop("_pages")
-    ranked = attach(ready, docs, "inner", block_pages).withColumn("_rank", rank)
-    allowed = ranked.filter(_allowed(F.col("engine"), F.col("routed"), mode, prompt))
-    counts = allowed.groupBy("doc_id", "_rank", "engine").agg(F.count(F.lit(1)).alias("count"))
-    best = counts.groupBy("doc_id").agg(
-        F.min(F.struct("_rank", "engine", "count")).alias("_best")
-    )
-    default = {"off": F.lit(None).cast("string"), "camelot": F.lit("camelot")}.get(mode, F.lit("docling"))
+    last = F.greatest(F.lit(0), F.floor((F.col("n_pages") - 1) / block_pages)).cast("int")
+    joined = tables.drop("n_pages", "block").join(docs.select("doc_id", "n_pages"), "doc_id")
+    return joined.withColumn("block", F.least(own, last))
+
+
+def cascade(routes: DataFrame, stages: list[Stage], default: str | None = "docling") -> tuple[DataFrame | None, DataFrame]:
+    """(tables of the first stage that found any, one row per document with its engine and count).
+
+    Every stage is asked for the documents that none before it served, so nothing is parsed for the
+    others; what it finds is written once. Documents without any table get the ``default`` engine.
+    """
+    pages = F.col("n_pages") if "n_pages" in routes.columns else F.col("num_pages")
+    docs = rest = routes.select("doc_id", "routed", pages.alias("n_pages"))
+    served, counted = [], []
+    for stage in stages:
+        asked = rest.filter(F.col("routed") == "ocr") if stage.ocr_only else rest
+        found = materialize(stage.find(asked.select("doc_id", "n_pages")).withColumn("engine", F.lit(stage.engine)))
+        counts = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("count"))
+        served.append(found)
+        counted.append(counts.withColumn("engine", F.lit(stage.engine)))
+        rest = rest.join(counts.select("doc_id"), "doc_id", "left_anti")
+    if not served:
+        none = docs.select("doc_id", "n_pages", F.lit(default).cast("string").alias("engine"), F.lit(0).cast("bigint").alias("count"))
+        return None, none
+    tables = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), served)
+    best = reduce(DataFrame.unionByName, counted)
     chosen = docs.join(best, "doc_id", "left").select(
-        "doc_id",
-        "n_pages",
-        F.coalesce("_best.engine", default).alias("engine"),
-        F.coalesce("_best.count", F.lit(0)).alias("count"),
+        "doc_id", "n_pages", F.coalesce("engine", F.lit(default)).alias("engine"), F.coalesce("count", F.lit(0)).cast("bigint").alias("count")
     )
-    winners = chosen.filter(F.col("count") > 0).select("doc_id", "n_pages", F.col("engine").alias("_chosen"))
-    served = attach(allowed, winners, "inner", block_pages).filter(F.col("engine") == F.col("_chosen"))
-    return served.drop("_rank", "_chosen", "routed"), chosen
+    return tables, chosen
 
 
 def _item_order(tables: DataFrame) -> list[str]:

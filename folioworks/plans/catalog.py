@@ -13,9 +13,10 @@ from folioworks.functions import text as X
 from folioworks.operators import assembly, cleaning, identity, language, paging, routing, tables
 from folioworks.plans import inputs
 from folioworks.operators.cleaning import clean_pages
-from folioworks.plans.ingest import ingest, routes_of
+from folioworks.plans.ingest import ingest, ingest_run, routes_of
 from folioworks.session import materialize, scratch_path
 from folioworks.sources import files, sinks
+from folioworks.sources.exact import write_files
 from folioworks.streaming import keyed, stream
 from folioworks.streaming import pages as page_stream
 
@@ -31,11 +32,29 @@ def query(fn: Query) -> Query:
 # --- sources and identity ---------------------------------------------------
 
 
+def _document_files(spark, sf_dir) -> str:
+    """The texts of the documents, each as a file of exactly its bytes; the folder."""
+    folder = scratch_path(spark, "files")
+    docs = inputs.documents(spark, sf_dir, "text")
+    write_files(docs.select(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"), F.col("text").alias("content")), f"{folder}/texts")
+    return f"{folder}/texts"
+
+
 @query
 def file_discovery(spark, sf_dir):
-    """The files below the folder, listed without reading them."""
-    found = files.read_files(spark, sf_dir, ".parquet")
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length")
+    """The texts of the documents as files, found again with their sizes and hashes."""
+    found = files.discover(spark, _document_files(spark, sf_dir), ".TXT")
+    return found.select("name", "length", "sha256", "doc_id")
+
+
+@query
+def file_ranges(spark, sf_dir):
+    """The same files read in pieces of 1000 bytes and put together again."""
+    pieces = files.file_ranges(spark, _document_files(spark, sf_dir), chunkBytes=1000, taskBytes=4000)
+    held = F.sort_array(F.collect_list(F.struct("offset", F.hex("content").alias("hex"))))
+    whole = pieces.groupBy("name", "length").agg(held.alias("held"))
+    text = F.decode(F.unhex(F.array_join("held.hex", "")), "UTF-8")
+    return whole.select("name", "length", F.size("held").alias("pieces"), text.alias("text"))
 
 
 @query
@@ -260,6 +279,17 @@ def language_tag(spark, sf_dir):
     return language.tag_language(docs, profiles).select("doc_id", "language")
 
 
+@query
+def language_blocks(spark, sf_dir):
+    """Tags of documents cut into parts of 97 characters: the same as of whole texts."""
+    docs = inputs.documents(spark, sf_dir, "lang", "text")
+    text = F.coalesce("text", F.lit(""))
+    last = F.greatest(F.lit(0), F.floor((F.length(text) - 1) / 97)).cast("int")
+    cut = docs.select("doc_id", (last + 1).alias("n_parts"), text.alias("whole"), F.explode(F.sequence(F.lit(0), last)).alias("part_no"))
+    parts = cut.select("doc_id", "n_parts", "part_no", F.col("whole").substr(F.col("part_no") * 97 + 1, F.lit(97)).alias("text"))
+    return language.tag_language(parts, language.fit_language_profiles(docs))
+
+
 @query
 def language_holdout(spark, sf_dir):
     """Tags of every fifth document by profiles of the others, copies of a text folded first."""
@@ -421,11 +451,14 @@ def table_meta(spark, sf_dir):
     candidates, routes = _engine_candidates(spark, sf_dir)
     served, chosen = tables.choose_engine(candidates, routes)
     named = tables.table_names(tables.score_tables(served))
-    meta = tables.table_meta(named, chosen, tables.best_table(named))
+    errors = routes.select("doc_id", F.lit("docling").alias("engine"), F.lit("no layout").alias("error"))
+    meta = tables.table_meta(named, chosen, tables.best_table(named), errors=errors)
     t = F.col("tables")
+    no = lambda c: F.coalesce(c, F.lit("-"))
+    item = lambda i: F.concat_ws("|", i["page"].cast("string"), no(i["path_html"]), i["path_csv"], no(i["path_md"]))
     return meta.select(
-        "doc_id", "part_no", t["engine"].alias("engine"), t["count"].alias("count"),
-        F.array_join(t["items"]["path_csv"], ",").alias("items"),
+        "doc_id", "part_no", t["engine"].alias("engine"), t["error"].alias("error"), t["count"].alias("count"),
+        F.array_join(F.transform(t["items"], item), ",").alias("items"),
         t["best_csv"].alias("best_csv"), t["best_score"].alias("best_score"),
     )
 
@@ -435,6 +468,20 @@ def table_csv(spark, sf_dir):
     return sinks.render_tables(_scored(spark, sf_dir)).select("doc_id", "page_no", "name", "csv", "html", "md")
 
 
+@query
+def table_files(spark, sf_dir):
+    """The cleaned tables as csv, html and md files, found again with their hashes."""
+    folder = f"{scratch_path(spark, 'files')}/tables-out"
+    write_files(sinks.table_files(_scored(spark, sf_dir)), folder)
+    found = files.discover(spark, folder, "")
+    return found.select(F.regexp_extract("path", "/tables-out/(.*)$", 1).alias("file"), "length", "sha256")
+
+
+@query
+def nested_tables(spark, sf_dir):
+    return _cells(tables.html_grids(inputs.nested_pages(spark, sf_dir)))
+
+
 # --- assembly ---------------------------------------------------------------
 
 
@@ -529,6 +576,20 @@ def ingest_documents(spark, sf_dir):
     )
 
 
+@query
+def error_channel(spark, sf_dir):
+    """Documents that failed stand beside the bundles of the others; errors of a table engine stand in their metadata."""
+    docs = inputs.documents(spark, sf_dir)
+    failed = docs.filter(F.col("doc_id") % 13 == 0).select("doc_id", F.lit("ValueError: broken").alias("error"))
+    engine = docs.filter(F.col("doc_id") % 5 == 0).select("doc_id", F.lit("docling").alias("engine"), F.lit("no layout").alias("error"))
+    run = ingest_run(inputs.decorated_pages(spark, sf_dir), EngineConfig(language="off"), failures=failed, engine_errors=engine)
+    done = run.bundles.select(
+        "doc_id", F.lit("done").alias("stage"), F.col("meta.tables.engine").alias("engine"), F.col("meta.tables.error").alias("error"),
+        F.col("meta.token_count").alias("token_count"),
+    )
+    return done.union(run.errors.select("doc_id", "stage", "engine", "error", F.lit(None).cast("bigint")))
+
+
 # --- streaming --------------------------------------------------------------
 
 
@@ -543,6 +604,14 @@ def stream_ingest(spark, sf_dir):
     return stream.drain_new(docs)
 
 
+@query
+def stream_files(spark, sf_dir):
+    """Files of the documents' texts as a stream that keeps its own account of what it has seen."""
+    folder = _document_files(spark, sf_dir)
+    found = files.stream_files(spark, folder, f"{folder}-log", ".txt")
+    return stream.drain_new(found.select("name", "length", "sha256"))
+
+
 @query
 def stream_dedup(spark, sf_dir):
     docs = _arriving(spark, sf_dir)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from folioworks.config import EngineConfig
+from folioworks.functions.grid import GRID_TYPE
 from folioworks.operators import assembly, routing
 from folioworks.operators import tables as T
-from folioworks.operators.blocks import gather, only_long, prepare
+from folioworks.operators.blocks import attach, gather, only_long, prepare
 from folioworks.operators.cleaning import clean_parts
 from folioworks.operators.language import LanguageProfiles, tag_language
 from folioworks.session import materialize
@@ -45,24 +49,42 @@ def routes_of(
     return resolved.withColumn("n_pages", F.when(F.col("use_ocr"), F.col("_ocr_pages")).otherwise(F.col("num_pages"))).drop("_ocr_pages")
 
 
+def table_stages(candidates: DataFrame | None, ocr_pages: DataFrame | None, cfg: EngineConfig) -> list[T.Stage]:
+    """The engines that the options allow, in their order.
+
+    Structured tables of the layout engine come before tables of its HTML, then pipe tables of OCR
+    markdown, then the grid engine. Tables of the layout engines are cleaned; markdown tables stay as written.
+    """
+    b = cfg.block_pages
+
+    def of_engine(engine: str, html: bool | None = None):
+        given = candidates.filter(F.col("engine") == engine)
+        if html is not None:
+            flavor = F.col("flavor") if "flavor" in candidates.columns else F.lit(None).cast("string")
+            is_html = F.coalesce(flavor == "html", F.lit(False))
+            given = given.filter(is_html if html else ~is_html)
+        return lambda docs: T.clean_tables(T.placed(given, docs, b)).drop("original_header")
+
+    def markdown(docs: DataFrame) -> DataFrame:
+        asked = attach(prepare(ocr_pages, b), docs, "left_semi", b)
+        return T.placed(T.md_grids(T.md_tables(asked)).drop("md"), docs, b)
+
+    given = candidates is not None
+    layout = [T.Stage("docling", of_engine("docling", html)) for html in (False, True)] if given else []
+    grid = [T.Stage("camelot", of_engine("camelot"))] if given else []
+    parsed = ocr_pages is not None and cfg.prompt_mode == "markdown"
+    pipes = [T.Stage("markdown", markdown, ocr_only=True)] if parsed else []
+    return {"off": [], "docling": layout, "camelot": grid, "auto": layout + pipes + grid}[cfg.tables]
+
+
 def collect_tables(
     candidates: DataFrame | None, ocr_pages: DataFrame | None, routes: DataFrame, cfg: EngineConfig
 ) -> tuple[DataFrame, DataFrame] | None:
-    """(tables of the chosen engine, engine and count per document).
-
-    Tables of the layout engines are cleaned; markdown tables stay as written.
-    """
-    found = []
-    if candidates is not None:
-        found.append(T.clean_tables(candidates).drop("original_header"))
-    if ocr_pages is not None and cfg.tables == "auto" and cfg.prompt_mode == "markdown":
-        found.append(T.md_grids(T.md_tables(ocr_pages)).drop("md"))
-    if not found or cfg.tables == "off":
+    """(tables of the chosen engine, engine and count per document), or None if there is nothing to look at."""
+    stages = table_stages(candidates, ocr_pages, cfg)
+    if not stages:
         return None
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionByName(more, allowMissingColumns=True)
-    return T.choose_engine(every.drop("n_pages"), routes, cfg.tables, cfg.prompt_mode, cfg.block_pages)
+    return T.cascade(routes, stages, "camelot" if cfg.tables == "camelot" else "docling")
 
 
 def ingest(
@@ -71,11 +93,13 @@ def ingest(
     ocr_pages: DataFrame | None = None,
     tables: DataFrame | None = None,
     profiles: LanguageProfiles | None = None,
+    engine_errors: DataFrame | None = None,
 ) -> DataFrame:
     """Bundles of all documents of a page table.
 
     ``ocr_pages`` is the page table an OCR engine made, ``tables`` the raw
-    tables of layout engines, ``profiles`` a fitted language model. Documents
+    tables of layout engines, ``profiles`` a fitted language model, ``engine_errors``
+    (doc_id, engine, error) what table engines failed with. Documents
     are those of either page table. Routes are settled from narrow rows first,
     so only the texts of each document's source are gathered.
     """
@@ -98,8 +122,67 @@ def ingest(
         languages = tag_language(parts, profiles)
     meta = None
     chosen = collect_tables(tables, ocr_pages, routes, cfg)
+    if chosen is None and engine_errors is not None and cfg.tables != "off":
+        chosen = T.cascade(routes, [], "camelot" if cfg.tables == "camelot" else "docling")
     if chosen is not None:
         served, engines = chosen
+        if served is None:
+            nothing = {"page_no": "int", "table_idx": "int", "engine": "string", "block": "int", "n_pages": "int", "grid": GRID_TYPE}
+            served = routes.select("doc_id", *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()]).limit(0)
         scored = T.table_names(T.score_tables(served))
-        meta = T.table_meta(scored, engines, T.best_table(scored), cfg.block_pages)
+        meta = T.table_meta(scored, engines, T.best_table(scored), cfg.block_pages, engine_errors)
     return assembly.bundle(parts, routes, languages, meta, cfg.block_pages)
+
+
+@dataclass(frozen=True)
+class Run:
+    """Bundles, the errors beside them, and counts that are there once the bundles were written."""
+
+    bundles: DataFrame
+    errors: DataFrame
+    counts: Observation
+
+
+def ingest_run(
+    pages: DataFrame,
+    cfg: EngineConfig = EngineConfig(),
+    ocr_pages: DataFrame | None = None,
+    tables: DataFrame | None = None,
+    profiles: LanguageProfiles | None = None,
+    failures: DataFrame | None = None,
+    engine_errors: DataFrame | None = None,
+) -> Run:
+    """``ingest`` with an error channel.
+
+    Documents of ``failures`` (doc_id, error), such as ``extract_with`` gives, are left out of the
+    bundles with all their pages and stand in ``errors`` (doc_id, stage, engine, error), as do the
+    ``engine_errors`` of the table engines, whose documents go on. ``counts`` is observed while the
+    bundles are written, without another pass: documents, parts, tokens, and documents with an engine error.
+    """
+    if failures is not None:
+        bad = failures.select("doc_id").distinct()
+
+        def sound(given: DataFrame) -> DataFrame:
+            ready = prepare(given, cfg.block_pages)
+            marked = bad.join(routing.page_counts(ready, cfg.block_pages), "doc_id")
+            return attach(ready, marked, "left_anti", cfg.block_pages).drop("block")
+
+        pages, ocr_pages = sound(pages), sound(ocr_pages) if ocr_pages is not None else None
+    bundles = ingest(pages, cfg, ocr_pages, tables, profiles, engine_errors)
+    first = F.col("part_no") == 0
+    counts = Observation()
+    bundles = bundles.observe(
+        counts,
+        F.count_if(first).alias("documents"),
+        F.count(F.lit(1)).alias("parts"),
+        F.sum(F.when(first, F.col("meta.token_count"))).alias("tokens"),
+        F.count_if(first & F.col("meta.tables.error").isNotNull()).alias("engine_errors"),
+    )
+    nothing = F.lit(None).cast("string")
+    told = [
+        failures.select("doc_id", F.lit("extract").alias("stage"), nothing.alias("engine"), "error") if failures is not None else None,
+        engine_errors.select("doc_id", F.lit("tables").alias("stage"), "engine", "error") if engine_errors is not None else None,
+    ]
+    told = [t for t in told if t is not None]
+    none = pages.select("doc_id", nothing.alias("stage"), nothing.alias("engine"), nothing.alias("error")).limit(0)
+    return Run(bundles, reduce(DataFrame.unionByName, told) if told else none, counts)

@@ -161,6 +161,17 @@ def html_table_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("doc_id", "page_no", html.alias("html"))
 
 
+def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HTML pages with a table inside a cell of another one, and a third after both."""
+    row = F.concat(F.lit("<tr><td>"), "p_name", F.lit("</td><td>"), "p_type", F.lit("</td></tr>"))
+    html = F.concat(
+        F.lit("<table><tr><th>Key</th><th>Held</th></tr><tr><td>"), F.col("doc_id"),
+        F.lit("</td><td>before <TABLE class='in'>"), F.array_join("rows", ""), F.lit("</TABLE > after</td></tr><tr><td>last</td><td>"),
+        F.size("rows").cast("string"), F.lit("</td></tr></table><p>between</p><table><tr><td>"), F.col("page_no").cast("string"), F.lit("</td></tr>"),
+    )
+    return _by_page(_parts(spark, sf_dir), row).select("doc_id", "page_no", html.alias("html"))
+
+
 def raw_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables as a layout engine gives them: blank rows, stray spaces, decimal commas.
 

@@ -501,8 +501,9 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT DISTINCT {TABLE}, 2, 'stream' FROM q_cells)
         SELECT *, 'camelot_' || flavor || '_' || lpad(CAST(table_idx AS VARCHAR), 2, '0') AS name FROM passes""",
     "table_meta": f"""WITH {CANDIDATES}
-        SELECT c.doc_id, 0 AS part_no, c.engine, c.count,
-               coalesce(string_agg(a.name || '.csv', ',' ORDER BY a.table_idx), '') AS items,
+        SELECT c.doc_id, 0 AS part_no, c.engine, CASE WHEN c.count = 0 AND c.engine = 'docling' THEN 'no layout' END AS error, c.count,
+               coalesce(string_agg(CASE c.engine WHEN 'docling' THEN '0|' || a.name || '.html|' ELSE '1|-|' END || a.name || '.csv|'
+                 || CASE c.engine WHEN 'markdown' THEN a.name || '.md' ELSE '-' END, ',' ORDER BY a.table_idx), '') AS items,
                arg_min(a.name || '.csv', a.table_idx) AS best_csv, round_even(max(a.csv_score), 3) AS best_score
         FROM chosen c LEFT JOIN allowed a ON a.doc_id = c.doc_id AND a.engine = c.engine
         GROUP BY c.doc_id, c.engine, c.count""",
@@ -606,3 +607,33 @@ filled AS (
   SELECT d.doc_id, coalesce(t.text, '') AS text, CASE WHEN d.use_ocr THEN 'ocr' ELSE 'non_ocr' END AS routed, coalesce(t.n_slices, 0) AS n_slices
   FROM decided d LEFT JOIN doc_texts t USING (doc_id))
 SELECT doc_id, text, routed, {tokens('text')} AS token_count, n_slices FROM filled"""
+
+ORACLES["language_blocks"] = ORACLES["language_tag"]
+
+_FILES = "SELECT doc_id || '.txt' AS name, coalesce(text, '') AS text FROM documents"
+ORACLES["file_discovery"] = f"SELECT name, strlen(text) AS length, sha256(text) AS sha256, sha256(text)[1:16] AS doc_id FROM ({_FILES})"
+ORACLES["stream_files"] = f"SELECT name, strlen(text) AS length, sha256(text) AS sha256 FROM ({_FILES})"
+ORACLES["file_ranges"] = f"""SELECT name, strlen(text) AS length, CAST(greatest(1, ceil(strlen(text) / 1000)) AS INTEGER) AS pieces, text
+FROM ({_FILES})"""
+
+ORACLES["table_files"] = f"""WITH made AS ({ORACLES["table_csv"]}),
+kinds AS (
+  SELECT doc_id || '/tables/page_' || lpad(CAST(page_no + 1 AS VARCHAR), 4, '0') || '/' || name AS stem, unnest(['csv', 'html', 'md']) AS kind,
+         unnest([csv, html, md]) AS content FROM made)
+SELECT stem || '.' || kind AS file, strlen(content) AS length, sha256(content) AS sha256 FROM kinds"""
+
+ORACLES["nested_tables"] = f"""WITH {PARTS},
+bodies AS (SELECT doc_id, page_no, count(*) AS n, string_agg(p_name || p_type, '' ORDER BY pos) AS words FROM page_parts GROUP BY ALL)
+SELECT doc_id, page_no, 1 AS table_idx, -1 AS row_idx, c AS col_idx, ['Key', 'Held'][c + 1] AS value FROM bodies, range(2) r(c)
+UNION ALL SELECT doc_id, page_no, 1, 0, c, [doc_id, 'before ' || words || ' after'][c + 1] FROM bodies, range(2) r(c)
+UNION ALL SELECT doc_id, page_no, 1, 1, c, ['last', CAST(n AS VARCHAR)][c + 1] FROM bodies, range(2) r(c)
+UNION ALL SELECT doc_id, page_no, 2, -1, c, CAST(c AS VARCHAR) FROM bodies, range(2) r(c)
+UNION ALL SELECT doc_id, page_no, 2, pos, c, [p_name, p_type][c + 1] FROM page_parts, range(2) r(c)
+UNION ALL SELECT doc_id, page_no, 3, -1, 0, '0' FROM bodies
+UNION ALL SELECT doc_id, page_no, 3, 0, 0, CAST(page_no AS VARCHAR) FROM bodies"""
+
+ORACLES["error_channel"] = f"""WITH summary AS ({ORACLES["run_summary"]})
+SELECT doc_id, 'done' AS stage, 'docling' AS engine, CASE WHEN doc_id % 5 = 0 THEN 'no layout' END AS error, token_count
+FROM summary WHERE doc_id % 13 <> 0
+UNION ALL SELECT doc_id, 'extract', NULL, 'ValueError: broken', NULL FROM documents WHERE doc_id % 13 = 0
+UNION ALL SELECT doc_id, 'tables', 'docling', 'no layout', NULL FROM documents WHERE doc_id % 5 = 0"""

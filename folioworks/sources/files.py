@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioworks.operators.identity import content_id
+from folioworks.sources.source import FileBytes, listed
 
 
 def _any_case(suffix: str) -> str:
@@ -18,7 +19,7 @@ def read_files(spark: SparkSession, root: str, suffix: str = ".pdf") -> DataFram
     """Files below ``root`` with the suffix, in any case, with their bytes.
 
     Listing alone does not read the contents. No file at all is an error.
-    Files of 2 GiB and more are beyond the binaryFile source.
+    Files of 2 GiB and more are beyond the binaryFile source; ``discover`` takes them.
     """
     files = (
         spark.read.format("binaryFile")
@@ -31,6 +32,31 @@ def read_files(spark: SparkSession, root: str, suffix: str = ".pdf") -> DataFram
     return files
 
 
+def discover(spark: SparkSession, root: str, suffix: str = ".pdf", **options) -> DataFrame:
+    """path, name, length, modified, sha256 and ``doc_id`` of the files below ``root``, of any size.
+
+    Hashes are taken in pieces by the tasks, so no file is held whole. No file at all is an error.
+    """
+    if not listed(root, suffix):
+        raise FileNotFoundError(f"no *{suffix} files in {root}")
+    spark.dataSource.register(FileBytes)
+    found = spark.read.format("file_bytes").options(path=root, suffix=suffix, **options).load()
+    return found.withColumn("doc_id", F.substring("sha256", 1, 16))
+
+
+def stream_files(spark: SparkSession, root: str, log: str, suffix: str = ".pdf", **options) -> DataFrame:
+    """The same of arriving files, as a stream. ``log`` is the folder in which it keeps what it has seen; see ``source``."""
+    spark.dataSource.register(FileBytes)
+    found = spark.readStream.format("file_bytes").options(path=root, suffix=suffix, log=log, **options).load()
+    return found.withColumn("doc_id", F.substring("sha256", 1, 16))
+
+
+def file_ranges(spark: SparkSession, root: str, suffix: str = "", **options) -> DataFrame:
+    """path, name, length, offset, content: the bytes of the files in pieces of ``chunkBytes``."""
+    spark.dataSource.register(FileBytes)
+    return spark.read.format("file_bytes").options(path=root, suffix=suffix, mode="ranges", **options).load()
+
+
 def with_file_id(files: DataFrame) -> DataFrame:
     return files.withColumn("doc_id", content_id("content"))
 

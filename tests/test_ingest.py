@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from folioworks.config import EngineConfig
 from folioworks.operators import assembly, identity, paging
 from folioworks.operators import tables as T
-from folioworks.operators.language import fit_language_profiles, tag_language
-from folioworks.plans.ingest import ingest
+from folioworks.operators.language import fit_language_profiles, tag_language, with_seams
+from folioworks.plans.ingest import ingest, ingest_run
 from folioworks.sources import files, sinks
 
 from test_tables import INVOICE, METRICS
@@ -132,8 +132,7 @@ def test_sinks(spark, samples, tmp_path):
     assert bundles.count() == 3
     assert [(f.name, f.dataType.typeName()) for f in bundles.schema] == [(f.name, f.dataType.typeName()) for f in out.schema]
     sinks.write_text(bundles, f"{tmp_path}/text")
-    texts = {r["doc_id"]: r["value"] for r in spark.read.text(f"{tmp_path}/text", wholetext=True).collect()}
-    assert texts["scan"] == SCAN_TEXT + "\n"
+    assert (tmp_path / "text/scan/text.txt").read_text() == SCAN_TEXT
     sinks.write_docmeta(bundles, f"{tmp_path}/meta")
     metas = {m["doc_id"]: m for m in (json.loads(r["value"]) for r in spark.read.text(f"{tmp_path}/meta").collect())}
     assert metas["invoice"]["meta"]["tables"]["items"][0]["path_md"] is None and metas["scan"]["page_offsets"] == [0]
@@ -219,3 +218,43 @@ def test_language(spark):
         ingest(new.withColumn("page_no", F.lit(0)))
     tagged = ingest(new.withColumn("page_no", F.lit(0)).filter("text is not null and doc_id <> 'y'"), profiles=profiles)
     assert {r["doc_id"]: r["language"] for r in tagged.collect()}["z"] == "fr"
+
+
+def test_tags_do_not_depend_on_where_a_text_is_cut(spark):
+    import random
+
+    rng = random.Random(12)
+    train = spark.createDataFrame([("a", "x", "abab baba ab ba"), ("b", "y", "abba baab aabb"), ("c", "z", "bbb aaa bbba")], "doc_id string, lang string, text string")
+    profiles = fit_language_profiles(train)
+    docs = {f"d{i}": "".join(rng.choice("ab ") for _ in range(rng.randrange(0, 40))) for i in range(80)}
+    want = {r.doc_id: r.language for r in tag_language(spark.createDataFrame(list(docs.items()), "doc_id string, text string"), profiles).collect()}
+    rows = []
+    for d, t in docs.items():
+        cuts = sorted(rng.randrange(len(t) + 1) for _ in range(rng.randrange(0, 30)))
+        pieces = [t[a:b] for a, b in zip([0, *cuts], [*cuts, len(t)])]
+        rows += [(d, i, len(pieces), p or rng.choice(["", None])) for i, p in enumerate(pieces)]
+    parts = spark.createDataFrame(rows, "doc_id string, part_no int, n_parts int, text string").repartition(3)
+    assert {r.doc_id: r.language for r in tag_language(parts, profiles).collect()} == want
+    # spans of two parts give the same seams
+    seams = lambda span: sorted(map(repr, with_seams(parts, 2, span).collect()))
+    assert seams(2) == seams(4096)
+    whole = {}
+    for r in sorted(with_seams(parts, 2, 2).collect(), key=lambda r: (r.doc_id, r.part_no)):
+        whole.setdefault(r.doc_id, []).extend(r.text[i : i + 3] for i in range(len(r.text) - 2))
+    assert {d: sorted(g) for d, g in whole.items()} == {d: sorted(t[i : i + 3] for i in range(len(t) - 2)) for d, t in docs.items()}
+
+
+def test_errors_stand_beside_the_results(spark):
+    text = "a line that is long enough to be native text {}"
+    pages = [(d, i, 2, text.format(i)) for d in "abc" for i in range(2)]
+    df = spark.createDataFrame(pages, "doc_id string, page_no int, n_pages int, text string")
+    failed = spark.createDataFrame([("b", "ValueError: broken"), ("x", "OSError: gone")], "doc_id string, error string")
+    engine = spark.createDataFrame([("a", "docling", "no layout")], "doc_id string, engine string, error string")
+    run = ingest_run(df, EngineConfig(language="off"), failures=failed, engine_errors=engine)
+    rows = {r.doc_id: r for r in run.bundles.collect()}
+    assert sorted(rows) == ["a", "c"] and rows["a"].meta.tables.error == "no layout" and rows["c"].meta.tables.error is None
+    assert run.counts.get == {"documents": 2, "parts": 2, "tokens": sum(r.meta.token_count for r in rows.values()), "engine_errors": 1}
+    errors = sorted(map(tuple, run.errors.collect()), key=repr)
+    assert errors == [("a", "tables", "docling", "no layout"), ("b", "extract", None, "ValueError: broken"), ("x", "extract", None, "OSError: gone")]
+    quiet = ingest_run(df, EngineConfig(language="off"))
+    assert quiet.bundles.count() == 3 and quiet.errors.count() == 0

@@ -66,7 +66,7 @@ def test_table_rules_need_no_shuffle_of_their_own(spark, rule):
     assert "Exchange" not in plan(made)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("stream", "ingest", "language"))])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("stream", "ingest", "language", "file_", "table_files"))])
 def test_core_queries_stay_in_the_jvm(spark, name):
     text = plan(QUERIES[name](spark, SF))
     assert not [n for n in PYTHON_NODES if n in text]
@@ -80,7 +80,7 @@ def test_exact_dedup_sorts_no_texts(spark):
 
 def test_every_oracle_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(QUERIES) - set(entry.oracle_sql()) <= {"file_discovery"}
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
 def test_no_text_of_the_other_source_is_gathered(spark):

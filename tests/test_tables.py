@@ -37,7 +37,7 @@ def test_recorded_scores(spark):
     assert best == {"d0": ("table_html_01.csv", 8.0), "d1": ("table_html_01.csv", 20.0)}
     first = scored.orderBy("doc_id").first()
     assert first["original_header"] == ["Plant", "Beds", "Height", "Yield"]
-    assert G is not None and first["table_score"] == pytest.approx(9.6)
+    assert first["table_score"] == pytest.approx(9.6)
 
 
 def test_html_spans_entities_and_heads(spark):
@@ -202,3 +202,42 @@ def test_tables_without_page_errors_and_camelot_items(spark):
     assert [(i["page"], i["path_csv"]) for i in got["a"]["items"]] == [(None, "table_01.csv"), (2, "table_02.csv")] and got["a"]["count"] == 2
     assert [(i["page"], i["path_html"], i["path_csv"]) for i in got["b"]["items"]] == [(1, None, "camelot_lattice_01.csv")]
     assert (got["c"]["error"], got["c"]["count"]) == ("ValueError: no layout", 0) and got["b"]["error"] is None
+
+
+def test_nested_tables_are_each_whole(spark):
+    page = (
+        "<table><tr><td>a</td><td>b<table><tr><td>c</td></tr><tr><td>x<TABLE id=3><tr><td>deep</td></tr></TABLE  >y</td></tr></table> z</td></tr>"
+        "<tr><td>d</td></tr><tr><td>e</td><td>f</td></tr></table></table><p>t</p>"
+        "<table><tr><td>g<br>h<table><tr><td>i</td></tr>"
+    )
+    got = [rows for _, rows in grids(html_rows(spark, page))]
+    assert got == [
+        [["a", "bcxdeepy z"], ["d", None], ["e", "f"]], [["c"], ["xdeepy"]], [["deep"]], [["g hi"]], [["i"]],
+    ]
+
+
+def test_cascade_parses_only_what_is_still_unserved(spark):
+    from folioworks.config import EngineConfig
+    from folioworks.plans import ingest as plan
+
+    g = {"header": ["0", "1"], "rows": [["Name", "B"], ["1", "2"], ["3", "4"]]}
+    rows = [("layout", "docling", None, 0, 1), ("layout", "docling", "html", 0, 1), ("html", "docling", "html", 0, 1), ("scan", "camelot", "lattice", 0, 1), ("grid", "camelot", "lattice", 0, 1)]
+    cand = spark.createDataFrame([(*r, g) for r in rows], f"doc_id string, engine string, flavor string, page_no int, table_idx int, grid {G.GRID_TYPE}")
+    docs = {"layout": "ocr", "html": "ocr", "scan": "ocr", "grid": "non_ocr", "none": "ocr"}
+    routes = spark.createDataFrame([(d, r, 2) for d, r in docs.items()], "doc_id string, routed string, n_pages int")
+    md = "| A | B |\n|---|---|\n| 1 | 2 |"
+    ocr = spark.createDataFrame([(d, i, 2, md if d != "none" else "no table") for d in docs for i in range(2)], "doc_id string, page_no int, n_pages int, text string")
+    asked, parse, clean, cleaned = [], T.md_tables, T.clean_tables, []
+    T.md_tables = lambda pages: (asked.extend((r.doc_id, r.page_no) for r in pages.collect()), parse(pages))[1]
+    T.clean_tables = lambda t: (cleaned.append(sorted((r.doc_id, r.flavor) for r in t.collect())), clean(t))[1]
+    try:
+        served, chosen = plan.collect_tables(cand, ocr, routes, EngineConfig(block_pages=1))
+    finally:
+        T.md_tables, T.clean_tables = parse, clean
+    assert sorted(asked) == [("none", 0), ("none", 1), ("scan", 0), ("scan", 1)]
+    assert cleaned == [[("layout", None)], [("html", "html")], [("grid", "lattice")]]
+    got = {r.doc_id: (r.engine, r["count"]) for r in chosen.collect()}
+    assert got == {"layout": ("docling", 1), "html": ("docling", 1), "scan": ("markdown", 2), "grid": ("camelot", 1), "none": ("docling", 0)}
+    assert sorted((r.doc_id, r.engine, r.page_no, r.block) for r in served.collect()) == [
+        ("grid", "camelot", 0, 0), ("html", "docling", 0, 0), ("layout", "docling", 0, 0), ("scan", "markdown", 0, 0), ("scan", "markdown", 1, 1),
+    ]
