@@ -1,10 +1,10 @@
 """Groups of similar members, from bands they share, without comparing all members of a band.
 
 Every band has a lead in every round: its least member at first, then the first of an order of
-its own. A member of another component looks at the leads of its bands, two in the first round and
-twice as many in each further one (those that linked need none), and is compared with the one
+its own. A member of another component looks at the leads of its bands, at one in the first round and
+four times as many in each further one (those that linked need none), and is compared with the one
 most like it by estimate. Bands whose members are all in one component are done. After a round
-that links few, or ``ROUNDS``, ``rest`` names the pairs across components that are still to be compared.
+without links, or ``ROUNDS``, ``rest`` names the pairs across components that are still to be compared.
 """
 
 from __future__ import annotations
@@ -17,9 +17,7 @@ from pyspark.sql import functions as F
 from folioworks.llm.components import components
 from folioworks.session import discard, materialize
 
-ROUNDS = 6
-#: A round that links less than one in so many of the open members is the last.
-FEW = 50
+ROUNDS = 3
 
 
 def linked(
@@ -54,17 +52,17 @@ def linked(
             across = shared.join(known, "lead", "left").filter(F.coalesce("lead_c", "lead") != F.col("c"))
         else:
             across = shared.filter("key <> lead")
-        looks = F.pmod(F.xxhash64("band"), F.lit(1 << turn))
+        looks = F.pmod(F.xxhash64("band"), F.lit(4**turn))
         pairs = across.groupBy(F.col("key").alias("b"), looks.alias("look")).agg(F.min("lead").alias("a")).select("a", "b").distinct()
         links = materialize(confirm(promising(pairs)))
-        found = links.count()
-        if found:
+        none = links.isEmpty()
+        if not none:
             merged = _merged(groups, links)
             if groups is not None:
                 discard(groups)
             groups = merged
         discard(links)
-        if turn and found * FEW < shared.select("key").distinct().count():
+        if none and turn:
             break
         if groups is None:
             groups = shared.select("key", "c").limit(0)

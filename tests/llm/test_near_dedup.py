@@ -191,7 +191,10 @@ def test_components(spark):
     random.Random(5).shuffle(links)
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a bigint, b bigint").repartition(5)).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{k: 100 for k in range(100, 160)}, 200: 200, 201: 200}
-    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+    in_rounds = components(spark.createDataFrame(links, "a bigint, b bigint").repartition(5), one_task=-1).collect()
+    assert {r.node: r.component for r in in_rounds} == got
+    for most in (-1, 10):
+        assert components(spark.createDataFrame([], "a bigint, b bigint"), one_task=most).count() == 0
 
 
 def test_sketch_does_not_depend_on_slices(spark, monkeypatch):
