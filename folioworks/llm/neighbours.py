@@ -8,11 +8,14 @@ graph and open lists, nearest first, until these hold 2 * ``COPIES`` * (k + 1) v
 lists within ``PRUNE`` times the distance reached, or times that of a typical query if it is
 more. A query that still has fewer than ``k`` rows searches all lists.
 
+Vectors far longer than nearly all others are kept in a list of their own that every query opens:
+else their length would drown all differences.
+
 Largest inner product becomes least distance by one more coordinate, sqrt(M^2 - |x|^2), for
 the indexed vectors and 0 for the queries. Lists longer than ``CHUNK`` are cut in chunks that
 all their queries visit, and many queries of one list are cut likewise, so no group grows
 with the data. A group returns each query's best; scores are sums in double precision over
-the given vectors, in a fixed order, so equal vectors tie and the smaller vec_id goes first.
+the given vectors, in a fixed order (all divided by one power of two first, so that nothing overflows), so equal vectors tie and the smaller vec_id goes first.
 
 Defined results: vectors that are null, zero, or hold a null or non-finite component, rows
 without vec_id, and vectors of another length than most take no part. Rows of one vec_id are
@@ -22,6 +25,7 @@ table gives none. Other columns are not read.
 
 from __future__ import annotations
 
+import math
 import pickle
 
 import numpy as np
@@ -39,6 +43,10 @@ ROUNDS, DEGREE, BEAM = 8, 24, 160
 REPLICATE, COPIES = 1.06, 6
 PRUNE = 1.15
 CHUNK = 4096
+#: Powers of two up to which components are squared as they are.
+LARGE = 480
+#: Vectors longer than so many times the length that ORDINARY of them stay below are searched by every query.
+LONG, ORDINARY = 4.0, 0.98
 
 
 class Centroids:
@@ -126,13 +134,32 @@ def fit_centroids(sample: np.ndarray, count: int) -> Centroids:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id, embedding (array of double) of the rows that take part."""
+    """vec_id, embedding (array of double) of the rows that can take part, of any length."""
     x = F.col("embedding").cast("array<double>")
     odd = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), x.alias("embedding"))
     rows = rows.filter(F.col("vec_id").isNotNull() & x.isNotNull()).filter(~odd & F.exists("embedding", lambda v: v != 0))
+    return rows
+
+
+def prepared(vectors: DataFrame, queries: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Rows of the length that most vectors have, on both sides, over the same power of two, and its exponent.
+
+    Components so large that a sum of squares would overflow, or all so small that it would vanish, are
+    brought into range; others stay as they are. No digit of a score in range is lost.
+    """
+    rows, asked = usable(vectors), usable(queries)
     sizes = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.filter(F.size("embedding") == (sizes.n if sizes else 0))
+    length = sizes.n if sizes else 0
+    rows, asked = (df.filter(F.size("embedding") == length) for df in (rows, asked))
+    largest = F.max(F.array_max(F.transform("embedding", F.abs))).alias("x")
+    top = max((r.x for r in (rows.agg(largest).first(), asked.agg(largest).first()) if r.x), default=1.0)
+    exponent = math.frexp(top)[1]
+    exponent = exponent - LARGE if exponent > LARGE else max(exponent, -1000) if exponent < -LARGE else 0
+    if not exponent:
+        return rows, asked, 0
+    scaled = F.transform("embedding", lambda v: v * F.lit(2.0**-exponent))
+    return rows.withColumn("embedding", scaled), asked.withColumn("embedding", scaled), exponent
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -149,12 +176,14 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
 
     Both have vec_id and embedding; a row is no neighbour of its own id.
     """
-    rows, asked = usable(vectors), usable(queries)
+    rows, asked, exponent = prepared(vectors, queries)
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v * v))
-    facts = rows.agg(F.count("*").alias("n"), F.max(norm).alias("top")).first()
+    facts = rows.agg(F.count("*").alias("n"), F.max(norm).alias("top"), F.percentile_approx(norm, ORDINARY).alias("most")).first()
     if not facts.n:
         return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    top = float(facts.top)
+    # One very long vector would make all others look alike.
+    top = min(float(facts.top), LONG * float(facts.most) or float(facts.top))
+    some_long = float(facts.top) > top
     lists = max(1, min(MOST_LISTS, facts.n // LIST_SIZE))
 
     def fit(batches):
@@ -163,7 +192,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
         made = fit_centroids(_augmented(sample, top), lists)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(made)], pa.binary())], names=["model"])
 
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS)
+    sample = rows.filter(norm <= top).orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS)
     centroids = pickle.loads(sample.repartition(1).mapInArrow(fit, "model binary").first().model)
 
     def assign(as_query: bool, held: np.ndarray | None = None):
@@ -175,6 +204,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
                 for i in range(0, whole.num_rows, 1024):
                     batch = whole.slice(i, 1024)
                     x = _matrix(batch.column(1))
+                    is_long = np.sqrt((x**2).sum(1)) > top
                     x = np.column_stack([x, np.zeros(len(x))]) if as_query else _augmented(x, top)
                     ids, dist = centroids.search(x, BEAM if as_query else 2 * COPIES)
                     reach = dist[:, :1]
@@ -182,9 +212,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
                         opened = np.minimum((np.cumsum(held[ids], axis=1) < enough).sum(1), ids.shape[1] - 1)
                         reach = np.maximum(dist[np.arange(len(dist)), opened], centroids.typical)[:, None]
                     taken = (dist <= ratio * reach + 1e-12) & (np.arange(ids.shape[1]) < most)
-                    row, col = np.nonzero(taken)
+                    row, col = np.nonzero(taken & (as_query | ~is_long)[:, None])
+                    extra = np.arange(len(x)) if as_query and some_long else np.flatnonzero(is_long) if not as_query else row[:0]
+                    of_long = np.full(len(extra), len(centroids.points), dtype=np.int64)
+                    row, list_ = np.concatenate([row, extra]), np.concatenate([ids[row, col], of_long])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[row, col]), *(c.take(pa.array(row)) for c in batch.columns)], names=["list", "vec_id", "embedding"]
+                        [pa.array(list_), *(c.take(pa.array(row)) for c in batch.columns)], names=["list", "vec_id", "embedding"]
                     )
 
         return run
@@ -195,7 +228,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     # Of each list, its vec_ids and how many chunks of vectors; at most MOST_LISTS rows.
     chunks = posted.groupBy("list").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"), F.countDistinct("vec_id").alias("ids"))
     chunks = materialize(chunks)
-    held = np.zeros(len(centroids.points), dtype=np.int64)
+    held = np.zeros(len(centroids.points) + 1, dtype=np.int64)
     for r in chunks.collect():
         held[r.list] = r.ids
 
@@ -243,13 +276,18 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
         ranked = once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
         return materialize(ranked.select("query_id", "rank", "vec_id", "score"))
 
+    def unscaled(found: DataFrame) -> DataFrame:
+        # In two steps: the square of the power may be out of range.
+        power = F.lit(2.0**exponent)
+        return found.withColumn("score", F.col("score") * power * power) if exponent else found
+
     near = search(materialize(asked.mapInArrow(assign(True, held), schema)))
     full = near.filter(F.col("rank") == k).select("query_id")
     short = materialize(asked.join(full, asked["vec_id"] == full["query_id"], "left_anti"))
     if short.isEmpty():
-        return near
+        return unscaled(near)
     wide = search(short.crossJoin(F.broadcast(chunks.select("list"))).select("list", "vec_id", "embedding"))
-    return near.join(full, "query_id", "left_semi").union(wide)
+    return unscaled(near.join(full, "query_id", "left_semi").union(wide))
 
 
 def op6_neighbours(spark, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioworks.session import materialize, shared_dir
+from folioworks.session import materialize, scratch_path
 
 REVISIT_BYTES = 1000
 ROLL_BYTES = 64 << 20
@@ -198,7 +198,7 @@ def read(archives: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
 
 def op3_warc(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    folder = scratch_path(spark, "warc")
     records = read(write(with_revisits(pages), folder), folder, payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 

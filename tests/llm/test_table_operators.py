@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioworks.llm import neighbours, page_language, perspectives, sharding, warc
+from folioworks.llm import labelled, neighbours, page_language, perspectives, sharding, warc
 
 
 # -- WARC
@@ -296,3 +296,42 @@ def test_perspectives_against_plain_rendering(spark):
         assert [r.text_start for r in blocks] == [sum(len(b.text) for b in blocks[:k]) for k in range(len(blocks))]
         assert "".join(r.text[m.start : m.end] for r in blocks for m in r.mask) == want[key][1]
     assert perspectives.perspectives(table.limit(0)).count() == 0
+
+
+def test_large_small_and_odd_vectors_lose_nothing(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(300)]
+    # queries of another length than most vectors take no part, and do no harm
+    odd = [(1000 + 20 * i, [1.0, 2.0]) for i in range(30)]
+    for factor in (1e200, 1e-200, 1.0):
+        scaled = [(i, (np.array(v) * (factor if i == 40 else 1.0)).tolist()) for i, v in rows] + odd
+        df = spark.createDataFrame(scaled, "vec_id bigint, embedding array<double>")
+        got = {}
+        for r in neighbours.nearest(df, df.filter("vec_id % 20 = 0"), 20).collect():
+            got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+        assert sorted(got) == list(range(0, 300, 20)) and all(len(v) == 20 for v in got.values())
+        vectors = {i: np.array(v) for i, v in scaled if i < 1000}
+        for q, found in got.items():
+            for rank, i, score in found:
+                exact = float((vectors[q] * vectors[i]).sum())
+                assert score == pytest.approx(exact, rel=1e-12) if i != 40 and q != 40 else True
+            assert [s for _, _, s in sorted(found)] == sorted((s for _, _, s in found), reverse=True)
+        if factor == 1e200:
+            # the long vector is the best or the worst of all for every query
+            for q, found in got.items():
+                dot = float((vectors[q] * vectors[40]).sum())
+                assert q == 40 or (40 in {i for _, i, _ in found}) == (dot > 0)
+
+
+def test_samples_do_not_depend_on_copies(spark):
+    docs = [(i, f"text {i}") for i in range(60)]
+    labels = [(i, i % 2, 0) for i in range(60)] + [(7, 0, 0)]
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id bigint, text string")
+    marks = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    plain = sorted(map(tuple, labelled.sample(frame(docs), marks, "quality", 20).collect()))
+    assert len(plain) == 20 and sum(r[2] for r in plain) == 10 and all(r[0] != 7 for r in plain)
+    some = [r for r in docs if r[0] == plain[0][0]]
+    for copied in (some * 3000 + docs, docs + some * 3000):
+        assert sorted(map(tuple, labelled.sample(frame(copied), marks, "quality", 20).collect())) == plain
+    twice = docs + [(plain[0][0], f"another text {k}") for k in range(50)]
+    assert len(labelled.sample(frame(twice), marks, "quality", 20).collect()) == 20
