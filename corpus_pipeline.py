@@ -7,18 +7,16 @@ whatever came before it. All stages but the last return the columns of ``docs``.
 Rows are kept or dropped whole: a text is dropped if its quality score is below 0.5, if its
 toxicity score is 0.7 or more, if it is a near copy (five-word runs, similarity 0.8) of a
 text with a smaller doc_id, or if it holds a benchmark item. Rows without doc_id are no near
-copy of anything. Of rows that share a doc_id and their words, the first in text order stays.
+copy of anything. Of near copies that share the least doc_id, the row of least hash over its columns stays.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioworks.llm import byte_bpe, decontaminate, near_dedup, quality, toxicity
-from folioworks.session import shared_dir
+from folioworks.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,7 +58,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; between stages the rows are written to the shared folder."""
     docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        path = scratch_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.mode("append").parquet(path)
         docs = spark.read.parquet(path)
     return docs
