@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioworks.session import materialize, scratch_path
+from folioworks.sources.source import open_system
 
 REVISIT_BYTES = 1000
 ROLL_BYTES = 64 << 20
@@ -139,9 +140,7 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
     """Write archives of ``pages`` (as ``with_revisits`` gives them) to ``folder``; path and number of records of each."""
 
     def run(batches):
-        from pyarrow import fs
-
-        system, base = fs.FileSystem.from_uri(folder)
+        system, base = open_system(folder)
         out, path, size, count = None, "", 0, 0
         for batch in batches:
             for row in batch.to_pylist():
@@ -159,9 +158,7 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
             out.close()
             yield pa.RecordBatch.from_pydict({"path": [path], "records": [count]})
 
-    from pyarrow import fs
-
-    system, base = fs.FileSystem.from_uri(folder)
+    system, base = open_system(folder)
     system.create_dir(base, recursive=True)
     return materialize(pages.select("page_id", "url", "html", "refers_to").mapInArrow(run, "path string, records bigint"))
 
@@ -172,9 +169,7 @@ def read(archives: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     schema = ", ".join(RECORD.split(", ")[: len(fields)])
 
     def run(batches):
-        from pyarrow import fs
-
-        system, _ = fs.FileSystem.from_uri(folder)
+        system, _ = open_system(folder)
         for batch in batches:
             for row in batch.to_pylist():
                 held, size, count = [], 0, 0
