@@ -57,6 +57,30 @@ def file_ranges(spark, sf_dir):
     return whole.select("name", "length", F.size("held").alias("pieces"), text.alias("text"))
 
 
+def _lines_by_three():
+    """An extractor of pages of three lines that reads its file piece by piece."""
+
+    def extract(file):
+        lines, rest = [], b""
+        while data := file.read(4096):
+            *whole, rest = (rest + data).split(b"\n")
+            lines += whole
+            while len(lines) >= inputs.LINES_PER_PAGE:
+                page, lines = lines[: inputs.LINES_PER_PAGE], lines[inputs.LINES_PER_PAGE :]
+                yield b"\n".join(page).decode()
+        yield b"\n".join([*lines, rest]).decode()
+
+    return extract
+
+
+@query
+def file_pages(spark, sf_dir):
+    """Pages of three lines that an extractor finds in the files of the documents' texts."""
+    found = files.discover(spark, _document_files(spark, sf_dir), ".txt").withColumn("doc_id", F.col("name"))
+    pages, _ = files.split_extracted(files.extract_files(found, _lines_by_three))
+    return pages.select(F.regexp_extract("doc_id", "^[0-9]+", 0).cast("bigint").alias("doc_id"), "page_no", "text")
+
+
 @query
 def content_id(spark, sf_dir):
     return inputs.documents(spark, sf_dir, "text").select("doc_id", identity.content_id("text").alias("content_id"))

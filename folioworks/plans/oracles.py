@@ -637,3 +637,5 @@ SELECT doc_id, 'done' AS stage, 'docling' AS engine, CASE WHEN doc_id % 5 = 0 TH
 FROM summary WHERE doc_id % 13 <> 0
 UNION ALL SELECT doc_id, 'extract', NULL, 'ValueError: broken', NULL FROM documents WHERE doc_id % 13 = 0
 UNION ALL SELECT doc_id, 'tables', 'docling', 'no layout', NULL FROM documents WHERE doc_id % 5 = 0"""
+
+ORACLES["file_pages"] = f"SELECT doc_id, page_no, text FROM ({ORACLES['page_table']})"

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioworks.operators.identity import content_id
-from folioworks.sources.source import FileBytes, listed
+from folioworks.sources.source import FileBytes, listed, open_system
 
 
 def _any_case(suffix: str) -> str:
@@ -117,7 +118,59 @@ def extract_with(files: DataFrame, make_extractor: Callable[[], Callable[[bytes]
     return files.select("doc_id", "content").mapInPandas(run, PAGE_SCHEMA)
 
 
+#: Bytes of page texts that a task hands on at once, about.
+PIECE_BYTES = 8 << 20
+FILE_PAGES = "doc_id string, page_no int, text string, error string"
+
+
+def extract_files(found: DataFrame, make_extractor: Callable[[], Callable[[object], Iterator[str]]]) -> DataFrame:
+    """Page rows (FILE_PAGES) from files of any size by a user's extractor.
+
+    ``found`` has ``doc_id`` and ``path``, as ``discover`` gives them; its rows are short whatever the
+    size of the files. ``make_extractor`` is called once per task and returns a function from an open
+    binary file to its pages, which may yield them one by one: neither the file nor its pages are
+    held whole. Pages leave the task in pieces of ``PIECE_BYTES``. A document it fails on gives a row with
+    ``error`` and no page number, after the pages read so far; ``ingest_run`` leaves such documents out.
+    A file without pages gives one empty page.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        extract = make_extractor()
+        schema = pa.schema([("doc_id", pa.string()), ("page_no", pa.int32()), ("text", pa.string()), ("error", pa.string())])
+
+        def piece(rows: list) -> pa.RecordBatch:
+            columns = zip(*rows, strict=True) if rows else [()] * 4
+            return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+        def pages(doc_id: str, path: str) -> Iterator[tuple]:
+            at = 0
+            try:
+                system, place = open_system(path)
+                with system.open_input_file(place) as f:
+                    for text in extract(f):
+                        yield doc_id, at, text or "", None
+                        at += 1
+            except Exception as e:  # one document's failure is data
+                yield doc_id, None, None, f"{type(e).__name__}: {e}"
+            else:
+                if not at:
+                    yield doc_id, 0, "", None
+
+        for batch in batches:
+            rows, held = [], 0
+            for doc_id, path in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for row in pages(doc_id, path):
+                    rows.append(row)
+                    held += 64 + 4 * len(row[2] or "")
+                    if held >= PIECE_BYTES:
+                        yield piece(rows)
+                        rows, held = [], 0
+            yield piece(rows)
+
+    return found.select(F.col("doc_id").cast("string").alias("doc_id"), "path").mapInArrow(run, FILE_PAGES)
+
+
 def split_extracted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(page table, error table) of ``extract_with``."""
+    """(page table, error table) of ``extract_with`` or ``extract_files``."""
     failed = F.col("error").isNotNull()
     return rows.filter(~failed).drop("error"), rows.filter(failed).select("doc_id", "error")

@@ -122,3 +122,31 @@ def test_export_follows_the_options(spark, tmp_path):
         assert b"".join(made[n] for n in texts if n.startswith("d")) == "".join(line.format(i) for i in range(3)).encode()
         assert sorted(n for n in made if "page_text" in n) == (["d/page_text/0001.txt", "d/page_text/0002.txt", "d/page_text/0003.txt", "e/page_text/0001.txt"] if save else [])
         assert (out / "records").exists() == keep
+
+
+def test_an_extractor_reads_large_files_piece_by_piece(spark, tmp_path):
+    (tmp_path / "good.pdf").write_bytes(b"one|two")
+    (tmp_path / "none.pdf").write_bytes(b"")
+    (tmp_path / "bad.pdf").write_bytes(b"a|b|!")
+    with open(tmp_path / "large.pdf", "wb") as f:
+        f.truncate(1 << 30)
+    found = files.discover(spark, str(tmp_path)).withColumn("doc_id", F.col("name"))
+
+    def make():
+        def extract(file):
+            if file.size() > 1000:
+                for _ in range(64):
+                    file.read(1 << 24)
+                    yield "x" * 500_000
+                return
+            for page in filter(None, file.read().split(b"|")):
+                if page == b"!":
+                    raise ValueError("broken")
+                yield page.decode()
+
+        return extract
+
+    pages, errors = files.split_extracted(files.extract_files(found, make))
+    sizes = {r.doc_id: (r.n, r.chars) for r in pages.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).collect()}
+    assert sizes == {"good.pdf": (2, 6), "none.pdf": (1, 0), "bad.pdf": (2, 2), "large.pdf": (64, 32_000_000)}
+    assert [tuple(r) for r in errors.collect()] == [("bad.pdf", "ValueError: broken")]
