@@ -38,6 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioworks.llm.linking import linked
 from folioworks.llm.words import mix, row_batches
 from folioworks.session import materialize
 
@@ -232,5 +233,113 @@ def with_next(docs: DataFrame) -> DataFrame:
     return walked.filter("place IS NULL").select(_NAMES).union(closed)
 
 
+#: Bands of each of two octaves, and bits of a band; edits per character that near texts may have.
+BANDS, BAND_BITS, SHARE = 20, 32, 0.02
+_PICKED = np.stack([
+    np.argsort(mix(np.arange(SAMPLES - 8, dtype=np.uint64) + np.uint64((b + 1) << 20)), kind="stable")[:BAND_BITS] for b in range(BANDS)
+])
+
+
+def band_keys(made: Fingerprint) -> list[int]:
+    """Keys of the bands: sampled bits of the two last octaves that the walk fills.
+
+    Walks whose lengths lie on both sides of a power of two share an octave. A walk that fills none has no bands.
+    """
+    full = int(np.searchsorted(_LOW, made.steps, side="right")) - 2
+    keys = []
+    for octave in range(max(0, full - 1), full + 1):
+        bits = made.bits[_FIRST[octave] : _FIRST[octave + 1]]
+        values = (bits[_PICKED].astype(np.uint64) << np.arange(BAND_BITS, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+        numbers = np.arange(BANDS, dtype=np.uint64) + np.uint64(octave * BANDS + 1)
+        keys += mix(mix(values) ^ mix(numbers << np.uint64(40))).view(np.int64).tolist()
+    return keys
+
+
+def edit_distance(one: str, other: str) -> int:
+    """Insertions, deletions and replacements between two texts: a column of the table in the bits of one integer."""
+    low = 0
+    while low < min(len(one), len(other)) and one[low] == other[low]:
+        low += 1
+    one, other = one[low:], other[low:]
+    while one and other and one[-1] == other[-1]:
+        cut = next((i for i, (x, y) in enumerate(zip(reversed(one), reversed(other))) if x != y), min(len(one), len(other)))
+        one, other = one[: len(one) - cut], other[: len(other) - cut]
+    if not one or not other:
+        return len(one) + len(other)
+    places: dict[str, int] = {}
+    for i, c in enumerate(one):
+        places[c] = places.get(c, 0) | 1 << i
+    every, last = (1 << len(one)) - 1, 1 << len(one) - 1
+    up, down, distance = every, 0, len(one)
+    for c in other:
+        same = places.get(c, 0)
+        level = ((same & up) + up ^ up) | same
+        raised, lowered = down | every & ~(level | up), up & level
+        distance += bool(raised & last) - bool(lowered & last)
+        raised, lowered = raised << 1 | 1, lowered << 1
+        same |= down
+        up, down = (lowered | ~(same | raised)) & every, raised & same & every
+    return distance
+
+
+def near_groups(docs: DataFrame, share: float = SHARE) -> DataFrame:
+    """doc_id, n_chars, component_id of every row of ``docs`` (doc_id, text): the least doc_id reachable over near texts.
+
+    Texts are near if their edit distance is at most ``share`` of the longer one's length; equal texts are one
+    class. Links are found by bands, so a pair with few edits is missed with the probability that the walks stay apart;
+    every link made is confirmed by its edit distance. Texts that fill no octave (some 64 characters), and empty ones, are linked with
+    their equals only. Rows without ``doc_id`` have no component.
+    """
+    columns = "doc_id bigint, n_chars bigint, mark string, bands array<bigint>"
+
+    def run(batches):
+        for batch in row_batches(batches):
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            bands = pa.array([band_keys(of_text(t)) for t in texts], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), batch.column(2), bands], names=["doc_id", "n_chars", "mark", "bands"]
+            )
+
+    filled = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), filled.alias("text"), F.md5(filled.cast("binary")).alias("mark"))
+    sketched = materialize(rows.mapInArrow(run, columns))
+    named = sketched.filter("doc_id IS NOT NULL")
+    classes = named.groupBy("mark").agg(F.min("doc_id").alias("rep"))
+    classes = materialize(classes.withColumn("key", F.monotonically_increasing_id()))
+    heads = named.join(classes, "mark").filter("doc_id = rep").dropDuplicates(["key"])
+    banded = heads.select("key", F.explode("bands").alias("band"))
+    several = banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
+    banded = materialize(banded.join(several, "band"))
+    met = classes.join(banded.select("key").distinct(), "key", "left_semi")
+    texts = rows.join(met.select(F.col("rep").alias("doc_id"), "mark", "key"), ["doc_id", "mark"]).dropDuplicates(["key"])
+    texts = materialize(texts.select("key", "text", F.length("text").alias("n")))
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        def measure(batches):
+            for batch in batches:
+                ends = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+                yield batch.filter(pa.array([edit_distance(x, y) <= share * max(len(x), len(y)) for x, y in ends], pa.bool_())).select(["a", "b"])
+
+        right, left = texts.toDF("b", "y", "m"), texts.toDF("a", "x", "n")
+        both = pairs.join(right, "b").join(left, "a").filter(F.abs(F.col("n") - F.col("m")) <= share * F.greatest("n", "m"))
+        return both.select("a", "b", "x", "y").mapInArrow(measure, "a bigint, b bigint")
+
+    def rest(open_: DataFrame) -> DataFrame:
+        known = banded.join(open_, "key")
+        sizes = known.groupBy("band", "c").agg(F.count("*").alias("held"))
+        main = sizes.groupBy("band").agg(F.max_by("c", "held").alias("main"), F.count("*").alias("several")).filter("several > 1")
+        placed = known.join(main.select("band", "main"), "band").withColumn("other", F.col("c") != F.col("main"))
+        one, other = placed.filter("other").toDF("band", "a", "ac", "am", "ao"), placed.toDF("band", "b", "bc", "bm", "bo")
+        # Members of the most frequent component of a band meet those of the others only.
+        pairs = one.join(other, (one["band"] == other["band"]) & (F.col("ac") != F.col("bc")) & (~F.col("bo") | (F.col("a") < F.col("b"))))
+        return pairs.select("a", "b").distinct()
+
+    groups = linked(banded, lambda pairs: pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), confirm, rest)
+    held = classes.join(groups, "key", "left").select("mark", "rep", F.coalesce("c", "key").alias("c"))
+    least = held.groupBy("c").agg(F.min("rep").alias("component_id"))
+    found = sketched.select("doc_id", "n_chars", "mark").join(held.join(least, "c").select("mark", "component_id"), "mark", "left")
+    return found.select("doc_id", "n_chars", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
 def op11_edit_fingerprint(spark, sf_dir: str) -> DataFrame:
     return with_next(spark.read.parquet(f"{sf_dir}/documents.parquet"))

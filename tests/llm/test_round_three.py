@@ -115,6 +115,49 @@ def test_odd_rows_of_fingerprints(spark, odd_docs, no_docs):
     assert len(alone) == 1 and alone[0].near_next == 1.0
 
 
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, above = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(above[j] + 1, row[-1] + 1, above[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_edit_distance_against_the_table():
+    rng = random.Random(6)
+    for _ in range(400):
+        a, b = ("".join(rng.choice("abé") for _ in range(rng.randrange(0, 14))) for _ in range(2))
+        assert ef.edit_distance(a, b) == plain_distance(a, b), (a, b)
+    a = "".join(rng.choice("abcdefgh ") for _ in range(300))
+    b = list(a)
+    for _ in range(20):
+        b[rng.randrange(len(b))] = rng.choice(["", "x", "yz"])
+    assert ef.edit_distance(a, "".join(b)) == plain_distance(a, "".join(b))
+
+
+def test_groups_of_near_texts(spark, odd_docs, no_docs):
+    rng = random.Random(10)
+    rows, family = [], {}
+    for f in range(25):
+        base = "".join(rng.choice("etaoin shrdlu") for _ in range(rng.randrange(300, 1200)))
+        for k in range(4):
+            text = list(base)
+            for _ in range(k):
+                i = rng.randrange(len(text))
+                text[i] = rng.choice(["", "x", text[i] + "y"])
+            rows.append((len(rows), "".join(text)))
+            family[len(rows) - 1] = 4 * f
+    rows.append((500, rows[0][1]))
+    got = {r.doc_id: r.component_id for r in ef.near_groups(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()}
+    assert got[500] == got[0] and all(got[i] // 4 == f // 4 for i, f in family.items()), "no link between families"
+    assert sum(got[i] == f for i, f in family.items()) >= 0.9 * len(family)
+    odd = ef.near_groups(odd_docs).collect()
+    ids = {r.doc_id: r.component_id for r in odd if r.doc_id != 9}
+    assert len(odd) == odd_docs.count() and ids[None] is None and ids[5] == ids[6] == 4 and ids[8] == 7 and ids[2] == 1 and ids[10] == 10
+    assert ef.near_groups(no_docs).count() == 0
+
+
 # -- spelling variants
 
 
