@@ -651,11 +651,10 @@ def stream_upsert(spark, sf_dir):
     base = scratch_path(spark, "upsert")
     write = stream.upsert_batch(f"{base}/out", EngineConfig(language="off", tables="off"), lambda df: paging.paginate(df, inputs.LINES_PER_PAGE))
     docs = inputs.documents(spark, sf_dir, "text")
-    arrivals = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1000).parquet(f"{base}/in")
     changed = docs.filter(F.col("doc_id") % 2 == 0).withColumn("text", F.concat(F.lit("Changed. "), F.coalesce("text", F.lit(""))))
     for batch in (docs, changed):
         batch.write.mode("append").parquet(f"{base}/in")
-        stream.run_batches(arrivals, write, f"{base}/state")
+        stream.run_batches(spark.readStream.schema(docs.schema).parquet(f"{base}/in"), write, f"{base}/state")
     return keyed.latest(spark, f"{base}/out").select("doc_id", F.expr("text LIKE 'Changed. %'").alias("changed"), F.length("text").alias("chars"))
 
 
