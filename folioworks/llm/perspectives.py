@@ -54,7 +54,11 @@ def perspectives(conversations: DataFrame) -> DataFrame:
     )
     speakers = turns.filter(F.col("role") != SYSTEM).select("conv_id", F.col("role").alias("speaker")).distinct()
     blocks = turns.groupBy("conv_id", "block").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    rendered = blocks.join(speakers, "conv_id").select("conv_id", "speaker", "block", _segments(F.col("turns"), F.col("speaker")).alias("s"))
+    # Lengths follow from narrow rows, so no rendered text is moved: a block is rendered where it was gathered.
+    starts = _starts(turns, speakers)
+    rendered = blocks.join(starts, ["conv_id", "block"]).select(
+        "conv_id", "speaker", "block", "text_start", _segments(F.col("turns"), F.col("speaker")).alias("s")
+    )
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("mask"))
 
     def step(state: Column, x: Column) -> Column:
@@ -64,13 +68,24 @@ def perspectives(conversations: DataFrame) -> DataFrame:
         return F.struct(end.alias("at"), F.when(x["own"], F.concat(state["mask"], span)).otherwise(state["mask"]).alias("mask"))
 
     text = F.array_join(F.transform("s", lambda x: F.concat(x["head"], x["body"])), "")
-    out = rendered.select(
-        "conv_id", "speaker", "block", text.alias("text"), F.size("s").alias("n_turns"), F.aggregate("s", start, step)["mask"].alias("mask")
+    return rendered.select(
+        "conv_id", "speaker", "block", "text_start", text.alias("text"), F.size("s").alias("n_turns"), F.aggregate("s", start, step)["mask"].alias("mask")
     )
+
+
+def _starts(turns: DataFrame, speakers: DataFrame) -> DataFrame:
+    """conv_id, speaker, block, text_start: where each block of a rendering begins."""
+    role = F.col("role")
+    name = F.when(role == SYSTEM, len(SYSTEM)).when(role.isNull(), len("user")).otherwise(len("user name=") + F.length(role))
+    held = turns.groupBy("conv_id", "block", "role").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+    frame = len(OPEN) + len("\n") + len(CLOSE) + len("\n")
+    as_others = held.groupBy("conv_id", "block").agg(F.sum(F.col("chars") + F.col("n") * (name + frame)).alias("size"))
+    own = held.filter(role.isNotNull()).select("conv_id", "block", role.alias("speaker"), F.col("n").alias("own"))
+    less = F.coalesce("own", F.lit(0)) * (len("user name=") + F.length("speaker") - len("assistant"))
+    sizes = as_others.join(speakers, "conv_id").join(own, ["conv_id", "block", "speaker"], "left")
     before = Window.partitionBy("conv_id", "speaker").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = out.select("conv_id", "speaker", "block", F.coalesce(F.sum(F.length("text")).over(before), F.lit(0)).alias("text_start"))
-    return out.join(sizes, ["conv_id", "speaker", "block"]).select(
-        "conv_id", "speaker", "block", "text_start", "text", "n_turns", "mask"
+    return sizes.select(
+        "conv_id", "speaker", "block", F.coalesce(F.sum(F.col("size") - less).over(before), F.lit(0)).cast("bigint").alias("text_start")
     )
 
 
