@@ -1,5 +1,4 @@
 import hashlib
-import json
 import random
 import struct
 
@@ -8,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from folioworks.llm import byte_bpe, decontaminate
-from folioworks.llm.words import Tokens, distinct, mix, ngrams, slices
+from folioworks.llm.words import Tokens, distinct, ngrams, slices
 
 PATH_NAME = "byte_bpe_multi_50k.tiktoken"
 
@@ -195,4 +194,3 @@ def test_odd_rows_of_bpe(odd_docs, no_docs):
     assert all(r.decoded == texts[r.doc_id] for r in rows if r.doc_id in texts)
     assert {r.n_tokens for r in rows if r.doc_id in (1, 2)} == {0}
     assert byte_bpe.tokenize(no_docs, path, ["doc_id"], ["n_tokens"]).count() == 0
-    assert json.dumps(mix(np.array([1], dtype=np.uint64)).tolist())
