@@ -110,13 +110,16 @@ def choose_engine(
     Markdown tables count for documents read by OCR, under the markdown prompt.
     """
 
+    engines = {"off": [], "auto": [e for e in fixed.TABLE_ENGINES if e != "markdown" or prompt == "markdown"]}.get(mode, [mode])
+    # read by every stage, and to be parsed or cleaned once
+    table = materialize(candidates) if engines else candidates
+
     def of_engine(engine: str) -> Stage:
-        given = candidates.filter(F.col("engine") == engine)
+        given = table.filter(F.col("engine") == engine)
         return Stage(engine, lambda docs: placed(given, docs, block_pages), ocr_only=engine == "markdown")
 
-    engines = {"off": [], "auto": [e for e in fixed.TABLE_ENGINES if e != "markdown" or prompt == "markdown"]}.get(mode, [mode])
     default = {"off": None, "camelot": "camelot"}.get(mode, "docling")
-    served, chosen = cascade(routes, [of_engine(e) for e in engines], default)
+    served, chosen = cascade(routes, [of_engine(e) for e in engines], default, write=False)
     return candidates.limit(0) if served is None else served, chosen
 
 
@@ -137,18 +140,22 @@ def placed(tables: DataFrame, docs: DataFrame, block_pages: int = BLOCK_PAGES) -
     return joined.withColumn("block", F.least(own, last))
 
 
-def cascade(routes: DataFrame, stages: list[Stage], default: str | None = "docling") -> tuple[DataFrame | None, DataFrame]:
+def cascade(
+    routes: DataFrame, stages: list[Stage], default: str | None = "docling", write: bool = True
+) -> tuple[DataFrame | None, DataFrame]:
     """(tables of the first stage that found any, one row per document with its engine and count).
 
     Every stage is asked for the documents that none before it served, so nothing is parsed for the
-    others; what it finds is written once. Documents without any table get the ``default`` engine.
+    others. What a stage finds is written once, unless ``write`` is off, for stages that only read a
+    table. Documents without any table get the ``default`` engine.
     """
     pages = F.col("n_pages") if "n_pages" in routes.columns else F.col("num_pages")
     docs = rest = routes.select("doc_id", "routed", pages.alias("n_pages"))
     served, counted = [], []
     for stage in stages:
         asked = rest.filter(F.col("routed") == "ocr") if stage.ocr_only else rest
-        found = materialize(stage.find(asked.select("doc_id", "n_pages")).withColumn("engine", F.lit(stage.engine)))
+        found = stage.find(asked.select("doc_id", "n_pages")).withColumn("engine", F.lit(stage.engine))
+        found = materialize(found) if write else found
         counts = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("count"))
         served.append(found)
         counted.append(counts.withColumn("engine", F.lit(stage.engine)))
