@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from folioworks.llm.components import components
 from folioworks.session import discard, materialize
 
-ROUNDS = 3
+ROUNDS = 4
 
 
 def linked(
