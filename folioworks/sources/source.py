@@ -25,8 +25,12 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 DIGESTS = "path string, name string, length bigint, modified timestamp, sha256 string"
 RANGES = "path string, name string, length bigint, offset bigint, content binary"
 CHUNK = 4 << 20
-#: Bytes of whole files that one task hashes, about, and files at most.
+#: Bytes of files that one task reads, about, and files at most.
 TASK_BYTES, TASK_FILES = 256 << 20, 2000
+#: Beyond so many tasks of ranges, a task takes more bytes than it was asked to, but not more than ``TASK_BYTES`` for that.
+MANY_TASKS = 1000
+#: What opening a file costs, in bytes.
+OPEN_BYTES = 4 << 10
 
 
 def open_system(path: str) -> tuple[fs.FileSystem, str]:
@@ -50,6 +54,13 @@ class Range(InputPartition):
     end: int
 
 
+@dataclass
+class Ranges(InputPartition):
+    """Ranges of files that one task reads."""
+
+    held: list[Range]
+
+
 @dataclass
 class Files(InputPartition):
     """Whole files: path, length, time of last change in microseconds."""
@@ -75,11 +86,36 @@ def listed(path: str, suffix: str) -> list[tuple[str, int, int]]:
     return sorted((i.path, i.size, (i.mtime_ns or 0) // 1000) for i in infos if shown(i))
 
 
+def _ranges_of(found: list[tuple[str, int, int]], chunk: int, task_bytes: int) -> list[InputPartition]:
+    """Tasks of ranges of ``task_bytes`` at most, or of more where these would be more than MANY_TASKS.
+
+    So every file is cut at the same places as a file alone, and many small files or ranges share a task.
+    """
+    step = max(chunk, task_bytes // chunk * chunk)
+    cost = sum(n + OPEN_BYTES * max(1, -(-n // step)) for _, n, _ in found)
+    room = min(TASK_BYTES, cost // MANY_TASKS)
+    tasks: list[Ranges] = []
+    left = 0
+    for path, length, _ in found:
+        for at in range(0, max(length, 1), step):
+            end = min(length, at + step)
+            need = end - at + OPEN_BYTES
+            if not tasks or need > left:
+                tasks.append(Ranges([]))
+                left = room
+            held = tasks[-1].held
+            if at and held and held[-1].path == path:
+                held[-1].end = end
+            else:
+                held.append(Range(path, length, at, end))
+            left -= need
+    return [t.held[0] if len(t.held) == 1 else t for t in tasks]
+
+
 def partitions_of(found: list[tuple[str, int, int]], mode: str, chunk: int, task_bytes: int = TASK_BYTES) -> list[InputPartition]:
     """Tasks of about ``task_bytes``: files together for digests, ranges of files else."""
     if mode == "ranges":
-        step = max(chunk, task_bytes // chunk * chunk)
-        return [Range(p, n, a, min(n, a + step)) for p, n, _ in found for a in range(0, max(n, 1), step)]
+        return _ranges_of(found, chunk, task_bytes)
     tasks: list[Files] = []
     room = 0
     for f in found:
@@ -96,11 +132,12 @@ def rows_of(task: InputPartition, root: str, chunk: int) -> Iterator[tuple]:
     import datetime
 
     system, _ = open_system(root)
-    if isinstance(task, Range):
-        with system.open_input_file(task.path) as f:
-            for at in range(task.start, max(task.end, task.start + 1), chunk):
-                f.seek(at)
-                yield task.path, task.path.rsplit("/", 1)[-1], task.length, at, f.read(min(chunk, task.end - at))
+    if isinstance(task, (Range, Ranges)):
+        for r in task.held if isinstance(task, Ranges) else [task]:
+            with system.open_input_file(r.path) as f:
+                for at in range(r.start, max(r.end, r.start + 1), chunk):
+                    f.seek(at)
+                    yield r.path, r.path.rsplit("/", 1)[-1], r.length, at, f.read(min(chunk, r.end - at))
         return
     for path, length, modified in task.found:
         digest = hashlib.sha256()

@@ -62,6 +62,29 @@ def test_small_files_share_tasks():
     assert [(r.start, r.end) for r in ranges] == [(0, 4000), (4000, 8000), (8000, 10_500), (0, 0)]
 
 
+def test_ranges_of_many_small_files_share_tasks(tmp_path):
+    sizes = [(i * 37) % 9000 for i in range(20_000)]
+    tasks = source.partitions_of([(f"f{i}", n, 0) for i, n in enumerate(sizes)], "ranges", 1000, 4000)
+    assert len(tasks) < 2 * source.MANY_TASKS
+    held = [r for t in tasks for r in (t.held if isinstance(t, source.Ranges) else [t])]
+    covered = {}
+    for r in held:
+        assert r.start == covered.get(r.path, 0) and r.start % 1000 == 0
+        covered[r.path] = r.end
+    assert covered == {f"f{i}": n for i, n in enumerate(sizes)}
+
+    held = {f"{i}.txt": os.urandom(i * 37 % 5000) for i in range(1200)}
+    for name, data in held.items():
+        (tmp_path / name).write_bytes(data)
+    tasks = source.partitions_of(source.listed(str(tmp_path), ".txt"), "ranges", 1000, 1000)
+    assert len(tasks) < 2 * source.MANY_TASKS < sum(-(-len(d) // 1000) for d in held.values())
+    got = {}
+    for _, name, _, at, content in sorted(r for t in tasks for r in source.rows_of(t, str(tmp_path), 1000)):
+        assert at == len(got.get(name, b"")) and len(content) <= 1000
+        got[name] = got.get(name, b"") + content
+    assert got == held
+
+
 def test_a_stream_sees_every_file_once_whatever_its_time(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
