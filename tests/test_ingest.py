@@ -220,6 +220,34 @@ def test_language(spark):
     assert {r["doc_id"]: r["language"] for r in tagged.collect()}["z"] == "fr"
 
 
+def test_texts_are_tagged_without_a_row_for_each_gram(spark, monkeypatch, capsys):
+    import random
+
+    import pyarrow as pa
+
+    from folioworks.operators import language
+
+    monkeypatch.setattr(language, "PIECE_CHARS", 50)
+    rng = random.Random(3)
+    signs = "abcÀÉßİ \U0001f600\U0001f601\0\n日本"
+    texts = ["".join(rng.choice(signs) for _ in range(n)) for n in [0, 1, 2, 3, 4, *[rng.randrange(300) for _ in range(60)]]] + [None]
+    found = [(first + r, g) for first, grams, row in language._packed_grams(pa.array(texts, pa.string()), 3) for g, r in zip(language._unpacked(grams, 3).to_pylist(), row.tolist())]
+    assert sorted(found) == sorted((i, t[a : a + 3]) for i, t in enumerate(texts) for a in range(len(t or "") - 2))
+    rows = [(i % 60, rng.choice(["x", "y", "z"]), t) for i, t in enumerate(texts)]
+    train = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3)
+    profiles = fit_language_profiles(train)
+    grams = F.explode(language._grams("text", 3)).alias("gram")
+    plain = train.select("lang", grams).groupBy("lang", "gram").agg(F.count("*").alias("cnt"))
+    key = lambda df: sorted((r.lang, r.gram, r.cnt) for r in df.collect())
+    assert key(language._counts(train, "text", "lang", 3)) == key(plain)
+    new = train.select("doc_id", "text")
+    tagged = tag_language(new, profiles)
+    want = {r.doc_id: r.language for r in tag_language(new, profiles, max_broadcast_bytes=0).collect()}
+    assert len(want) == 60 and {r.doc_id: r.language for r in tagged.collect()} == want
+    tagged.explain("simple")
+    assert "Generate" not in capsys.readouterr().out
+
+
 def test_tags_do_not_depend_on_where_a_text_is_cut(spark):
     import random
 
@@ -244,6 +272,13 @@ def test_tags_do_not_depend_on_where_a_text_is_cut(spark):
     assert {d: sorted(g) for d, g in whole.items()} == {d: sorted(t[i : i + 3] for i in range(len(t) - 2)) for d, t in docs.items()}
 
 
+def test_seams_are_rows_of_their_own(spark):
+    rows = [("d", 0, 3, "abcd"), ("d", 1, 3, ""), ("d", 2, 3, "Ef"), ("e", 0, 1, "xyz")]
+    got = with_seams(spark.createDataFrame(rows, "doc_id string, part_no int, n_parts int, text string"), 2)
+    # the texts stay as they are, so they need not be moved to what stands before them
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == [("d", ""), ("d", "abcd"), ("d", "cdef"), ("d", "ef"), ("e", "xyz")]
+
+
 def test_errors_stand_beside_the_results(spark):
     text = "a line that is long enough to be native text {}"
     pages = [(d, i, 2, text.format(i)) for d in "abc" for i in range(2)]
