@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioworks.functions.text import token_count
 from folioworks.operators.blocks import BLOCK_PAGES, gather, spread
+from folioworks.session import materialize
 
 
 def _offsets(sizes: Column) -> Column:
@@ -86,12 +87,14 @@ def page_offsets(pages: DataFrame, sep: str = "", block_pages: int = BLOCK_PAGES
     )
 
 
-def concat_parts(parts: DataFrame, sep: str = "", block_pages: int = BLOCK_PAGES) -> DataFrame:
+def concat_parts(parts: DataFrame, sep: str = "", block_pages: int = BLOCK_PAGES, write: bool = False) -> DataFrame:
     """Clean parts as text: one row per document, or per part of a long one.
 
     A document of up to ``block_pages`` pages is one row with ``part_no`` 0 and
     the whole text. ``page_offsets`` and ``token_count`` count over the whole
-    document in every part; parts join by plain concatenation.
+    document in every part; parts join by plain concatenation. ``write`` has the texts
+    written once: what long documents need of all their parts is read several times, and
+    each time the texts would be cleaned again.
     """
     last_block = F.floor((F.col("n_pages") - 1) / block_pages)
     tail = F.when(F.col("block") < last_block, F.lit(sep)).otherwise(F.lit(""))
@@ -104,6 +107,9 @@ def concat_parts(parts: DataFrame, sep: str = "", block_pages: int = BLOCK_PAGES
         F.col("pages.slice").alias("page_slices"),
         _offsets(F.transform("pages", lambda p: F.length(p["text"]) + len(sep))).alias("_offsets"),
     ).withColumn("_tokens", token_count(F.col("text")))
+    texts = texts.withColumns(_part_facts())
+    if write:
+        texts = materialize(texts)
     totals = _long_document_totals(texts.filter(F.col("n_pages") > block_pages))
     return texts.join(totals, ["doc_id", "block"], "left").select(
         "doc_id",
@@ -117,19 +123,24 @@ def concat_parts(parts: DataFrame, sep: str = "", block_pages: int = BLOCK_PAGES
     )
 
 
+def _part_facts() -> dict[str, Column]:
+    """Characters of a part, and whether it opens and closes with a word character (null if empty)."""
+    word, filled = "[A-Za-z0-9_]", F.col("text") != ""
+    return {
+        "_chars": F.length("text"),
+        "_opens": F.when(filled, F.col("text").rlike(rf"\A{word}")),
+        "_closes": F.when(filled, F.col("text").rlike(rf"{word}\z")),
+    }
+
+
 def _long_document_totals(parts: DataFrame, span: int = SPAN_PARTS) -> DataFrame:
     """Start of each part and token count of the document, for long ones.
 
     A word run over the seam of two parts is one token, not two. Works on one
     narrow row per part.
     """
-    word, filled = "[A-Za-z0-9_]", F.col("text") != ""
-    narrow = parts.select(
-        "doc_id", "block", F.length("text").alias("_chars"), "_tokens",
-        F.when(filled, F.col("text").rlike(rf"\A{word}")).alias("_opens"),
-        F.when(filled, F.col("text").rlike(rf"{word}\z")).alias("_closes"),
-    )
-    placed = _with_earlier_parts(narrow, span)
+    facts = parts if "_chars" in parts.columns else parts.withColumns(_part_facts())
+    placed = _with_earlier_parts(facts.select("doc_id", "block", "_chars", "_tokens", "_opens", "_closes"), span)
     own = F.col("_tokens") - F.when(F.col("_opens") & F.col("_before"), 1).otherwise(0)
     totals = placed.groupBy("doc_id").agg(F.sum(own).alias("_doc_tokens"), F.max("_span").alias("_last"))
     per_span = totals.select("doc_id", "_doc_tokens", F.explode(F.sequence(F.lit(0).cast("bigint"), "_last")).alias("_span"))

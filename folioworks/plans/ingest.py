@@ -114,7 +114,9 @@ def ingest(
         source = routing.select_source(routes, source, prepare(ocr_pages, b), b).drop("routed")
         source = prepare(source, b)
     parts, long_pages = gather(source, b), only_long(source, b)
-    parts = assembly.concat_parts(clean_parts(parts, long_pages, cfg), cfg.page_sep, b)
+    # one long document is enough; without any, nothing is read twice
+    some_long = not long_pages.select("doc_id").isEmpty()
+    parts = assembly.concat_parts(clean_parts(parts, long_pages, cfg), cfg.page_sep, b, write=some_long)
     languages = None
     if profiles is not None and cfg.language == "auto":
         # read twice from here on: for the tags and for the bundle

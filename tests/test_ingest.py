@@ -279,6 +279,19 @@ def test_seams_are_rows_of_their_own(spark):
     assert sorted((r.doc_id, r.text) for r in got.collect()) == [("d", ""), ("d", "abcd"), ("d", "cdef"), ("d", "ef"), ("e", "xyz")]
 
 
+def test_long_documents_are_cleaned_once(spark):
+    rows = [(d, i, 5, f"head\na line that is long enough {i}\nfoot") for d in "ab" for i in range(5)]
+    pages = spark.createDataFrame(rows, "doc_id string, page_no int, n_pages int, text string")
+    cleaned = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("collect_list(")
+    cut, whole = (ingest(pages, EngineConfig(language="off", block_pages=b)) for b in (2, 256))
+    # pages are gathered for the probe; their texts were written once
+    assert cleaned(cut) < cleaned(whole)
+    joined = lambda df: {d: "".join(r.text for r in sorted(g, key=lambda r: r.part_no)) for d in "ab" for g in [[r for r in df if r.doc_id == d]]}
+    cut, whole = cut.collect(), whole.collect()
+    assert len(cut) == 6 and joined(cut) == joined(whole)
+    assert {r.meta.token_count for r in cut} == {r.meta.token_count for r in whole}
+
+
 def test_errors_stand_beside_the_results(spark):
     text = "a line that is long enough to be native text {}"
     pages = [(d, i, 2, text.format(i)) for d in "abc" for i in range(2)]
