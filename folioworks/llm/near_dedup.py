@@ -259,8 +259,7 @@ def _found(docs: DataFrame, words: int, percent: int) -> DataFrame:
         return likely.groupBy("b").agg(F.min_by("a", order).alias("a")).select("a", "b")
 
     def rest(open_: DataFrame) -> DataFrame:
-        pairs = candidates(full.join(open_, "key"), percent)
-        return known(pairs).filter(looks_similar("abits", "bbits", percent)).select("a", "b")
+        return candidates(full.join(open_, "key"), percent, facts, looks_similar("abits", "bbits", percent))
 
     groups = linked(banded, promising, lambda pairs: confirm(pairs, full, percent), rest)
     discard(banded, facts, full)

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioworks.llm.words import mix, row_batches
@@ -88,10 +88,12 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
     return sets.select("key", "c", "elements").mapInArrow(run, "slot bigint, key bigint, c bigint, n bigint, at bigint, short boolean")
 
 
-def candidates(sets: DataFrame, percent: int) -> DataFrame:
+def candidates(sets: DataFrame, percent: int, marks: DataFrame | None = None, alike: Column | None = None) -> DataFrame:
     """Distinct pairs a < b of ``sets`` (key, c, elements) with different c that hold all similar ones.
 
-    In a slot, members of its most frequent component meet only the members of others.
+    In a slot, members of its most frequent component meet only the members of others. With ``marks`` (key, bits)
+    a pair must also be ``alike``, a test of ``abits`` and ``bbits`` that does not depend on their order: what
+    fails it makes no row, whatever the slots that a pair shares.
     """
     every = materialize(prefixes(sets, percent))
     rows = every
@@ -101,14 +103,17 @@ def candidates(sets: DataFrame, percent: int) -> DataFrame:
     sizes = rows.groupBy("slot", "c").agg(F.count("*").alias("held"))
     main = sizes.groupBy("slot").agg(F.max_by("c", "held").alias("main"))
     rows = rows.join(main, "slot").withColumn("other", F.col("c") != F.col("main")).select("slot", "key", "c", "n", "at", "short", "other")
-    rows = materialize(rows)
+    rows = materialize(rows if marks is None else rows.join(marks.select("key", "bits"), "key"))
     discard(every, shared)
-    short = rows.filter("short").select("slot", F.col("key").alias("a"), F.col("c").alias("ac"), F.col("n").alias("an"), F.col("at").alias("i"), F.col("other").alias("a_other"))
-    long = rows.filter("NOT short").select("slot", F.col("key").alias("b"), F.col("c").alias("bc"), F.col("n").alias("bn"), F.col("at").alias("j"), F.col("other").alias("b_other"))
+    bits = [] if marks is None else ["bits"]
+    short = rows.filter("short").select("slot", F.col("key").alias("a"), F.col("c").alias("ac"), F.col("n").alias("an"), F.col("at").alias("i"), F.col("other").alias("a_other"), *[F.col(x).alias(f"a{x}") for x in bits])
+    long = rows.filter("NOT short").select("slot", F.col("key").alias("b"), F.col("c").alias("bc"), F.col("n").alias("bn"), F.col("at").alias("j"), F.col("other").alias("b_other"), *[F.col(x).alias(f"b{x}") for x in bits])
     fits = (F.col("an") <= F.col("bn")) & (100 * F.col("an") >= percent * F.col("bn")) & (F.col("ac") != F.col("bc"))
     # Nothing before the first element that both hold is shared, so what comes from there on must do.
     left = F.least(F.col("an") - F.col("i"), F.col("bn") - F.col("j"))
     fits &= (100 + percent) * left >= percent * (F.col("an") + F.col("bn"))
+    if marks is not None and alike is not None:
+        fits &= alike
     found = short.filter("a_other").join(long, ["slot"]).filter(fits)
     found = found.union(short.filter("NOT a_other").join(long.filter("b_other"), ["slot"]).filter(fits).select(found.columns))
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

@@ -202,3 +202,15 @@ def test_sketch_does_not_depend_on_slices(spark, monkeypatch):
     whole = {r.doc_id: (r.set_a, r.set_b, r.bands) for r in nd.sketch(docs.coalesce(1), 2).collect()}
     split = {r.doc_id: (r.set_a, r.set_b, r.bands) for r in nd.sketch(docs.repartition(7), 2).collect()}
     assert whole == split and isinstance(next(iter(whole.values()))[2], list)
+
+
+def test_pairs_of_unlike_sketches_make_no_row_in_a_slot(spark):
+    from pyspark.sql import functions as F
+
+    elements = {k: [*range(20), 100 + k] for k in range(6)}
+    df = spark.createDataFrame([(k, k, e) for k, e in elements.items()], "key long, c long, elements array<long>")
+    marks = spark.createDataFrame([(k, [k % 2]) for k in elements], "key long, bits array<long>")
+    alike = F.col("abits")[0] == F.col("bbits")[0]
+    got = {tuple(r) for r in prefix_join.candidates(df, 80, marks, alike).collect()}
+    every = {tuple(r) for r in prefix_join.candidates(df, 80).collect()}
+    assert got == {(a, b) for a, b in every if a % 2 == b % 2} and len(every) == 15
