@@ -192,6 +192,8 @@ class _Stream(DataSourceStreamReader):
     Each listing that finds files whose (path, length, time of change) were not seen yet writes them to the log as
     the next entry before it is offered as an offset. So a file counts when it is first seen, whatever its time
     stamp says, a changed file counts again, and a restarted query reads the same files for the same offsets.
+    Spark hands the reader to every task: what was seen is read from the log when files are listed, on the driver,
+    and stays there.
     """
 
     def __init__(self, options: _Options):
@@ -200,8 +202,12 @@ class _Stream(DataSourceStreamReader):
         self.options = options
         self.system, self.folder = open_system(options.log)
         self.system.create_dir(self.folder, recursive=True)
-        self.entries = 0
-        self.seen: set[tuple] = set()
+        self.entries, self.seen = 0, set()
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "entries": 0, "seen": set()}
+
+    def _read_log(self) -> None:
         while self._has(self.entries + 1):
             self.entries += 1
             self.seen.update(self._entry(self.entries))
@@ -217,6 +223,7 @@ class _Stream(DataSourceStreamReader):
         return {"listing": 0}
 
     def latestOffset(self) -> dict:  # noqa: N802
+        self._read_log()
         new = [f for f in listed(self.options.path, self.options.suffix) if f not in self.seen]
         if new:
             self.entries += 1

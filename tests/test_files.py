@@ -103,6 +103,25 @@ def test_a_stream_sees_every_file_once_whatever_its_time(spark, tmp_path):
     assert run() == sorted([("a.pdf", digest(b"changed")), ("a.pdf", digest(b"first")), ("old.pdf", digest(b"old"))])
 
 
+def test_tasks_of_a_stream_do_not_get_its_account(tmp_path):
+    import pickle
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i in range(300):
+        (folder / f"{i}.txt").write_bytes(b"x")
+    options = source._Options({"path": str(folder), "suffix": ".txt", "log": f"{tmp_path}/log"})
+    for _ in range(2):  # a restarted stream reads its log again
+        stream_reader = source._Stream(options)
+        assert stream_reader.latestOffset() == {"listing": 1}
+        sent = pickle.dumps(stream_reader)
+        assert len(stream_reader.seen) == 300 and len(sent) < 2000
+        task = stream_reader.partitions({"listing": 0}, {"listing": 1})[0]
+        assert len(list(pickle.loads(sent).read(task))) == 300
+    (folder / "new.txt").write_bytes(b"y")
+    assert pickle.loads(sent).latestOffset() == {"listing": 2}
+
+
 def tree(path):
     return {str(f.relative_to(path)): f.read_bytes() for f in path.rglob("*") if f.is_file()}
 
