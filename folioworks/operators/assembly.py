@@ -87,14 +87,14 @@ def page_offsets(pages: DataFrame, sep: str = "", block_pages: int = BLOCK_PAGES
     )
 
 
-def concat_parts(parts: DataFrame, sep: str = "", block_pages: int = BLOCK_PAGES, write: bool = False) -> DataFrame:
+def concat_parts(parts: DataFrame, sep: str = "", block_pages: int = BLOCK_PAGES, write: bool = False, long: bool = True) -> DataFrame:
     """Clean parts as text: one row per document, or per part of a long one.
 
     A document of up to ``block_pages`` pages is one row with ``part_no`` 0 and
     the whole text. ``page_offsets`` and ``token_count`` count over the whole
     document in every part; parts join by plain concatenation. ``write`` has the texts
     written once: what long documents need of all their parts is read several times, and
-    each time the texts would be cleaned again.
+    each time the texts would be cleaned again. ``long`` says whether there may be such documents.
     """
     last_block = F.floor((F.col("n_pages") - 1) / block_pages)
     tail = F.when(F.col("block") < last_block, F.lit(sep)).otherwise(F.lit(""))
@@ -110,8 +110,12 @@ def concat_parts(parts: DataFrame, sep: str = "", block_pages: int = BLOCK_PAGES
     texts = texts.withColumns(_part_facts())
     if write:
         texts = materialize(texts)
-    totals = _long_document_totals(texts.filter(F.col("n_pages") > block_pages))
-    return texts.join(totals, ["doc_id", "block"], "left").select(
+    if long:
+        totals = _long_document_totals(texts.filter(F.col("n_pages") > block_pages))
+        texts = texts.join(totals, ["doc_id", "block"], "left")
+    else:
+        texts = texts.withColumns({c: F.lit(None).cast("bigint") for c in ("_start", "_doc_tokens")})
+    return texts.select(
         "doc_id",
         "n_pages",
         F.col("block").alias("part_no"),

@@ -147,19 +147,22 @@ def strip_parts(parts: DataFrame, long_pages: DataFrame, cfg: EngineConfig = Eng
     return _with_edges(parts, long_pages, cfg).withColumn("pages", _where_enough_pages(bare, cfg)).drop("_edges")
 
 
-def clean_parts(parts: DataFrame, long_pages: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFrame:
+def clean_parts(parts: DataFrame, long_pages: DataFrame | None, cfg: EngineConfig = EngineConfig()) -> DataFrame:
     """The whole chain on parts: headers and footers, boilerplate, paragraphs,
     list marks, page labels.
 
     Pages become ``struct<page_no, slice, text>``: ``slice`` is the page before
     label removal, ``text`` after it. ``long_pages`` are the pages of documents
-    with more than one part; only they are counted over parts.
+    with more than one part; only they are counted over parts. None says that there is no such document.
     """
-    bare_long = inline_pages(strip_parts(gather(long_pages, cfg.block_pages), long_pages, cfg))
-    boiler = _per_document(
-        boilerplate_lines(bare_long, cfg.boiler_min_len, cfg.boiler_share, cfg.min_pages, cfg.block_pages), "_boiler"
-    )
-    marked = attach(_with_edges(parts, long_pages, cfg), boiler, "left", cfg.block_pages)
+    if long_pages is None:
+        marked = parts.withColumns({"_edges": empty_strings(), "_boiler": empty_strings()})
+    else:
+        bare_long = inline_pages(strip_parts(gather(long_pages, cfg.block_pages), long_pages, cfg))
+        boiler = _per_document(
+            boilerplate_lines(bare_long, cfg.boiler_min_len, cfg.boiler_share, cfg.min_pages, cfg.block_pages), "_boiler"
+        )
+        marked = attach(_with_edges(parts, long_pages, cfg), boiler, "left", cfg.block_pages)
     body = let(
         _lines_of_pages(), lambda pages: _joined(let(_drop_edges(pages, cfg), lambda p: _drop_boiler(p, cfg)))
     )

@@ -90,13 +90,16 @@ def select_source(
 
     ``routes`` has ``doc_id, use_ocr``. Each side is filtered by its own join on
     its own page counts, so a document may have more pages on one side than on
-    the other, or none there, and no pages are read into both branches.
+    the other, or none there, and no pages are read into both branches. Parts (see ``gather``) may be given
+    instead of pages: they are as the join needs them, so no text is moved again.
     """
 
     def side(pages: DataFrame, wanted: Column, source: str) -> DataFrame:
         ready = prepare(pages, block_pages)
         docs = routes.filter(wanted).select("doc_id").join(page_counts(ready, block_pages), "doc_id")
         kept = attach(ready, docs, "left_semi", block_pages)
+        if "pages" in ready.columns:
+            return kept.withColumn("routed", F.lit(source))
         return kept.select(
             "doc_id", "page_no", "n_pages", F.coalesce("text", F.lit("")).alias("text"), F.lit(source).alias("routed")
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from folioworks.config import EngineConfig
@@ -87,6 +87,58 @@ def collect_tables(
     return T.cascade(routes, stages, "camelot" if cfg.tables == "camelot" else "docling")
 
 
+def _texts(
+    native: DataFrame, ocr: DataFrame | None, routes: DataFrame, failures: DataFrame | None, cfg: EngineConfig
+) -> list[tuple[DataFrame, DataFrame]]:
+    """Clean texts (see ``assembly.concat_parts``) and the routes of their documents; prepared pages are given.
+
+    Documents of one part are cleaned in the row that gathered them: of their texts nothing is written or
+    moved again. Long documents go apart, and their texts are written once. Where the pages of a document
+    disagree on its length, all go together as long ones do.
+    """
+    b = cfg.block_pages
+
+    def sound(parts: DataFrame) -> DataFrame:
+        # of a long document the first part goes here, the others find no route
+        if failures is None or ocr is not None:
+            return parts
+        # a plain literal would be folded out of the join's keys, and then the texts would move again
+        bad = failures.groupBy("doc_id").agg(F.min(F.lit(0)).alias("block"))
+        return parts.join(bad, ["doc_id", "block"], "left_anti")
+
+    def in_parts(kind: Column | None = None) -> DataFrame:
+        source = native if kind is None else native.filter(kind)
+        if ocr is not None:
+            other = ocr if kind is None else ocr.filter(kind)
+            source = prepare(routing.select_source(routes, source, other, b).drop("routed"), b)
+        parts = clean_parts(sound(gather(source, b)), only_long(source, b), cfg)
+        return assembly.concat_parts(parts, cfg.page_sep, b, write=True)
+
+    def in_rows(kind: Column) -> DataFrame:
+        parts = gather(native.filter(kind), b)
+        if ocr is not None:
+            parts = routing.select_source(routes, parts, gather(ocr.filter(kind), b), b).drop("routed")
+        return assembly.concat_parts(clean_parts(sound(parts), None, cfg), cfg.page_sep, b, long=False)
+
+    is_long = F.coalesce(F.col("n_pages") > b, F.lit(False))
+    some_long, some_short, mixed = _long_documents([native] if ocr is None else [native, ocr], is_long)
+    if mixed or (some_long and not some_short):
+        return [(in_parts(), routes)]
+    if not some_long:
+        return [(in_rows(~is_long), routes)]
+    return [(in_rows(~is_long), routes.filter(~is_long)), (in_parts(is_long), routes.filter(is_long))]
+
+
+def _long_documents(tables: list[DataFrame], is_long: Column) -> tuple[bool, bool, bool]:
+    """Whether there are long documents, others, and some of which only a part of the pages says that they are long."""
+    found = []
+    for pages in tables:
+        of_doc = pages.groupBy("doc_id").agg(F.max(is_long).alias("some"), F.min(is_long).alias("all"))
+        mixed = F.col("some") & ~F.col("all")
+        found.append(of_doc.agg(F.max("some").alias("long"), F.max(~F.col("all")).alias("short"), F.max(mixed).alias("mixed")).first())
+    return tuple(any(r[kind] for r in found) for kind in ("long", "short", "mixed"))
+
+
 def ingest(
     pages: DataFrame,
     cfg: EngineConfig = EngineConfig(),
@@ -94,34 +146,33 @@ def ingest(
     tables: DataFrame | None = None,
     profiles: LanguageProfiles | None = None,
     engine_errors: DataFrame | None = None,
+    failures: DataFrame | None = None,
 ) -> DataFrame:
     """Bundles of all documents of a page table.
 
     ``ocr_pages`` is the page table an OCR engine made, ``tables`` the raw
     tables of layout engines, ``profiles`` a fitted language model, ``engine_errors``
     (doc_id, engine, error) what table engines failed with. Documents
-    are those of either page table. Routes are settled from narrow rows first,
-    so only the texts of each document's source are gathered.
+    are those of either page table, without those of ``failures`` (doc_id). Routes are settled
+    from narrow rows first, and of the gathered parts only those of each document's source are cleaned.
     """
     if cfg.language == "auto" and profiles is None:
         raise ValueError('language="auto" needs profiles: fit them, or set language="off"')
     routes = routes_of(pages, cfg, ocr_pages is not None, ocr_pages)
+    if failures is not None:
+        # a document without a route has no bundle, whatever its pages
+        routes = routes.join(failures.select("doc_id").distinct(), "doc_id", "left_anti")
     b = cfg.block_pages
-    source = prepare(pages, b)
     if ocr_pages is not None:
         # read by several branches: routes are a narrow row per document
         routes = materialize(routes)
-        source = routing.select_source(routes, source, prepare(ocr_pages, b), b).drop("routed")
-        source = prepare(source, b)
-    parts, long_pages = gather(source, b), only_long(source, b)
-    # one long document is enough; without any, nothing is read twice
-    some_long = not long_pages.select("doc_id").isEmpty()
-    parts = assembly.concat_parts(clean_parts(parts, long_pages, cfg), cfg.page_sep, b, write=some_long)
+    texts = _texts(prepare(pages, b), prepare(ocr_pages, b) if ocr_pages is not None else None, routes, failures, cfg)
     languages = None
     if profiles is not None and cfg.language == "auto":
         # read twice from here on: for the tags and for the bundle
-        parts = materialize(parts)
+        parts = materialize(reduce(DataFrame.unionByName, [t for t, _ in texts]))
         languages = tag_language(parts, profiles)
+        texts = [(parts, routes)]
     meta = None
     chosen = collect_tables(tables, ocr_pages, routes, cfg)
     if chosen is None and engine_errors is not None and cfg.tables != "off":
@@ -133,7 +184,8 @@ def ingest(
             served = routes.select("doc_id", *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()]).limit(0)
         scored = T.table_names(T.score_tables(served))
         meta = T.table_meta(scored, engines, T.best_table(scored), cfg.block_pages, engine_errors)
-    return assembly.bundle(parts, routes, languages, meta, cfg.block_pages)
+    bundles = [assembly.bundle(parts, docs, languages, meta, b) for parts, docs in texts]
+    return reduce(DataFrame.unionByName, bundles)
 
 
 @dataclass(frozen=True)
@@ -161,16 +213,7 @@ def ingest_run(
     ``engine_errors`` of the table engines, whose documents go on. ``counts`` is observed while the
     bundles are written, without another pass: documents, parts, tokens, and documents with an engine error.
     """
-    if failures is not None:
-        bad = failures.select("doc_id").distinct()
-
-        def sound(given: DataFrame) -> DataFrame:
-            ready = prepare(given, cfg.block_pages)
-            marked = bad.join(routing.page_counts(ready, cfg.block_pages), "doc_id")
-            return attach(ready, marked, "left_anti", cfg.block_pages).drop("block")
-
-        pages, ocr_pages = sound(pages), sound(ocr_pages) if ocr_pages is not None else None
-    bundles = ingest(pages, cfg, ocr_pages, tables, profiles, engine_errors)
+    bundles = ingest(pages, cfg, ocr_pages, tables, profiles, engine_errors, failures)
     first = F.col("part_no") == 0
     counts = Observation()
     bundles = bundles.observe(

@@ -306,3 +306,34 @@ def test_errors_stand_beside_the_results(spark):
     assert errors == [("a", "tables", "docling", "no layout"), ("b", "extract", None, "ValueError: broken"), ("x", "extract", None, "OSError: gone")]
     quiet = ingest_run(df, EngineConfig(language="off"))
     assert quiet.bundles.count() == 3 and quiet.errors.count() == 0
+
+
+def test_texts_move_once_whatever_failed_and_however_long(spark, tmp_path):
+    line = "A line of the page {} of this document, long enough to be a native one."
+    rows = [(d, i, n, line.format(i)) for d, n in (("a", 3), ("b", 1), ("c", 7), ("bad", 1), ("long and bad", 5)) for i in range(n)]
+    schema = "doc_id string, page_no int, n_pages int, text string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/pages")
+    pages = spark.read.parquet(f"{tmp_path}/pages")
+    failed = spark.createDataFrame([("bad", "x"), ("long and bad", "y"), ("unknown", "z")], "doc_id string, error string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for block_pages in (256, 2):
+            run = ingest_run(pages, EngineConfig(language="off", tables="off", block_pages=block_pages), failures=failed)
+            plan = run.bundles._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+            moved = plan.count("partial_collect_list(struct(page_no")
+            assert moved == 1, "the texts of short documents go through one exchange, with their parts"
+            docs = {}
+            for r in sorted(run.bundles.collect(), key=lambda r: (r.doc_id, r.part_no)):
+                docs[r.doc_id] = docs.get(r.doc_id, "") + r.text
+            assert docs == {d: "".join(line.format(i) for i in range(n)) for d, n in (("a", 3), ("b", 1), ("c", 7))}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_pages_that_disagree_on_the_length_stay_one_document(spark):
+    schema = "doc_id string, page_no int, n_pages int, text string"
+    rows = [("a", 0, 1, "the first"), ("a", 1, 3, "the second"), ("a", 2, 3, "the third"), ("b", 0, 1, "other"), ("c", 0, None, "none")]
+    got = ingest(spark.createDataFrame(rows, schema), EngineConfig(language="off", tables="off", block_pages=2)).collect()
+    assert len({(r.doc_id, r.part_no) for r in got}) == len(got)
+    assert {r.doc_id: r.text for r in got if r.part_no == 0} == {"a": "the firstthe second", "b": "other", "c": "none"}
