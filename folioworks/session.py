@@ -84,11 +84,33 @@ def discard(*tables: DataFrame) -> None:
             system.delete(place, True)
 
 
+def file_size(spark: SparkSession, uri: str) -> int:
+    """Bytes of a file, by its URI as ``inputFiles`` gives it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).getLen()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     place, system = _at(spark, path)
     return system.exists(place)
 
 
+def entries(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder."""
+    place, system = _at(spark, path)
+    return [s.getPath().getName() for s in system.listStatus(place)]
+
+
+def put_in_place(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder to ``to``, in the place of what is there."""
+    place, system = _at(spark, path)
+    target, _ = _at(spark, to)
+    system.mkdirs(target.getParent())
+    system.delete(target, True)
+    if not system.rename(place, target):
+        raise OSError(f"{path} can't be renamed to {to}")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder, wherever Spark can reach it."""
     place, system = _at(spark, path)

@@ -100,6 +100,32 @@ def test_an_exchange_that_broke_off_is_finished(spark, tmp_path):
     assert len(texts) == 21 and texts.count("second") == n and not (tmp_path / "out/_merge").exists()
 
 
+def test_buckets_take_their_places_without_another_write(spark, tmp_path):
+    out, schema = f"{tmp_path}/out", "doc_id string, text string"
+
+    def files():
+        return {f.name for f in tmp_path.rglob("part-*.parquet")}
+
+    keyed._write(spark.createDataFrame([(f"d{i}", "old") for i in range(50)], schema).withColumn("bucket", keyed.bucket_of(F.col("doc_id"), 4)), 4, f"{out}/_merge")
+    made = files()
+    # a break between two folders: what was not moved yet is found by the next batch
+    (tmp_path / "out/table").mkdir()
+    shutil.move(f"{out}/_merge/bucket=0", f"{out}/table/bucket=0")
+    keyed.upsert(spark.createDataFrame([], schema), out, buckets=4)
+    assert files() == made and not (tmp_path / "out/_merge").exists()
+    assert keyed.latest(spark, out).count() == 50
+    # a merge that was not whole is not used
+    (tmp_path / "out/_merge/bucket=0").mkdir(parents=True)
+    for limit in (keyed.HELD_IDS, 0):
+        keyed.HELD_IDS, before = limit, keyed.HELD_IDS
+        try:
+            keyed.upsert(spark.createDataFrame([("d1", f"new {limit}"), (None, "none")], schema), out, buckets=4)
+        finally:
+            keyed.HELD_IDS = before
+        rows = [(r.doc_id, r.text) for r in keyed.latest(spark, out).collect()]
+        assert [t for d, t in rows if d == "d1"] == [f"new {limit}"] and len({d for d, _ in rows if d}) == 50
+
+
 def send(spark, folder, *pages):
     """Pages (doc_id, page_no, n_pages, text), as one file."""
     spark.createDataFrame(list(pages), "doc_id string, page_no int, n_pages int, text string").coalesce(1).write.mode("append").parquet(folder)
