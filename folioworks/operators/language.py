@@ -81,6 +81,30 @@ def _packed_grams(texts: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np
         yield piece(held[0][0], held)
 
 
+#: Distinct n-grams that a table of places may stand for.
+DENSE_GRAMS = 1 << 22
+
+
+def _dense(grams: np.ndarray, n: int, letters: np.ndarray) -> np.ndarray:
+    """n-grams as numbers below len(letters) ** n, in the same order; ``letters`` gives each code point's place."""
+    size = int(letters.max()) + 1
+    places = np.zeros(len(grams), dtype=np.int64)
+    for i in reversed(range(n)):
+        places = places * size + letters[grams >> 21 * i & 0x1FFFFF]
+    return places
+
+
+def _letters_of(grams: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of n-grams, and a table of each one's place among them."""
+    present = np.zeros(0x110000, dtype=bool)
+    for i in range(n):
+        present[grams >> 21 * i & 0x1FFFFF] = True
+    found = np.flatnonzero(present)
+    places = np.zeros(0x110000, dtype=np.int64)
+    places[found] = np.arange(len(found))
+    return found, places
+
+
 def _unpacked(grams: np.ndarray, n: int) -> pa.Array:
     """The n-grams as strings."""
     codes = np.stack([grams >> 21 * (n - 1 - i) & 0x1FFFFF for i in range(n)], axis=1).astype("<u4")
@@ -206,24 +230,38 @@ def _score(df: DataFrame, doc_id: str, text: str, profiles: LanguageProfiles) ->
     made = profiles.weights.select("gram", *[f"w{i}" for i in range(k)]).toArrow().combine_chunks()
     packed = np.concatenate([np.zeros(0, dtype=np.int64), *[g for _, g, _ in _packed_grams(made["gram"].combine_chunks(), n)]])
     order = np.argsort(packed)
-    known = df.sparkSession.sparkContext.broadcast((packed[order], [np.asarray(made[f"w{i}"])[order].astype(np.int64) for i in range(k)]))
+    # the last row is for n-grams that are not known
+    weights = np.zeros((len(packed) + 1, k), dtype=np.int64)
+    for i in range(k):
+        weights[:-1, i] = np.asarray(made[f"w{i}"])[order]
+    known = df.sparkSession.sparkContext.broadcast((packed[order], weights))
     sums = [f"s{i}" for i in range(k)]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, weights = known.value
+        found_in, places = _letters_of(keys, n)
+        table = None
+        if 0 < (len(found_in) + 1) ** n <= DENSE_GRAMS:
+            # place 0 is any other code point, so n-grams with one meet no key
+            places[found_in] += 1
+            table = np.full((len(found_in) + 1) ** n, len(keys), dtype=np.int32)
+            table[_dense(keys, n, places)] = np.arange(len(keys))
+
+        def rows_of(grams: np.ndarray) -> np.ndarray:
+            if table is not None:
+                return table[_dense(grams, n, places)]
+            found = np.searchsorted(keys, grams)
+            found[found == len(keys)] = 0
+            return np.where(keys[found] == grams, found, len(keys)) if len(keys) else found
+
         for batch in batches:
             for first, grams, row in _packed_grams(batch.column(1), n):
                 # rows of a piece are in order; those without n-grams count for nothing and come below
                 count = np.bincount(row)
                 has = np.flatnonzero(count)
                 ends = np.cumsum(count)[has]
-                found = np.searchsorted(keys, grams)
-                found[found == len(keys)] = 0
-                hit = keys[found] == grams if len(keys) else np.zeros(len(grams), dtype=bool)
-                columns = [pa.array(count[has].astype(np.int64))]
-                for w in weights:
-                    total = np.cumsum(np.where(hit, w[found], 0)) if len(keys) else np.zeros(len(grams), dtype=np.int64)
-                    columns.append(pa.array(np.diff(total[ends - 1], prepend=0)))
+                totals = np.add.reduceat(weights[rows_of(grams)], ends - count[has], axis=0) if len(has) else np.zeros((0, k), dtype=np.int64)
+                columns = [pa.array(count[has].astype(np.int64)), *[pa.array(np.ascontiguousarray(totals[:, i])) for i in range(k)]]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(first + has)), *columns], names=["doc_id", "grams", *sums])
             # a text too short for any n-gram is decided by the priors
             none = [pa.array(np.zeros(batch.num_rows, dtype=np.int64))] * (k + 1)

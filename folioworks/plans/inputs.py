@@ -10,16 +10,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioworks.operators.paging import paginate
+from folioworks.session import file_size
 
 LINES_PER_PAGE = 3
 PARTS_PER_PAGE = 250
+#: Bytes of a given file that one task takes, about; texts grow several times over when they are unpacked and decorated.
+TASK_BYTES = 16 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A given table. One with fewer files than cores is spread by ``key``."""
+    """A given table. One with fewer files than cores is spread by ``key``, with no more than some ``TASK_BYTES`` to a task."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
+    cores, files = spark.sparkContext.defaultParallelism, df.inputFiles()
+    return df if len(files) >= cores else df.repartition(tasks_for(sum(file_size(spark, f) for f in files), cores), key)
+
+
+def tasks_for(size: int, cores: int) -> int:
+    return max(cores, -(-size // TASK_BYTES))
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

@@ -337,3 +337,28 @@ def test_pages_that_disagree_on_the_length_stay_one_document(spark):
     got = ingest(spark.createDataFrame(rows, schema), EngineConfig(language="off", tables="off", block_pages=2)).collect()
     assert len({(r.doc_id, r.part_no) for r in got}) == len(got)
     assert {r.doc_id: r.text for r in got if r.part_no == 0} == {"a": "the firstthe second", "b": "other", "c": "none"}
+
+
+def test_tables_in_few_files_are_spread_by_size(spark, tmp_path, monkeypatch):
+    from folioworks.plans import inputs
+
+    spark.range(5000).selectExpr("id AS doc_id", "sha2(string(id), 512) AS text").coalesce(1).write.parquet(f"{tmp_path}/one table/documents.parquet")
+    assert inputs.tasks_for(1 << 30, 12) == 64 and inputs.tasks_for(6 << 30, 12) == 384 and inputs.tasks_for(1000, 12) == 12
+    few = inputs.read_table(spark, f"{tmp_path}/one table", "documents", "doc_id")
+    monkeypatch.setattr(inputs, "TASK_BYTES", 20_000)
+    many = inputs.read_table(spark, f"{tmp_path}/one table", "documents", "doc_id")
+    assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism < 10 < many.rdd.getNumPartitions()
+    assert many.select("doc_id").distinct().count() == many.count() == 5000
+
+
+def test_tags_are_the_same_with_and_without_a_table_of_places(spark, monkeypatch):
+    from folioworks.operators import language
+
+    known = spark.createDataFrame([("the cat and the hat", "en"), ("der Hund und die Katze", "de"), ("日本語の文", "ja")], "text string, lang string")
+    texts = ["the hat", "die Katze 😀", "日本 the", "", None, "xq", "Ünknöwn ɐɐɐ", "a\x00b\x00c", "the cat " * 300_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    profiles = fit_language_profiles(known)
+    scores = lambda: sorted(map(tuple, language._score(df, "doc_id", "text", profiles).groupBy("doc_id").sum("grams", "s0", "s1", "s2").collect()))
+    fast = scores()
+    monkeypatch.setattr(language, "DENSE_GRAMS", 0)
+    assert fast == scores() and len(fast) == len(texts)
