@@ -42,6 +42,8 @@ SYMBOLS = 64
 START = SYMBOLS - 1
 #: The margin of a text without words.
 NOTHING = -2.0
+#: Runs of symbols of consecutive texts that are counted at once; one longer text is counted by itself.
+EVIDENCE_STEP = 500_000
 
 
 def _symbols() -> np.ndarray:
@@ -121,13 +123,13 @@ class Words:
 
     def picked(self, which: np.ndarray, more: list[np.ndarray] = ()) -> Words:
         """The words ``which``, and others given as symbols, by themselves."""
-        parts = [self.stream[a:b] for a, b in zip(self.start[which].tolist(), self.end[which].tolist(), strict=True)]
-        parts += more
-        size = np.array([len(p) for p in parts], dtype=np.int64)
+        size = (self.end - self.start)[which]
+        at = np.arange(size.sum()) + np.repeat(self.start[which] - (np.cumsum(size) - size), size)
+        size = np.concatenate([size, np.fromiter(map(len, more), dtype=np.int64, count=len(more))])
         made = Words([])
-        made.stream = np.concatenate([*parts, np.full(1, START, dtype=np.uint8)])
+        made.stream = np.concatenate([self.stream[at], *more, np.full(1, START, dtype=np.uint8)])
         made.start, made.end = np.cumsum(size) - size, np.cumsum(size)
-        made.doc, made.count = np.arange(len(parts)), len(parts)
+        made.doc, made.count = np.arange(len(size)), len(size)
         return made
 
     def bent(self, which: np.ndarray, rng: np.random.Generator) -> list[np.ndarray]:
@@ -158,6 +160,31 @@ class Words:
         return np.bincount(of, weights=total, minlength=len(which)) / self.norms(which)
 
 
+def vocabulary(texts: list[bytes]) -> tuple[Words, np.ndarray, np.ndarray]:
+    """The distinct words of all texts, by key, and each (text, word) once, by text: their numbers.
+
+    The texts are read a slice at a time, so memory follows the words, not the texts.
+    """
+    held, docs, words = [], [], []
+    for first, part in slices(pa.array(texts, pa.binary())):
+        some = Words(part)
+        keys, place, back = np.unique(some.keys(), return_index=True, return_inverse=True)
+        pair = np.unique(some.doc.astype(np.int64) * len(keys) + back)
+        # Without a word there is no pair, and nothing is divided.
+        held.append((keys, some.picked(place)))
+        docs.append(pair // max(len(keys), 1) + first)
+        words.append(keys[pair % max(len(keys), 1)])
+    if not held:
+        return Words([]), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    upto = np.cumsum([0, *[len(w.stream) for _, w in held]])
+    joined = Words([])
+    joined.stream = np.concatenate([w.stream for _, w in held])
+    joined.start = np.concatenate([w.start + a for (_, w), a in zip(held, upto, strict=False)])
+    joined.end = np.concatenate([w.end + a for (_, w), a in zip(held, upto, strict=False)])
+    keys, place = np.unique(np.concatenate([k for k, _ in held]), return_index=True)
+    return joined.picked(place), np.concatenate(docs), np.searchsorted(keys, np.concatenate(words))
+
+
 @dataclass(frozen=True)
 class Machine:
     """The fitted machine: a weight per triple of symbols, and the slope and offset of its probability."""
@@ -243,14 +270,14 @@ def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray,
     return w[:-1], float(w[-1])
 
 
-def _evidence(words: Words, place: np.ndarray, back: np.ndarray, labels: np.ndarray) -> np.ndarray:
+def _evidence(words: Words, doc: np.ndarray, word: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """A first rank of the distinct words: how far a run of four of their symbols, or all of
-    them, is commoner among toxic texts than among the others."""
-    size = (words.end - words.start)[place]
-    n = len(place)
+    them, is commoner among toxic texts than among the others. ``word`` is in the text ``doc``."""
+    size = words.end - words.start
+    n = len(size)
     of = np.repeat(np.arange(n), np.maximum(size - 3, 0))
     counts = np.bincount(of, minlength=n)
-    at = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts) + words.start[place][of]
+    at = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts) + words.start[of]
     s = words.stream.astype(np.int64)
     gram = ((s[at] * SYMBOLS + s[at + 1]) * SYMBOLS + s[at + 2]) * SYMBOLS + s[at + 3]
     _, gram = np.unique(gram, return_inverse=True)
@@ -259,14 +286,20 @@ def _evidence(words: Words, place: np.ndarray, back: np.ndarray, labels: np.ndar
     kinds += n
     order = np.argsort(of, kind="stable")
     gram, first = gram[order], np.searchsorted(of[order], np.arange(n + 1))
-    pair = np.unique(words.doc.astype(np.int64) * n + back)
-    doc, word = pair // n, pair % n
-    counts = np.diff(first)[word]
-    spread = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first[word], counts)
-    seen = np.unique(np.repeat(doc, counts) * kinds + gram[spread])
-    seen_toxic = labels[seen // kinds] == 1
-    hot = np.bincount(seen[seen_toxic] % kinds, minlength=kinds)
-    cold = np.bincount(seen[~seen_toxic] % kinds, minlength=kinds)
+    hot, cold = np.zeros(kinds, dtype=np.int64), np.zeros(kinds, dtype=np.int64)
+    begin = np.searchsorted(doc, np.arange(len(labels) + 1))
+    upto = np.concatenate([[0], np.cumsum(np.diff(first)[word])])[begin]
+    a = 0
+    while a < len(labels):
+        b = max(a + 1, int(np.searchsorted(upto, upto[a] + EVIDENCE_STEP, side="right")) - 1)
+        mine = slice(begin[a], begin[b])
+        counts = np.diff(first)[word[mine]]
+        spread = np.arange(counts.sum()) + np.repeat(first[word[mine]] - (np.cumsum(counts) - counts), counts)
+        seen = np.unique(np.repeat(doc[mine] - a, counts) * kinds + gram[spread])
+        seen_toxic = labels[a + seen // kinds] == 1
+        hot += np.bincount(seen[seen_toxic] % kinds, minlength=kinds)
+        cold += np.bincount(seen[~seen_toxic] % kinds, minlength=kinds)
+        a = b
     ratio = (hot + 0.5) / max((labels == 1).sum(), 1) / ((cold + 0.5) / max((labels == 0).sum(), 1))
     weight = hot * np.log(ratio)
     value = np.full(n, -np.inf)
@@ -278,14 +311,13 @@ def learn(texts: list[str], labels: np.ndarray) -> Machine:
     """Fit the machine on labelled texts; of near copies the first counts."""
     kept = without_copies(texts)
     texts, labels = [texts[i].encode() for i in kept], labels[kept]
-    words = Words(texts)
-    keys, place, back = np.unique(words.keys(), return_index=True, return_inverse=True)
-    toxic = labels[words.doc] == 1
-    clean_words = np.zeros(len(keys), dtype=bool)
-    clean_words[back[~toxic]] = True
-    value = _evidence(words, place, back, labels)
-    found = np.unique(words.doc[toxic].astype(np.int64) * len(keys) + back[toxic]) % len(keys)
-    spread = np.bincount(found, minlength=len(keys))
+    words, doc, word = vocabulary(texts)
+    every = np.arange(len(words.start))
+    toxic = labels[doc] == 1
+    clean_words = np.zeros(len(every), dtype=bool)
+    clean_words[word[~toxic]] = True
+    value = _evidence(words, doc, word, labels)
+    spread = np.bincount(word[toxic], minlength=len(every))
     often = spread >= max(3, 0.01 * (labels == 1).sum())
 
     table, bias = np.zeros(SYMBOLS**3), 0.0
@@ -293,19 +325,19 @@ def learn(texts: list[str], labels: np.ndarray) -> Machine:
     negative = np.flatnonzero(clean_words)
     for _ in range(ROUNDS):
         # The worst word of each toxic text stands for its toxic sentence.
-        ranked = np.where(toxic & ~clean_words[back], value[back], -np.inf)
+        ranked = np.where(toxic & ~clean_words[word], value[word], -np.inf)
         best = np.full(len(texts), -np.inf)
-        np.maximum.at(best, words.doc, ranked)
-        witness = np.unique(back[np.isfinite(ranked) & (ranked >= best[words.doc])])
+        np.maximum.at(best, doc, ranked)
+        witness = np.unique(word[np.isfinite(ranked) & (ranked >= best[doc])])
         witness = np.union1d(witness, np.flatnonzero(often & ~clean_words))
         hardest = negative[np.argsort(-value[negative], kind="stable")[:1500]]
         others = rng.permutation(negative)[:2500]
         rest = np.unique(np.concatenate([hardest, others]))
         if not len(witness) or not len(rest):
             break
-        bent = [b for _ in range(BENT) for b in words.bent(place[witness], rng)]
-        long = (words.end - words.start)[place[witness]] > 4
-        chosen = words.picked(place[np.concatenate([rest, witness])], bent)
+        bent = [b for _ in range(BENT) for b in words.bent(witness, rng)]
+        long = (words.end - words.start)[witness] > 4
+        chosen = words.picked(np.concatenate([rest, witness]), bent)
         positive = np.arange(len(rest), len(rest) + len(witness) + len(bent))
         # A word counts by the square root of the toxic texts that have it.
         common = np.sqrt(np.maximum(spread[witness], 1))
@@ -324,9 +356,10 @@ def learn(texts: list[str], labels: np.ndarray) -> Machine:
         for mark, share in zip(marks, to_space @ w, strict=True):
             triple, weight = kernel.vector(mark)
             np.add.at(table, triple, share * weight)
-        value = words.project(place, table) + bias
+        value = words.project(every, table) + bias
     table = table.astype(np.float32)
-    margins = Machine(table, bias, 1, 0).margins(texts)
+    margins = np.full(len(texts), NOTHING)
+    np.maximum.at(margins, doc, (words.project(every, table) + bias)[word])
     slope, offset = 4.0, 0.0
     weights = np.where(labels == 1, 0.5 / max((labels == 1).sum(), 1), 0.5 / max((labels == 0).sum(), 1))
     for _ in range(50):  # logistic fit of the label to the margin, slightly held back

@@ -23,6 +23,8 @@ _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = 0xD6E8FEB86659FD93
 _powers: dict[str, np.ndarray] = {}
+#: As many as a slice of texts, with the breaks between them, asks for.
+SLICE_POWERS = SLICE_BYTES + 16
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -37,13 +39,20 @@ _BYTE = mix(np.arange(256, dtype=np.uint64))
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of an odd base modulo 2**64, and of its inverse."""
-    if len(_powers.get("up", ())) < n:
-        size = max(n, 2 * SLICE_BYTES)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _powers[name] = np.multiply.accumulate(steps)
+    """The first ``n`` powers of an odd base modulo 2**64, and of its inverse.
+
+    A Python worker keeps those for a slice; for a longer text they are made anew.
+    """
+
+    def made(base: int, size: int) -> np.ndarray:
+        steps = np.full(size, base, dtype=np.uint64)
+        steps[0] = 1
+        return np.multiply.accumulate(steps, out=steps)
+
+    if n > SLICE_POWERS:
+        return made(_BASE, n), made(pow(_BASE, -1, 1 << 64), n)
+    if not _powers:
+        _powers.update(up=made(_BASE, SLICE_POWERS), down=made(pow(_BASE, -1, 1 << 64), SLICE_POWERS))
     return _powers["up"][:n], _powers["down"][:n]
 
 
