@@ -12,7 +12,7 @@
    linked through a few of their members, and documents of one template that are not
    near copies hardly meet. Before sets are fetched, two
    bits of each slot must agree as far as ``percent`` less 13 allows, some five standard
-   deviations of the estimate.
+   deviations of the estimate; a bound of ``prefix_join`` that no similar pair exceeds does the rest.
 4. Pairs are confirmed on their full sets: 100 * intersection >= ``percent`` * union.
 5. Components of the links, found by ``components``, give the groups, each named by its
    least doc_id.
