@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folioworks.functions.text import let, lines, squeeze_line, strip_line
+from folioworks.functions.text import empty_strings, let, lines, squeeze_line, strip_line
 
 
 def enough(n: Column, share: float) -> Column:
@@ -72,5 +72,16 @@ def repeated_lines(pages: Column, n: Column, share: float) -> Column:
     return frequent(F.flatten(F.transform(pages, F.array_distinct)), n, share)
 
 
+def digest(line: Column) -> Column:
+    """What stands for a line where many are counted: a short line itself, of a longer one its SHA-256, which is longer than the former."""
+    return F.when(F.octet_length(line) < 32, line.cast("binary")).otherwise(F.unhex(F.sha2(line, 256)))
+
+
+def known(ls: Column, digests: Column) -> Column:
+    """Distinct ones of the lines that ``digests`` stand for."""
+    found = F.filter(F.array_distinct(ls), lambda l: F.array_contains(digests, digest(l)))
+    return F.when(F.size(digests) > 0, found).otherwise(empty_strings())
+
+
 def without(ls: Column, dropped: Column) -> Column:
     return F.filter(ls, lambda l: ~F.array_contains(dropped, l))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioworks.functions.text import token_count
 from folioworks.operators.blocks import BLOCK_PAGES, gather, spread
-from folioworks.session import materialize
+from folioworks.session import materialize, shuffles_deleted
 
 
 def _offsets(sizes: Column) -> Column:
@@ -94,22 +94,32 @@ def concat_parts(parts: DataFrame, sep: str = "", block_pages: int = BLOCK_PAGES
     the whole text. ``page_offsets`` and ``token_count`` count over the whole
     document in every part; parts join by plain concatenation. ``write`` has the texts
     written once: what long documents need of all their parts is read several times, and
-    each time the texts would be cleaned again. ``long`` says whether there may be such documents.
+    each time the texts would be cleaned again. A page whose text is its slice is written once.
+    ``long`` says whether there may be such documents.
     """
     last_block = F.floor((F.col("n_pages") - 1) / block_pages)
     tail = F.when(F.col("block") < last_block, F.lit(sep)).otherwise(F.lit(""))
+
+    def joined(texts: Column) -> Column:
+        return F.concat(F.array_join(texts, sep), tail).alias("text")
+
+    own = F.transform("pages", lambda p: F.when(p["text"] != p["slice"], p["text"]))
     texts = parts.select(
         "doc_id",
         "n_pages",
         "block",
         (last_block + 1).cast("int").alias("n_parts"),
-        F.concat(F.array_join(F.col("pages.text"), sep), tail).alias("text"),
+        joined(F.col("pages.text")),
         F.col("pages.slice").alias("page_slices"),
+        *([own.alias("_own")] if write else []),
         _offsets(F.transform("pages", lambda p: F.length(p["text"]) + len(sep))).alias("_offsets"),
     ).withColumn("_tokens", token_count(F.col("text")))
     texts = texts.withColumns(_part_facts())
     if write:
-        texts = materialize(texts)
+        with shuffles_deleted(texts.sparkSession):
+            texts = materialize(texts.drop("text"), compression="zstd")
+        text = joined(F.zip_with("page_slices", "_own", lambda slice, own: F.coalesce(own, slice)))
+        texts = texts.withColumn("text", text).drop("_own")
     if long:
         totals = _long_document_totals(texts.filter(F.col("n_pages") > block_pages))
         texts = texts.join(totals, ["doc_id", "block"], "left")

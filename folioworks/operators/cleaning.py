@@ -1,7 +1,8 @@
 """Repeated lines of a document: headers, footers and boilerplate.
 
 Documents of one part are decided inside their row. For longer ones the counts
-run over all parts first, by grouped aggregates with map-side combine.
+run over all parts first, by grouped aggregates with map-side combine; what they
+move of a line is its digest, and each part finds its own lines again by that.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from pyspark.sql import functions as F
 from folioworks.config import EngineConfig
 from folioworks.functions import repeats
 from folioworks.functions.text import (
-    empty_strings,
     let,
     lines,
     normalize_marks,
@@ -29,15 +29,18 @@ def repeated_edges(
     share: float = 0.45,
     min_pages: int = 3,
     block_pages: int = BLOCK_PAGES,
+    digests: bool = False,
 ) -> DataFrame:
     """Lines that open or close enough pages of their document.
 
     Occurrences are counted, tops and bottoms apart. The counts fold together
     before the shuffle, so one header on a million pages travels as a few rows.
+    With ``digests``, ``line`` is what ``repeats.digest`` gives, and no text is moved.
     """
 
     def marked(ls: Column, top: int) -> Column:
-        return F.transform(ls, lambda l: F.struct(l.alias("line"), F.lit(top).alias("top")))
+        key = repeats.digest if digests else lambda l: l
+        return F.transform(ls, lambda l: F.struct(key(l).alias("line"), F.lit(top).alias("top")))
 
     edges = let(
         repeats.stripped_lines(F.col("text")),
@@ -63,9 +66,15 @@ def boilerplate_lines(
     share: float = 0.5,
     min_pages: int = 3,
     block_pages: int = BLOCK_PAGES,
+    digests: bool = False,
 ) -> DataFrame:
-    """Lines on a large share of the pages of their document, counted once per page."""
+    """Lines on a large share of the pages of their document, counted once per page.
+
+    With ``digests``, ``line`` is what ``repeats.digest`` gives, and no text is moved.
+    """
     keys = F.array_distinct(repeats.long_lines(lines(F.col("text")), min_len))
+    if digests:
+        keys = F.transform(keys, repeats.digest)
     rows = (
         prepare(pages, block_pages)
         .filter(F.col("n_pages") >= min_pages)
@@ -79,7 +88,7 @@ def boilerplate_lines(
 
 
 def _per_document(found: DataFrame, name: str) -> DataFrame:
-    """Lines found as one array per document.
+    """Lines found (or their digests) as one array per document.
 
     Bounded: at most (top_k + bottom_k) / share edge lines, and boilerplate of
     no more text than 1 / share pages.
@@ -91,11 +100,23 @@ def _lines_of_pages() -> Column:
     return F.transform("pages", lambda p: F.struct(p["page_no"].alias("page_no"), lines(p["text"]).alias("ls")))
 
 
-def _drop_edges(pages: Column, cfg: EngineConfig) -> Column:
-    """Pages of lines without edge lines; ``_edges`` holds those of long documents."""
+def _no_digests() -> Column:
+    return F.array().cast("array<binary>")
+
+
+def _by_length(known: Column, here: Column, cfg: EngineConfig, long: bool | None) -> Column:
+    """Lines to drop: those known of a long document, those found here of another. ``long`` says it of all rows."""
+    if long is None:
+        return F.when(F.col("n_pages") > cfg.block_pages, known).otherwise(here)
+    return known if long else here
+
+
+def _drop_edges(pages: Column, cfg: EngineConfig, long: bool | None = None) -> Column:
+    """Pages of lines without edge lines; ``_edges`` holds digests of those of long documents."""
     n = F.col("n_pages")
     here = repeats.repeated_edges(pages["ls"], n, cfg.edge_top, cfg.edge_bottom, cfg.edge_share)
-    edges = F.when(n > cfg.block_pages, F.coalesce("_edges", empty_strings())).otherwise(here)
+    stripped = F.flatten(F.transform(pages["ls"], lambda ls: F.transform(ls, repeats.strip_line)))
+    edges = _by_length(repeats.known(stripped, F.coalesce("_edges", _no_digests())), here, cfg, long)
     return let(
         edges,
         lambda e: F.transform(
@@ -105,13 +126,13 @@ def _drop_edges(pages: Column, cfg: EngineConfig) -> Column:
     )
 
 
-def _drop_boiler(pages: Column, cfg: EngineConfig) -> Column:
-    """Pages of long lines without boilerplate; ``_boiler`` is that of long documents."""
+def _drop_boiler(pages: Column, cfg: EngineConfig, long: bool | None = None) -> Column:
+    """Pages of long lines without boilerplate; ``_boiler`` holds digests of that of long documents."""
 
     def kept(keyed: Column) -> Column:
-        n = F.col("n_pages")
-        here = repeats.repeated_lines(keyed["ls"], n, cfg.boiler_share)
-        boiler = F.when(n > cfg.block_pages, F.coalesce("_boiler", empty_strings())).otherwise(here)
+        here = repeats.repeated_lines(keyed["ls"], F.col("n_pages"), cfg.boiler_share)
+        known = repeats.known(F.flatten(keyed["ls"]), F.coalesce("_boiler", _no_digests()))
+        boiler = _by_length(known, here, cfg, long)
         return let(
             boiler,
             lambda b: F.transform(
@@ -137,34 +158,42 @@ def _where_enough_pages(changed: Column, cfg: EngineConfig) -> Column:
 
 
 def _with_edges(parts: DataFrame, long_pages: DataFrame, cfg: EngineConfig) -> DataFrame:
-    found = repeated_edges(long_pages, cfg.edge_top, cfg.edge_bottom, cfg.edge_share, cfg.min_pages, cfg.block_pages)
+    found = repeated_edges(long_pages, cfg.edge_top, cfg.edge_bottom, cfg.edge_share, cfg.min_pages, cfg.block_pages, True)
     return attach(parts, _per_document(found, "_edges"), "left", cfg.block_pages)
 
 
-def strip_parts(parts: DataFrame, long_pages: DataFrame, cfg: EngineConfig = EngineConfig()) -> DataFrame:
-    """Header and footer removal on parts."""
-    bare = let(_lines_of_pages(), lambda pages: _joined(_drop_edges(pages, cfg)))
+def strip_parts(
+    parts: DataFrame, long_pages: DataFrame, cfg: EngineConfig = EngineConfig(), long: bool | None = None
+) -> DataFrame:
+    """Header and footer removal on parts. ``long``: whether all are of long documents, or none; None if it is not known."""
+    bare = let(_lines_of_pages(), lambda pages: _joined(_drop_edges(pages, cfg, long)))
     return _with_edges(parts, long_pages, cfg).withColumn("pages", _where_enough_pages(bare, cfg)).drop("_edges")
 
 
-def clean_parts(parts: DataFrame, long_pages: DataFrame | None, cfg: EngineConfig = EngineConfig()) -> DataFrame:
+def clean_parts(
+    parts: DataFrame, long_pages: DataFrame | None, cfg: EngineConfig = EngineConfig(), long_parts: DataFrame | None = None
+) -> DataFrame:
     """The whole chain on parts: headers and footers, boilerplate, paragraphs,
     list marks, page labels.
 
     Pages become ``struct<page_no, slice, text>``: ``slice`` is the page before
     label removal, ``text`` after it. ``long_pages`` are the pages of documents
     with more than one part; only they are counted over parts. None says that there is no such document.
+    ``long_parts`` are the same pages if they are gathered already; then there are no other documents.
     """
+    long = False if long_pages is None else True if long_parts is not None else None
     if long_pages is None:
-        marked = parts.withColumns({"_edges": empty_strings(), "_boiler": empty_strings()})
+        marked = parts.withColumns({"_edges": _no_digests(), "_boiler": _no_digests()})
     else:
-        bare_long = inline_pages(strip_parts(gather(long_pages, cfg.block_pages), long_pages, cfg))
+        if long_parts is None:
+            long_parts = gather(long_pages, cfg.block_pages)
+        bare_long = inline_pages(strip_parts(long_parts, long_pages, cfg, long))
         boiler = _per_document(
-            boilerplate_lines(bare_long, cfg.boiler_min_len, cfg.boiler_share, cfg.min_pages, cfg.block_pages), "_boiler"
+            boilerplate_lines(bare_long, cfg.boiler_min_len, cfg.boiler_share, cfg.min_pages, cfg.block_pages, True), "_boiler"
         )
         marked = attach(_with_edges(parts, long_pages, cfg), boiler, "left", cfg.block_pages)
     body = let(
-        _lines_of_pages(), lambda pages: _joined(let(_drop_edges(pages, cfg), lambda p: _drop_boiler(p, cfg)))
+        _lines_of_pages(), lambda pages: _joined(let(_drop_edges(pages, cfg, long), lambda p: _drop_boiler(p, cfg, long)))
     )
 
     def finished(p: Column) -> Column:
@@ -211,7 +240,7 @@ def drop_boilerplate(
 ) -> DataFrame:
     """Keep normalised lines that are long enough and not boilerplate."""
     cfg = EngineConfig(boiler_min_len=min_len, boiler_share=share, min_pages=min_pages, block_pages=block_pages)
-    found = boilerplate_lines(only_long(pages, block_pages), min_len, share, min_pages, block_pages)
+    found = boilerplate_lines(only_long(pages, block_pages), min_len, share, min_pages, block_pages, True)
     marked = attach(gather(pages, block_pages), _per_document(found, "_boiler"), "left", block_pages)
     body = let(_lines_of_pages(), lambda pages: _joined(_drop_boiler(pages, cfg)))
     return inline_pages(marked.withColumn("pages", _where_enough_pages(body, cfg)))

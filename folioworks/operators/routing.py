@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from folioworks import fixed_values as fixed
 from folioworks.functions.text import py_strip
-from folioworks.operators.blocks import BLOCK_PAGES, attach, prepare, with_page_counts
+from folioworks.operators.blocks import BLOCK_PAGES, attach, prepare, spread, with_page_counts
 from folioworks.operators.paging import page_stats
 
 
@@ -109,6 +109,36 @@ def select_source(
     )
 
 
+def select_parts(
+    docs: DataFrame, native_pages: DataFrame, ocr_pages: DataFrame, block_pages: int = BLOCK_PAGES
+) -> DataFrame:
+    """The parts (see ``gather``) of what ``select_source`` gives.
+
+    ``docs`` has ``doc_id, use_ocr, n_pages``, the latter of the document's source. Pages of both tables go
+    through one exchange and meet in the row of their part, where the source is chosen. The parts stay where
+    they lie, and filters on them do not reach below it: what reads them several times reads the same exchange.
+    """
+
+    def tagged(pages: DataFrame, ocr: bool) -> DataFrame:
+        text = F.coalesce("text", F.lit("")).alias("text")
+        return prepare(pages, block_pages).select("doc_id", "block", "n_pages", "page_no", text, F.lit(ocr).alias("_ocr"))
+
+    def side(ocr: Column, name: str) -> list[Column]:
+        page = F.when(ocr, F.struct("page_no", "text"))
+        return [F.max(F.when(ocr, F.col("n_pages"))).alias(f"{name}_n"), F.sort_array(F.collect_list(page)).alias(name)]
+
+    both = tagged(native_pages, False).unionByName(tagged(ocr_pages, True)).groupBy("doc_id", "block").agg(
+        *side(~F.col("_ocr"), "_native"), *side(F.col("_ocr"), "_seen")
+    )
+    chosen = both.join(spread(docs.select("doc_id", "use_ocr", "n_pages"), block_pages).drop("n_pages"), ["doc_id", "block"])
+    return chosen.select(
+        "doc_id",
+        "block",
+        F.when(F.col("use_ocr"), F.col("_seen_n")).otherwise(F.col("_native_n")).alias("n_pages"),
+        F.when(F.col("use_ocr"), F.col("_seen")).otherwise(F.col("_native")).alias("pages"),
+    ).filter(F.size("pages") > 0)
+
+
 def with_fallback(primary: DataFrame, fallback: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:
     """All pages of a document from the fallback if any primary page failed.
 

@@ -13,9 +13,9 @@ from folioworks.functions.grid import GRID_TYPE
 from folioworks.operators import assembly, routing
 from folioworks.operators import tables as T
 from folioworks.operators.blocks import attach, gather, only_long, prepare
-from folioworks.operators.cleaning import clean_parts
+from folioworks.operators.cleaning import clean_parts, inline_pages
 from folioworks.operators.language import LanguageProfiles, tag_language
-from folioworks.session import materialize
+from folioworks.session import materialize, shuffles_deleted
 
 
 def routes_of(
@@ -106,36 +106,62 @@ def _texts(
         bad = failures.groupBy("doc_id").agg(F.min(F.lit(0)).alias("block"))
         return parts.join(bad, ["doc_id", "block"], "left_anti")
 
-    def in_parts(kind: Column | None = None) -> DataFrame:
-        source = native if kind is None else native.filter(kind)
-        if ocr is not None:
-            other = ocr if kind is None else ocr.filter(kind)
-            source = prepare(routing.select_source(routes, source, other, b).drop("routed"), b)
+    is_long = F.coalesce(F.col("n_pages") > b, F.lit(False))
+    lengths = [_lengths(native, is_long)]
+    if ocr is not None:
+        lengths.append(_lengths(ocr, is_long))
+        tagged = [of_table.withColumn("use_ocr", F.lit(i == 1)) for i, of_table in enumerate(lengths)]
+        with shuffles_deleted(native.sparkSession):
+            held = materialize(reduce(DataFrame.unionByName, tagged))
+        lengths = [held]
+        # pages of each document's source; where these disagree, what follows does not read it
+        docs = routes.select("doc_id", "use_ocr").join(held.select("doc_id", "use_ocr", "n_pages"), ["doc_id", "use_ocr"])
+
+    def gathered(kind: Column) -> DataFrame:
+        if ocr is None:
+            return gather(native.filter(kind), b)
+        return routing.select_parts(docs.filter(kind), native.filter(kind), ocr.filter(kind), b)
+
+    def in_pages() -> DataFrame:
+        source = native if ocr is None else prepare(routing.select_source(routes, native, ocr, b).drop("routed"), b)
         parts = clean_parts(sound(gather(source, b)), only_long(source, b), cfg)
         return assembly.concat_parts(parts, cfg.page_sep, b, write=True)
 
+    def in_parts(kind: Column) -> DataFrame:
+        # lines are counted over the parts, too, so that all branches read the same exchange
+        parts = gathered(kind)
+        cleaned = clean_parts(sound(parts), inline_pages(parts), cfg, parts)
+        return assembly.concat_parts(cleaned, cfg.page_sep, b, write=True)
+
     def in_rows(kind: Column) -> DataFrame:
-        parts = gather(native.filter(kind), b)
-        if ocr is not None:
-            parts = routing.select_source(routes, parts, gather(ocr.filter(kind), b), b).drop("routed")
-        return assembly.concat_parts(clean_parts(sound(parts), None, cfg), cfg.page_sep, b, long=False)
+        return assembly.concat_parts(clean_parts(sound(gathered(kind)), None, cfg), cfg.page_sep, b, long=False)
 
-    is_long = F.coalesce(F.col("n_pages") > b, F.lit(False))
-    some_long, some_short, mixed = _long_documents([native] if ocr is None else [native, ocr], is_long)
-    if mixed or (some_long and not some_short):
-        return [(in_parts(), routes)]
+    some_long, some_short, mixed = _long_documents(lengths)
+    if mixed:
+        return [(in_pages(), routes)]
+    if some_long and not some_short:
+        return [(in_parts(is_long), routes)]
     if not some_long:
         return [(in_rows(~is_long), routes)]
     return [(in_rows(~is_long), routes.filter(~is_long)), (in_parts(is_long), routes.filter(is_long))]
 
 
-def _long_documents(tables: list[DataFrame], is_long: Column) -> tuple[bool, bool, bool]:
-    """Whether there are long documents, others, and some of which only a part of the pages says that they are long."""
+def _lengths(pages: DataFrame, is_long: Column) -> DataFrame:
+    """What the pages of each document say of its length: the most, and whether some or all say that it is long."""
+    most, least = F.max("n_pages"), F.min("n_pages")
+    return pages.groupBy("doc_id").agg(
+        most.alias("n_pages"), F.max(is_long).alias("some"), F.min(is_long).alias("all"), (least < most).alias("unlike")
+    )
+
+
+def _long_documents(lengths: list[DataFrame]) -> tuple[bool, bool, bool]:
+    """Whether there are long documents, others, and long ones whose pages disagree on their length."""
     found = []
-    for pages in tables:
-        of_doc = pages.groupBy("doc_id").agg(F.max(is_long).alias("some"), F.min(is_long).alias("all"))
-        mixed = F.col("some") & ~F.col("all")
-        found.append(of_doc.agg(F.max("some").alias("long"), F.max(~F.col("all")).alias("short"), F.max(mixed).alias("mixed")).first())
+    for of_doc in lengths:
+        mixed = F.col("some") & (~F.col("all") | F.col("unlike"))
+        kinds = of_doc.agg(F.max("some").alias("long"), F.max(~F.col("all")).alias("short"), F.max(mixed).alias("mixed"))
+        with shuffles_deleted(of_doc.sparkSession):
+            found.append(kinds.first())
     return tuple(any(r[kind] for r in found) for kind in ("long", "short", "mixed"))
 
 
@@ -165,7 +191,8 @@ def ingest(
     b = cfg.block_pages
     if ocr_pages is not None:
         # read by several branches: routes are a narrow row per document
-        routes = materialize(routes)
+        with shuffles_deleted(routes.sparkSession):
+            routes = materialize(routes)
     texts = _texts(prepare(pages, b), prepare(ocr_pages, b) if ocr_pages is not None else None, routes, failures, cfg)
     languages = None
     if profiles is not None and cfg.language == "auto":

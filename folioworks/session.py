@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,15 +64,34 @@ def scratch_path(spark: SparkSession, name: str = "table") -> str:
     return path
 
 
-def materialize(df: DataFrame) -> DataFrame:
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of a query that runs in here go when it ends, not when the driver collects its garbage.
+
+    For queries that are run once: one that is run again makes its shuffles anew.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def materialize(df: DataFrame, **options: str) -> DataFrame:
     """Write ``df`` once as a parquet table in the shared folder and read it back.
 
     Cuts the lineage there. Unlike a checkpoint, the table can be read by
     column and Spark knows its size. It goes when the application ends, or by ``discard``.
+    ``options`` are those of the parquet writer.
     """
     spark = df.sparkSession
     path = scratch_path(spark)
-    df.write.mode("append").parquet(path)
+    df.write.mode("append").options(**options).parquet(path)
     made = spark.read.schema(df.schema).parquet(path)
     made._scratch = path
     return made
