@@ -127,7 +127,9 @@ def select_parts(
         page = F.when(ocr, F.struct("page_no", "text"))
         return [F.max(F.when(ocr, F.col("n_pages"))).alias(f"{name}_n"), F.sort_array(F.collect_list(page)).alias(name)]
 
-    both = tagged(native_pages, False).unionByName(tagged(ocr_pages, True)).groupBy("doc_id", "block").agg(
+    # by name, else how the tables happen to lie may have one branch of a plan exchange other rows than the next
+    lying = tagged(native_pages, False).unionByName(tagged(ocr_pages, True)).repartition("doc_id", "block")
+    both = lying.groupBy("doc_id", "block").agg(
         *side(~F.col("_ocr"), "_native"), *side(F.col("_ocr"), "_seen")
     )
     chosen = both.join(spread(docs.select("doc_id", "use_ocr", "n_pages"), block_pages).drop("n_pages"), ["doc_id", "block"])
